@@ -1,0 +1,22 @@
+"""Join helpers: size-checked broadcast."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A dimension with at most this many rows is shipped to every task instead of shuffled.
+BROADCAST_MAX_ROWS = 200_000
+
+
+def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Broadcast hint only after checking the row count; otherwise leave it to the planner.
+
+    The check reads at most ``max_rows + 1`` rows (``limit`` stops the scan early).
+    Above the bound the frame is returned unhinted, so Spark plans a shuffle join
+    (and AQE may still broadcast it from measured shuffle sizes).
+    """
+    if df.isStreaming:
+        return df
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
