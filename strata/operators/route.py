@@ -34,8 +34,10 @@ def route_app_log(df: DataFrame, value: str = "value",
     return df.withColumn("topic", topic)
 
 
-_ENVELOPE_BATCH = T.StructType.fromDDL("type string, `table` string, data array<string>")
-_ENVELOPE_ROW = T.StructType.fromDDL("type string, `table` string, data string")
+_ENVELOPE_BATCH = T.StructType([T.StructField("type", T.StringType()), T.StructField("table", T.StringType()),
+                                 T.StructField("data", T.ArrayType(T.StringType()))])
+_ENVELOPE_ROW = T.StructType([T.StructField("type", T.StringType()), T.StructField("table", T.StringType()),
+                              T.StructField("data", T.StringType())])
 
 
 def flatten_cdc_batch(df: DataFrame, value: str = "value", tables: tuple[str, ...] = CDC_TABLES,

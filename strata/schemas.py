@@ -5,8 +5,17 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
+_TYPES = {"string": T.StringType(), "bigint": T.LongType(), "int": T.IntegerType(), "double": T.DoubleType(),
+          "timestamp": T.TimestampType(), "boolean": T.BooleanType()}
+
+
 def _ddl(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+    """Flat ``name type, ...`` -> StructType, without needing a running session."""
+    fields = []
+    for part in ddl.split(","):
+        name, typ = part.split()
+        fields.append(T.StructField(name, _TYPES[typ], True))
+    return T.StructType(fields)
 
 
 # Record of a topic, as the Spark Kafka source yields it.

@@ -1,11 +1,195 @@
-"""Streaming twins of the catalogue queries (filled in below)."""
+"""Streaming twins of catalogue queries: the stream result must equal the batch oracle.
+
+Each twin stages its whole input as Parquet files in range chunks (the file
+stand-in for a topic, SURVEY T5/T6), runs the streaming job with
+``availableNow`` and a checkpoint under the shared folder, and returns what
+the job's sink wrote.  Chunks are written one after another, so the file
+source reads them in order; within a chunk files may come in any order, which
+the watermark delays allow for.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamWriter
+
+from strata.operators.wide import merge_wide
+from strata.plans.warehouse import Warehouse
+from strata.schemas import DIMENSIONS
+from strata.session import shared_path
+from strata.sources.dimstore import DimensionStore
+from strata.sources.sinks import DayIndex
+from strata.sources.testdata import TestData
+from strata.streaming.apportion_state import apportion_stream
+from strata.streaming.jobs import dau_job, dimension_job, route_app_log_job, wide_pairs_stream
+
+DAY_S = 86_400
+FILES_PER_CHUNK = 4
+# One chunk of event time per trigger; the watermark delay exceeds the chunk
+# width, so no row of the next chunk is ever behind the watermark.
+CHUNK_S = 4 * DAY_S
+DELAY = "5 days"
+
+
+def stage(df: DataFrame, path: str, order_col: str, width: int, sort_cols: tuple[str, ...] = ()) -> int:
+    """Write ``df`` under ``path`` as sequential appends of ``order_col`` ranges of ``width``.
+
+    Each chunk is range-partitioned on ``order_col`` (equal keys stay in one
+    file).  Returns the number of chunks.  The input is computed once and
+    written beside the staging folder; bounds come from one aggregate on it.
+    """
+    spark = df.sparkSession
+    df.write.mode("overwrite").parquet(path + "_source")
+    df = spark.read.parquet(path + "_source")
+    lo, hi = df.agg(F.min(order_col), F.max(order_col)).first()
+    if lo is None:
+        df.limit(0).write.mode("append").parquet(path)
+        return 0
+    n = 0
+    start = int(lo)
+    while start <= int(hi):
+        part = df.where((F.col(order_col) >= start) & (F.col(order_col) < start + width))
+        (part.repartitionByRange(FILES_PER_CHUNK, order_col).sortWithinPartitions(order_col, *sort_cols)
+         .write.mode("append").parquet(path))
+        start += width
+        n += 1
+    return n
+
+
+def run(writer: DataStreamWriter) -> None:
+    """Run a stream over everything staged, then stop."""
+    q = writer.trigger(availableNow=True).start()
+    try:
+        q.awaitTermination()
+    finally:
+        if q.isActive:
+            q.stop()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+
+
+def _dirs(spark: SparkSession, name: str) -> tuple[str, str, str]:
+    base = shared_path(spark, "twins", name, unique=True)
+    return f"{base}/in", f"{base}/out", f"{base}/checkpoint"
+
+
+def _width(span: int, chunks: int) -> int:
+    return max(1, -(-span // chunks))
+
+
+# ---- twins ----------------------------------------------------------------------------------
+
+def stream_route_app_logs(spark, sf_dir):
+    td = TestData(spark, sf_dir)
+    src, out, ckpt = _dirs(spark, "route")
+    rec = td.app_log_records()
+    lo, hi = rec.agg(F.min("offset"), F.max("offset")).first()
+    stage(rec, src, "offset", _width(int(hi) - int(lo) + 1, 4))
+    stream = spark.readStream.schema(rec.schema).option("maxFilesPerTrigger", FILES_PER_CHUNK).parquet(src)
+    run(route_app_log_job(stream, out, ckpt))
+    return spark.read.parquet(out).select("topic", F.col("key").cast("bigint").alias("event_id"))
+
+
+def _stream_dim(dim: str) -> Callable[[SparkSession, str], DataFrame]:
+    def q(spark, sf_dir):
+        td = TestData(spark, sf_dir)
+        schema, key, _t = DIMENSIONS[dim]
+        src, out, ckpt = _dirs(spark, f"dim_{dim}")
+        hist = td.dimension_history(dim)
+        stage(hist, src, "offset", 1)
+        stream = spark.readStream.schema(hist.schema).option("maxFilesPerTrigger", FILES_PER_CHUNK).parquet(src)
+        store = DimensionStore(spark, out, key)
+        run(dimension_job(stream, store, schema, ckpt))
+        return store.read().select(*td.dimension(dim).columns)
+
+    q.__name__ = f"stream_dim_upsert_{dim}"
+    return q
+
+
+def stream_dau_dedup(spark, sf_dir):
+    td = TestData(spark, sf_dir)
+    src, out, ckpt = _dirs(spark, "dau")
+    rec = td.app_log_records().withColumn("_t", F.unix_seconds("timestamp"))
+    stage(rec, src, "_t", CHUNK_S)
+    stream = (spark.readStream.schema(rec.schema).option("maxFilesPerTrigger", FILES_PER_CHUNK).parquet(src).drop("_t"))
+    index = DayIndex(spark, out)
+    run(dau_job(stream, index, ckpt, delay=DELAY))
+    return index.read().select("mid", "uid", "ar", "ch", "vc", "dt", "hr", "mi", "ts")
+
+
+# The fixtures' arrival clock starts at the epoch, and a watermark starts at 0, so
+# rows at t <= 0 would count as late.  Streams run the clock one day later; a day
+# is a whole number of slides, so every window relation is unchanged.
+CLOCK_SHIFT_S = DAY_S
+
+
+def _shifted(df: DataFrame) -> DataFrame:
+    return df.withColumn("arrive_ts", F.timestamp_seconds(F.col("arrive_s") + CLOCK_SHIFT_S))
+
+
+def _arrivals(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    wh = Warehouse(spark, sf_dir)
+    return _shifted(wh.td.order_info), _shifted(wh.td.order_detail)
+
+
+def _stream_pairs(mode: str, retention_s: int = 600):
+    def q(spark, sf_dir):
+        info, detail = _arrivals(spark, sf_dir)
+        base = shared_path(spark, "twins", f"pairs_{mode}", unique=True)
+        stage(info, f"{base}/info", "arrive_s", CHUNK_S)
+        stage(detail, f"{base}/detail", "arrive_s", CHUNK_S)
+        si = spark.readStream.schema(info.schema).option("maxFilesPerTrigger", FILES_PER_CHUNK).parquet(f"{base}/info")
+        sd = spark.readStream.schema(detail.schema).option("maxFilesPerTrigger", FILES_PER_CHUNK).parquet(f"{base}/detail")
+        pairs = wide_pairs_stream(si, sd, mode, delay=DELAY, retention_s=retention_s)
+        out = pairs.select(F.col("i_id").alias("order_id"), F.col("d_id").alias("order_detail_id"))
+        run(out.writeStream.format("parquet").option("path", f"{base}/out")
+            .option("checkpointLocation", f"{base}/checkpoint").outputMode("append"))
+        return spark.read.parquet(f"{base}/out")
+
+    q.__name__ = f"stream_wide_{mode}_join"
+    return q
+
+
+def stream_apportion_cents(spark, sf_dir):
+    """D6 in a stream over the window-join pairs (each order's lines arrive in one batch)."""
+    wh = Warehouse(spark, sf_dir)
+    pairs = wh.window_pairs()
+    wide = _shifted(merge_wide(pairs, keep=(F.col("i_arrive_s").alias("arrive_s"),)))
+    src, out, ckpt = _dirs(spark, "apportion")
+    stage(wide, src, "arrive_s", CHUNK_S, sort_cols=("order_detail_id",))
+    stream = spark.readStream.schema(wide.schema).option("maxFilesPerTrigger", FILES_PER_CHUNK).parquet(src)
+    res = apportion_stream(stream.drop("final_detail_amount"), scale=2, delay=DELAY)
+    run(res.select("order_id", "order_detail_id", "final_detail_amount").writeStream.format("parquet")
+        .option("path", out).option("checkpointLocation", ckpt).outputMode("append"))
+    return spark.read.parquet(out)
+
+
+def twins() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return {
+        "stream_route_app_logs": stream_route_app_logs,
+        "stream_dim_upsert_province": _stream_dim("province"),
+        "stream_dim_upsert_sku": _stream_dim("sku"),
+        "stream_dau_dedup": stream_dau_dedup,
+        "stream_wide_window_join": _stream_pairs("window"),
+        "stream_wide_retained_join": _stream_pairs("retained", retention_s=10),
+        "stream_apportion_cents": stream_apportion_cents,
+    }
+
 
-def twins() -> dict:
-    return {}
+_BATCH_OF = {
+    "stream_route_app_logs": "route_app_logs",
+    "stream_dim_upsert_province": "dim_upsert_province",
+    "stream_dim_upsert_sku": "dim_upsert_sku",
+    "stream_dau_dedup": "dau_dedup",
+    "stream_wide_window_join": "wide_window_join",
+    "stream_wide_retained_join": "wide_retained_join",
+    "stream_apportion_cents": "apportion_cents",
+}
 
 
 def twin_oracles(batch: dict[str, str]) -> dict[str, str]:
-    return {}
+    """A twin's oracle is the batch oracle of the same query."""
+    return {k: batch[v] for k, v in _BATCH_OF.items() if v in batch}
