@@ -16,6 +16,21 @@ from pyspark.sql import functions as F
 from strata.operators.dedup import last_per_key
 
 
+def read_partitioned(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """Read a folder tree of ``key=value`` partitions, keeping partition values as text.
+
+    Type inference would turn a day like ``20240101`` into a number (and could
+    drop leading zeros); it is switched off while the relation is resolved.
+    """
+    key = "spark.sql.sources.partitionColumnTypeInference.enabled"
+    old = spark.conf.get(key, "true")
+    spark.conf.set(key, "false")
+    try:
+        return spark.read.option("basePath", path).format(fmt).load(path)
+    finally:
+        spark.conf.set(key, old)
+
+
 def archive_text(df: DataFrame, path: str, value: str = "value", day: str = "dt", batch_id: int | None = None) -> None:
     """Raw lines, one per record, in day folders (``<path>/dt=<day>/``).
 
@@ -30,8 +45,7 @@ def archive_text(df: DataFrame, path: str, value: str = "value", day: str = "dt"
 
 
 def read_archive(spark: SparkSession, path: str, batched: bool = True) -> DataFrame:
-    base = f"{path}/_batches" if batched else path
-    return spark.read.option("basePath", base).text(base)
+    return read_partitioned(spark, f"{path}/_batches" if batched else path, fmt="text")
 
 
 class DayIndex:
@@ -51,11 +65,12 @@ class DayIndex:
         latest.write.mode("overwrite").partitionBy(self.day_col).parquet(f"{self.root}/batch={int(batch_id)}")
 
     def read(self, day: str | None = None) -> DataFrame:
-        df = self.spark.read.option("basePath", self.root).parquet(self.root)
+        df = read_partitioned(self.spark, self.root)
         if day is not None:
             df = df.where(F.col(self.day_col) == day)
         cols = [c for c in df.columns if c != "batch"]
-        return last_per_key(df, [self.day_col, self.id_col], ["batch"]).select(*cols)
+        ordered = df.withColumn("_b", F.col("batch").cast("bigint")).drop("batch")
+        return last_per_key(ordered, [self.day_col, self.id_col], ["_b"]).select(*cols)
 
 
 def append_documents(df: DataFrame, path: str, id_col: str = "_id") -> None:

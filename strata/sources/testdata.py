@@ -51,6 +51,8 @@ def dense_rank_of(df: DataFrame, col: str, rank_col: str) -> DataFrame:
 class TestData:
     """Lazy views over one scale-factor directory."""
 
+    __test__ = False  # not a pytest class
+
     def __init__(self, spark: SparkSession, sf_dir: str):
         pin_zone(spark)
         self.spark = spark

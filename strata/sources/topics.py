@@ -72,6 +72,7 @@ def write_topic_batch(df: DataFrame, *, fmt: str = "files", root: str | None = N
 
 def read_written_topic(spark: SparkSession, root: str, topic: str) -> DataFrame:
     """Records written by ``write_topic_batch`` for one topic (all batches)."""
+    from strata.sources.sinks import read_partitioned
+
     base = f"{root.rstrip('/')}/_batches"
-    return (spark.read.option("basePath", base).parquet(base)
-            .where(F.col("topic") == topic).select(*RECORD_COLUMNS))
+    return read_partitioned(spark, base).where(F.col("topic") == topic).select(*RECORD_COLUMNS)
