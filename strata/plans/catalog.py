@@ -231,6 +231,11 @@ def order_amount_hour(spark, sf_dir):
     return out.select(F.col("hr").cast("bigint").alias("hr"), F.col("amount").cast("double").alias("amount"))
 
 
+def order_amount_day_hour(spark, sf_dir):
+    out = dash.order_amount_by_day_hour(_dash_wide(spark, sf_dir))
+    return out.select("dt", F.col("hr").cast("bigint").alias("hr"), F.col("amount").cast("double").alias("amount"))
+
+
 def hourly_compare_dau(spark, sf_dir):
     return dash.hourly_compare("dau", _wh(spark, sf_dir).dau, DAU_DATE)
 
@@ -321,6 +326,7 @@ def catalog() -> dict[str, Query]:
         "dau_hour": dau_hour,
         "order_amount_total": order_amount_total,
         "order_amount_hour": order_amount_hour,
+        "order_amount_day_hour": order_amount_day_hour,
         "hourly_compare_dau": hourly_compare_dau,
         "hourly_compare_amount": hourly_compare_amount,
         "kpi_list": kpi_list,

@@ -242,6 +242,10 @@ from cents_wide where dt = '1996-09-17'""",
 select cast(hour(strptime(create_time, '%Y-%m-%d %H:%M:%S')) as bigint) as hr,
        cast(sum(cast(final_total_amount as decimal(12,2))) as double) as amount
 from cents_wide where dt = '1996-09-17' group by 1""",
+    "order_amount_day_hour": """
+select dt, cast(hour(strptime(create_time, '%Y-%m-%d %H:%M:%S')) as bigint) as hr,
+       cast(sum(cast(final_total_amount as decimal(12,2))) as double) as amount
+from cents_wide group by 1, 2""",
     "hourly_compare_dau": """
 select case when day = '20240107' then 'today' else 'yesterday' end as day, hr, count(*) as value
 from dau where day in ('20240107', '20240106') group by 1, 2""",

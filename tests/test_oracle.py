@@ -50,5 +50,5 @@ def test_query_matches_oracle(spark, con, name):
 
 def test_entry_smoke(spark):
     df = entry.entry(spark)
-    assert df.columns == ["hr", "amount"]
-    assert df.count() >= 0
+    assert df.columns == ["dt", "hr", "amount"]
+    assert df.count() > 0
