@@ -25,7 +25,8 @@ def with_create_parts(orders: DataFrame) -> DataFrame:
 def join_province(orders: DataFrame, provinces: DataFrame, broadcast_max_rows: int | None = 200_000) -> DataFrame:
     """Left lookup of province name, area code and ISO 3166-2 code.
 
-    Provinces are small by nature; they are broadcast after a row-count check.
+    Provinces are small by nature; they are broadcast after a row-count check
+    (``broadcast_max_rows=None`` leaves the choice to the planner and AQE).
     In a stream the caller re-reads the current snapshot per micro-batch.
     """
     p = provinces.select(
@@ -34,8 +35,7 @@ def join_province(orders: DataFrame, provinces: DataFrame, broadcast_max_rows: i
         F.col("area_code").alias("province_area_code"),
         F.col("iso_3166_2").alias("province_3166_2_code"),
     )
-    if broadcast_max_rows:
-        p = sized_broadcast(p, broadcast_max_rows)
+    p = sized_broadcast(p, broadcast_max_rows)
     out = orders.join(p, orders["province_id"].cast("string") == p["_prov_id"], "left")
     return out.drop("_prov_id")
 
@@ -82,7 +82,8 @@ def sku_profile(sku: DataFrame, spu: DataFrame, trademark: DataFrame, category3:
 
     Joining the dimensions to each other first means the (much larger) order
     lines are shuffled once, on ``sku_id``, instead of once per dimension.
-    Trademark and category3 are small by nature and broadcast after a size check.
+    Trademark and category3 are small by nature and broadcast after a row-count
+    check: the planner cannot size these derived tables before they run.
     """
     s = sku.select(
         F.col("id").alias("_sku_key"),
@@ -93,9 +94,8 @@ def sku_profile(sku: DataFrame, spu: DataFrame, trademark: DataFrame, category3:
     sp = spu.select(F.col("id").alias("_spu_key"), "spu_name")
     tm = trademark.select(F.col("tm_id").alias("_tm_key"), "tm_name")
     c3 = category3.select(F.col("id").alias("_c3_key"), F.col("name").alias("category3_name"))
-    if broadcast_max_rows:
-        tm = sized_broadcast(tm, broadcast_max_rows)
-        c3 = sized_broadcast(c3, broadcast_max_rows)
+    tm = sized_broadcast(tm, broadcast_max_rows)
+    c3 = sized_broadcast(c3, broadcast_max_rows)
     return (
         s.join(sp, s["spu_id"].cast("string") == sp["_spu_key"], "left")
         .join(tm, s["tm_id"].cast("string") == tm["_tm_key"], "left")

@@ -9,14 +9,17 @@ from pyspark.sql import functions as F
 BROADCAST_MAX_ROWS = 200_000
 
 
-def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def sized_broadcast(df: DataFrame, max_rows: int | None = BROADCAST_MAX_ROWS) -> DataFrame:
     """Broadcast hint only after checking the row count; otherwise leave it to the planner.
 
+    ``max_rows=None`` adds no hint: the planner broadcasts from size estimates
+    and AQE from the measured size of the shuffled side (both size checks).
+
     The check reads at most ``max_rows + 1`` rows (``limit`` stops the scan early).
     Above the bound the frame is returned unhinted, so Spark plans a shuffle join
     (and AQE may still broadcast it from measured shuffle sizes).
     """
-    if df.isStreaming:
+    if max_rows is None or df.isStreaming:
         return df
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df

@@ -214,13 +214,13 @@ def dau_hour(spark, sf_dir):
     return dash.dau_hour(_wh(spark, sf_dir).dau, DAU_DATE)
 
 
-def _dash_wide(spark, sf_dir):
-    """The stored fact: line amounts apportioned in cents so sums are exact."""
-    return _wh(spark, sf_dir).order_wide(scale=2)
+def _dash_wide(spark, sf_dir, line_shares: bool = False):
+    """The stored fact; line amounts apportioned in cents (so sums are exact) when read."""
+    return _wh(spark, sf_dir).order_wide(scale=2, apportioned=line_shares)
 
 
 def order_amount_total(spark, sf_dir):
-    out = dash.order_amount_totals(_dash_wide(spark, sf_dir), ORDER_DATE,
+    out = dash.order_amount_totals(_dash_wide(spark, sf_dir, line_shares=True), ORDER_DATE,
                                    ("final_total_amount", "final_detail_amount"))
     return out.select(F.col("final_total_amount").cast("double").alias("amount_order_total"),
                       F.col("final_detail_amount").cast("double").alias("amount_line_share"))
@@ -247,7 +247,7 @@ def hourly_compare_amount(spark, sf_dir):
 
 def kpi_list(spark, sf_dir):
     wh = _wh(spark, sf_dir)
-    return dash.kpi_list(wh.dau, wh.order_wide(scale=2), DAU_DATE, order_date=ORDER_DATE)
+    return dash.kpi_list(wh.dau, wh.order_wide(scale=2, apportioned=False), DAU_DATE, order_date=ORDER_DATE)
 
 
 def range_search(spark, sf_dir):

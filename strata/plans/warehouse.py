@@ -44,10 +44,14 @@ class Warehouse:
 
     # DWS ----------------------------------------------------------------------
 
-    def order_wide(self, scale: int | None = None, as_double: bool = True) -> DataFrame:
-        """Header x line (inner on order id) -> OrderWide with apportioned line amounts."""
+    def order_wide(self, scale: int | None = None, as_double: bool = True, apportioned: bool = True) -> DataFrame:
+        """Header x line (inner on order id) -> OrderWide with apportioned line amounts.
+
+        ``apportioned=False`` leaves ``final_detail_amount`` at 0 and skips A6,
+        for readers that only use the order-level measures.
+        """
         wide = merge_wide(inner_pairs(self.orders_enriched, self.details_enriched))
-        return apportion(wide, scale=scale, as_double=as_double)
+        return apportion(wide, scale=scale, as_double=as_double) if apportioned else wide
 
     def with_arrival(self, df: DataFrame) -> DataFrame:
         return df.withColumn("arrive_ts", F.timestamp_seconds("arrive_s"))
