@@ -88,7 +88,8 @@ def enrich_orders_job(ods_orders: DataFrame, read_provinces: Callable[[], DataFr
     """R6 + J1 + J2: decode order rows, add date parts, province and user profile per batch."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = decode_json(batch, ORDER_INFO_WIRE, keep=("timestamp",)).rows
+        keep = tuple(c for c in ("timestamp",) if c in batch.columns)
+        rows = decode_json(batch, ORDER_INFO_WIRE, keep=keep).rows
         rows = with_create_parts(rows)
         rows = join_province(rows, read_provinces())
         rows = join_user_profile(rows, read_users(), as_of_year=as_of_year)
@@ -103,7 +104,8 @@ def enrich_details_job(ods_details: DataFrame, read_dims: Callable[[], tuple[Dat
     """Decode order lines and add the sku snowflake, dimensions read per batch."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = decode_json(batch, ORDER_DETAIL_WIRE, keep=("timestamp",)).rows
+        keep = tuple(c for c in ("timestamp",) if c in batch.columns)
+        rows = decode_json(batch, ORDER_DETAIL_WIRE, keep=keep).rows
         sku, spu, tm, c3 = read_dims()
         sink(join_detail_dims(rows, sku, spu, tm, c3, on_missing=on_missing).rows, batch_id)
 

@@ -38,3 +38,27 @@ def test_dau_stream_restart_half_way(spark, scratch):
     run(job())
     cols = ["mid", "uid", "ar", "ch", "vc", "dt", "hr", "mi", "ts"]
     assert _rows(index.read().select(*cols)) == _rows(dau_dedup(spark, SF_SMALL).select(*cols))
+
+
+def test_cdc_to_enriched_orders_stream(spark, scratch):
+    """ODS hop (R2) then DWD hop (R6, J1, J2) as two chained streams through topic folders."""
+    from strata.operators.enrich import join_province, join_user_profile, with_create_parts
+    from strata.streaming.jobs import cdc_ods_job, enrich_orders_job
+
+    td = TestData(spark, SF_SMALL)
+    env = td.cdc_batch_envelopes()
+    env.write.parquet(f"{scratch}/env")
+    run(cdc_ods_job(spark.readStream.schema(env.schema).parquet(f"{scratch}/env"), f"{scratch}/ods",
+                    f"{scratch}/ck_ods"))
+    ods_schema = spark.read.parquet(f"{scratch}/ods/topic=ODS_T_ORDER_INFO").schema
+    orders = spark.readStream.schema(ods_schema).parquet(f"{scratch}/ods/topic=ODS_T_ORDER_INFO")
+
+    def sink(df, batch_id):
+        df.write.mode("overwrite").parquet(f"{scratch}/dwd/batch={batch_id}")
+
+    run(enrich_orders_job(orders, td.province_info, td.user_info, sink, f"{scratch}/ck_dwd", as_of_year=2024))
+    got = spark.read.parquet(f"{scratch}/dwd").select("id", "create_hour", "province_name", "user_age_group")
+    inserted = td.order_info.where((F.floor(F.col("id") / 4) % 10) >= 2)
+    want = join_user_profile(join_province(with_create_parts(inserted), td.province_info()), td.user_info(),
+                             as_of_year=2024).select("id", "create_hour", "province_name", "user_age_group")
+    assert _rows(got) == _rows(want)
