@@ -8,6 +8,7 @@ are computed in UTC) and reads the shared checkpoint folder from the session.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -46,14 +47,18 @@ def pin_zone(spark: SparkSession) -> None:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Read from the session; only when it is unset (local tests) a scratch folder
-    is created and registered as the checkpoint dir.
+    Read from the session; only when it is unset on a local master (tests, the
+    bench) a scratch folder is created and registered as the checkpoint dir.
+    On any other master an unset folder is an error: each executor would write
+    to its own disk.
     """
     sc = spark.sparkContext
     root = sc.getCheckpointDir()
     if not root:
         root = sc.getConf().get("spark.checkpoint.dir", None)
         if not root:
+            if not re.match(r"local(\[|$)", sc.master):
+                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
             root = tempfile.mkdtemp(prefix="strata-ckpt-")
         sc.setCheckpointDir(root)
         root = sc.getCheckpointDir() or root

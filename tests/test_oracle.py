@@ -8,11 +8,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from strata.plans.catalog import catalog
 from strata.sources.testdata import TABLES
 
 from conftest import SF_SMALL
 
-BATCH = [k for k in entry.queries() if not k.startswith("stream_")]
+BATCH = list(catalog())
 
 
 def _norm(v):
