@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import simhash
+from strata.llm import decontam, langid, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op10_language_id": langid.op10_language_id,
     "op5_simhash_dedup": simhash.op5_simhash_dedup,
+    "op6_decontamination": decontam.op6_decontamination,
 }
 
 
