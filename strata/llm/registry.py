@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import decontam, langid, simhash
+from strata.llm import decontam, langid, pii, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_pii": pii.op1_pii,
     "op10_language_id": langid.op10_language_id,
     "op5_simhash_dedup": simhash.op5_simhash_dedup,
     "op6_decontamination": decontam.op6_decontamination,
