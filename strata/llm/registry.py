@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import decontam, langid, pii, simhash
+from strata.llm import decontam, idfile, langid, packing, pii, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": pii.op1_pii,
     "op10_language_id": langid.op10_language_id,
+    "op4_packing": packing.op4_packing,
+    "op9_id_files": idfile.op9_id_files,
     "op5_simhash_dedup": simhash.op5_simhash_dedup,
     "op6_decontamination": decontam.op6_decontamination,
 }
