@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import decontam, idfile, langid, packing, pii, simhash
+from strata.llm import decontam, idfile, langid, packing, pii, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": pii.op1_pii,
     "op10_language_id": langid.op10_language_id,
+    "op3_toxicity": toxicity.op3_toxicity,
     "op4_packing": packing.op4_packing,
     "op9_id_files": idfile.op9_id_files,
     "op5_simhash_dedup": simhash.op5_simhash_dedup,
