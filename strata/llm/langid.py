@@ -14,25 +14,28 @@ broadcast model.  Every row of the input is scored over its whole text.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from strata.llm.common import fold, table, texts
 
 ORDER = 4
 ROWS_PER_LANG = 800
-#: Contexts seen less often than this in all languages together are left to their suffix.
-MIN_CONTEXT = 16
+#: Contexts seen less often than this in all languages together are left to their suffix; the number is doubled
+#: until at most MAX_CONTEXTS are left, which bounds a worker's tables.
+MIN_CONTEXT = 32
+MAX_CONTEXTS = 30_000
+MAX_LANGS = 1000
 UNKNOWN = "und"
 #: Symbol before a text's first byte; not a byte.
 _START = 256
 _BITS = 9
-_WINDOW = 1 << 19
+_WINDOW = 1 << 18
 
 
 def _grams(data: list[bytes], order: int) -> np.ndarray:
@@ -45,18 +48,27 @@ def _grams(data: list[bytes], order: int) -> np.ndarray:
     return key[sym[order:] != _START]
 
 
-def sample(docs: DataFrame, label: str, id_col: str, rows: int) -> DataFrame:
-    """About ``rows`` rows of each label (all, if there are fewer), picked by a hash of the id."""
-    share = docs.groupBy(label).agg((F.lit(rows) / F.count("*")).alias("_share"))
+def sample(docs: DataFrame, label: str, id_col: str, rows: int, max_labels: int = MAX_LANGS) -> DataFrame:
+    """About ``rows`` rows of each label (all, if there are fewer), picked by a hash of the id.
+
+    The labels' counts come to the driver, which is why there may be at most ``max_labels``.
+    """
+    counts = docs.groupBy(label).count().limit(max_labels + 1).collect()
+    if len(counts) > max_labels:
+        raise ValueError(f"more than {max_labels} labels")
+    if not counts:
+        return docs
+    share = F.create_map(*[F.lit(x) for r in counts for x in (r[label], min(1.0, rows / r["count"]))])
     place = F.pmod(F.xxhash64(F.lit("sample"), F.col(id_col)), F.lit(1 << 20)) / float(1 << 20)
-    return docs.join(share, label).filter(place < F.col("_share")).drop("_share")
+    return docs.filter(place < F.element_at(share, F.col(label)))
 
 
 class Model:
     """Counts of (context, byte) per language, and the sorted language names."""
 
-    def __init__(self, langs: list[str], keys: np.ndarray, counts: np.ndarray, order: int, min_context: int):
-        self.langs, self.keys, self.counts, self.order, self.min_context = langs, keys, counts, order, min_context
+    def __init__(self, langs: list[str], keys: np.ndarray, counts: np.ndarray, order: int, min_context: int, max_contexts: int):
+        self.langs, self.keys, self.counts, self.order = langs, keys, counts, order
+        self.min_context, self.max_contexts = min_context, max_contexts
         self._tables: _Tables | None = None
 
     def __getstate__(self) -> dict:
@@ -73,94 +85,116 @@ class _Tables:
     """``step[state, symbol]`` -> state and ``bits[state, symbol, language]`` for the trees' union."""
 
     def __init__(self, m: Model):
-        n_lang = max(1, len(m.langs))
         mask = (1 << _BITS) - 1
         seen = np.unique(m.keys & mask) if len(m.keys) else np.zeros(0, np.int64)
         # Compact symbols: 0 is any byte never seen, then the bytes seen, then the start.
-        self.compact = np.zeros(257, np.uint8 if len(seen) < 254 else np.uint16)
+        self.compact = np.zeros(257, np.uint16)
         self.compact[seen] = np.arange(1, len(seen) + 1)
-        start = self.width = len(seen) + 1
-        self.compact[_START] = start
-        self.width += 1
-        nodes, counts = [], []
-        for k in range(m.order + 1):
-            key = m.keys & ((1 << (_BITS * (k + 1))) - 1)
-            ctx = key >> _BITS
-            names, place = np.unique(ctx, return_inverse=True) if k else (np.zeros(1, np.int64), np.zeros(len(ctx), int))
-            total = np.bincount(place, m.counts.sum(axis=1), len(names))
-            keep = (total >= m.min_context) | (k == 0)
-            number = np.cumsum(keep) - 1
-            rows = keep[place]
-            c = np.zeros((int(keep.sum()), self.width, n_lang))
-            np.add.at(c, (number[place[rows]], self.compact[key[rows] & mask]), m.counts[rows])
-            nodes.append(names[keep])
-            counts.append(c)
+        self.compact[_START] = self.start = len(seen) + 1
+        self.width, self.order = len(seen) + 2, m.order
+        least = m.min_context
+        while True:
+            levels = [self._level(m, k, least) for k in range(m.order + 1)]
+            if sum(len(names) for names, *_ in levels) <= m.max_contexts:
+                break
+            least *= 2
+        nodes = [names for names, *_ in levels]
         base = np.concatenate([[0], np.cumsum([len(x) for x in nodes])])
-        step = np.zeros((base[-1], self.width), np.int32)
-        bits = np.zeros((base[-1], self.width, n_lang), np.float32)
+        parent = [
+            np.zeros(len(x), np.int64) if k < 2 else np.searchsorted(nodes[k - 1], x & ((1 << (_BITS * (k - 1))) - 1))
+            for k, x in enumerate(nodes)
+        ]
         byte_of = np.full(self.width, -1, np.int64)
-        byte_of[self.compact[seen]] = seen
-        byte_of[start] = _START
-        left = np.maximum(256 - (counts[0] > 0).sum(axis=1), 1)
-        beyond = np.broadcast_to(np.log2(left)[:, None, :], counts[0].shape)  # code below order 0
-        for k in range(m.order + 1):
-            here = slice(base[k], base[k + 1])
-            c, has = counts[k], counts[k] > 0
+        byte_of[self.compact[seen]], byte_of[self.start] = seen, _START
+        step = np.zeros((base[-1], self.width), np.int32)
+        for k, names in enumerate(nodes):
+            step[base[k] : base[k + 1]] = step[base[k - 1] + parent[k]] if k else 0
+            if k < m.order and len(nodes[k + 1]):
+                longer = names[:, None] << _BITS | byte_of[None, :]
+                at = np.minimum(np.searchsorted(nodes[k + 1], longer), len(nodes[k + 1]) - 1)
+                hit = (nodes[k + 1][at] == longer) & (byte_of >= 0)
+                step[base[k] : base[k + 1]][hit] = base[k + 1] + at[hit]
+        bits = np.zeros((base[-1], self.width, max(1, len(m.langs))), np.float32)
+        for lang in range(len(m.langs)):
+            counts = []
+            for names, rows, number, symbol in levels:
+                c = np.zeros((len(names), self.width), np.float32)
+                np.add.at(c, (number, self.compact[symbol]), m.counts[rows, lang])
+                counts.append(c)
+            self._code(counts, parent, bits[:, :, lang], base)
+        self.step, self.bits = step.ravel(), bits.reshape(-1, bits.shape[2])
+
+    @staticmethod
+    def _level(m: Model, k: int, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Contexts of k bytes seen ``least`` times or more; of the grams in them: row, context's number, byte."""
+        key = m.keys & ((1 << (_BITS * (k + 1))) - 1)
+        names, place = np.unique(key >> _BITS, return_inverse=True) if k else (np.zeros(1, np.int64), np.zeros(len(key), np.int64))
+        keep = (np.bincount(place, m.counts.sum(axis=1), len(names)) >= least) | (k == 0)
+        rows = np.flatnonzero(keep[place])
+        return names[keep], rows, (np.cumsum(keep) - 1)[place[rows]], key[rows] & ((1 << _BITS) - 1)
+
+    @staticmethod
+    def _code(counts: list[np.ndarray], parent: list[np.ndarray], bits: np.ndarray, base: np.ndarray) -> None:
+        """Fills in one language's code lengths, shorter contexts first.
+
+        ``below`` holds, per context, the code of each byte after an escape
+        from it: bytes it has seen are ruled out further down.
+        """
+        below = None
+        for k, c in enumerate(counts):
+            has = c > 0
+            total, kinds = c.sum(axis=1)[:, None], has.sum(axis=1)[:, None].astype(np.float32)
             if k == 0:
-                parent = np.zeros(1, np.int64)
-                escape = beyond
+                escape = np.broadcast_to(np.log2(np.maximum(256 - kinds, 1)), c.shape)
+                fallback = np.float32(8)
             else:
-                suffix = nodes[k] & ((1 << (_BITS * (k - 1))) - 1)
-                parent = np.searchsorted(nodes[k - 1], suffix) if k > 1 else np.zeros(len(suffix), np.int64)
-                p = counts[k - 1][parent]
-                # The parent's symbols without those of this context, which an escape rules out.
-                rest, kinds = np.where(has, 0, p).sum(axis=1), ((p > 0) & ~has).sum(axis=1)
-                whole = np.maximum(rest + kinds, 1)[:, None, :]
-                out = np.where(kinds > 0, -np.log2(np.maximum(kinds, 1) / whole[:, 0]), 0)[:, None, :]
-                escape = np.where(p > 0, -np.log2(np.maximum(p, 1) / whole), out + below[parent])  # noqa: F821
-            total, kinds = c.sum(axis=1), has.sum(axis=1)
-            whole = np.maximum(total + kinds, 1)[:, None, :]
-            out = np.where(kinds > 0, -np.log2(np.maximum(kinds, 1) / whole[:, 0]), 0)[:, None, :]
+                p = counts[k - 1][parent[k]]
+                rest = np.where(has, 0, p).sum(axis=1)[:, None]
+                others = ((p > 0) & ~has).sum(axis=1)[:, None]
+                whole = np.maximum(rest + others, 1)
+                out = np.where(others > 0, -np.log2(np.maximum(others, 1) / whole), 0)
+                escape = np.where(p > 0, -np.log2(np.maximum(p, 1) / whole), out + below[parent[k]])
+                fallback = bits[base[k - 1] + parent[k]]
+            whole = np.maximum(total + kinds, 1)
+            out = np.where(kinds > 0, -np.log2(np.maximum(kinds, 1) / whole), 0)
             own = np.where(has, -np.log2(np.maximum(c, 1) / whole), out + escape)
-            known = kinds[:, None, :] > 0
-            fallback = bits[base[k - 1] + parent] if k else np.broadcast_to(np.float64(8), c.shape)
-            bits[here] = np.where(known, own, fallback)
-            # A language without this context goes on as its parent would.
-            below = np.where(known, escape, below[parent] if k else beyond)
-            if k < m.order:
-                longer = nodes[k][:, None] << _BITS | byte_of[None, :]
-                at = np.minimum(np.searchsorted(nodes[k + 1], longer), max(len(nodes[k + 1]) - 1, 0))
-                hit = (nodes[k + 1][at] == longer) & (byte_of >= 0) if len(nodes[k + 1]) else np.zeros(longer.shape, bool)
-            else:
-                at, hit = np.zeros((len(nodes[k]), self.width), int), np.zeros((len(nodes[k]), self.width), bool)
-            shorter = step[base[k - 1] + parent] if k else 0
-            step[here] = np.where(hit, base[min(k + 1, m.order)] + at, shorter)
-        self.step, self.bits, self.order, self.start = step.ravel(), bits.reshape(-1, n_lang), m.order, start
+            # A language without this context goes on as its shorter context would.
+            bits[base[k] : base[k + 1]] = np.where(kinds > 0, own, fallback)
+            below = np.where(kinds > 0, escape, below[parent[k]] if k else escape).astype(np.float32)
 
     def lengths(self, data: list[bytes]) -> np.ndarray:
         """Code length in bits of each text (rows) in each language (columns)."""
+        total = np.zeros((len(data), self.bits.shape[1]))
+        first = 0
+        while first < len(data):
+            last, size = first + 1, len(data[first])
+            while last < len(data) and size + len(data[last]) <= _WINDOW:
+                size += len(data[last])
+                last += 1
+            self._group(data[first:last], total[first:last])
+            first = last
+        return total
+
+    def _group(self, data: list[bytes], total: np.ndarray) -> None:
         k, width = self.order, self.width
-        sizes = np.array([len(b) for b in data])
-        begin = np.concatenate([[0], np.cumsum(sizes + k)])
-        sym = np.full(begin[-1] + k, self.start, np.int64)
+        begin = np.concatenate([[0], np.cumsum([len(b) + k for b in data])])
+        sym = np.full(begin[-1] + k, self.start, np.uint16)
         for at, b in zip(begin, data, strict=False):
             sym[at + k : at + k + len(b)] = self.compact[np.frombuffer(b, np.uint8)]
-        total = np.zeros((len(data), self.bits.shape[1]))
         for lo in range(0, int(begin[-1]), _WINDOW):
             hi = min(lo + _WINDOW, int(begin[-1]))
-            state = np.zeros(hi - lo, np.int64)
+            state = np.zeros(hi - lo, np.int32)
             for back in range(k, 0, -1):
-                before = np.full(hi - lo, self.start, np.int64)
+                before = np.full(hi - lo, self.start, np.int32)
                 skip = max(0, back - lo)
                 before[skip:] = sym[lo + skip - back : hi - back]
-                state = self.step[state * width + before]
-            cost = self.bits[state.astype(np.int64) * width + sym[lo:hi]]
+                state = self.step[state * np.int32(width) + before]
+            cost = self.bits[state * np.int32(width) + sym[lo:hi]]
             cost[sym[lo:hi] == self.start] = 0
             first = np.searchsorted(begin, lo, "right") - 1
             last = np.searchsorted(begin, hi, "left")
             edges = np.maximum(begin[first:last], lo) - lo
             total[first:last] += np.add.reduceat(cost, edges, axis=0, dtype=np.float64)
-        return total
 
 
 def train(
@@ -171,6 +205,7 @@ def train(
     order: int = ORDER,
     rows_per_lang: int = ROWS_PER_LANG,
     min_context: int = MIN_CONTEXT,
+    max_contexts: int = MAX_CONTEXTS,
 ) -> Model:
     """Byte-context counts per language over a bounded sample of the rows with a language and a text."""
     rows = docs.select(
@@ -196,7 +231,7 @@ def train(
     keys, place = np.unique(gram, return_inverse=True)
     counts = np.zeros((len(keys), max(1, len(langs))))
     counts[place, lang[known]] = got.column("n").to_numpy()[known]
-    return Model(langs, keys, counts, order, min_context)
+    return Model(langs, keys, counts, order, min_context, max_contexts)
 
 
 def has_letter(text_col: str = "text") -> Column:
@@ -217,11 +252,16 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", lang_out: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        for batch, strings in texts(batches):
+        for batch, strings in texts(batches, text_col):
             names, scores = [UNKNOWN] * len(strings), [0.0] * len(strings)
             ask = [i for i, ok in enumerate(batch.column("_letter").to_pylist()) if ok and m.langs]
             if ask:
-                bits = m.tables.lengths([strings[i].encode("utf-8", "surrogatepass") for i in ask])
+                bits = np.concatenate(
+                    [
+                        m.tables.lengths([strings[i].encode("utf-8", "surrogatepass") for i in ask[a : a + 256]])
+                        for a in range(0, len(ask), 256)
+                    ]
+                )
                 best = bits.argmin(axis=1)
                 odds = np.exp2(np.maximum(bits.min(axis=1)[:, None] - bits, -1000)).sum(axis=1)
                 for i, b, o in zip(ask, best, odds, strict=True):
@@ -231,11 +271,8 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", lang_out: str
                 [*columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())], [*keep, lang_out, "score"]
             )
 
-    from pyspark.sql.types import DoubleType, StringType, StructField, StructType
-
     schema = StructType([*types, StructField(lang_out, StringType()), StructField("score", DoubleType())])
-    asked = docs.select(*keep, F.col(text_col).alias("text"), has_letter(text_col).alias("_letter")) if text_col not in keep else docs.select(*keep, has_letter(text_col).alias("_letter"))
-    return asked.mapInArrow(run, schema)
+    return docs.select(*keep, has_letter(text_col).alias("_letter")).mapInArrow(run, schema)
 
 
 def learned_from(docs: DataFrame) -> Column:
