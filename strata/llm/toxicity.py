@@ -32,9 +32,9 @@ _CHUNK = 1 << 18
 
 @dataclass(frozen=True)
 class Rates:
-    alpha: float = 3.0
+    alpha: float = 10.0
     beta: float = 1.0
-    l1: float = 8.0
+    l1: float = 5.0
     l2: float = 0.01
     passes: int = 8
 
@@ -135,7 +135,8 @@ def train(
     total = marked.count()
     place = F.pmod(F.xxhash64(F.lit("sample"), "id"), F.lit(1 << 20)) / float(1 << 20)
     picked = marked.filter(place < min(1.0, rows / max(1, total)))
-    sample = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(picked, "id")
+    # About ``rows`` ids, so a broadcast of a known size, and the texts stay where they are.
+    sample = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(picked), "id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = [
