@@ -259,13 +259,15 @@ def search(
     )
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, **options) -> DataFrame:
+def contamination(
+    docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", **options
+) -> DataFrame:
     """A row per row of ``docs``: doc_id, n_words, n_hit, n_items, n_near_items, items, contaminated.
 
     A word inside any occurrence of a window is hit; a document is contaminated
     when words are hit and they are a twentieth of its words or more.
     """
-    found = search(build_index(docs), benchmark, window, **options)
+    found = search(build_index(docs, id_col=id_col, text_col=text_col), benchmark, window, **options)
     hit = F.aggregate(
         F.col("spans"), F.struct(F.lit(0).cast("long").alias("n"), F.lit(-1).cast("long").alias("sign")),
         lambda a, x: F.struct((a["n"] + a["sign"] * x).alias("n"), (-a["sign"]).alias("sign")),

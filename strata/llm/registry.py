@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from strata.llm import decontam, idfile, langid, packing, pii, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "pipeline": corpus_pipeline.run,
     "op1_pii": pii.op1_pii,
     "op10_language_id": langid.op10_language_id,
     "op3_toxicity": toxicity.op3_toxicity,

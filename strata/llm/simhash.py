@@ -18,13 +18,14 @@ byte at least is the same), which keeps every link.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from strata.llm.common import table, texts, written
 from strata.llm.components import components
@@ -54,16 +55,19 @@ def fingerprint(text: str, shingle: int = 3) -> int:
     return int(np.packbits(2 * ones > n, bitorder="little").view("<i8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, fp)``, a row per row of ``docs``; a null text counts as empty."""
+def fingerprints(
+    docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text", keep: Sequence[str] = ()
+) -> DataFrame:
+    """``(doc_id, fp)`` and the ``keep`` columns, a row per row of ``docs``; a null text counts as empty."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, strings in texts(batches):
             fps = pa.array([fingerprint(t, shingle) for t in strings], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), fps], ["doc_id", "fp"])
+            columns = [batch.column("doc_id"), fps, *(batch.column(c) for c in keep)]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "fp", *keep])
 
-    picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return picked.mapInArrow(run, "doc_id long, fp long")
+    picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), *keep)
+    return picked.mapInArrow(run, StructType([*StructType.fromDDL("doc_id long, fp long").fields, *picked.select(*keep).schema.fields]))
 
 
 def _segment(which: int) -> Column:
@@ -109,25 +113,28 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, full_bucket: int = FULL_BUCK
 
 
 def near_duplicates(
-    docs: DataFrame, shingle: int = 3, max_bits: int = MAX_BITS, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame,
+    shingle: int = 3,
+    max_bits: int = MAX_BITS,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """``(doc_id, fp, component_id)``, a row per row of ``docs``.
+    """``(doc_id, fp, component_id)`` and the ``keep`` columns, a row per row of ``docs``.
 
     component_id is the smallest doc_id reachable over links.  Null and empty
     texts have fingerprint 0 and are linked like any other; repeated rows each
     give a row; a null doc_id gives a row and is never a component id unless
     all of its component is null.  Other columns are not looked at.
     """
-    fps = written(fingerprints(docs, shingle, id_col, text_col), "simhash-fps")
+    fps = written(fingerprints(docs, shingle, id_col, text_col, keep), "simhash-fps")
     classes = written(fps.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-classes")
     roots = written(components(links(classes, max_bits), "fp_a", "fp_b"), "simhash-roots")
-    labelled = (
-        classes.join(roots, classes.fp == roots.node).select("fp", "root", "least")
-    )
+    labelled = classes.join(roots, classes.fp == roots.node).select("fp", "root", "least")
     least = labelled.groupBy("root").agg(F.min("least").alias("component_id"))
     linked = labelled.join(least, "root").select("fp", F.col("component_id").alias("linked_id"))
     every = classes.join(linked, "fp", "left").select("fp", F.coalesce("linked_id", "least").alias("component_id"))
-    return fps.join(every, "fp").select("doc_id", "fp", "component_id")
+    return fps.join(every, "fp").select("doc_id", "fp", "component_id", *keep)
 
 
 def op5_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
