@@ -7,12 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from strata.llm import decontam, idfile, langid, packing, pii, simhash, toxicity
+from strata.llm import decontam, idfile, langid, licenses, packing, pii, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pipeline": corpus_pipeline.run,
     "op1_pii": pii.op1_pii,
     "op10_language_id": langid.op10_language_id,
+    "op2_licenses": licenses.op2_licenses,
     "op3_toxicity": toxicity.op3_toxicity,
     "op4_packing": packing.op4_packing,
     "op9_id_files": idfile.op9_id_files,
@@ -26,4 +27,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_licenses": licenses.oracle()}
