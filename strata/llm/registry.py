@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from strata.llm import ann, decontam, idfile, langid, licenses, packing, pii, simhash, toxicity
+from strata.llm import ann, decontam, idfile, langid, licenses, lm, packing, pii, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pipeline": corpus_pipeline.run,
@@ -16,6 +16,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_licenses": licenses.op2_licenses,
     "op3_toxicity": toxicity.op3_toxicity,
     "op4_packing": packing.op4_packing,
+    "op7_lm_scores": lm.op7_lm_scores,
     "op8_neighbours": ann.op8_neighbours,
     "op9_id_files": idfile.op9_id_files,
     "op5_simhash_dedup": simhash.op5_simhash_dedup,
