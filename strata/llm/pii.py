@@ -141,7 +141,10 @@ def mentions(text: str) -> tuple[list[tuple[int, int, int]], list[dict]]:
 
 
 def extract(docs: DataFrame, keep: list[str], text_col: str = "text") -> DataFrame:
-    """``keep`` columns of every row with pii_row, pii_base and pii_mentions, written; a null text counts as empty."""
+    """``keep`` columns of every row, as c0, c1, ..., with pii_row, pii_base and pii_mentions, written.
+
+    A null text counts as empty.
+    """
     fields = [f for f in docs.select(*keep).schema.fields]
     more = StructType.fromDDL(f"pii_row long, pii_base array<{SPAN}>, pii_mentions array<{MENTION}>")
     schema = StructType([*[StructField(f"c{i}", f.dataType) for i, f in enumerate(fields)], *more.fields])
@@ -161,8 +164,7 @@ def extract(docs: DataFrame, keep: list[str], text_col: str = "text") -> DataFra
         F.col(text_col).alias("text"),
         F.monotonically_increasing_id().alias("pii_row"),
     )
-    names = [f.name for f in fields] + ["pii_row", "pii_base", "pii_mentions"]
-    return written(picked.mapInArrow(run, schema), "pii-found").toDF(*names)
+    return written(picked.mapInArrow(run, schema), "pii-found")
 
 
 def _confidence(edges: DataFrame, scores: DataFrame, min_seeds: int) -> DataFrame:
@@ -231,7 +233,7 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     found = extract(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), ["doc_id"])
     added = _added(found, bootstrap(found, **options))
     return found.join(added, "pii_row", "left").select(
-        "doc_id",
+        F.col("c0").alias("doc_id"),
         F.col("pii_base").alias("base"),
         F.array_sort(F.concat("pii_base", F.coalesce("pii_added", F.array().cast(f"array<{SPAN}>")))).alias("spans"),
     )
@@ -255,8 +257,9 @@ def redact(docs: DataFrame, text_col: str = "text", **options) -> DataFrame:
     Only rows with a discovered identifier's look-alike take part in a join;
     a null text stays null.
     """
-    columns = docs.columns
-    found = extract(docs, columns, text_col)
+    columns = [f"c{i}" for i in range(len(docs.columns))]
+    text = columns[docs.columns.index(text_col)]
+    found = extract(docs, docs.columns, text_col)
     added = _added(found, bootstrap(found, **options))
     loose = F.exists("pii_mentions", lambda m: ~m["seed"] & (m["kind"] != NUMBER))
     some = found.filter(loose).join(added, "pii_row", "left").drop("pii_row", "pii_mentions")
@@ -268,11 +271,12 @@ def redact(docs: DataFrame, text_col: str = "text", **options) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             spans = [[(s["start"], s["kind"], s["end"]) for s in x] for x in batch.column("pii_spans").to_pylist()]
-            masked = [_mask(t, s) for t, s in zip(batch.column(text_col).to_pylist(), spans, strict=True)]
-            arrays = [pa.array(masked, pa.string()) if c == text_col else batch.column(c) for c in columns]
-            yield pa.RecordBatch.from_arrays(arrays, columns)
+            masked = [_mask(t, s) for t, s in zip(batch.column(text).to_pylist(), spans, strict=True)]
+            arrays = [pa.array(masked, pa.string()) if c == text else batch.column(c) for c in columns]
+            yield pa.RecordBatch.from_arrays(arrays, docs_columns)
 
-    return every.select(*columns, "pii_spans").mapInArrow(run, docs.schema)
+    docs_columns, schema = docs.columns, docs.schema
+    return every.select(*columns, "pii_spans").mapInArrow(run, schema)
 
 
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
