@@ -12,11 +12,14 @@ from __future__ import annotations
 import json
 import os
 import re
+import sys
+from array import array
 from collections.abc import Callable
 
 import numpy as np
 
-CACHE = 400_000
+#: Chunks kept in a worker, about 200 bytes each.
+CACHE = 800_000
 _L, _N, _S = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff", "0-9\xb2\xb3\xb9\xbc-\xbe", "\t-\r \x85\xa0"
 # What the two kinds of tokenizer cut a Latin-1 chunk into.
 _SPACED = re.compile(rf" ?[{_L}]+|'(?:s|t|re|ve|m|ll|d)| ?[{_N}]+| ?[^{_S}{_L}{_N}]+|[{_S}]+(?![^{_S}])|[{_S}]+")
@@ -51,6 +54,13 @@ def _byte_chars() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
+def _packed(ids: list[int]) -> bytes:
+    packed = array("I", ids)
+    if packed.itemsize != 4 or sys.byteorder != "little":
+        return np.array(ids, "<u4").tobytes()
+    return packed.tobytes()
+
+
 class Encoder:
     def __init__(self, path: str, cache: int = CACHE):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -59,6 +69,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.chars = _byte_chars()
+        self.space = self.chars[32]
         with open(path) as f:
             spec = json.load(f)
         self.special = [t["content"] for t in spec["added_tokens"]]
@@ -70,29 +81,39 @@ class Encoder:
             self.kind = "plain"
         else:
             self.kind = "whole"
-        self.pieces = _Cache(self._piece, cache // 4)
+        self.pieces = _Cache(self._piece, cache // 8)
         self.chunks = _Cache(self._spaced if self.kind == "spaced" else self._plain, cache)
 
     def whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return _packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def _piece(self, piece: str) -> bytes:
-        mapped = piece.encode().decode("latin-1").translate(self.chars)
-        return np.array([t.id for t in self.model.tokenize(mapped)], "<u4").tobytes()
-
-    def _cut(self, chunk: str, pattern: re.Pattern) -> bytes:
-        return b"".join(map(self.pieces.__getitem__, pattern.findall(chunk)))
+        """A piece that the tokenizer cuts no further before its merges."""
+        if not piece.isascii() or not piece.isalpha():
+            piece = piece.encode().decode("latin-1").translate(self.chars)
+        return _packed([t.id for t in self.model.tokenize(piece)])
 
     def _latin(self, chunk: str) -> bool:
-        return ord(max(chunk)) < 256 and len(chunk) < 1000 and not any(s in chunk for s in self.special)
+        return (chunk.isascii() or ord(max(chunk)) < 256) and len(chunk) < 1000 and not any(s in chunk for s in self.special)
 
     def _spaced(self, chunk: str) -> bytes:
+        if chunk.isascii() and chunk.isalpha():
+            return _packed([t.id for t in self.model.tokenize(self.space + chunk)])
         if not chunk or chunk[0].isspace() or chunk[-1].isspace():
             raise _Odd
-        return self._cut(" " + chunk, _SPACED) if self._latin(chunk) else self.whole(" " + chunk)
+        if not self._latin(chunk):
+            return self.whole(" " + chunk)
+        first, *rest = _SPACED.findall(" " + chunk)
+        if not rest:
+            return self._piece(first)
+        return self.chunks[first[1:]] + b"".join(map(self.pieces.__getitem__, rest))
 
     def _plain(self, chunk: str) -> bytes:
-        return self._cut(chunk.lower(), _PLAIN) if self._latin(chunk) else self.whole(chunk)
+        if not self._latin(chunk):
+            return self.whole(chunk)
+        chunk = chunk.lower()
+        parts = [chunk] if chunk.isascii() and chunk.isalpha() else _PLAIN.findall(chunk)
+        return self._piece(chunk) if len(parts) == 1 else b"".join(map(self.chunks.__getitem__, parts))
 
     def encode(self, text: str) -> np.ndarray:
         """The text's ids as little-endian unsigned 32-bit integers."""
