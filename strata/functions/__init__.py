@@ -12,7 +12,7 @@ from strata.functions.dates import (
     ts_from_millis,
 )
 from strata.functions.json import encode_row, is_corrupt, json_text, parse_text_fields, typed_fields
-from strata.functions.money import line_amount, money, safe_ratio, sum_money, to_double
+from strata.functions.money import line_amount, money, share_of, sum_money
 from strata.functions.people import age, age_group, gender_label
 from strata.functions.text import has_word, ods_topic, row_text, word_tokens
 
@@ -36,10 +36,9 @@ __all__ = [
     "prev_day",
     "processing_day",
     "row_text",
-    "safe_ratio",
+    "share_of",
     "split_create_time",
     "sum_money",
-    "to_double",
     "ts_from_millis",
     "typed_fields",
     "word_tokens",

@@ -3,8 +3,8 @@
 Decoding is two-step so that quoted numbers parse (SURVEY T1): every field is
 read as text by ``from_json``, then cast with ``try_cast``.  Absent numeric
 fields default to 0 and absent strings stay null, as a bean decoder does.
-Malformed text is flagged (``_corrupt``) instead of failing the task, so the
-caller can route it to a quarantine table.
+Malformed text and text in a numeric field that is no number are flagged
+instead of failing the task, so the caller can route them to a quarantine table.
 """
 
 from __future__ import annotations
@@ -46,12 +46,22 @@ def typed_fields(parsed: Column, schema: T.StructType, zero_numbers: bool = True
             continue
         cast = v.try_cast(f.dataType)
         if zero_numbers and isinstance(f.dataType, _NUMERIC):
-            # absent or null -> 0; present but not a number -> also 0, like a lenient bean decoder
+            # absent or null -> 0; present but not a number: see ``bad_numbers``
             cast = F.coalesce(cast, F.lit(0).cast(f.dataType))
         out.append(cast.alias(f.name))
     return out
 
 
+def bad_numbers(parsed: Column, schema: T.StructType) -> Column:
+    """True where a typed field is present but its text is not of its type."""
+    bad = F.lit(False)
+    for f in schema.fields:
+        if not isinstance(f.dataType, T.StringType):
+            v = parsed.getField(f.name)
+            bad = bad | (v.isNotNull() & v.try_cast(f.dataType).isNull())
+    return bad
+
+
 def is_corrupt(parsed: Column) -> Column:
     """True for text that is not a JSON object (null input is not corrupt, it is absent)."""
     return parsed.getField(CORRUPT).isNotNull()

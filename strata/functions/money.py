@@ -1,8 +1,8 @@
 """Exact money arithmetic.
 
 Amounts travel as doubles on the wire and are summed and divided as decimals.
-Inputs are kept at ``decimal(12,2)`` / ``decimal(18,2)`` so products and
-quotients keep their digits (SURVEY T11).
+Sums and products are decimals; quotients are formed from whole cents, where no
+digit is lost (SURVEY T11).
 """
 
 from __future__ import annotations
@@ -12,34 +12,47 @@ from pyspark.sql import functions as F
 
 from strata.functions.dates import ColumnOrName, _c
 
-MONEY = "decimal(12,2)"
+MONEY = "decimal(18,2)"
 QTY = "decimal(10,0)"
-TOTAL = "decimal(18,2)"
+CENTS = "decimal(20,0)"
 
 
 def money(x: ColumnOrName) -> Column:
-    """Double amount -> ``decimal(12,2)`` (half-up to cents)."""
+    """Double amount -> ``decimal(18,2)`` (half-up to cents)."""
     return _c(x).cast(MONEY)
 
 
+def cents(x: Column) -> Column:
+    """A ``decimal(.,2)`` amount as whole cents."""
+    return (x * 100).cast(CENTS)
+
+
 def line_amount(price: ColumnOrName, qty: ColumnOrName) -> Column:
-    """Price x quantity, exact (``decimal(23,2)``)."""
-    return money(price) * _c(qty).cast(QTY)
+    """Price x quantity, exact."""
+    return (money(price) * _c(qty).cast(QTY)).cast("decimal(20,2)")
+
+
+def _div(a: Column, b: Column) -> Column:
+    """Whole quotient of two whole decimals, towards zero (a long)."""
+    return F.call_function("div", a, b)
 
 
-def safe_ratio(num: Column, den: Column) -> Column:
-    """C11: ``num / den`` as decimal; null instead of an error when ``den`` is 0."""
-    return F.try_divide(num, F.when(den != 0, den))
+def share_of(amount: Column, part: Column, whole: Column) -> Column:
+    """C11: ``amount x part / whole`` to 12 places, cut off; null when ``whole`` is 0.
+
+    The quotient is taken in whole cents, then the remainder's: both are exact,
+    and rounding the result half-up to fewer places rounds the true quotient.
+    """
+    a, p = cents(amount), cents(part)
+    w = F.when(whole != 0, cents(whole))
+    product = (a * p).cast("decimal(38,0)")
+    quotient = _div(product, w)
+    rest = (product - quotient.cast(CENTS) * w).cast(CENTS)
+    tail = _div((rest * F.lit(10_000_000_000).cast("decimal(11,0)")).cast("decimal(38,0)"), w)
+    hundredths = quotient.cast("decimal(20,0)") * F.lit("0.01").cast("decimal(2,2)")
+    return (hundredths + tail.cast("decimal(11,0)") * F.lit("1E-12").cast("decimal(12,12)")).cast("decimal(38,12)")
 
 
 def sum_money(x: ColumnOrName) -> Column:
     """Exact sum of a double amount column (each value rounded to cents first)."""
     return F.sum(money(x))
-
-
-def to_double(x: ColumnOrName, places: int | None = None) -> Column:
-    """Decimal result -> double, optionally rounded half-up to ``places`` first."""
-    c = _c(x)
-    if places is not None:
-        c = F.round(c, places)
-    return c.cast("double")

@@ -1,23 +1,22 @@
 """Apportion an order's final amount to its lines (A6, C10, C11, D6 batch form).
 
 Rule: ``line = price x qty``; ``share = final x line / original_total``.  The
-line whose arrival completes the order (running sum of lines = original total)
-takes ``final - sum(shares of the lines before it)`` instead, so the shares of
-a complete order add up to its final amount exactly.
-
-Batch form, arrival order = ``order_col`` ascending (the detail id).  Line
-amounts are non-negative, so the running sum only grows: it equals the total
-exactly on the rows from the last line with a positive amount onward, and
-only when all lines add up to the total.  For such a row the shares before it
-are ``sum(all shares) - own share`` (later rows have zero shares).  That turns
-the running window into three per-order aggregates joined back on the order
-id: the aggregate is partial (map-side), and the join is one AQE can split
-when one order holds a large share of all lines.
-
-Money is exact: final ``decimal(12,2)``, line ``decimal(16,2)``, total
-``decimal(14,2)``, so the quotient keeps 11 decimals.  ``scale=None`` keeps the
-unrounded share as the reference does; ``scale=2`` rounds shares to cents and
-the completing line takes the remainder.  A zero total gives a null share.
+line that completes the order (running sum of lines = original total) takes
+``final - sum(shares of the lines before it)`` instead, so the shares of a
+complete order add up to its final amount exactly.
+
+Batch form, arrival order = ``order_col`` ascending (the detail id).  The
+completing line is the last one with an amount, when all lines add up to the
+total; lines without an amount have a zero share wherever they stand.  That
+turns the running window into three per-order aggregates joined back on the
+order id: the aggregate is partial (map-side), and the join is one AQE can
+split when one order holds a large share of all lines.  Negative lines
+(refunds) take part like any other.
+
+Money is exact: amounts are ``decimal(18,2)`` and quotients are formed in whole
+cents.  ``scale=None`` keeps 12 places of the share; ``scale=2`` rounds shares to
+cents and the completing line takes the remainder.  A zero total gives a null
+share.
 """
 
 from __future__ import annotations
@@ -25,35 +24,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-FINAL_T = "decimal(12,2)"
-LINE_T = "decimal(16,2)"
-TOTAL_T = "decimal(14,2)"
-
-
-def line_value(price: str = "sku_price", qty: str = "sku_num"):
-    """Exact line amount."""
-    return (F.col(price).cast("decimal(12,2)") * F.col(qty).cast("decimal(10,0)")).cast(LINE_T)
-
+from strata.functions.money import line_amount, money, share_of
 
 def apportion(wide: DataFrame, scale: int | None = None, order_col: str = "order_detail_id",
               out_col: str = "final_detail_amount", as_double: bool = True) -> DataFrame:
     """Fill ``out_col`` on OrderWide rows (one row per (order, line))."""
-    final = F.col("final_total_amount").cast(FINAL_T)
-    total = F.col("original_total_amount").cast(TOTAL_T)
-    line = line_value()
-    share = F.try_divide(final * line, F.when(total != 0, total))
+    final, total = money("final_total_amount"), money("original_total_amount")
+    line = line_amount("sku_price", "sku_num")
+    share = share_of(final, line, total)
     if scale is not None:
         share = F.round(share, scale)
     w = wide.withColumn("_line", line).withColumn("_share", share)
     per_order = w.groupBy(F.col("order_id").alias("_oid")).agg(
         F.sum("_line").alias("_lines"),
         F.sum("_share").alias("_shares"),
-        F.max(F.when(F.col("_line") > 0, F.col(order_col))).alias("_last_pos"),
+        F.max(F.when(F.col("_line") != 0, F.col(order_col))).alias("_last_pos"),
     )
     j = w.join(per_order, w["order_id"] == per_order["_oid"], "left")
     completes = (
         (F.col("_lines") == total)
-        & (F.col("_last_pos").isNull() | (F.col(order_col) >= F.col("_last_pos")))
+        & (F.col(order_col) == F.col("_last_pos"))
         & F.col("_share").isNotNull()
     )
     value = F.when(completes, final - (F.col("_shares") - F.col("_share"))).otherwise(F.col("_share"))

@@ -13,15 +13,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.operators.decode import pick_columns
+from strata.operators.decode import Decoded, pick_columns
 from strata.operators.dedup import last_per_key
 
 ARRIVAL = ("timestamp", "partition", "offset")
 
 
-def decode_dimension(records: DataFrame, schema: T.StructType) -> DataFrame:
-    """Topic records -> dimension columns plus the arrival order columns."""
-    return pick_columns(records, schema, keep=ARRIVAL)
+def decode_dimension(records: DataFrame, schema: T.StructType, key: str) -> Decoded:
+    """Topic records -> dimension columns plus the arrival order columns; records without a key apart."""
+    return pick_columns(records, schema, key, keep=ARRIVAL)
 
 
 def latest_versions(rows: DataFrame, key: str, order: tuple[str, ...] = ARRIVAL) -> DataFrame:

@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from strata.functions.dates import split_create_time
 from strata.functions.people import age, age_group, gender_label
-from strata.operators.joins import sized_broadcast
 
 
 def with_create_parts(orders: DataFrame) -> DataFrame:
@@ -22,12 +21,11 @@ def with_create_parts(orders: DataFrame) -> DataFrame:
     return orders.withColumn("create_date", d).withColumn("create_hour", h)
 
 
-def join_province(orders: DataFrame, provinces: DataFrame, broadcast_max_rows: int | None = 200_000) -> DataFrame:
+def join_province(orders: DataFrame, provinces: DataFrame) -> DataFrame:
     """Left lookup of province name, area code and ISO 3166-2 code.
 
-    Provinces are small by nature; they are broadcast after a row-count check
-    (``broadcast_max_rows=None`` leaves the choice to the planner and AQE).
-    In a stream the caller re-reads the current snapshot per micro-batch.
+    No hint: the planner broadcasts the side whose size it knows to be small,
+    and AQE the side it measures as small.  In a stream the caller re-reads the current snapshot per micro-batch.
     """
     p = provinces.select(
         F.col("id").alias("_prov_id"),
@@ -35,7 +33,6 @@ def join_province(orders: DataFrame, provinces: DataFrame, broadcast_max_rows: i
         F.col("area_code").alias("province_area_code"),
         F.col("iso_3166_2").alias("province_3166_2_code"),
     )
-    p = sized_broadcast(p, broadcast_max_rows)
     out = orders.join(p, orders["province_id"].cast("string") == p["_prov_id"], "left")
     return out.drop("_prov_id")
 
@@ -76,14 +73,11 @@ class Enriched(NamedTuple):
     rejects: DataFrame | None
 
 
-def sku_profile(sku: DataFrame, spu: DataFrame, trademark: DataFrame, category3: DataFrame,
-                broadcast_max_rows: int | None = 200_000) -> DataFrame:
+def sku_profile(sku: DataFrame, spu: DataFrame, trademark: DataFrame, category3: DataFrame) -> DataFrame:
     """The snowflake sku -> (spu, trademark, category3) joined once, keyed by sku id.
 
     Joining the dimensions to each other first means the (much larger) order
     lines are shuffled once, on ``sku_id``, instead of once per dimension.
-    Trademark and category3 are small by nature and broadcast after a row-count
-    check: the planner cannot size these derived tables before they run.
     """
     s = sku.select(
         F.col("id").alias("_sku_key"),
@@ -94,8 +88,6 @@ def sku_profile(sku: DataFrame, spu: DataFrame, trademark: DataFrame, category3:
     sp = spu.select(F.col("id").alias("_spu_key"), "spu_name")
     tm = trademark.select(F.col("tm_id").alias("_tm_key"), "tm_name")
     c3 = category3.select(F.col("id").alias("_c3_key"), F.col("name").alias("category3_name"))
-    tm = sized_broadcast(tm, broadcast_max_rows)
-    c3 = sized_broadcast(c3, broadcast_max_rows)
     return (
         s.join(sp, s["spu_id"].cast("string") == sp["_spu_key"], "left")
         .join(tm, s["tm_id"].cast("string") == tm["_tm_key"], "left")
@@ -108,8 +100,7 @@ def sku_profile(sku: DataFrame, spu: DataFrame, trademark: DataFrame, category3:
 
 
 def join_detail_dims(details: DataFrame, sku: DataFrame, spu: DataFrame, trademark: DataFrame,
-                     category3: DataFrame, on_missing: str = "left",
-                     broadcast_max_rows: int | None = 200_000) -> Enriched:
+                     category3: DataFrame, on_missing: str = "left") -> Enriched:
     """Add spu/trademark/category3 ids and names to order lines.
 
     ``on_missing``:
@@ -119,7 +110,7 @@ def join_detail_dims(details: DataFrame, sku: DataFrame, spu: DataFrame, tradema
     """
     if on_missing not in ("left", "strict", "reject"):
         raise ValueError(f"on_missing must be left, strict or reject, not {on_missing!r}")
-    prof = sku_profile(sku, spu, trademark, category3, broadcast_max_rows)
+    prof = sku_profile(sku, spu, trademark, category3)
     base = [c for c in details.columns if c not in ("spu_id", "tm_id", "category3_id", "spu_name", "tm_name",
                                                     "category3_name")]
     d = details.select(*base)
@@ -129,9 +120,10 @@ def join_detail_dims(details: DataFrame, sku: DataFrame, spu: DataFrame, tradema
     if on_missing == "left":
         return Enriched(joined.select(*base, *names), None)
     if on_missing == "strict":
-        # the check sits inside an output column, so column pruning cannot drop it
-        guarded = F.when(found, F.col("spu_id")).otherwise(F.raise_error(F.lit("order line with no dimension match")))
-        return Enriched(joined.select(*base, guarded.cast("bigint").alias("spu_id"), *names[1:]), None)
+        # the check is a filter, which no later projection or aggregate can prune
+        known = F.when(found, F.lit(True)).otherwise(
+            F.raise_error(F.lit("order line with no dimension match")).cast("boolean"))
+        return Enriched(joined.where(known).select(*base, *names), None)
     rows = joined.where(found).select(*base, *names)
     rejects = joined.where(~found).select(*base)
     return Enriched(rows, rejects)

@@ -62,13 +62,14 @@ def route_cdc_rows(df: DataFrame, value: str = "value", drop_bootstrap: bool = T
                    upper: bool = True) -> DataFrame:
     """R3 + R4: forward each row-style envelope's ``data`` to ``ODS_T_<table>``.
 
-    Every change type is forwarded as-is (upserts downstream).  Bootstrap
-    markers are dropped by default and the table name is upper-cased, so the
+    Every change type is forwarded as-is (upserts downstream); envelopes without
+    a table or data are not (see ``cdc_rejects``).  Bootstrap markers are dropped by default and the table name is upper-cased, so the
     dimension consumers receive it (SURVEY Q4, Q5).
     """
     env = F.from_json(F.col(value), _ENVELOPE_ROW)
     rest = [c for c in df.columns if c != value]
     out = df.select(*rest, env.alias("_env"))
+    out = out.where(F.col("_env.table").isNotNull() & F.col("_env.data").isNotNull())
     if drop_bootstrap:
         out = out.where(~F.coalesce(F.col("_env.type").isin(*BOOTSTRAP_TYPES), F.lit(False)))
     return out.select(
@@ -79,18 +80,27 @@ def route_cdc_rows(df: DataFrame, value: str = "value", drop_bootstrap: bool = T
     )
 
 
-_COMMON_SCHEMA = T.StructType([T.StructField("common", APP_COMMON), T.StructField("ts", T.LongType())])
+# Every field as text: a number may come quoted.
+_START_SCHEMA = T.StructType([T.StructField("common", APP_COMMON), T.StructField("ts", T.StringType())])
+
+
+def _parsed_start(df: DataFrame, value: str) -> DataFrame:
+    return df.withColumn("_j", F.from_json(F.col(value), _START_SCHEMA)).withColumn(
+        "_ts", F.col("_j.ts").try_cast("bigint"))
+
+
+_IS_START = "_j.common.mid is not null and _ts is not null"
 
 
 def project_start_log(df: DataFrame, value: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
     """R5 + C1/C2: start-log JSON -> mid, uid, ar, ch, vc, dt, hr, mi, ts.
 
     ``dt`` is the event day as ``y-M-d`` (unpadded), ``hr``/``mi`` unpadded, in
-    the session time zone.  ``keep`` lists input columns to carry along.
+    the session time zone.  ``keep`` lists input columns to carry along.  Logs
+    without a device or a time are left to ``start_log_rejects``.
     """
-    j = F.from_json(F.col(value), _COMMON_SCHEMA)
-    t = ts_from_millis(F.col("_j.ts"))
-    return df.select(*keep, j.alias("_j")).select(
+    t = ts_from_millis(F.col("_ts"))
+    return _parsed_start(df, value).where(_IS_START).select(
         *keep,
         F.col("_j.common.mid").alias("mid"),
         F.col("_j.common.uid").alias("uid"),
@@ -100,5 +110,16 @@ def project_start_log(df: DataFrame, value: str = "value", keep: tuple[str, ...]
         day_str(t).alias("dt"),
         hour_str(t).alias("hr"),
         minute_str(t).alias("mi"),
-        F.col("_j.ts").alias("ts"),
+        F.col("_ts").alias("ts"),
     )
+
+
+def start_log_rejects(df: DataFrame, value: str = "value") -> DataFrame:
+    """The rows that ``project_start_log`` leaves out: malformed, or without a device or a time."""
+    return _parsed_start(df, value).where(f"not coalesce({_IS_START}, false)").select(*df.columns)
+
+
+def cdc_rejects(df: DataFrame, value: str = "value") -> DataFrame:
+    """Envelopes that are malformed or name no type or table."""
+    env = F.from_json(F.col(value), _ENVELOPE_ROW)
+    return df.where(F.coalesce(env.getField("type").isNull() | env.getField("table").isNull(), F.lit(True)))

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strata.operators.dedup import first_per_key
 from strata.schemas import ORDER_WIDE
 
 # The reference's window join geometry (seconds).
@@ -66,12 +67,13 @@ def retained_join(info: DataFrame, detail: DataFrame, info_time: str = "arrive_t
                   retention_s: int = RETENTION_S, dedup_detail: bool = True) -> DataFrame:
     """J5 + D3 + D4: pair a header and a line that arrive within ``retention_s`` of each other.
 
-    Either side may come first; each pair is emitted once.  Identical waiting
-    lines collapse (D3: ``dropDuplicates`` on every line column).  In a stream
+    Either side may come first; each pair is emitted once.  Redelivered lines
+    collapse to the earliest delivery (D3): the arrival is no part of a line.  In a stream
     the watermarks on both inputs evict rows older than the retention (D4).
     """
     if dedup_detail:
-        detail = detail.dropDuplicates()
+        line = [c for c in detail.columns if c not in ("arrive_s", detail_time)]
+        detail = first_per_key(detail, line, [detail_time])
     i = info.select([F.col(c).alias("i_" + c) for c in info.columns])
     d = detail.select([F.col(c).alias("d_" + c) for c in detail.columns])
     it, dt = F.col("i_" + info_time), F.col("d_" + detail_time)
@@ -115,7 +117,8 @@ def merge_wide(pairs: DataFrame, defaults: bool = True, keep: tuple[str, ...] =
             src = None
         c = F.col(src) if src and src in present else F.lit(None)
         c = c.cast(f.dataType)
-        if defaults and f.dataType.typeName() in ("long", "double"):
+        # the keys stay bare columns: wrapped, they would lose the join's partitioning
+        if defaults and f.name not in ("order_id", "order_detail_id") and f.dataType.typeName() in ("long", "double"):
             c = F.coalesce(c, F.lit(0).cast(f.dataType))
         cols.append(c.alias(f.name))
     return pairs.select(*cols, *keep)

@@ -24,15 +24,17 @@ from strata.operators.dims import decode_dimension
 from strata.operators.enrich import join_detail_dims, join_province, join_user_profile, users_needed, \
     with_create_parts
 from strata.operators.offsets import offset_ledger
-from strata.operators.route import START_TOPIC, flatten_cdc_batch, route_app_log, route_cdc_rows
+from strata.operators.route import EVENT_TOPIC, START_TOPIC, flatten_cdc_batch, route_app_log, route_cdc_rows, \
+    start_log_rejects
 from strata.operators.search import range_text_search
 from strata.operators.wide import full_outer, inner_pairs, merge_wide, retained_join
 from strata.plans.warehouse import AS_OF_YEAR, Warehouse
 from strata.schemas import DIMENSIONS, ORDER_INFO_WIRE
 from strata.session import shared_path
 from strata.sources.dimstore import DimensionStore
-from strata.sources.sinks import DayIndex, append_documents, archive_text, read_archive
-from strata.sources.topics import as_records, read_written_topic, write_topic_batch
+from strata.sources.sinks import DayIndex, append_documents, archive_text, read_archive, read_order_wide, \
+    write_order_wide
+from strata.sources.topics import as_records, read_topic, write_topic_batch
 
 # The parameters of the catalogue's dashboard and search queries.
 DAU_DATE = "2024-01-07"
@@ -40,6 +42,9 @@ ORDER_DATE = "1996-09-17"
 RETAINED_BOUND_S = 10
 SEARCH = ("p_size", 6, 10, "p_name", "red")
 CORRUPT_EVERY = 97          # order rows with id % 97 == 0 are sent truncated (malformed JSON)
+BAD_NUMBER_EVERY = 89       # order rows with id % 89 == 0 are sent with an amount that is no number
+QUOTED_TS_EVERY = 101       # start logs with event_id % 101 == 0 have their time quoted
+NO_TS_EVERY = 103           # app logs with event_id % 103 == 0 are sent without a time
 REJECT_SKU_MOD = 13         # sku rows with id % 13 == 0 are missing from the sku view
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,23 +72,42 @@ def cdc_row_route(spark, sf_dir):
     return routed.groupBy("topic").agg(F.count(F.lit(1)).alias("n"))
 
 
-def decode_order_info(spark, sf_dir):
+def _decoded_orders(spark, sf_dir):
     oi = _wh(spark, sf_dir).td.order_info
     text = encode_row(*[c for c in oi.columns if c != "arrive_s"], as_text=True)
-    wire = oi.select("id", F.when(F.col("id") % CORRUPT_EVERY == 0, F.substring(text, 1, 20))
-                     .otherwise(text).alias("value"))
-    decoded = decode_json(wire, ORDER_INFO_WIRE)
-    return decoded.rows
+    no_number = F.regexp_replace(text, r'"final_total_amount":"[^"]*"', '"final_total_amount":"12,5"')
+    value = (F.when(F.col("id") % CORRUPT_EVERY == 0, F.substring(text, 1, 20))
+             .when(F.col("id") % BAD_NUMBER_EVERY == 0, no_number).otherwise(text))
+    return decode_json(oi.select("id", value.alias("value")), ORDER_INFO_WIRE)
+
+
+def decode_order_info(spark, sf_dir):
+    return _decoded_orders(spark, sf_dir).rows
+
+
+def decode_quarantine(spark, sf_dir):
+    return _decoded_orders(spark, sf_dir).quarantine.select("id")
+
+
+def start_log_rejects_q(spark, sf_dir):
+    rec = _wh(spark, sf_dir).td.app_log_records()
+    quoted = F.regexp_replace("value", r'"ts":(\d+)', '"ts":"$1"')
+    value = (F.when(F.col("offset") % NO_TS_EVERY == 0, F.regexp_replace("value", r',"ts":\d+', ""))
+             .when(F.col("offset") % QUOTED_TS_EVERY == 0, quoted).otherwise(F.col("value")))
+    starts = route_app_log(rec.withColumn("value", value)).where(F.col("topic") == START_TOPIC)
+    return start_log_rejects(starts).select(F.col("offset").alias("event_id"))
 
 
 def _dim_upsert(dim: str) -> Query:
     def q(spark, sf_dir):
         td = _wh(spark, sf_dir).td
         schema, key, _table = DIMENSIONS[dim]
-        hist = decode_dimension(td.dimension_history(dim), schema)
+        hist = decode_dimension(td.dimension_history(dim), schema, key).rows
         store = DimensionStore(spark, shared_path(spark, "dims", dim, unique=True), key)
-        for batch in (0, 1):
-            store.write_batch(hist.where(F.col("offset") == batch), batch)
+        # The first batch has both versions of every second key, the second batch the rest of the newer ones.
+        early = F.pmod(F.xxhash64(key), F.lit(2)) == 0
+        store.write_batch(hist.where((F.col("offset") == 0) | early), 0)
+        store.write_batch(hist.where((F.col("offset") == 1) & ~early), 1)
         view_cols = td.dimension(dim).columns
         return store.read().select(*view_cols)
 
@@ -214,25 +238,39 @@ def dau_hour(spark, sf_dir):
     return dash.dau_hour(_wh(spark, sf_dir).dau, DAU_DATE)
 
 
-def _dash_wide(spark, sf_dir, line_shares: bool = False):
-    """The stored fact; line amounts apportioned in cents (so sums are exact) when read."""
-    return _wh(spark, sf_dir).order_wide(scale=2, apportioned=line_shares)
+_STORED: dict[tuple[str, str], str] = {}
+
+
+def stored_wide(spark, sf_dir):
+    """The wide fact as the dashboard's store keeps it: written once a session for a directory, by ``dt``."""
+    at = (spark.sparkContext.applicationId, sf_dir)
+    if at not in _STORED:
+        path = shared_path(spark, "order_wide", unique=True)
+        write_order_wide(_wh(spark, sf_dir).order_wide(scale=2), path)
+        _STORED[at] = path
+    return read_order_wide(spark, _STORED[at])
+
+
+def sink_order_wide(spark, sf_dir):
+    path = shared_path(spark, "order_wide", unique=True)
+    write_order_wide(_wh(spark, sf_dir).order_wide(scale=2), path)
+    return read_order_wide(spark, path)
 
 
 def order_amount_total(spark, sf_dir):
-    out = dash.order_amount_totals(_dash_wide(spark, sf_dir, line_shares=True), ORDER_DATE,
+    out = dash.order_amount_totals(stored_wide(spark, sf_dir), ORDER_DATE,
                                    ("final_total_amount", "final_detail_amount"))
     return out.select(F.col("final_total_amount").cast("double").alias("amount_order_total"),
                       F.col("final_detail_amount").cast("double").alias("amount_line_share"))
 
 
 def order_amount_hour(spark, sf_dir):
-    out = dash.order_amount_hour(_dash_wide(spark, sf_dir), ORDER_DATE)
+    out = dash.order_amount_hour(stored_wide(spark, sf_dir), ORDER_DATE)
     return out.select(F.col("hr").cast("bigint").alias("hr"), F.col("amount").cast("double").alias("amount"))
 
 
 def order_amount_day_hour(spark, sf_dir):
-    out = dash.order_amount_by_day_hour(_dash_wide(spark, sf_dir))
+    out = dash.order_amount_by_day_hour(stored_wide(spark, sf_dir))
     return out.select("dt", F.col("hr").cast("bigint").alias("hr"), F.col("amount").cast("double").alias("amount"))
 
 
@@ -241,13 +279,13 @@ def hourly_compare_dau(spark, sf_dir):
 
 
 def hourly_compare_amount(spark, sf_dir):
-    out = dash.hourly_compare("order_amount", _dash_wide(spark, sf_dir), ORDER_DATE)
+    out = dash.hourly_compare("order_amount", stored_wide(spark, sf_dir), ORDER_DATE)
     return out.select("day", "hr", F.col("value").cast("double").alias("value"))
 
 
 def kpi_list(spark, sf_dir):
     wh = _wh(spark, sf_dir)
-    return dash.kpi_list(wh.dau, wh.order_wide(scale=2, apportioned=False), DAU_DATE, order_date=ORDER_DATE)
+    return dash.kpi_list(wh.dau, stored_wide(spark, sf_dir), DAU_DATE, order_date=ORDER_DATE)
 
 
 def range_search(spark, sf_dir):
@@ -289,11 +327,9 @@ def sink_topic(spark, sf_dir):
     rec = route_app_log(_wh(spark, sf_dir).td.app_log_records())
     root = shared_path(spark, "topics", unique=True)
     write_topic_batch(as_records(rec, key_col="key"), root=root, batch_id=0)
-    out = None
-    for topic in (START_TOPIC, "GMALL_EVENT"):
-        t = read_written_topic(spark, root, topic).groupBy("topic").agg(F.count(F.lit(1)).alias("n"))
-        out = t if out is None else out.unionByName(t)
-    return out
+    both = read_topic(spark, START_TOPIC, root=root).unionByName(read_topic(spark, EVENT_TOPIC, root=root))
+    return both.select("topic", F.col("key").cast("bigint").alias("event_id"),
+                       F.get_json_object("value", "$.common.mid").alias("mid"))
 
 
 def catalog() -> dict[str, Query]:
@@ -302,6 +338,8 @@ def catalog() -> dict[str, Query]:
         "cdc_batch_flatten": cdc_batch_flatten,
         "cdc_row_route": cdc_row_route,
         "decode_order_info": decode_order_info,
+        "decode_quarantine": decode_quarantine,
+        "start_log_rejects": start_log_rejects_q,
     }
     for dim in DIMENSIONS:
         q[f"dim_upsert_{dim}"] = _dim_upsert(dim)
@@ -335,6 +373,7 @@ def catalog() -> dict[str, Query]:
         "sink_upsert": sink_upsert,
         "sink_append": sink_append,
         "sink_topic": sink_topic,
+        "sink_order_wide": sink_order_wide,
         "wide_row_text": wide_row_text,
     })
     return q

@@ -50,17 +50,17 @@ select cast(n_nationkey as string) as id, n_name as name,
 from nation where n_nationkey <> 7""",
     "sku_info": """
 select cast(p_partkey as string) as id,
-       cast(dense_rank() over (order by p_name) as string) as spu_id,
+       cast(min(p_partkey) over (partition by p_name) as string) as spu_id,
        cast(p_retailprice as string) as price, p_name as sku_name,
        substr(p_brand, 7) as tm_id,
-       cast(dense_rank() over (order by p_type) as string) as category3_id
+       cast(min(p_partkey) over (partition by p_type) as string) as category3_id
 from part""",
     "spu_info": """
-select distinct cast(dense_rank() over (order by p_name) as string) as id, p_name as spu_name from part""",
+select cast(min(p_partkey) as string) as id, p_name as spu_name from part group by p_name""",
     "trademark_info": """
 select distinct substr(p_brand, 7) as tm_id, p_brand as tm_name from part""",
     "category3_info": """
-select distinct cast(dense_rank() over (order by p_type) as string) as id, p_type as name from part""",
+select cast(min(p_partkey) as string) as id, p_type as name from part group by p_type""",
     "app_log": """
 select event_id, concat('mid_', cast(user_id as string)) as mid, cast(user_id as string) as uid,
        event_type as ch, cast(user_id % 25 as string) as ar, 'v1' as vc, ts,
@@ -93,10 +93,10 @@ select i.id as order_id, d.id as order_detail_id,
        cast(round(i.original_total_amount * 100) as hugeint) as tc
 from order_info i join order_detail d
   on i.id = d.order_id and abs(floor(i.arrive_s / 5) - floor(d.arrive_s / 5)) <= 2""",
-    # cent shares, the completing line (running sum = total) takes final - shares before it
+    # cent shares; the last line with an amount (running sum = total) takes final - shares before it
     "cents_wide": """
 select *, case when completes then fc - coalesce(before_c, 0) else share_c end as value_c
-from (select *, running = tc as completes,
+from (select *, running = tc and lc <> 0 as completes,
              sum(share_c) over (partition by order_id order by order_detail_id
                                 rows between unbounded preceding and 1 preceding) as before_c
       from (select *, case when tc = 0 then null else (2 * fc * lc + tc) // (2 * tc) end as share_c,
@@ -105,7 +105,7 @@ from (select *, running = tc as completes,
             from wide_base) a) b""",
     "cents_window": """
 select *, case when completes then fc - coalesce(before_c, 0) else share_c end as value_c
-from (select *, running = tc and share_c is not null as completes,
+from (select *, running = tc and lc <> 0 and share_c is not null as completes,
              sum(share_c) over (partition by order_id order by order_detail_id
                                 rows between unbounded preceding and 1 preceding) as before_c
       from (select *, case when tc = 0 then null else (2 * fc * lc + tc) // (2 * tc) end as share_c,
@@ -161,7 +161,9 @@ select 'ODS_T_ORDER_DETAIL' as topic, id from order_detail where (order_id // 4)
 select id, province_id, order_status, user_id, final_total_amount, cast(0 as double) as benefit_reduce_amount,
        original_total_amount, cast(0 as double) as feight_fee, cast(null as varchar) as expire_time, create_time,
        cast(null as varchar) as operate_time
-from order_info where id % 97 <> 0""",
+from order_info where id % 97 <> 0 and id % 89 <> 0""",
+    "decode_quarantine": "select id from order_info where id % 97 = 0 or id % 89 = 0",
+    "start_log_rejects": "select event_id from app_log where has_start and event_id % 103 = 0",
     "offset_ledger": """
 select case when has_start then 'GMALL_START' else 'GMALL_EVENT' end as topic,
        cast(cast(uid as bigint) % 4 as bigint) as partition, max(event_id) + 1 as next_offset
@@ -267,16 +269,32 @@ where p_size between 6 and 10 and list_contains(regexp_split_to_array(lower(p_na
     "sink_upsert": f"select {_DAU_COLS} from dau",
     "sink_append": "select ch, count(*) as n from app_log group by ch",
     "sink_topic": """
-select case when has_start then 'GMALL_START' else 'GMALL_EVENT' end as topic, count(*) as n from app_log group by 1""",
+select case when has_start then 'GMALL_START' else 'GMALL_EVENT' end as topic, event_id, mid from app_log""",
     "wide_row_text": """
 select d.id as order_detail_id,
        concat('order_id:', cast(i.id as varchar), '|order_detail_id:', cast(d.id as varchar),
               '|sku_num:', cast(d.sku_num as varchar)) as text
 from order_info i join order_detail d on i.id = d.order_id""",
 }
+_RAW["sink_order_wide"] = _RAW["order_wide"].replace(
+    """case when w.tc = 0 then null else cast((2 * w.fc * w.lc * 100 + w.tc) // (2 * w.tc) as double) / 10000
+       end as final_detail_amount""", "cast(w.value_c as double) / 100 as final_detail_amount"
+).replace("join wide_base w", "join cents_wide w")
+
+# Oracles of streaming twins that have no batch query of the same shape.
+_TWINS = {
+    "order_wide_sums": """
+select substr(i.create_time, 1, 10) as dt, w.order_id, count(*) as n_lines, cast(sum(w.value_c) as double) / 100 as amount
+from cents_window w join order_info i on i.id = w.order_id group by 1, 2""",
+    "detail_dims_inserted": _RAW["detail_dims"] + "\nwhere (d.order_id // 4) % 10 >= 2",
+}
 for _d in _DIM_VIEWS:
     _RAW[f"dim_upsert_{_d}"] = f"select * from {_DIM_VIEWS[_d]}"
 
 
 def oracle() -> dict[str, str]:
     return {k: _with(v) for k, v in _RAW.items()}
+
+
+def twin_only() -> dict[str, str]:
+    return {k: _with(v) for k, v in _TWINS.items()}

@@ -50,8 +50,21 @@ class Warehouse:
         ``apportioned=False`` leaves ``final_detail_amount`` at 0 and skips A6,
         for readers that only use the order-level measures.
         """
-        wide = merge_wide(inner_pairs(self.orders_enriched, self.details_enriched))
-        return apportion(wide, scale=scale, as_double=as_double) if apportioned else wide
+        if not apportioned:
+            return merge_wide(inner_pairs(self.orders_enriched, self.details_enriched))
+        # A6 reads its rows twice (sums per order, then lines), so it runs on the few columns it needs,
+        # before any dimension is joined.
+        td = self.td
+        header = td.order_info.select(F.col("id").alias("order_id"), "final_total_amount", "original_total_amount")
+        lines = td.order_detail.join(header, "order_id").withColumnsRenamed({"order_price": "sku_price"})
+        shares = apportion(lines, scale=scale, order_col="id", as_double=as_double)
+        details = join_detail_dims(
+            shares.withColumnsRenamed({"sku_price": "order_price"}).drop("final_total_amount", "original_total_amount"),
+            td.sku_info(), td.spu_info(), td.trademark_info(), td.category3_info()).rows
+        wide = merge_wide(inner_pairs(self.orders_enriched, details), keep=("d_final_detail_amount",))
+        columns = [F.col("d_final_detail_amount").alias(c) if c == "final_detail_amount" else F.col(c)
+                   for c in wide.columns if c != "d_final_detail_amount"]
+        return wide.select(*columns)
 
     def with_arrival(self, df: DataFrame) -> DataFrame:
         return df.withColumn("arrive_ts", F.timestamp_seconds("arrive_s"))

@@ -2,26 +2,24 @@
 
 No table format with MERGE is available, so a dimension is log-structured:
 
-    <root>/delta/version=<batch_id>/   the last row per key of one batch
-    <root>/base/version=<batch_id>/    a compacted full table as of that batch
+    <root>/kind=delta/version=<batch_id>/   the last row per key of one batch
+    <root>/kind=base/version=<batch_id>/    the whole table as of that batch
 
-A batch write overwrites its own ``version`` folder, so replaying a batch id
-(at-least-once delivery, a retried task, a restarted stream) gives the same
-table.  A read takes the newest base plus the deltas after it and keeps the
-newest row per key (partial aggregation, one shuffle on the key).  Writes cost
-the batch, not the table; ``compact`` bounds the read cost.
+Rows keep their arrival columns, and the last arrival of a key wins, however
+the feed is split into batches.  A batch write overwrites its own ``version``
+folder, so replaying a batch id (at-least-once delivery, a retried task, a
+restarted stream) gives the same table; so does replaying a compaction, which
+reads the base before it.  A read is one scan of the newest base and the
+deltas after it, and one partial aggregation on the key.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from strata.operators.dedup import last_per_key
 from strata.operators.dims import ARRIVAL
 
-VERSION = "_version"
-
 
 def _fs_versions(spark: SparkSession, path: str) -> list[int]:
     """Committed ``version=N`` folders under ``path`` (those with a _SUCCESS marker)."""
@@ -47,32 +45,26 @@ class DimensionStore:
 
     def write_batch(self, rows: DataFrame, batch_id: int) -> None:
         """Store the last version per key of one batch (``rows`` carry the arrival columns)."""
-        latest = last_per_key(rows, [self.key], ARRIVAL).drop(*ARRIVAL)
-        latest.write.mode("overwrite").parquet(f"{self.root}/delta/version={int(batch_id)}")
+        latest = last_per_key(rows, [self.key], ARRIVAL)
+        latest.write.mode("overwrite").parquet(f"{self.root}/kind=delta/version={int(batch_id)}")
 
-    def read(self) -> DataFrame:
-        """The current table (newest row per key)."""
-        bases = _fs_versions(self.spark, f"{self.root}/base")
-        deltas = _fs_versions(self.spark, f"{self.root}/delta")
+    def _latest(self, before: int | None = None) -> DataFrame:
+        """The last row per key, from the newest base (before a batch, if one is given) and what came after it."""
+        bases = [v for v in _fs_versions(self.spark, f"{self.root}/kind=base") if before is None or v < before]
         start = bases[-1] if bases else -1
-        parts = []
-        if bases:
-            parts.append(self.spark.read.parquet(f"{self.root}/base/version={start}")
-                         .withColumn(VERSION, F.lit(start).cast("bigint")))
-        for v in deltas:
-            if v > start:
-                parts.append(self.spark.read.parquet(f"{self.root}/delta/version={v}")
-                             .withColumn(VERSION, F.lit(v).cast("bigint")))
-        if not parts:
+        deltas = [v for v in _fs_versions(self.spark, f"{self.root}/kind=delta")
+                  if v > start and (before is None or v <= before)]
+        paths = [f"{self.root}/kind=base/version={v}" for v in bases[-1:]]
+        paths += [f"{self.root}/kind=delta/version={v}" for v in deltas]
+        if not paths:
             raise FileNotFoundError(f"no committed dimension data under {self.root}")
-        merged = parts[0]
-        for p in parts[1:]:
-            merged = merged.unionByName(p)
-        if len(parts) == 1:
-            return merged.drop(VERSION)
-        return last_per_key(merged, [self.key], [VERSION]).drop(VERSION)
+        rows = self.spark.read.option("basePath", self.root).parquet(*paths)
+        return last_per_key(rows, [self.key], (*ARRIVAL, "version")).drop("kind", "version")
+
+    def read(self) -> DataFrame:
+        """The current table (newest row per key)."""
+        return self._latest().drop(*ARRIVAL)
 
     def compact(self, batch_id: int) -> None:
-        """Write the current table as the base of ``batch_id`` (later reads skip older deltas)."""
-        table = self.read()
-        table.write.mode("overwrite").parquet(f"{self.root}/base/version={int(batch_id)}")
+        """Write the table as of ``batch_id`` as a base (later reads skip older deltas)."""
+        self._latest(before=batch_id).write.mode("overwrite").parquet(f"{self.root}/kind=base/version={int(batch_id)}")

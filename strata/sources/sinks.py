@@ -12,23 +12,26 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata.operators.dedup import last_per_key
+from strata.schemas import ORDER_WIDE
+
+# The folder names that the sinks below write.
+PARTITION_COLUMNS = ("dt", "day", "batch", "topic")
 
 
 def read_partitioned(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """Read a folder tree of ``key=value`` partitions, keeping partition values as text.
 
     Type inference would turn a day like ``20240101`` into a number (and could
-    drop leading zeros); it is switched off while the relation is resolved.
+    drop leading zeros), so the relation is read by a schema of its own columns
+    with the partition columns as text.
     """
-    key = "spark.sql.sources.partitionColumnTypeInference.enabled"
-    old = spark.conf.get(key, "true")
-    spark.conf.set(key, "false")
-    try:
-        return spark.read.option("basePath", path).format(fmt).load(path)
-    finally:
-        spark.conf.set(key, old)
+    found = spark.read.option("basePath", path).format(fmt).load(path)
+    files = set(found.drop(*PARTITION_COLUMNS).columns)
+    schema = T.StructType([f if f.name in files else T.StructField(f.name, T.StringType()) for f in found.schema.fields])
+    return spark.read.option("basePath", path).format(fmt).schema(schema).load(path)
 
 
 def archive_text(df: DataFrame, path: str, value: str = "value", day: str = "dt", batch_id: int | None = None) -> None:
@@ -73,6 +76,21 @@ class DayIndex:
         return last_per_key(ordered, [self.day_col, self.id_col], ["_b"]).select(*cols)
 
 
+def write_order_wide(wide: DataFrame, path: str, batch_id: int | None = None) -> None:
+    """The wide order fact, in ``dt=<day>`` folders; a batch id adds ``batch=<id>`` folders that a replay overwrites."""
+    out = wide.select(*[f.name for f in ORDER_WIDE.fields])
+    if batch_id is None:
+        out.write.mode("append").partitionBy("dt").parquet(path)
+    else:
+        (out.withColumn("batch", F.lit(int(batch_id))).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("dt", "batch").parquet(path))
+
+
+def read_order_wide(spark: SparkSession, path: str) -> DataFrame:
+    """The stored wide fact; a filter on ``dt`` reads that day's folders only."""
+    return spark.read.schema(ORDER_WIDE).parquet(path)
+
+
 def append_documents(df: DataFrame, path: str, id_col: str = "_id") -> None:
     """Append documents with a generated id."""
     df.withColumn(id_col, F.expr("uuid()")).write.mode("append").parquet(path)

@@ -3,15 +3,14 @@
 The reference ships no data; these views turn ``/root/testdata/sf*`` into the
 order, detail, user, province, product and app-log feeds the warehouse reads.
 Every view is a lazy DataFrame over the parquet files, so its work grows with
-the tables.  ``dense_rank_of`` replaces the fixtures' global ``dense_rank``
-window (which would run in one task) with a range-partitioned numbering.
+the tables.
 """
 
 from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions.json import encode_row
@@ -30,22 +29,9 @@ BIRTH_YEAR_BASE = 1940
 BIRTH_YEAR_SPAN = 85
 
 
-def dense_rank_of(df: DataFrame, col: str, rank_col: str) -> DataFrame:
-    """Distinct values of ``col`` with their dense rank (1-based) in ascending order.
-
-    Distributed: range-partition the distinct values, number them inside each
-    range, and shift by the sizes of the lower ranges.  The only global step
-    runs on one row per range partition, and that table is what is broadcast.
-    """
-    values = df.select(col).where(F.col(col).isNotNull()).distinct()
-    ranged = values.repartitionByRange(col).withColumn("_part", F.spark_partition_id())
-    local = ranged.withColumn("_i", F.row_number().over(Window.partitionBy("_part").orderBy(col)))
-    sizes = local.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = sizes.withColumn(
-        "_off",
-        F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
-    ).select("_part", "_off")
-    return local.join(F.broadcast(offsets), "_part").select(col, (F.col("_off") + F.col("_i")).alias(rank_col))
+def surrogate_keys(df: DataFrame, col: str, key: str, out: str) -> DataFrame:
+    """Distinct values of ``col``, each with the least ``key`` it occurs with as its id."""
+    return df.where(F.col(col).isNotNull()).groupBy(col).agg(F.min(key).alias(out))
 
 
 class TestData:
@@ -63,41 +49,50 @@ class TestData:
 
     # ---- orders and lines -------------------------------------------------
 
-    def order_detail_raw(self) -> DataFrame:
-        """Order lines with redeliveries: (l_orderkey, l_linenumber) is not unique."""
-        li = self.table("lineitem").select(
-            "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity"
-        )
-        part = self.table("part").select("p_partkey", "p_name")
+    def _lines(self) -> DataFrame:
+        """Order lines as delivered, without the product name; (order_id, id) is not unique."""
+        li = self.table("lineitem")
         detail_id = F.col("l_orderkey") * 10 + F.col("l_linenumber")
-        return li.join(part, li.l_partkey == part.p_partkey).select(
+        return li.select(
             detail_id.alias("id"),
             F.col("l_orderkey").alias("order_id"),
             F.col("l_partkey").alias("sku_id"),
             F.col("l_extendedprice").alias("order_price"),
             F.col("l_quantity").cast("bigint").alias("sku_num"),
-            F.col("p_name").alias("sku_name"),
             F.col("l_suppkey").alias("tie_break"),
-            (F.col("l_orderkey") * 60 + (detail_id * 7 % 41) - 20).alias("arrive_s"),
         )
 
+    def _named(self, lines: DataFrame, *more: str) -> DataFrame:
+        """Lines with the product name and the arrival second, which follows from the ids."""
+        part = self.table("part").select("p_partkey", F.col("p_name").alias("sku_name"))
+        arrive = F.col("order_id") * 60 + (F.col("id") * 7 % 41) - 20
+        return lines.join(part, lines["sku_id"] == part["p_partkey"]).select(
+            "id", "order_id", "sku_id", "order_price", "sku_num", "sku_name", *more, arrive.alias("arrive_s")
+        )
+
+    def order_detail_raw(self) -> DataFrame:
+        """Order lines with redeliveries: (l_orderkey, l_linenumber) is not unique."""
+        return self._named(self._lines(), "tie_break")
+
     @cached_property
-    def order_detail(self) -> DataFrame:
+    def _deduplicated(self) -> DataFrame:
         """One line per (order_id, id): the least by (sku_id, tie_break, price, qty).
 
         ``min`` of a struct is a partial aggregate, so repeats collapse map-side.
         """
-        raw = self.order_detail_raw()
-        best = F.min(F.struct("sku_id", "tie_break", "order_price", "sku_num", "sku_name", "arrive_s"))
+        best = F.min(F.struct("sku_id", "tie_break", "order_price", "sku_num"))
         return (
-            raw.groupBy("order_id", "id")
-            .agg(best.alias("b"))
-            .select("id", "order_id", "b.sku_id", "b.order_price", "b.sku_num", "b.sku_name", "b.arrive_s")
+            self._lines().groupBy("order_id", "id").agg(best.alias("b"))
+            .select("id", "order_id", "b.sku_id", "b.order_price", "b.sku_num")
         )
 
+    @cached_property
+    def order_detail(self) -> DataFrame:
+        return self._named(self._deduplicated)
+
     def order_totals(self) -> DataFrame:
         amount = F.col("order_price").cast("decimal(12,2)") * F.col("sku_num").cast("decimal(6,0)")
-        return self.order_detail.groupBy("order_id").agg(F.sum(amount).alias("original_total_amount"))
+        return self._deduplicated.groupBy("order_id").agg(F.sum(amount).alias("original_total_amount"))
 
     @cached_property
     def order_info(self) -> DataFrame:
@@ -152,37 +147,37 @@ class TestData:
         )
 
     @cached_property
-    def _name_rank(self) -> DataFrame:
-        return dense_rank_of(self.table("part"), "p_name", "spu_rank")
+    def _name_keys(self) -> DataFrame:
+        return surrogate_keys(self.table("part"), "p_name", "p_partkey", "spu_key")
 
     @cached_property
-    def _type_rank(self) -> DataFrame:
-        return dense_rank_of(self.table("part"), "p_type", "cat_rank")
+    def _type_keys(self) -> DataFrame:
+        return surrogate_keys(self.table("part"), "p_type", "p_partkey", "cat_key")
 
     def sku_info(self) -> DataFrame:
         p = self.table("part").select("p_partkey", "p_name", "p_brand", "p_type", "p_retailprice")
         return (
-            p.join(self._name_rank, "p_name", "left")
-            .join(self._type_rank, "p_type", "left")
+            p.join(self._name_keys, "p_name", "left")
+            .join(self._type_keys, "p_type", "left")
             .select(
                 F.col("p_partkey").cast("string").alias("id"),
-                F.col("spu_rank").cast("string").alias("spu_id"),
+                F.col("spu_key").cast("string").alias("spu_id"),
                 F.col("p_retailprice").cast("string").alias("price"),
                 F.col("p_name").alias("sku_name"),
-                F.substring("p_brand", 7, 1 << 20).alias("tm_id"),
-                F.col("cat_rank").cast("string").alias("category3_id"),
+                F.expr("substr(p_brand, 7)").alias("tm_id"),
+                F.col("cat_key").cast("string").alias("category3_id"),
             )
         )
 
     def spu_info(self) -> DataFrame:
-        return self._name_rank.select(F.col("spu_rank").cast("string").alias("id"), F.col("p_name").alias("spu_name"))
+        return self._name_keys.select(F.col("spu_key").cast("string").alias("id"), F.col("p_name").alias("spu_name"))
 
     def trademark_info(self) -> DataFrame:
         p = self.table("part").select("p_brand")
-        return p.select(F.substring("p_brand", 7, 1 << 20).alias("tm_id"), F.col("p_brand").alias("tm_name")).distinct()
+        return p.select(F.expr("substr(p_brand, 7)").alias("tm_id"), F.col("p_brand").alias("tm_name")).distinct()
 
     def category3_info(self) -> DataFrame:
-        return self._type_rank.select(F.col("cat_rank").cast("string").alias("id"), F.col("p_type").alias("name"))
+        return self._type_keys.select(F.col("cat_key").cast("string").alias("id"), F.col("p_type").alias("name"))
 
     def dimension(self, name: str) -> DataFrame:
         return {
@@ -227,7 +222,7 @@ class TestData:
 
     # ---- topic records (the files the topic-source stand-in reads) -------------
 
-    def app_log_records(self, topic: str = "GMALL_APP_LOG", partitions: int = 4) -> DataFrame:
+    def app_log_records(self, topic: str = "APP_LOG", partitions: int = 4) -> DataFrame:
         j = self.app_log_json()
         return j.select(
             F.col("event_id").cast("string").alias("key"),
@@ -254,7 +249,7 @@ class TestData:
             kind = F.when(F.col("g") % 10 == 0, "UPDATE").when(F.col("g") % 10 == 1, "DELETE").otherwise("INSERT")
             return grouped.select(
                 (F.col("g") * 4 + tag).alias("env_id"),
-                F.to_json(F.struct(F.lit("gmall").alias("database"), F.lit(table).alias("table"),
+                F.to_json(F.struct(F.lit("shop").alias("database"), F.lit(table).alias("table"),
                                    kind.alias("type"), F.col("data"))).alias("value"),
             )
 
@@ -273,11 +268,11 @@ class TestData:
         parts = []
         for i, (dim, (_schema, _key, table)) in enumerate(DIMENSIONS.items()):
             d = self.dimension(dim)
-            payload = F.to_json(F.struct(F.lit("gmall").alias("database"), F.lit(table).alias("table"),
+            payload = F.to_json(F.struct(F.lit("shop").alias("database"), F.lit(table).alias("table"),
                                          F.lit("insert").alias("type"), F.struct(*d.columns).alias("data")))
             parts.append(d.select(F.lit(table).alias("table"), payload.alias("value")))
             for j, marker in enumerate(("bootstrap-start", "bootstrap-complete")):
-                m = F.to_json(F.struct(F.lit("gmall").alias("database"), F.lit(table).alias("table"),
+                m = F.to_json(F.struct(F.lit("shop").alias("database"), F.lit(table).alias("table"),
                                        F.lit(marker).alias("type"), F.create_map().alias("data")))
                 parts.append(self.spark.range(1).select(F.lit(table).alias("table"), m.alias("value")))
         out = parts[0]

@@ -17,28 +17,28 @@ RECORD_COLUMNS = [f.name for f in TOPIC_RECORD.fields]
 
 
 def read_topic(spark: SparkSession, topic: str, *, fmt: str = "files", root: str | None = None,
-               stream: bool = False, starting_offsets: str = "latest", options: dict | None = None,
+               stream: bool = False, starting_offsets: str | None = None, options: dict | None = None,
                max_files_per_trigger: int | None = None) -> DataFrame:
     """Records of one topic: key, value, topic, partition, offset, timestamp.
 
     ``fmt="kafka"``: ``options`` carries ``kafka.bootstrap.servers`` and the like;
-    ``starting_offsets`` is ``latest`` unless a ledger says otherwise (S2).
-    ``fmt="files"``: the topic folder under ``root``.
+    ``starting_offsets`` comes from a ledger (S2).
+    ``fmt="files"``: the topic's folder under ``root``; files are read whole, a
+    stream's checkpoint remembers which, so there are no offsets to start from.
     """
     opts = dict(options or {})
+    if fmt != "kafka" and starting_offsets is not None:
+        raise ValueError("files have no offsets to start from")
     if fmt == "kafka":
         reader = spark.readStream if stream else spark.read
         df = (reader.format("kafka").option("subscribe", topic).option("startingOffsets", starting_offsets)
               .options(**opts).load())
         return df.select(F.col("key").cast("string"), F.col("value").cast("string"), "topic", "partition",
                          "offset", "timestamp")
-    path = f"{root.rstrip('/')}/{topic}"
-    if stream:
-        r = spark.readStream.schema(TOPIC_RECORD)
-        if max_files_per_trigger:
-            r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-        return r.parquet(path)
-    return spark.read.schema(TOPIC_RECORD).parquet(path)
+    reader = (spark.readStream if stream else spark.read).schema(TOPIC_RECORD)
+    if stream and max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return reader.parquet(root.rstrip("/")).where(F.col("topic") == topic).select(*RECORD_COLUMNS)
 
 
 def as_records(df: DataFrame, topic_col: str = "topic", value_col: str = "value", key_col: str | None = None) -> DataFrame:
@@ -47,32 +47,22 @@ def as_records(df: DataFrame, topic_col: str = "topic", value_col: str = "value"
     return df.select(F.col(topic_col).alias("topic"), key.alias("key"), F.col(value_col).alias("value"))
 
 
-def write_topic_batch(df: DataFrame, *, fmt: str = "files", root: str | None = None, batch_id: int = 0,
-                      options: dict | None = None, partitions: int = 4) -> None:
+def write_topic_batch(df: DataFrame, *, fmt: str = "files", root: str | None = None,
+                      batch_id: int | None = None, options: dict | None = None) -> None:
     """S3/S4 for one batch: rows of (topic, key, value) to their topics.
 
-    Files: one folder per topic; the batch goes to ``batch=<id>`` so a replayed
-    batch overwrites itself (idempotent).  Partition = hash(key) when keyed
-    (all lines of one order stay in order), else spread by value hash; offsets
-    and timestamps are assigned at write time by a real broker, here by the
-    batch id and a per-row number.
+    Files: appended under ``topic=<name>`` folders, where ``read_topic`` finds
+    them; with a batch id, in a ``batch=<id>`` folder below that a replay
+    overwrites.  A broker assigns partitions, offsets and times; files have
+    none, unless the rows bring their own.
     """
     if fmt == "kafka":
         df.select("topic", "key", "value").write.format("kafka").options(**(options or {})).save()
         return
-    part = F.pmod(F.hash(F.coalesce(F.col("key"), F.col("value"))), F.lit(partitions)).cast("int")
-    out = df.select(
-        "key", "value", "topic", part.alias("partition"),
-        (F.lit(int(batch_id)) * F.lit(1 << 40) + F.monotonically_increasing_id()).alias("offset"),
-        F.current_timestamp().alias("timestamp"),
-    )
-    (out.write.mode("overwrite").partitionBy("topic")
-     .parquet(f"{root.rstrip('/')}/_batches/batch={int(batch_id)}"))
-
-
-def read_written_topic(spark: SparkSession, root: str, topic: str) -> DataFrame:
-    """Records written by ``write_topic_batch`` for one topic (all batches)."""
-    from strata.sources.sinks import read_partitioned
-
-    base = f"{root.rstrip('/')}/_batches"
-    return read_partitioned(spark, base).where(F.col("topic") == topic).select(*RECORD_COLUMNS)
+    own = [F.col(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name)
+           for f in TOPIC_RECORD.fields]
+    if batch_id is None:
+        df.select(*own).write.mode("append").partitionBy("topic").parquet(root)
+        return
+    (df.select(*own, F.lit(int(batch_id)).alias("batch")).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("topic", "batch").parquet(root))

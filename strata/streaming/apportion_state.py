@@ -1,7 +1,7 @@
 """Streaming apportionment (D6): ``applyInPandasWithState`` keyed by order id.
 
 The state of an order is the sum of the line amounts seen so far and the sum
-of their shares.  A line that brings the running sum to the order's original
+of the shares given to them.  A line with an amount that brings the running sum to the order's original
 total takes ``final - shares so far``; any other line takes its share.  Lines
 of one order inside a micro-batch are handled in detail-id order (rows reach
 the function in no particular order, SURVEY T10).  State expires with the
@@ -62,10 +62,11 @@ def make_state_fn(scale: int | None, retention_s: int, order_col: str = "order_d
                 if quant is not None:
                     share = share.quantize(quant, rounding=ROUND_HALF_UP)
             running = lines + line
-            value = final - shares if (share is not None and running == total) else share
+            # a line without an amount never completes an order, so it can't take a second remainder
+            value = final - shares if (share is not None and line != 0 and running == total) else share
             lines = running
-            if share is not None:
-                shares += share
+            if value is not None:
+                shares += value
             values.append(None if value is None else float(value))
         pdf[out_col] = values
         last_ms = max(last_ms, int(pd.Timestamp(pdf[time_col].max()).value // 1_000_000))

@@ -18,17 +18,22 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from strata.functions.dates import ts_from_millis
+from strata.functions.json import encode_row
 from strata.operators.activity import DAU_COLUMNS, with_index_day
 from strata.operators.decode import decode_json
 from strata.operators.dims import decode_dimension
 from strata.operators.enrich import join_detail_dims, join_province, join_user_profile, with_create_parts
-from strata.operators.route import START_TOPIC, flatten_cdc_batch, project_start_log, route_app_log
+from strata.operators.route import START_TOPIC, cdc_rejects, flatten_cdc_batch, project_start_log, route_app_log, \
+    route_cdc_rows
 from strata.operators.wide import merge_wide, retained_join, window_join
-from strata.schemas import ORDER_DETAIL_WIRE, ORDER_INFO_WIRE
+from strata.schemas import ORDER_DETAIL_WIRE, ORDER_INFO_WIRE, TOPIC_RECORD
 from strata.sources.dimstore import DimensionStore
-from strata.sources.sinks import DayIndex
+from strata.sources.sinks import DayIndex, write_order_wide
 from strata.streaming.apportion_state import apportion_stream
 
+# Takes a batch's rejected rows and its id; writes them keyed by the id, as the sinks do.
+RejectSink = Callable[[DataFrame, int], None]
+
 
 def route_app_log_job(records: DataFrame, out_path: str, checkpoint: str) -> DataStreamWriter:
     """R1 + S3: app logs to the start / event topics (file stand-in: one folder per topic)."""
@@ -37,24 +42,43 @@ def route_app_log_job(records: DataFrame, out_path: str, checkpoint: str) -> Dat
             .option("path", out_path).outputMode("append"))
 
 
+def _to_topics(rows: DataFrame, out_path: str, checkpoint: str) -> DataStreamWriter:
+    """S3: rows with ``value`` and ``topic`` as topic records; they keep the arrival columns they have."""
+    cols = [F.col(f.name) if f.name in rows.columns else F.lit(None).cast(f.dataType).alias(f.name)
+            for f in TOPIC_RECORD.fields]
+    return (rows.select(*cols).writeStream.format("parquet").partitionBy("topic")
+            .option("checkpointLocation", checkpoint).option("path", out_path).outputMode("append"))
+
+
 def cdc_ods_job(envelopes: DataFrame, out_path: str, checkpoint: str) -> DataStreamWriter:
     """R2 + R4 + S3: batch-style CDC envelopes to per-table ODS topics."""
-    rows = flatten_cdc_batch(envelopes).select(F.lit(None).cast("string").alias("key"), "value", "topic")
-    return (rows.writeStream.format("parquet").partitionBy("topic").option("checkpointLocation", checkpoint)
+    return _to_topics(flatten_cdc_batch(envelopes), out_path, checkpoint)
+
+
+def cdc_rows_job(envelopes: DataFrame, out_path: str, checkpoint: str) -> DataStreamWriter:
+    """R3 + R4 + S3: row-style CDC envelopes to per-table ODS topics, with the arrival that S6 orders by."""
+    return _to_topics(route_cdc_rows(envelopes), out_path, checkpoint)
+
+
+def cdc_rejects_job(envelopes: DataFrame, out_path: str, checkpoint: str) -> DataStreamWriter:
+    """The envelopes that neither router can read, as they came."""
+    return (cdc_rejects(envelopes).writeStream.format("parquet").option("checkpointLocation", checkpoint)
             .option("path", out_path).outputMode("append"))
 
 
-def dimension_job(records: DataFrame, store: DimensionStore, schema, checkpoint: str,
-                  compact_every: int = 0) -> DataStreamWriter:
+def dimension_job(records: DataFrame, store: DimensionStore, schema, checkpoint: str, compact_every: int = 20,
+                  reject: RejectSink | None = None) -> DataStreamWriter:
     """Keep a dimension table up to date from its ODS topic (idempotent per batch id)."""
-    rows = decode_dimension(records, schema)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        store.write_batch(batch, batch_id)
+        decoded = decode_dimension(batch, schema, store.key)
+        store.write_batch(decoded.rows, batch_id)
+        if reject:
+            reject(decoded.quarantine, batch_id)
         if compact_every and batch_id > 0 and batch_id % compact_every == 0:
             store.compact(batch_id)
 
-    return rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return records.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
 
 
 def dau_job(records: DataFrame, index: DayIndex, checkpoint: str, delay: str = "1 day") -> DataStreamWriter:
@@ -84,13 +108,19 @@ def dau_job(records: DataFrame, index: DayIndex, checkpoint: str, delay: str = "
 
 def enrich_orders_job(ods_orders: DataFrame, read_provinces: Callable[[], DataFrame],
                       read_users: Callable[[], DataFrame], sink: Callable[[DataFrame, int], None],
-                      checkpoint: str, as_of_year: int | None = None) -> DataStreamWriter:
-    """R6 + J1 + J2: decode order rows, add date parts, province and user profile per batch."""
+                      checkpoint: str, as_of_year: int | None = None,
+                      reject: RejectSink | None = None) -> DataStreamWriter:
+    """R6 + J1 + J2: decode order rows, add date parts, province and user profile per batch.
+
+    ``reject`` takes the rows that can't be decoded.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         keep = tuple(c for c in ("timestamp",) if c in batch.columns)
-        rows = decode_json(batch, ORDER_INFO_WIRE, keep=keep).rows
-        rows = with_create_parts(rows)
+        decoded = decode_json(batch, ORDER_INFO_WIRE, keep=keep)
+        if reject:
+            reject(decoded.quarantine, batch_id)
+        rows = with_create_parts(decoded.rows)
         rows = join_province(rows, read_provinces())
         rows = join_user_profile(rows, read_users(), as_of_year=as_of_year)
         sink(rows, batch_id)
@@ -100,14 +130,24 @@ def enrich_orders_job(ods_orders: DataFrame, read_provinces: Callable[[], DataFr
 
 def enrich_details_job(ods_details: DataFrame, read_dims: Callable[[], tuple[DataFrame, ...]],
                        sink: Callable[[DataFrame, int], None], checkpoint: str,
-                       on_missing: str = "left") -> DataStreamWriter:
-    """Decode order lines and add the sku snowflake, dimensions read per batch."""
+                       on_missing: str = "left", reject: RejectSink | None = None) -> DataStreamWriter:
+    """Decode order lines and add the sku snowflake, dimensions read per batch.
+
+    ``reject`` takes the rows that can't be decoded and, with
+    ``on_missing="reject"``, the lines without a match as JSON.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         keep = tuple(c for c in ("timestamp",) if c in batch.columns)
-        rows = decode_json(batch, ORDER_DETAIL_WIRE, keep=keep).rows
+        decoded = decode_json(batch, ORDER_DETAIL_WIRE, keep=keep)
         sku, spu, tm, c3 = read_dims()
-        sink(join_detail_dims(rows, sku, spu, tm, c3, on_missing=on_missing).rows, batch_id)
+        enriched = join_detail_dims(decoded.rows, sku, spu, tm, c3, on_missing=on_missing)
+        if reject:
+            bad = decoded.quarantine.select("value")
+            if enriched.rejects is not None:
+                bad = bad.unionByName(enriched.rejects.select(encode_row(*enriched.rejects.columns).alias("value")))
+            reject(bad, batch_id)
+        sink(enriched.rows, batch_id)
 
     return ods_details.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
 
@@ -128,11 +168,22 @@ def wide_pairs_stream(info: DataFrame, detail: DataFrame, mode: str = "window",
 
 
 def order_wide_stream(info: DataFrame, detail: DataFrame, scale: int | None = 2, delay: str = "1 minute",
-                      time_col: str = "arrive_ts") -> DataFrame:
+                      time_col: str = "arrive_ts", mode: str = "window", retention_s: int = 600) -> DataFrame:
     """J4 -> R7 -> D6: the wide fact with apportioned line amounts, as one stream.
 
-    After the join only the header's arrival time is kept as event time (SURVEY T3).
+    ``mode="retained"`` joins by J5 instead.  After the join only the header's
+    arrival time is kept as event time (SURVEY T3).
     """
-    pairs = wide_pairs_stream(info, detail, "window", delay, time_col=time_col)
+    pairs = wide_pairs_stream(info, detail, mode, delay, retention_s, time_col)
     wide = merge_wide(pairs, keep=(F.col("i_" + time_col).alias(time_col),))
     return apportion_stream(wide, scale=scale, time_col=time_col, delay=None)
+
+
+def order_wide_job(info: DataFrame, detail: DataFrame, path: str, checkpoint: str, **options) -> DataStreamWriter:
+    """The wide fact from both feeds, stored in day folders; each batch overwrites its own part of a day."""
+    wide = order_wide_stream(with_create_parts(info), detail, **options)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        write_order_wide(batch, path, batch_id)
+
+    return wide.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)

@@ -1,11 +1,9 @@
 """Streaming twins of catalogue queries: the stream result must equal the batch oracle.
 
-Each twin stages its whole input as Parquet files in range chunks (the file
+Each twin stages its whole input as Parquet files in one write (the file
 stand-in for a topic, SURVEY T5/T6), runs the streaming job with
 ``availableNow`` and a checkpoint under the shared folder, and returns what
-the job's sink wrote.  Chunks are written one after another, so the file
-source reads them in order; within a chunk files may come in any order, which
-the watermark delays allow for.
+the job's sink wrote.
 """
 
 from __future__ import annotations
@@ -16,47 +14,38 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
+from strata.functions.money import sum_money
+from strata.functions.text import ODS_PREFIX
 from strata.operators.wide import merge_wide
 from strata.plans.warehouse import Warehouse
-from strata.schemas import DIMENSIONS
+from strata.schemas import DIMENSIONS, TOPIC_RECORD
 from strata.session import shared_path
 from strata.sources.dimstore import DimensionStore
-from strata.sources.sinks import DayIndex
+from strata.sources.sinks import DayIndex, read_order_wide
 from strata.sources.testdata import TestData
 from strata.streaming.apportion_state import apportion_stream
-from strata.streaming.jobs import dau_job, dimension_job, route_app_log_job, wide_pairs_stream
+from strata.streaming.jobs import cdc_ods_job, cdc_rows_job, dau_job, dimension_job, enrich_details_job, \
+    order_wide_job, route_app_log_job, wide_pairs_stream
 
 DAY_S = 86_400
-FILES_PER_CHUNK = 4
-# One chunk of event time per trigger; the watermark delay exceeds the chunk
-# width, so no row of the next chunk is ever behind the watermark.
-CHUNK_S = 4 * DAY_S
-DELAY = "5 days"
+FILES_PER_TRIGGER = 4
+ROWS_PER_FILE = 100_000
+# Files of one write come in any order, so no row may ever be late; what a
+# watermark drops is tested on its own.
+DELAY = "3650 days"
 
 
-def stage(df: DataFrame, path: str, order_col: str, width: int, sort_cols: tuple[str, ...] = ()) -> int:
-    """Write ``df`` under ``path`` as sequential appends of ``order_col`` ranges of ``width``.
+def stage(df: DataFrame, path: str, order_col: str, sort_cols: tuple[str, ...] = ()) -> None:
+    """Append ``df`` to ``path`` in one write, ranged on ``order_col`` (equal values share a file).
 
-    Each chunk is range-partitioned on ``order_col`` (equal keys stay in one
-    file).  Returns the number of chunks.  The input is computed once and
-    written beside the staging folder; bounds come from one aggregate on it.
+    The number of files, and so of triggers, follows the number of rows.
     """
-    spark = df.sparkSession
-    df.write.mode("overwrite").parquet(path + "_source")
-    df = spark.read.parquet(path + "_source")
-    lo, hi = df.agg(F.min(order_col), F.max(order_col)).first()
-    if lo is None:
-        df.limit(0).write.mode("append").parquet(path)
-        return 0
-    n = 0
-    start = int(lo)
-    while start <= int(hi):
-        part = df.where((F.col(order_col) >= start) & (F.col(order_col) < start + width))
-        (part.repartitionByRange(FILES_PER_CHUNK, order_col).sortWithinPartitions(order_col, *sort_cols)
-         .write.mode("append").parquet(path))
-        start += width
-        n += 1
-    return n
+    files = max(FILES_PER_TRIGGER, -(-df.count() // ROWS_PER_FILE))
+    df.repartitionByRange(files, order_col).sortWithinPartitions(order_col, *sort_cols).write.mode("append").parquet(path)
+
+
+def read_staged(spark: SparkSession, path: str, schema) -> DataFrame:
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", FILES_PER_TRIGGER).parquet(path)
 
 
 def run(writer: DataStreamWriter) -> None:
@@ -71,25 +60,23 @@ def run(writer: DataStreamWriter) -> None:
         raise RuntimeError(str(q.exception()))
 
 
+def ods_topic_name(table: str) -> str:
+    return ODS_PREFIX + table.upper()
+
+
 def _dirs(spark: SparkSession, name: str) -> tuple[str, str, str]:
     base = shared_path(spark, "twins", name, unique=True)
     return f"{base}/in", f"{base}/out", f"{base}/checkpoint"
 
 
-def _width(span: int, chunks: int) -> int:
-    return max(1, -(-span // chunks))
-
-
 # ---- twins ----------------------------------------------------------------------------------
 
 def stream_route_app_logs(spark, sf_dir):
     td = TestData(spark, sf_dir)
     src, out, ckpt = _dirs(spark, "route")
     rec = td.app_log_records()
-    lo, hi = rec.agg(F.min("offset"), F.max("offset")).first()
-    stage(rec, src, "offset", _width(int(hi) - int(lo) + 1, 4))
-    stream = spark.readStream.schema(rec.schema).option("maxFilesPerTrigger", FILES_PER_CHUNK).parquet(src)
-    run(route_app_log_job(stream, out, ckpt))
+    stage(rec, src, "offset")
+    run(route_app_log_job(read_staged(spark, src, rec.schema), out, ckpt))
     return spark.read.parquet(out).select("topic", F.col("key").cast("bigint").alias("event_id"))
 
 
@@ -99,10 +86,9 @@ def _stream_dim(dim: str) -> Callable[[SparkSession, str], DataFrame]:
         schema, key, _t = DIMENSIONS[dim]
         src, out, ckpt = _dirs(spark, f"dim_{dim}")
         hist = td.dimension_history(dim)
-        stage(hist, src, "offset", 1)
-        stream = spark.readStream.schema(hist.schema).option("maxFilesPerTrigger", FILES_PER_CHUNK).parquet(src)
+        stage(hist, src, "offset")
         store = DimensionStore(spark, out, key)
-        run(dimension_job(stream, store, schema, ckpt))
+        run(dimension_job(read_staged(spark, src, hist.schema), store, schema, ckpt))
         return store.read().select(*td.dimension(dim).columns)
 
     q.__name__ = f"stream_dim_upsert_{dim}"
@@ -113,8 +99,8 @@ def stream_dau_dedup(spark, sf_dir):
     td = TestData(spark, sf_dir)
     src, out, ckpt = _dirs(spark, "dau")
     rec = td.app_log_records().withColumn("_t", F.unix_seconds("timestamp"))
-    stage(rec, src, "_t", CHUNK_S)
-    stream = (spark.readStream.schema(rec.schema).option("maxFilesPerTrigger", FILES_PER_CHUNK).parquet(src).drop("_t"))
+    stage(rec, src, "_t")
+    stream = read_staged(spark, src, rec.schema).drop("_t")
     index = DayIndex(spark, out)
     run(dau_job(stream, index, ckpt, delay=DELAY))
     return index.read().select("mid", "uid", "ar", "ch", "vc", "dt", "hr", "mi", "ts")
@@ -135,14 +121,17 @@ def _arrivals(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     return _shifted(wh.td.order_info), _shifted(wh.td.order_detail)
 
 
+def _staged_feeds(spark, base: str, info: DataFrame, detail: DataFrame) -> tuple[DataFrame, DataFrame]:
+    stage(info, f"{base}/info", "arrive_s")
+    stage(detail, f"{base}/detail", "arrive_s")
+    return read_staged(spark, f"{base}/info", info.schema), read_staged(spark, f"{base}/detail", detail.schema)
+
+
 def _stream_pairs(mode: str, retention_s: int = 600):
     def q(spark, sf_dir):
         info, detail = _arrivals(spark, sf_dir)
         base = shared_path(spark, "twins", f"pairs_{mode}", unique=True)
-        stage(info, f"{base}/info", "arrive_s", CHUNK_S)
-        stage(detail, f"{base}/detail", "arrive_s", CHUNK_S)
-        si = spark.readStream.schema(info.schema).option("maxFilesPerTrigger", FILES_PER_CHUNK).parquet(f"{base}/info")
-        sd = spark.readStream.schema(detail.schema).option("maxFilesPerTrigger", FILES_PER_CHUNK).parquet(f"{base}/detail")
+        si, sd = _staged_feeds(spark, base, info, detail)
         pairs = wide_pairs_stream(si, sd, mode, delay=DELAY, retention_s=retention_s)
         out = pairs.select(F.col("i_id").alias("order_id"), F.col("d_id").alias("order_detail_id"))
         run(out.writeStream.format("parquet").option("path", f"{base}/out")
@@ -159,14 +148,66 @@ def stream_apportion_cents(spark, sf_dir):
     pairs = wh.window_pairs()
     wide = _shifted(merge_wide(pairs, keep=(F.col("i_arrive_s").alias("arrive_s"),)))
     src, out, ckpt = _dirs(spark, "apportion")
-    stage(wide, src, "arrive_s", CHUNK_S, sort_cols=("order_detail_id",))
-    stream = spark.readStream.schema(wide.schema).option("maxFilesPerTrigger", FILES_PER_CHUNK).parquet(src)
+    stage(wide, src, "arrive_s", sort_cols=("order_detail_id",))
+    stream = read_staged(spark, src, wide.schema)
     res = apportion_stream(stream.drop("final_detail_amount"), scale=2, delay=DELAY)
     run(res.select("order_id", "order_detail_id", "final_detail_amount").writeStream.format("parquet")
         .option("path", out).option("checkpointLocation", ckpt).outputMode("append"))
     return spark.read.parquet(out)
 
 
+def stream_order_wide(spark, sf_dir):
+    """D2 -> J4 -> R7 -> D6 -> stored fact; every fifth line and seventh header is delivered twice.
+
+    The lines of an order may come in several batches, so which of them
+    completes it is open: compared are each order's lines and their sum.
+    """
+    info, detail = _arrivals(spark, sf_dir)
+    info, detail = info.unionByName(info.where("id % 7 = 0")), detail.unionByName(detail.where("id % 5 = 0"))
+    base = shared_path(spark, "twins", "order_wide", unique=True)
+    si, sd = _staged_feeds(spark, base, info, detail)
+    run(order_wide_job(si, sd, f"{base}/out", f"{base}/checkpoint", delay=DELAY))
+    stored = read_order_wide(spark, f"{base}/out")
+    return stored.groupBy("dt", "order_id").agg(
+        F.count("*").alias("n_lines"), sum_money("final_detail_amount").cast("double").alias("amount"))
+
+
+def stream_cdc_dims(spark, sf_dir):
+    """R3 -> ODS topics -> S6, chained: the sku dimension from row-style envelopes."""
+    td = TestData(spark, sf_dir)
+    schema, key, table = DIMENSIONS["sku"]
+    src, out, ckpt = _dirs(spark, "cdc_dims")
+    env = td.cdc_row_envelopes().select(
+        "value", F.timestamp_seconds(F.lit(1704067200)).alias("timestamp"), F.lit(0).alias("partition"),
+        F.monotonically_increasing_id().alias("offset"))
+    stage(env, src, "offset")
+    run(cdc_rows_job(read_staged(spark, src, env.schema), f"{out}/ods", f"{ckpt}/ods"))
+    topic = ods_topic_name(table)
+    ods = spark.readStream.schema(TOPIC_RECORD).parquet(f"{out}/ods").where(F.col("topic") == topic)
+    store = DimensionStore(spark, f"{out}/dim", key)
+    run(dimension_job(ods, store, schema, f"{ckpt}/dim"))
+    return store.read().select(*td.sku_info().columns)
+
+
+def stream_detail_dims(spark, sf_dir):
+    """R2 -> ODS topics -> J3, chained: order lines with the sku snowflake, from batch-style envelopes."""
+    td = TestData(spark, sf_dir)
+    src, out, ckpt = _dirs(spark, "detail_dims")
+    env = td.cdc_batch_envelopes()
+    stage(env, src, "env_id")
+    run(cdc_ods_job(read_staged(spark, src, env.schema), f"{out}/ods", f"{ckpt}/ods"))
+    lines = (spark.readStream.schema(TOPIC_RECORD).parquet(f"{out}/ods")
+             .where(F.col("topic") == ods_topic_name("order_detail")))
+
+    def sink(rows: DataFrame, batch_id: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{out}/dwd/batch={batch_id}")
+
+    dims = lambda: (td.sku_info(), td.spu_info(), td.trademark_info(), td.category3_info())
+    run(enrich_details_job(lines, dims, sink, f"{ckpt}/dwd"))
+    return spark.read.parquet(f"{out}/dwd").select(
+        "id", "order_id", "sku_id", "spu_id", "tm_id", "category3_id", "spu_name", "tm_name", "category3_name")
+
+
 def twins() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "stream_route_app_logs": stream_route_app_logs,
@@ -176,6 +217,9 @@ def twins() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_wide_window_join": _stream_pairs("window"),
         "stream_wide_retained_join": _stream_pairs("retained", retention_s=10),
         "stream_apportion_cents": stream_apportion_cents,
+        "stream_order_wide": stream_order_wide,
+        "stream_cdc_dims": stream_cdc_dims,
+        "stream_detail_dims": stream_detail_dims,
     }
 
 
@@ -187,9 +231,15 @@ _BATCH_OF = {
     "stream_wide_window_join": "wide_window_join",
     "stream_wide_retained_join": "wide_retained_join",
     "stream_apportion_cents": "apportion_cents",
+    "stream_order_wide": "order_wide_sums",
+    "stream_cdc_dims": "dim_upsert_sku",
+    "stream_detail_dims": "detail_dims_inserted",
 }
 
 
 def twin_oracles(batch: dict[str, str]) -> dict[str, str]:
-    """A twin's oracle is the batch oracle of the same query."""
-    return {k: batch[v] for k, v in _BATCH_OF.items() if v in batch}
+    """A twin's oracle is the batch oracle of the same query, or one of its own."""
+    from strata.plans.oracle import twin_only
+
+    every = batch | twin_only()
+    return {k: every[v] for k, v in _BATCH_OF.items() if v in every}
