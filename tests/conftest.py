@@ -1,10 +1,12 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+sys.path.insert(0, ROOT)
+# Python workers import the package by path.
+os.environ["PYTHONPATH"] = os.pathsep.join([ROOT, os.environ.get("PYTHONPATH", "")])
 
 SF_SMALL = "/root/testdata/sf0.001"
 
@@ -24,8 +26,3 @@ def scratch(spark):
     from strata.session import shared_path
 
     return shared_path(spark, "tests", unique=True)
-
-
-@pytest.fixture()
-def tmpdir_local():
-    return tempfile.mkdtemp(prefix="strata-test-")

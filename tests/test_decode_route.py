@@ -5,19 +5,44 @@ import json
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.operators.decode import decode_json
-from strata.operators.route import EVENT_TOPIC, START_TOPIC, flatten_cdc_batch, route_app_log, route_cdc_rows
+from strata.operators.decode import decode_json, pick_columns
+from strata.operators.route import EVENT_TOPIC, START_TOPIC, cdc_rejects, flatten_cdc_batch, project_start_log, \
+    route_app_log, route_cdc_rows, start_log_rejects
 
 SCHEMA = T.StructType([T.StructField("id", T.LongType()), T.StructField("amt", T.DoubleType()),
                        T.StructField("name", T.StringType())])
 
 
 def test_decode_quoted_missing_malformed(spark):
-    rows = [('{"id":"7","amt":"1.5","name":"a"}',), ('{"id":8}',), ("not json",), ('{"id":"x"}',)]
+    rows = [('{"id":"7","amt":"1.5","name":"a"}',), ('{"id":8}',), ("not json",), ('{"id":"x"}',),
+            ('{"id":9,"amt":"12,5"}',), (None,)]
     res = decode_json(spark.createDataFrame(rows, "value string"), SCHEMA)
     got = sorted(tuple(r) for r in res.rows.collect())
-    assert got == [(0, 0.0, None), (7, 1.5, "a"), (8, 0.0, None)]
-    assert [r.value for r in res.quarantine.collect()] == ["not json"]
+    assert got == [(7, 1.5, "a"), (8, 0.0, None)]
+    assert {r.value for r in res.quarantine.collect()} == {"not json", '{"id":"x"}', '{"id":9,"amt":"12,5"}', None}
+
+
+def test_dimension_rows_need_their_key(spark):
+    rows = [('{"id":"1","name":"a"}',), ("{}",), ('{"name":"b"}',), (None,), ("[",)]
+    res = pick_columns(spark.createDataFrame(rows, "value string"), SCHEMA, "id")
+    assert [(r.id, r.name) for r in res.rows.collect()] == [("1", "a")]
+    assert res.quarantine.count() == 4
+
+
+def test_start_logs_with_quoted_or_no_time(spark):
+    rows = [('{"common":{"mid":"m1"},"ts":"1598351203000"}',), ('{"common":{"mid":"m2"},"ts":1598351203000}',),
+            ('{"common":{"mid":"m3"}}',), ('{"common":{},"ts":1}',), ("{",), (None,), ('{"common":{"mid":"m4"},"ts":"x"}',)]
+    df = spark.createDataFrame(rows, "value string")
+    got = sorted((r.mid, r.dt, r.hr, r.ts) for r in project_start_log(df).collect())
+    assert got == [("m1", "2020-8-25", "10", 1598351203000), ("m2", "2020-8-25", "10", 1598351203000)]
+    assert start_log_rejects(df).count() == 5
+
+
+def test_cdc_rejects(spark):
+    good = '{"type":"insert","table":"t","data":{"id":1}}'
+    rows = [(good,), ('{"type":"insert"}',), ("nope",), (None,)]
+    df = spark.createDataFrame(rows, "value string")
+    assert cdc_rejects(df).count() == 3 and route_cdc_rows(df).count() == 1
 
 
 def test_route_five_cases(spark):

@@ -1,8 +1,12 @@
 """Operator semantics on hand-made rows (FIXTURES.md §D)."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamWriter
 
+from strata.functions.dates import processing_day
 from strata.operators.apportion import apportion
 from strata.operators.dedup import first_per_key, last_per_key
 from strata.operators.dims import upsert
@@ -10,7 +14,8 @@ from strata.operators.enrich import join_detail_dims
 from strata.operators.offsets import merge_ledgers, offset_ledger
 from strata.operators.wide import full_outer, retained_join, window_join
 from strata.sources.dimstore import DimensionStore
-from strata.sources.sinks import DayIndex
+from strata.sources.sinks import DayIndex, console
+from strata.sources.topics import read_topic, write_topic_batch
 
 WIDE = "order_id long, order_detail_id long, sku_price double, sku_num long, final_total_amount double, " \
        "original_total_amount double"
@@ -131,6 +136,7 @@ def test_dimension_store_replay_is_idempotent(spark, scratch):
     store.write_batch(batch([("1", "a2", 2)]), 1)  # replay of batch 1
     assert sorted(tuple(r) for r in store.read().collect()) == [("1", "a2"), ("2", "b")]
     store.compact(1)
+    store.compact(1)  # replay of a compaction
     store.write_batch(batch([("2", "b2", 3)]), 2)
     assert sorted(tuple(r) for r in store.read().collect()) == [("1", "a2"), ("2", "b2")]
 
@@ -152,3 +158,59 @@ def test_offset_ledger(spark):
     assert sorted(tuple(r) for r in led.collect()) == [("t", 0, 10), ("t", 1, 3)]
     old = spark.createDataFrame([("t", 0, 20)], "topic string, partition int, next_offset long")
     assert sorted(tuple(r) for r in merge_ledgers(old, led).collect()) == [("t", 0, 20), ("t", 1, 3)]
+
+
+def test_dimension_store_takes_the_last_arrival_whatever_the_batches(spark, scratch):
+    store = DimensionStore(spark, scratch, "id")
+    rows = [("1", "old", 0, 0), ("1", "new", 1, 5), ("2", "only", 0, 1)]
+    t = F.timestamp_seconds(F.lit(0))
+    df = spark.createDataFrame(rows, "id string, name string, partition int, offset long").withColumn("timestamp", t)
+    store.write_batch(df.repartition(3), 0)  # two versions of a key in one batch, over several partitions
+    assert sorted(tuple(r) for r in store.read().collect()) == [("1", "new"), ("2", "only")]
+    store.write_batch(df.where("name = 'old'"), 1)  # a late redelivery of the older version
+    assert sorted(tuple(r) for r in store.read().collect()) == [("1", "new"), ("2", "only")]
+
+
+def test_topics_round_trip(spark, scratch):
+    df = spark.createDataFrame([("a", "k", "1"), ("b", None, "2")], "topic string, key string, value string")
+    for _ in range(2):  # the replay of a batch overwrites it
+        write_topic_batch(df, root=scratch, batch_id=3)
+    assert [(r.key, r.value, r.offset) for r in read_topic(spark, "a", root=scratch).collect()] == [("k", "1", None)]
+    assert read_topic(spark, "b", root=scratch).count() == 1
+    write_topic_batch(df, root=f"{scratch}/plain")
+    assert read_topic(spark, "b", root=f"{scratch}/plain").count() == 1
+    with pytest.raises(ValueError):
+        read_topic(spark, "a", root=scratch, starting_offsets="earliest")
+
+
+def test_strict_lookup_cannot_be_pruned(spark):
+    details = spark.createDataFrame([(1, 1, 9)], "id long, order_id long, sku_id long")
+    sku = spark.createDataFrame([], "id string, spu_id string, tm_id string, category3_id string")
+    spu = spark.createDataFrame([], "id string, spu_name string")
+    tm = spark.createDataFrame([], "tm_id string, tm_name string")
+    c3 = spark.createDataFrame([], "id string, name string")
+    rows = join_detail_dims(details, sku, spu, tm, c3, on_missing="strict").rows
+    for df in (rows.select("id"), rows.groupBy("order_id").count(), rows.select("tm_name")):
+        with pytest.raises(Exception, match="no dimension match"):
+            df.collect()
+
+
+def test_zero_and_negative_lines_apportion_exactly(spark):
+    def shares(total, final, lines, scale=2):
+        rows = [(1, i, float(p), 1, float(total), float(final)) for i, p in enumerate(lines)]
+        df = spark.createDataFrame(rows, "order_id long, order_detail_id long, sku_price double, sku_num long, "
+                                         "original_total_amount double, final_total_amount double")
+        return [r.final_detail_amount for r in apportion(df, scale=scale).orderBy("order_detail_id").collect()]
+
+    assert shares(3, 1, [1, 1, 1, 0]) == [0.33, 0.33, 0.34, 0.0]
+    assert shares(3, 1, [0, 1, 1, 1]) == [0.0, 0.33, 0.33, 0.34]
+    assert round(sum(shares(3, 1, [2, 2, -1])), 2) == 1.0
+    assert shares(0, 1, [0, 0]) == [None, None]
+    assert sum(shares(30_000_000_000, 20_000_000_000, [10_000_000_000] * 3)) == 20_000_000_000
+
+
+def test_processing_day_and_console(spark):
+    day = spark.range(1).select(processing_day().alias("d")).first().d
+    assert re.fullmatch(r"\d{4}-\d{2}-\d{2}|\d{8}", str(day))
+    writer = console(spark.readStream.format("rate").load(), num_rows=3)
+    assert isinstance(writer, DataStreamWriter)

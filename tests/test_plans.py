@@ -2,7 +2,7 @@
 
 from conftest import SF_SMALL
 from strata.operators.apportion import apportion
-from strata.plans.catalog import order_province, range_search
+from strata.plans.catalog import detail_dims, order_amount_hour, order_province, order_wide, range_search
 from strata.plans.warehouse import Warehouse
 
 
@@ -17,10 +17,30 @@ def test_range_predicate_reaches_scan(spark):
     assert "ReadSchema: struct<p_partkey:bigint,p_name:string,p_size:int>" in plan
 
 
-def test_province_lookup_is_broadcast(spark):
-    plan = _plan(order_province(spark, SF_SMALL))
-    assert "BroadcastHashJoin" in plan
-    assert "SortMergeJoin" not in plan
+def test_no_job_while_a_query_is_built(spark):
+    """Apart from queries that write, building a query runs nothing but Parquet footer reads."""
+    tracker, sc = spark.sparkContext.statusTracker(), spark.sparkContext
+    wh = Warehouse(spark, SF_SMALL)
+    _ = wh.td.order_info, wh.td.order_detail, wh.td.sku_info()  # footers of the tables
+    sc.setJobGroup("build", "build")
+    try:
+        for build in (order_province, detail_dims, order_wide):
+            build(spark, SF_SMALL)
+        names = [tracker.getStageInfo(s).name for j in tracker.getJobIdsForGroup("build")
+                 for s in tracker.getJobInfo(j).stageIds if tracker.getStageInfo(s)]
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    assert all("parquet" in n for n in names), names
+
+
+def test_stored_fact_is_pruned_by_day(spark):
+    plan = order_amount_hour(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(dt" in plan and "lineitem" not in plan
+
+
+def test_sku_snowflake_scans_part_seven_times_at_most(spark):
+    plan = detail_dims(spark, SF_SMALL)._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("FileScan parquet") <= 8  # seven of part, one of lineitem
 
 
 def test_apportion_uses_aggregates_not_a_window(spark):

@@ -9,7 +9,7 @@ from strata.plans.catalog import dau_dedup, route_app_logs
 from strata.sources.sinks import DayIndex
 from strata.sources.testdata import TestData
 from strata.streaming.jobs import dau_job
-from strata.streaming.twins import DAY_S, run, stage, stream_route_app_logs
+from strata.streaming.twins import run, stage, stream_route_app_logs
 
 
 def _rows(df):
@@ -24,7 +24,7 @@ def test_dau_stream_restart_half_way(spark, scratch):
     td = TestData(spark, SF_SMALL)
     rec = td.app_log_records().withColumn("_t", F.unix_seconds("timestamp"))
     src = f"{scratch}/in"
-    stage(rec.where(F.col("ts") < F.lit("2024-01-15").cast("timestamp")), src, "_t", 4 * DAY_S)
+    stage(rec.where(F.col("ts") < F.lit("2024-01-15").cast("timestamp")), src, "_t")
     index = DayIndex(spark, f"{scratch}/out")
     ckpt = f"{scratch}/checkpoint"
 
@@ -34,7 +34,7 @@ def test_dau_stream_restart_half_way(spark, scratch):
 
     run(job())
     # the second half arrives after the query stopped; the restart resumes from the checkpoint
-    stage(rec.where(F.col("ts") >= F.lit("2024-01-15").cast("timestamp")), src, "_t", 4 * DAY_S)
+    stage(rec.where(F.col("ts") >= F.lit("2024-01-15").cast("timestamp")), src, "_t")
     run(job())
     cols = ["mid", "uid", "ar", "ch", "vc", "dt", "hr", "mi", "ts"]
     assert _rows(index.read().select(*cols)) == _rows(dau_dedup(spark, SF_SMALL).select(*cols))
