@@ -26,11 +26,3 @@ def last_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Da
     payload = [c for c in df.columns if c not in keys]
     best = F.max_by(F.struct(*payload), F.struct(*order))
     return df.groupBy(*keys).agg(best.alias("_r")).select(*keys, *[F.col("_r." + c).alias(c) for c in payload])
-
-
-def first_per_key_stream(df: DataFrame, keys: Sequence[str], event_time: str, delay: str) -> DataFrame:
-    """Streaming D1/D2: first arrival per key; state kept while within the watermark.
-
-    A row later than the watermark is dropped here but kept in batch (SURVEY T9).
-    """
-    return df.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(keys))

@@ -59,7 +59,7 @@ def join_user_profile(orders: DataFrame, users: DataFrame, as_of_year: int | Non
 
 def users_needed(users: DataFrame, orders: DataFrame) -> DataFrame:
     """R11 + A8: the user rows whose id occurs among the orders' user ids (semi join)."""
-    keys = orders.select(F.col("user_id").cast("string").alias("_uid"))
+    keys = distinct_keys(orders.select(F.col("user_id").cast("string").alias("_uid")), "_uid")
     return users.join(keys, users["id"] == keys["_uid"], "left_semi")
 
 

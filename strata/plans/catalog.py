@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions.json import encode_row
+from strata.functions.money import money
 from strata.functions.text import row_text
 from strata.operators import dashboard as dash
 from strata.operators.apportion import apportion
@@ -69,7 +70,8 @@ def cdc_batch_flatten(spark, sf_dir):
 
 def cdc_row_route(spark, sf_dir):
     routed = route_cdc_rows(_wh(spark, sf_dir).td.cdc_row_envelopes())
-    return routed.groupBy("topic").agg(F.count(F.lit(1)).alias("n"))
+    key = F.coalesce(F.get_json_object("value", "$.id"), F.get_json_object("value", "$.tm_id"))
+    return routed.select("topic", key.alias("key"))
 
 
 def _decoded_orders(spark, sf_dir):
@@ -218,7 +220,9 @@ def apportion_cents(spark, sf_dir):
 def wide_row_text(spark, sf_dir):
     td = _wh(spark, sf_dir).td
     wide = merge_wide(inner_pairs(td.order_info, td.order_detail))
-    return wide.select("order_detail_id", row_text("order_id", "order_detail_id", "sku_num").alias("text"))
+    amounts = ("sku_price", "original_total_amount", "final_total_amount", "final_detail_amount")
+    text = row_text("order_id", "order_detail_id", "sku_price", "sku_num", *amounts[1:])
+    return wide.withColumns({c: money(c) for c in amounts}).select("order_detail_id", text.alias("text"))
 
 
 # ---- activity and dashboard ---------------------------------------------------------
@@ -241,14 +245,17 @@ def dau_hour(spark, sf_dir):
 _STORED: dict[tuple[str, str], str] = {}
 
 
-def stored_wide(spark, sf_dir):
-    """The wide fact as the dashboard's store keeps it: written once a session for a directory, by ``dt``."""
+def stored_wide(spark, sf_dir, *days):
+    """The wide fact as the dashboard's store keeps it: written once a session for a directory, by ``dt``.
+
+    With ``days``, only those days' folders.
+    """
     at = (spark.sparkContext.applicationId, sf_dir)
     if at not in _STORED:
         path = shared_path(spark, "order_wide", unique=True)
         write_order_wide(_wh(spark, sf_dir).order_wide(scale=2), path)
         _STORED[at] = path
-    return read_order_wide(spark, _STORED[at])
+    return read_order_wide(spark, _STORED[at], days or None)
 
 
 def sink_order_wide(spark, sf_dir):
@@ -258,14 +265,14 @@ def sink_order_wide(spark, sf_dir):
 
 
 def order_amount_total(spark, sf_dir):
-    out = dash.order_amount_totals(stored_wide(spark, sf_dir), ORDER_DATE,
+    out = dash.order_amount_totals(stored_wide(spark, sf_dir, ORDER_DATE), ORDER_DATE,
                                    ("final_total_amount", "final_detail_amount"))
     return out.select(F.col("final_total_amount").cast("double").alias("amount_order_total"),
                       F.col("final_detail_amount").cast("double").alias("amount_line_share"))
 
 
 def order_amount_hour(spark, sf_dir):
-    out = dash.order_amount_hour(stored_wide(spark, sf_dir), ORDER_DATE)
+    out = dash.order_amount_hour(stored_wide(spark, sf_dir, ORDER_DATE), ORDER_DATE)
     return out.select(F.col("hr").cast("bigint").alias("hr"), F.col("amount").cast("double").alias("amount"))
 
 
@@ -279,13 +286,13 @@ def hourly_compare_dau(spark, sf_dir):
 
 
 def hourly_compare_amount(spark, sf_dir):
-    out = dash.hourly_compare("order_amount", stored_wide(spark, sf_dir), ORDER_DATE)
+    out = dash.hourly_compare("order_amount", stored_wide(spark, sf_dir, ORDER_DATE, dash.yesterday(ORDER_DATE)), ORDER_DATE)
     return out.select("day", "hr", F.col("value").cast("double").alias("value"))
 
 
 def kpi_list(spark, sf_dir):
     wh = _wh(spark, sf_dir)
-    return dash.kpi_list(wh.dau, stored_wide(spark, sf_dir), DAU_DATE, order_date=ORDER_DATE)
+    return dash.kpi_list(wh.dau, stored_wide(spark, sf_dir, ORDER_DATE), DAU_DATE, order_date=ORDER_DATE)
 
 
 def range_search(spark, sf_dir):
@@ -302,7 +309,8 @@ def sink_archive(spark, sf_dir):
     path = shared_path(spark, "archive", unique=True)
     archive_text(logs, path, batch_id=0)
     back = read_archive(spark, path)
-    return back.groupBy(F.col("dt").cast("string").alias("dt")).agg(F.count(F.lit(1)).alias("n"))
+    return back.select("dt", F.get_json_object("value", "$.common.mid").alias("mid"),
+                       F.get_json_object("value", "$.ts").cast("bigint").alias("ts"))
 
 
 def sink_upsert(spark, sf_dir):
@@ -319,8 +327,7 @@ def sink_append(spark, sf_dir):
     path = shared_path(spark, "append", unique=True)
     append_documents(a.where("has_start").select("event_id", "ch"), path)
     append_documents(a.where("not has_start").select("event_id", "ch"), path)
-    back = spark.read.parquet(path)
-    return back.groupBy("ch").agg(F.count(F.lit(1)).alias("n"))
+    return spark.read.parquet(path).select("event_id", "ch")
 
 
 def sink_topic(spark, sf_dir):

@@ -156,7 +156,8 @@ select 'ODS_T_ORDER_INFO' as topic, id from order_info where (id // 4) % 10 >= 2
 union all
 select 'ODS_T_ORDER_DETAIL' as topic, id from order_detail where (order_id // 4) % 10 >= 2""",
     "cdc_row_route": " union all ".join(
-        f"select 'ODS_T_{t}' as topic, count(*) as n from {_DIM_VIEWS[d]}" for d, t in _DIM_TOPICS.items()),
+        f"select 'ODS_T_{t}' as topic, {'tm_id' if d == 'trademark' else 'id'} as key from {_DIM_VIEWS[d]}"
+        for d, t in _DIM_TOPICS.items()),
     "decode_order_info": """
 select id, province_id, order_status, user_id, final_total_amount, cast(0 as double) as benefit_reduce_amount,
        original_total_amount, cast(0 as double) as feight_fee, cast(null as varchar) as expire_time, create_time,
@@ -265,15 +266,19 @@ from cents_wide where dt = '1996-09-17'""",
     "range_text_search": r"""
 select p_partkey, p_name, cast(p_size as bigint) as p_size from part
 where p_size between 6 and 10 and list_contains(regexp_split_to_array(lower(p_name), '[^\p{L}\p{N}_]+'), 'red')""",
-    "sink_archive": "select strftime(ts, '%Y-%m-%d') as dt, count(*) as n from app_log group by 1",
+    "sink_archive": "select strftime(ts, '%Y-%m-%d') as dt, mid, epoch_us(ts) // 1000 as ts from app_log",
     "sink_upsert": f"select {_DAU_COLS} from dau",
-    "sink_append": "select ch, count(*) as n from app_log group by ch",
+    "sink_append": "select event_id, ch from app_log",
     "sink_topic": """
 select case when has_start then 'GMALL_START' else 'GMALL_EVENT' end as topic, event_id, mid from app_log""",
     "wide_row_text": """
 select d.id as order_detail_id,
        concat('order_id:', cast(i.id as varchar), '|order_detail_id:', cast(d.id as varchar),
-              '|sku_num:', cast(d.sku_num as varchar)) as text
+              '|sku_price:', cast(cast(d.order_price as decimal(18,2)) as varchar),
+              '|sku_num:', cast(d.sku_num as varchar),
+              '|original_total_amount:', cast(cast(i.original_total_amount as decimal(18,2)) as varchar),
+              '|final_total_amount:', cast(cast(i.final_total_amount as decimal(18,2)) as varchar),
+              '|final_detail_amount:0.00') as text
 from order_info i join order_detail d on i.id = d.order_id""",
 }
 _RAW["sink_order_wide"] = _RAW["order_wide"].replace(

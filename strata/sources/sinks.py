@@ -78,7 +78,9 @@ class DayIndex:
 
 def write_order_wide(wide: DataFrame, path: str, batch_id: int | None = None) -> None:
     """The wide order fact, in ``dt=<day>`` folders; a batch id adds ``batch=<id>`` folders that a replay overwrites."""
-    out = wide.select(*[f.name for f in ORDER_WIDE.fields])
+    # A day's rows go to one task, which streams them to one file, and the days to many tasks.
+    tasks = int(wide.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    out = wide.select(*[f.name for f in ORDER_WIDE.fields]).repartition(tasks, "dt")
     if batch_id is None:
         out.write.mode("append").partitionBy("dt").parquet(path)
     else:
@@ -86,9 +88,20 @@ def write_order_wide(wide: DataFrame, path: str, batch_id: int | None = None) ->
          .option("partitionOverwriteMode", "dynamic").partitionBy("dt", "batch").parquet(path))
 
 
-def read_order_wide(spark: SparkSession, path: str) -> DataFrame:
-    """The stored wide fact; a filter on ``dt`` reads that day's folders only."""
-    return spark.read.schema(ORDER_WIDE).parquet(path)
+def read_order_wide(spark: SparkSession, path: str, days: Sequence[str] | None = None) -> DataFrame:
+    """The stored wide fact; a filter on ``dt`` reads that day's folders only.
+
+    ``days`` names the folders to look at, so that the others aren't even
+    listed; a day without a folder has no rows.
+    """
+    reader = spark.read.schema(ORDER_WIDE).option("basePath", path)
+    if days is None:
+        return reader.parquet(path)
+    jvm = spark.sparkContext._jvm
+    folders = [jvm.org.apache.hadoop.fs.Path(f"{path}/dt={d}") for d in days]
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    there = [f.toString() for f in folders if f.getFileSystem(conf).exists(f)]
+    return reader.parquet(*there) if there else spark.createDataFrame([], ORDER_WIDE)
 
 
 def append_documents(df: DataFrame, path: str, id_col: str = "_id") -> None:
