@@ -15,7 +15,8 @@ of ids is read without decoding what comes before it.
 
 All numbers are little-endian.  The files are Parquet tables of such rows in
 ascending (doc_id, hash of text) order, so that any store Spark can write takes
-them: Spark ranges the documents, and each task encodes its range.
+them: Spark ranges the documents, and each task (a part) encodes its range.  A
+row also holds the number of its part's ids before it.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm.common import new_path, table, texts
@@ -114,7 +115,7 @@ def decode(data: bytes, start: int = 0, stop: int | None = None) -> np.ndarray:
     return out.ravel()[start - a * BLOCK : stop - a * BLOCK]
 
 
-FILE_SCHEMA = "part int, number int, doc_ids array<long>, doc_sizes array<int>, data binary"
+FILE_SCHEMA = "part int, start long, doc_ids array<long>, doc_sizes array<int>, data binary"
 
 
 def write_ids(
@@ -135,7 +136,7 @@ def write_ids(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        part, number = TaskContext.get().partitionId(), 0
+        part, before = TaskContext.get().partitionId(), 0
         last = np.array([end], "<u4")
         ids: list = []
         held: list[np.ndarray] = []
@@ -144,12 +145,12 @@ def write_ids(
         def row() -> pa.RecordBatch:
             columns = [
                 pa.array([part], pa.int32()),
-                pa.array([number], pa.int32()),
+                pa.array([before], pa.int64()),
                 pa.array([ids], pa.list_(pa.int64())),
                 pa.array([[len(x) for x in held]], pa.list_(pa.int32())),
                 pa.array([encode(np.concatenate(held))], pa.binary()),
             ]
-            return pa.RecordBatch.from_arrays(columns, ["part", "number", "doc_ids", "doc_sizes", "data"])
+            return pa.RecordBatch.from_arrays(columns, ["part", "start", "doc_ids", "doc_sizes", "data"])
 
         code = encoder(tokenizer).encode
         for batch, strings in texts(batches):
@@ -159,7 +160,7 @@ def write_ids(
                 size += len(held[-1])
                 if size >= row_ids:
                     yield row()
-                    ids, held, size, number = [], [], 0, number + 1
+                    ids, held, size, before = [], [], 0, before + size
         if ids:
             yield row()
 
@@ -175,18 +176,15 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
     """``(doc_id, start, n_tokens, ids)`` of each document from the files; start counts the ids of all documents before it."""
     rows = spark.read.schema(FILE_SCHEMA).parquet(path)
     # The ids before each part: a total per part, summed in order on the driver (as many numbers as the write had tasks).
-    totals = rows.select("part", F.expr("aggregate(doc_sizes, 0L, (a, n) -> a + n)").alias("n"), "number")
-    by_part = sorted(totals.groupBy("part").agg(F.sum("n").alias("n")).collect())
+    total = F.expr("start + aggregate(doc_sizes, 0L, (a, n) -> a + n)")
+    by_part = sorted(rows.groupBy("part").agg(F.max(total).alias("n")).collect())
     begins = np.concatenate([[0], np.cumsum([r["n"] for r in by_part], dtype=np.int64)]).tolist()
     before = {r["part"]: begins[i] for i, r in enumerate(by_part)}
-    # The ids before each row in its part; rows are few, thousands of documents each.
-    in_part = F.sum("n").over(Window.partitionBy("part").orderBy("number").rowsBetween(Window.unboundedPreceding, -1))
-    row_start = totals.select("part", "number", F.coalesce(in_part, F.lit(0)).alias("row_start"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
-                part, doc_ids, sizes, data, at = (batch.column(c)[k].as_py() for c in ("part", "doc_ids", "doc_sizes", "data", "row_start"))
+                part, doc_ids, sizes, data, at = (batch.column(c)[k].as_py() for c in ("part", "doc_ids", "doc_sizes", "data", "start"))
                 ids, cuts = decode(data), np.cumsum([0, *sizes])
                 held = [ids[a:b].astype("<u4").tobytes() for a, b in zip(cuts, cuts[1:], strict=False)]
                 starts = cuts[:-1] + at + before[part]
@@ -195,7 +193,7 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
                     ["doc_id", "start", "n_tokens", "ids"],
                 )
 
-    return rows.join(row_start, ["part", "number"]).mapInArrow(run, "doc_id long, start long, n_tokens long, ids binary")
+    return rows.mapInArrow(run, "doc_id long, start long, n_tokens long, ids binary")
 
 
 def op9_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
