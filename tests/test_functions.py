@@ -1,6 +1,5 @@
 """Scalar functions on the hand-made edge rows of FIXTURES.md §D."""
 
-from pyspark.sql import functions as F
 
 from strata.functions import (age, age_group, compact_day, day_str, gender_label, hour_of, hour_str, minute_str,
                               prev_day, row_text, split_create_time, ts_from_millis)

@@ -1,6 +1,5 @@
 """Stream = batch, including a restart half-way."""
 
-import os
 
 from pyspark.sql import functions as F
 
