@@ -288,7 +288,7 @@ def _base(reduced: DataFrame) -> DataFrame:
 
 
 class Piece:
-    """Neighbouring buckets' slices, one after the other."""
+    """Some buckets' slices, one after the other."""
 
     def __init__(self, slices: dict[int, bytes], buckets: int):
         self.words = np.frombuffer(b"".join(slices.values()), "<u8")
@@ -329,7 +329,7 @@ def train(docs: DataFrame, config: Config, buckets: int | None = None, block_byt
     reduced = written(_reduce(_count(docs, buckets, block_bytes), config), "lm-counts", partition_by="kind")
     sizes = reduced.filter("kind = 'sizes'").agg(F.sum("tokens").alias("n"), F.sum("types").alias("v")).first()
     pieces, held, size = [], {}, 0
-    for r in reduced.filter("kind = 'filter'").select("bucket", "data").orderBy("bucket").toLocalIterator():
+    for r in reduced.filter("kind = 'filter'").select("bucket", "data").toLocalIterator():
         if held and size + len(r["data"]) > piece_bytes:
             pieces.append(spark.sparkContext.broadcast(Piece(held, buckets)))
             held, size = {}, 0
