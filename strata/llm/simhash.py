@@ -134,6 +134,8 @@ def near_duplicates(
     least = labelled.groupBy("root").agg(F.min("least").alias("component_id"))
     linked = labelled.join(least, "root").select("fp", F.col("component_id").alias("linked_id"))
     every = classes.join(linked, "fp", "left").select("fp", F.coalesce("linked_id", "least").alias("component_id"))
+    # Written, so that both sides of the last join are plain shuffles and a fingerprint of many copies can be split.
+    every = written(every, "simhash-every")
     return fps.join(every, "fp").select("doc_id", "fp", "component_id", *keep)
 
 
