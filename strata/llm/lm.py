@@ -14,8 +14,8 @@ at one piece after the other and then forms the smoothed probabilities
 
     p(w | v) = l * c(v w) / c(v) + (1 - l) * (c(w) + 1) / (N + V + 1),   l = weight * c(v) / (c(v) + damping)
 
-Pairs seen once are not in the filter (``least_pair``), whatever the size of
-the corpus; the filter grows with the rest, about ``bits`` bits a level.
+All words and pairs are in the filter, also those seen once; it grows with
+them, about ``bits`` bits a level.
 """
 
 from __future__ import annotations
@@ -43,7 +43,7 @@ _LOW32 = np.uint64(0xFFFFFFFF)
 class Config:
     base: float = 1.5
     least_word: int = 1
-    least_pair: int = 2
+    least_pair: int = 1
     bits: int = 12
     probes: int = 5
     weight: float = 0.5

@@ -90,3 +90,20 @@ def test_levels_stand_for_their_counts():
         known = counts >= least
         assert (np.abs(middle[known] / counts[known] - 1) <= 0.5).all()
     assert (lm._from_six(lm._six(np.array([0, 5, 2**48 - 1], np.uint64))) == [0, 5, 2**48 - 1]).all()
+
+
+def test_pairs_seen_once_count(spark):
+    rows = [(1, "one two three"), (2, "two one four"), (3, "one two three"), (4, "three two four")]
+    learn = [split(t) for i, t in rows if i < 3]
+    word = collections.Counter(w for x in learn for w in x)
+    pair = collections.Counter(p for x in learn for p in zip([None, *x], x))
+    assert set(pair.values()) == {1}
+    n, v, c = sum(word.values()), len(word), lm.Config()
+
+    def p(a, b):
+        weight = c.weight * word[a] / (word[a] + c.damping)
+        return weight * pair[a, b] / max(word[a], 1) + (1 - weight) * (word[b] + 1) / (n + v + 1)
+
+    got = {r.doc_id: r.score for r in lm.score_texts(spark.createDataFrame(rows, "doc_id long, text string"), F.col("doc_id") < 3).collect()}
+    for i, t in rows[:3]:
+        assert math.isclose(got[i], sum(math.log10(p(a, b)) for a, b in zip([None, *split(t)], split(t))), rel_tol=1e-9)
