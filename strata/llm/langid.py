@@ -2,14 +2,15 @@
 
 One byte-context tree per language, contexts of up to ``order`` bytes, escape
 method C with full exclusion.  The statistics are frozen after training, so a
-byte's exact code length depends only on the longest context of the tree that
-precedes it; ``_Tables`` works that out once for every (context, byte) and a
-text is scored by table lookups.  The language with the shortest code wins.
+byte's exact code length depends only on the ``order`` bytes before it.  A tree
+is kept as the sorted keys of its contexts and of the bytes seen in them, all
+that were learned; each distinct (context, byte) of a group of texts is looked
+up once in each language.  The language with the shortest code wins.
 
 Training sees at most about ``rows_per_lang`` labelled rows of each language
 (a hash of the id picks them, so the sample does not depend on how rows are
 stored); that bound also bounds the counts brought to the driver and the
-broadcast model.  Every row of the input is scored over its whole text.
+broadcast trees.  Every row of the input is scored over its whole text.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
@@ -26,16 +28,12 @@ from strata.llm.common import fold, table, texts
 
 ORDER = 4
 ROWS_PER_LANG = 800
-#: Contexts seen less often than this in all languages together are left to their suffix; the number is doubled
-#: until at most MAX_CONTEXTS are left, which bounds a worker's tables.
-MIN_CONTEXT = 32
-MAX_CONTEXTS = 30_000
 MAX_LANGS = 1000
 UNKNOWN = "und"
 #: Symbol before a text's first byte; not a byte.
 _START = 256
 _BITS = 9
-_WINDOW = 1 << 18
+_WINDOW = 1 << 22
 
 
 def _grams(data: list[bytes], order: int) -> np.ndarray:
@@ -64,9 +62,16 @@ def sample(docs: DataFrame, label: str, id_col: str, rows: int, max_labels: int
 
 
 class Model:
-    """Counts of (context, byte) per language, and the sorted language names."""
+    """The language names, sorted, and per language its keys of (context, byte), ascending, with their counts.
 
-    def __init__(self, langs: list[str], keys: np.ndarray, counts: np.ndarray, order: int, min_context: int, max_contexts: int):
+    ``keys`` and ``counts`` hold an array for each language, or ``keys`` is one array and ``counts`` has a column for
+    each language.  Contexts seen less than ``min_context`` times in all languages together are left to their suffix,
+    and the number is doubled until at most ``max_contexts`` are left; by default all are kept.
+    """
+
+    def __init__(self, langs: list[str], keys, counts, order: int, min_context: int = 1, max_contexts: int | None = None):
+        if isinstance(counts, np.ndarray):
+            keys, counts = zip(*[(keys[c > 0], c[c > 0]) for c in counts.T], strict=True)
         self.langs, self.keys, self.counts, self.order = langs, keys, counts, order
         self.min_context, self.max_contexts = min_context, max_contexts
         self._tables: _Tables | None = None
@@ -81,90 +86,114 @@ class Model:
         return self._tables
 
 
+def _last(key: np.ndarray, symbols: int) -> np.ndarray:
+    return key & ((1 << (_BITS * symbols)) - 1)
+
+
+def _find(sorted_keys: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of each key: its place (any, if it is not there), and whether it is there."""
+    at = np.minimum(np.searchsorted(sorted_keys, keys), len(sorted_keys) - 1)
+    return at, sorted_keys[at] == keys
+
+
+class _Level:
+    """One language's contexts of k bytes (``names``) and the bytes seen in them (``grams``), with code lengths.
+
+    ``own`` is a gram's code in its context, ``log`` that of its count.  Of a context: ``escape`` from it when nothing
+    is ruled out, and, with the bytes seen in it ruled out, the log of what is left of the context one byte shorter
+    (``whole``) and the escape from that one (``out``).
+    """
+
+    def __init__(self, keys: np.ndarray, counts: np.ndarray, k: int, kept: np.ndarray | None, shorter: _Level | None):
+        grams, place = np.unique(_last(keys, k + 1), return_inverse=True)
+        n = np.bincount(place, counts, len(grams))
+        if kept is not None:
+            hold = np.isin(grams >> _BITS, kept)
+            grams, n = grams[hold], n[hold]
+        names, node = np.unique(grams >> _BITS, return_inverse=True)
+        total, kinds = np.bincount(node, n, len(names)), np.bincount(node, minlength=len(names))
+        self.grams, self.names, self.n, self.total, self.kinds = grams, names, n, total, kinds
+        bits = np.log2(total + kinds)
+        self.log = np.log2(n).astype(np.float32)
+        self.own = (bits[node] - np.log2(n)).astype(np.float32)
+        self.escape = (bits - np.log2(kinds)).astype(np.float32)
+        if shorter is not None and len(names):
+            up = np.searchsorted(shorter.names, _last(names, k - 1))
+            ruled_out = np.bincount(node, shorter.n[np.searchsorted(shorter.grams, _last(grams, k))], len(names))
+            others = shorter.kinds[up] - kinds
+            whole = np.log2(np.maximum(shorter.total[up] - ruled_out + others, 1))
+            self.whole = whole.astype(np.float32)
+            self.out = np.where(others > 0, whole - np.log2(np.maximum(others, 1)), 0).astype(np.float32)
+
+
+class _Asked:
+    """The distinct grams of some texts, by length of the context: ``grams``, their contexts, the place one byte shorter."""
+
+    def __init__(self, keys: np.ndarray, order: int):
+        self.levels: list[tuple] = []
+        grams = keys
+        for k in range(order, -1, -1):
+            names, node = np.unique(grams >> _BITS, return_inverse=True)
+            less, down = np.unique(_last(grams, k), return_inverse=True) if k else (grams, None)
+            self.levels.append((grams, names, node, down))
+            grams = less
+        self.levels.reverse()
+
+
 class _Tables:
-    """``step[state, symbol]`` -> state and ``bits[state, symbol, language]`` for the trees' union."""
+    """The languages' trees, by length of the context."""
 
     def __init__(self, m: Model):
-        mask = (1 << _BITS) - 1
-        seen = np.unique(m.keys & mask) if len(m.keys) else np.zeros(0, np.int64)
-        # Compact symbols: 0 is any byte never seen, then the bytes seen, then the start.
-        self.compact = np.zeros(257, np.uint16)
-        self.compact[seen] = np.arange(1, len(seen) + 1)
-        self.compact[_START] = self.start = len(seen) + 1
-        self.width, self.order = len(seen) + 2, m.order
-        least = m.min_context
-        while True:
-            levels = [self._level(m, k, least) for k in range(m.order + 1)]
-            if sum(len(names) for names, *_ in levels) <= m.max_contexts:
-                break
-            least *= 2
-        nodes = [names for names, *_ in levels]
-        base = np.concatenate([[0], np.cumsum([len(x) for x in nodes])])
-        parent = [
-            np.zeros(len(x), np.int64) if k < 2 else np.searchsorted(nodes[k - 1], x & ((1 << (_BITS * (k - 1))) - 1))
-            for k, x in enumerate(nodes)
-        ]
-        byte_of = np.full(self.width, -1, np.int64)
-        byte_of[self.compact[seen]], byte_of[self.start] = seen, _START
-        step = np.zeros((base[-1], self.width), np.int32)
-        for k, names in enumerate(nodes):
-            step[base[k] : base[k + 1]] = step[base[k - 1] + parent[k]] if k else 0
-            if k < m.order and len(nodes[k + 1]):
-                longer = names[:, None] << _BITS | byte_of[None, :]
-                at = np.minimum(np.searchsorted(nodes[k + 1], longer), len(nodes[k + 1]) - 1)
-                hit = (nodes[k + 1][at] == longer) & (byte_of >= 0)
-                step[base[k] : base[k + 1]][hit] = base[k + 1] + at[hit]
-        bits = np.zeros((base[-1], self.width, max(1, len(m.langs))), np.float32)
-        for lang in range(len(m.langs)):
-            counts = []
-            for names, rows, number, symbol in levels:
-                c = np.zeros((len(names), self.width), np.float32)
-                np.add.at(c, (number, self.compact[symbol]), m.counts[rows, lang])
-                counts.append(c)
-            self._code(counts, parent, bits[:, :, lang], base)
-        self.step, self.bits = step.ravel(), bits.reshape(-1, bits.shape[2])
+        self.order, self.trees = m.order, []
+        kept = self._kept(m) if m.min_context > 1 or m.max_contexts else [None] * (m.order + 1)
+        for keys, counts in zip(m.keys, m.counts, strict=True):
+            levels: list[_Level] = []
+            for k in range(m.order + 1):
+                levels.append(_Level(keys, counts, k, kept[k], levels[-1] if k else None))
+            for level in levels:
+                del level.n, level.total
+            self.trees.append(levels)
 
     @staticmethod
-    def _level(m: Model, k: int, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Contexts of k bytes seen ``least`` times or more; of the grams in them: row, context's number, byte."""
-        key = m.keys & ((1 << (_BITS * (k + 1))) - 1)
-        names, place = np.unique(key >> _BITS, return_inverse=True) if k else (np.zeros(1, np.int64), np.zeros(len(key), np.int64))
-        keep = (np.bincount(place, m.counts.sum(axis=1), len(names)) >= least) | (k == 0)
-        rows = np.flatnonzero(keep[place])
-        return names[keep], rows, (np.cumsum(keep) - 1)[place[rows]], key[rows] & ((1 << _BITS) - 1)
+    def _kept(m: Model) -> list[np.ndarray]:
+        keys, counts = np.concatenate(m.keys), np.concatenate(m.counts)
+        found = [np.unique(_last(keys >> _BITS, k), return_inverse=True) for k in range(m.order + 1)]
+        times = [np.bincount(place, counts, len(names)) for names, place in found]
+        least = m.min_context
+        while m.max_contexts and sum((t >= least).sum() for t in times[1:]) >= m.max_contexts:
+            least *= 2
+        return [names[(t >= least) | (k == 0)] for k, ((names, _), t) in enumerate(zip(found, times, strict=True))]
 
     @staticmethod
-    def _code(counts: list[np.ndarray], parent: list[np.ndarray], bits: np.ndarray, base: np.ndarray) -> None:
-        """Fills in one language's code lengths, shorter contexts first.
+    def _code(tree: list[_Level], asked: _Asked) -> np.ndarray:
+        """One language's code lengths of the asked grams, shorter contexts first.
 
-        ``below`` holds, per context, the code of each byte after an escape
-        from it: bytes it has seen are ruled out further down.
+        ``below`` holds the code of a gram's byte after an escape from its
+        context: bytes seen there are ruled out further down.
         """
-        below = None
-        for k, c in enumerate(counts):
-            has = c > 0
-            total, kinds = c.sum(axis=1)[:, None], has.sum(axis=1)[:, None].astype(np.float32)
-            if k == 0:
-                escape = np.broadcast_to(np.log2(np.maximum(256 - kinds, 1)), c.shape)
-                fallback = np.float32(8)
+        cost = below = log = seen = None
+        for level, (grams, names, node, down) in zip(tree, asked.levels, strict=True):
+            if down is not None:
+                cost, below, log, seen = cost[down], below[down], log[down], seen[down]
             else:
-                p = counts[k - 1][parent[k]]
-                rest = np.where(has, 0, p).sum(axis=1)[:, None]
-                others = ((p > 0) & ~has).sum(axis=1)[:, None]
-                whole = np.maximum(rest + others, 1)
-                out = np.where(others > 0, -np.log2(np.maximum(others, 1) / whole), 0)
-                escape = np.where(p > 0, -np.log2(np.maximum(p, 1) / whole), out + below[parent[k]])
-                fallback = bits[base[k - 1] + parent[k]]
-            whole = np.maximum(total + kinds, 1)
-            out = np.where(kinds > 0, -np.log2(np.maximum(kinds, 1) / whole), 0)
-            own = np.where(has, -np.log2(np.maximum(c, 1) / whole), out + escape)
+                cost = np.full(len(grams), 8, np.float32)
+                below = np.full(len(grams), np.log2(max(256 - level.kinds.sum(), 1)), np.float32)
+            if not len(level.names):
+                log, seen = np.zeros(len(grams), np.float32), np.zeros(len(grams), bool)
+                continue
+            at, known = _find(level.names, names)
+            at, known = at[node], known[node]
+            if down is not None:
+                below = np.where(seen, level.whole[at] - log, level.out[at] + below)
+            place, seen = _find(level.grams, grams)
+            log = level.log[place]
             # A language without this context goes on as its shorter context would.
-            bits[base[k] : base[k + 1]] = np.where(kinds > 0, own, fallback)
-            below = np.where(kinds > 0, escape, below[parent[k]] if k else escape).astype(np.float32)
+            cost = np.where(known, np.where(seen, level.own[place], level.escape[at] + below), cost)
+        return cost
 
     def lengths(self, data: list[bytes]) -> np.ndarray:
         """Code length in bits of each text (rows) in each language (columns)."""
-        total = np.zeros((len(data), self.bits.shape[1]))
+        total = np.zeros((len(data), len(self.trees)))
         first = 0
         while first < len(data):
             last, size = first + 1, len(data[first])
@@ -176,25 +205,27 @@ class _Tables:
         return total
 
     def _group(self, data: list[bytes], total: np.ndarray) -> None:
-        k, width = self.order, self.width
+        k = self.order
         begin = np.concatenate([[0], np.cumsum([len(b) + k for b in data])])
-        sym = np.full(begin[-1] + k, self.start, np.uint16)
+        # ``order`` starts before each text, and as many before all, so that every place has symbols before it.
+        sym = np.full(begin[-1] + k, _START, np.uint16)
         for at, b in zip(begin, data, strict=False):
-            sym[at + k : at + k + len(b)] = self.compact[np.frombuffer(b, np.uint8)]
+            sym[at + 2 * k : at + 2 * k + len(b)] = np.frombuffer(b, np.uint8)
         for lo in range(0, int(begin[-1]), _WINDOW):
             hi = min(lo + _WINDOW, int(begin[-1]))
-            state = np.zeros(hi - lo, np.int32)
-            for back in range(k, 0, -1):
-                before = np.full(hi - lo, self.start, np.int32)
-                skip = max(0, back - lo)
-                before[skip:] = sym[lo + skip - back : hi - back]
-                state = self.step[state * np.int32(width) + before]
-            cost = self.bits[state * np.int32(width) + sym[lo:hi]]
-            cost[sym[lo:hi] == self.start] = 0
+            key = np.zeros(hi - lo, np.int64)
+            for back in range(k, -1, -1):
+                key <<= _BITS
+                key |= sym[lo + k - back : hi + k - back]
+            grams, place = np.unique(key, return_inverse=True)
+            asked, start = _Asked(grams, k), _last(grams, 1) == _START
             first = np.searchsorted(begin, lo, "right") - 1
             last = np.searchsorted(begin, hi, "left")
             edges = np.maximum(begin[first:last], lo) - lo
-            total[first:last] += np.add.reduceat(cost, edges, axis=0, dtype=np.float64)
+            for lang, tree in enumerate(self.trees):
+                cost = self._code(tree, asked)
+                cost[start] = 0
+                total[first:last, lang] += np.add.reduceat(cost[place], edges, dtype=np.float64)
 
 
 def train(
@@ -204,8 +235,6 @@ def train(
     lang_col: str = "lang",
     order: int = ORDER,
     rows_per_lang: int = ROWS_PER_LANG,
-    min_context: int = MIN_CONTEXT,
-    max_contexts: int = MAX_CONTEXTS,
 ) -> Model:
     """Byte-context counts per language over a bounded sample of the rows with a language and a text."""
     rows = docs.select(
@@ -225,13 +254,12 @@ def train(
     grams = sample(rows, "lang", "id", rows_per_lang).mapInArrow(run, "lang string, gram long, n long")
     got = grams.groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow()
     langs = sorted(set(got.column("lang").to_pylist()))
-    lang = np.array([langs.index(x) for x in got.column("lang").to_pylist()], int)
     known = ~np.asarray(got.column("gram").is_null())
-    gram = got.column("gram").fill_null(0).to_numpy()[known]
-    keys, place = np.unique(gram, return_inverse=True)
-    counts = np.zeros((len(keys), max(1, len(langs))))
-    counts[place, lang[known]] = got.column("n").to_numpy()[known]
-    return Model(langs, keys, counts, order, min_context, max_contexts)
+    lang = pc.index_in(got.column("lang"), value_set=pa.array(langs, pa.string())).to_numpy()[known]
+    gram, n = got.column("gram").fill_null(0).to_numpy()[known], got.column("n").to_numpy()[known]
+    order_of = np.lexsort((gram, lang))
+    cut = np.searchsorted(lang[order_of], np.arange(1, len(langs)))
+    return Model(langs, np.split(gram[order_of], cut), np.split(n[order_of], cut), order)
 
 
 def has_letter(text_col: str = "text") -> Column:
@@ -258,8 +286,8 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", lang_out: str
             if ask:
                 bits = np.concatenate(
                     [
-                        m.tables.lengths([strings[i].encode("utf-8", "surrogatepass") for i in ask[a : a + 256]])
-                        for a in range(0, len(ask), 256)
+                        m.tables.lengths([strings[i].encode("utf-8", "surrogatepass") for i in ask[a : a + 1024]])
+                        for a in range(0, len(ask), 1024)
                     ]
                 )
                 best = bits.argmin(axis=1)

@@ -93,3 +93,16 @@ def test_predictions_take_no_label_as_input(spark, docs):
     a = langid.predict(docs.select("doc_id", "text"), m)
     b = langid.predict(docs.select("doc_id", "text", F.lit("zz").alias("lang"), F.lit("s").alias("source")), m)
     assert sorted(map(tuple, a.select("doc_id", "lang_pred", "score").collect())) == sorted(map(tuple, b.select("doc_id", "lang_pred", "score").collect()))
+
+
+def test_every_learned_context_counts(spark):
+    rng = random.Random(9)
+    data = {k: ["".join(rng.choice(a) for _ in range(rng.randint(1, 40))) for _ in range(12)] for k, a in (("x", "abcd é"), ("y", "bcdef "))}
+    rows = [(i, t, lang) for lang, texts in data.items() for i, t in enumerate(texts)]
+    m = langid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    brute = Brute({k: [t.encode() for t in texts] for k, texts in data.items()}, langid.ORDER, 1)
+    asked = [data["x"][0].encode(), data["y"][1].encode(), b"abcdef \xffz"]
+    for t, bits in zip(asked, m.tables.lengths(asked), strict=True):
+        s = [256] * langid.ORDER + list(t)
+        want = [sum(brute.bits(lang, s[i - langid.ORDER : i], s[i]) for i in range(langid.ORDER, len(s))) for lang in range(2)]
+        assert np.allclose(bits, want, rtol=1e-4, atol=1e-2)
