@@ -1,9 +1,11 @@
 """Licence recognition by sentence rules.
 
-A text is cut into sentences, each is normalised (lower case; everything but
-letters, digits and dots becomes one space) and looked up: a known licence
-sentence, or a grant ("licensed under ...") of a known licence name, has an
-identifier.  The identifiers, in order, are matched against licence rules:
+A text is normalised (lower case; everything but letters, digits and dots in
+words becomes one space) and marked where a sentence may end: at closing
+punctuation and at each newline.  A known licence sentence, or a grant
+("licensed under ...") of a known licence name, that goes from one mark to
+another has an identifier; marks within it are passed over, so it may be
+wrapped, be a comment or hold such punctuation itself ("License, v. 2.0").  The identifiers, in order, are matched against licence rules:
 each rule in turn replaces its sequence of identifiers wherever it occurs, so
 a longer rule goes before one that is part of it.  What no rule takes is
 reported as it is.  All of it is built-in functions, one pass, no shuffle.
@@ -11,6 +13,8 @@ reported as it is.  All of it is built-in functions, one pass, no shuffle.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -89,10 +93,29 @@ def _map(values: dict[str, str]) -> Column:
     return F.create_map(*[F.lit(x) for pair in values.items() for x in pair])
 
 
+def _plain(sentence: str) -> str:
+    """Without the dots that end a word, as texts are normalised."""
+    return re.sub(r"\.(?![a-z0-9])", "", sentence)
+
+
+def _pattern() -> str:
+    """A known sentence or grant between two marks (newlines), with marks or spaces between its words."""
+    names = "|".join(re.escape(n) for n in sorted(NAMES, key=len, reverse=True))
+    known = [re.escape(_plain(s)) for s in SENTENCES] + [GRANT.strip("^$").replace("(.+)", f"(?:{names})")]
+    return r"\n(" + "|".join(known).replace("\\ ", " ").replace(" ", r"[ \n]") + r")(?=\n)"
+
+
+def _identifiers(text: Column) -> Column:
+    marked = F.regexp_replace(F.lower(text), SENTENCE_END, "\n")
+    words = F.regexp_replace(marked, r"(?:[^a-z0-9.\n]|\.(?![a-z0-9]))++", " ")
+    lines = F.regexp_replace(F.concat(F.lit("\n"), words, F.lit("\n")), r" ?\n[ \n]*+", "\n")
+    known = F.transform(F.regexp_extract_all(lines, F.lit(_pattern()), 1), lambda s: F.translate(s, "\n", " "))
+    return F.transform(known, _identifier)
+
+
 def _identifier(sentence: Column) -> Column:
-    clean = F.trim(F.regexp_replace(F.lower(sentence), "[^a-z0-9.]+", " "))
-    name = F.element_at(_map(NAMES), F.regexp_extract(clean, GRANT, 1))
-    return F.coalesce(F.element_at(_map(SENTENCES), clean), F.concat(F.lit("Grant:"), name))
+    name = F.element_at(_map(NAMES), F.regexp_extract(sentence, GRANT, 1))
+    return F.coalesce(F.element_at(_map({_plain(s): i for s, i in SENTENCES.items()}), sentence), F.concat(F.lit("Grant:"), name))
 
 
 def recognise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -103,8 +126,7 @@ def recognise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     identifiers that no rule takes, in order, comma-joined.  Null and empty
     texts have none; other columns are not looked at.
     """
-    sentences = F.split(F.coalesce(F.col(text_col), F.lit("")), SENTENCE_END)
-    ids = docs.select(F.col(id_col).alias("doc_id"), F.filter(F.transform(sentences, _identifier), lambda i: i.isNotNull()).alias("ids"))
+    ids = docs.select(F.col(id_col).alias("doc_id"), _identifiers(F.coalesce(F.col(text_col), F.lit(""))).alias("ids"))
     found = F.concat_ws("", F.transform("ids", lambda i: F.concat(F.lit("<"), i, F.lit(">"))))
     for spdx, sequence in RULES:
         found = F.replace(found, F.lit("".join(f"<{i}>" for i in sequence)), F.lit("{" + spdx + "}"))
@@ -121,7 +143,7 @@ def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def oracle() -> str:
-    """The same over ``documents`` in DuckDB."""
+    """The same over ``documents`` in DuckDB, for sentences that stand in one line and hold no closing punctuation."""
     quote = lambda s: "'" + s.replace("'", "''") + "'"
     lookup = lambda values: f"map([{', '.join(map(quote, values))}], [{', '.join(map(quote, values.values()))}])"
     found = "array_to_string(list_transform(ids, lambda i: '<' || i || '>'), '')"

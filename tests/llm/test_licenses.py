@@ -1,3 +1,5 @@
+import textwrap
+
 import duckdb
 
 from .conftest import ODD, SF
@@ -54,3 +56,51 @@ def test_odd_rows(spark, odd, none):
     con.executemany("insert into documents values (?, ?)", [r[:2] for r in ODD])
     assert sorted(map(tuple, licenses.recognise(odd).collect()), key=str) == compare(spark, con)
     assert licenses.recognise(none).count() == 0
+
+
+#: As the notices are shipped, with their line breaks.
+NOTICES = {
+    "GPL-3.0-or-later": """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details.""",
+    "MPL-2.0": """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/.""",
+    "Apache-2.0": """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law""",
+}
+NOTICES["GPL-2.0-or-later"] = NOTICES["GPL-3.0-or-later"].replace("software: you", "software; you").replace("version 3", "version 2")
+
+
+def wrapped(sentences, width):
+    return "\n".join(textwrap.fill(s, width, break_on_hyphens=False) for s in sentences)
+
+
+def test_notices_as_shipped(spark):
+    texts = {(k, mark): "Copyright 2020 A\n" + "\n".join(mark + line for line in t.splitlines()) for k, t in NOTICES.items() for mark in ("", "# ", " * ", "// ")}
+    texts["MIT", ""] = wrapped(MIT.split("\n"), 78)
+    texts["BSD-3-Clause", ""] = wrapped([BSD[0], *[f"{i}. {s}" for i, s in enumerate(BSD[1:], 1)]], 78)
+    df = spark.createDataFrame([(k, mark, t) for (k, mark), t in texts.items()], "k string, doc_id string, text string")
+    for k in {k for k, _ in texts}:
+        for r in licenses.recognise(df.filter(df.k == k)).collect():
+            assert (k, r.licenses, r.unmatched) == (k, k, "")
+
+
+def test_every_sentence_and_rule_wrapped(spark):
+    said = {i: s for s, i in licenses.SENTENCES.items()} | {f"Grant:{i}": f"Licensed under the {s}" for s, i in licenses.NAMES.items()}
+    rows = [(i, wrapped([s.upper() + "."], 40)) for i, s in said.items()]
+    rows += [(str(n), wrapped([said[i] + "." for i in ids], 40)) for n, (_, ids) in enumerate(licenses.RULES)]
+    got = {r.doc_id: r for r in licenses.recognise(spark.createDataFrame(rows, "doc_id string, text string")).collect()}
+    assert [i for i in said if got[i].n_sentences != 1] == []
+    assert [got[str(n)].licenses for n in range(len(licenses.RULES))] == [spdx for spdx, _ in licenses.RULES]
