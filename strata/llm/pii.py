@@ -6,8 +6,9 @@ words before it, the words on both sides, the word before it.  Spark scores the
 graph of patterns and instances in rounds: a pattern's confidence for a kind is
 the summed score of its distinct instances of that kind over all its distinct
 instances plus one; an instance that is no seed takes the noisy-or of its
-confident patterns.  Instances scored over the threshold are added wherever
-they are mentioned, if they loosely look like the kind.
+confident patterns.  A mention is a candidate for every kind that it loosely
+looks like.  Instances scored over the threshold are added wherever they are
+mentioned, as the kind with the best score.
 
 Patterns and instances travel as 64-bit hashes, so no identifier is written
 outside the documents.  The graph steps are aggregates and joins on pattern or
@@ -90,7 +91,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def _loose(text: str, base: list[tuple[int, int, int]]) -> Iterator[tuple[int, int, int]]:
-    """Identifier-like tokens that touch no base span: (start, kind or NUMBER, end)."""
+    """Identifier-like tokens that touch no base span: (start, kind, end) for each kind they look like, or NUMBER for none."""
     # Merged bounds, so that a token needs one look at the last span that starts before its end.
     starts, ends, far = [], [], 0
     for a, _, b in base:
@@ -113,8 +114,9 @@ def _loose(text: str, base: list[tuple[int, int, int]]) -> Iterator[tuple[int, i
     for m in _GROUPS.finditer(text):
         if free(m.start(), m.end()):
             n = sum(c.isdigit() for c in m.group()) if m.end() - m.start() < 64 else 64
-            kind = IP if _FOUR.fullmatch(m.group()) else CARD if 12 <= n <= 19 else PHONE if 7 <= n <= 11 else NUMBER
-            yield m.start(), kind, m.end()
+            like = ((IP, _FOUR.fullmatch(m.group())), (CARD, 12 <= n <= 19), (PHONE, 7 <= n <= 15))
+            for kind in [k for k, ok in like if ok] or [NUMBER]:
+                yield m.start(), kind, m.end()
 
 
 def _hash(*parts: str) -> int:
@@ -201,7 +203,9 @@ def bootstrap(found: DataFrame, rounds: int = ROUNDS, confidence: float = CONFID
             .join(seeds, ["instance", "kind"], "left_anti")
         )
         scores = written(seeds.union(new), "pii-scores")
-    return scores.join(seeds, ["instance", "kind"], "left_anti").filter(F.col("score") >= confidence).select("instance", "kind")
+    accepted = scores.join(seeds, ["instance", "kind"], "left_anti").filter(F.col("score") >= confidence)
+    best = F.max(F.struct("score", (-F.col("kind")).alias("order"), "kind"))
+    return accepted.groupBy("instance").agg(best.alias("best")).select("instance", "best.kind")
 
 
 def _added(found: DataFrame, accepted: DataFrame) -> DataFrame:

@@ -90,3 +90,14 @@ def test_overlapping_spans_are_masked_once():
     assert pii._mask(text, spans) == "x [PHONE] y [IP]"
     assert pii._mask("mail a@b.cd now", pii.base_spans("mail a@b.cd now")) == "mail [EMAIL] now"
     assert pii._mask(None, []) is None
+
+
+def test_patterns_decide_the_kind_of_a_long_number(spark):
+    # 14 digits: loosely a phone as much as a card.
+    hidden = [(60, "So call my desk: 0044 20 7946 0958 today"), (61, "It paid by card 0044 20 7946 0959 yesterday")]
+    cards = [(70 + i, f"Money paid by card {n} yesterday, {i}") for i, n in enumerate(("411111111111" + str(k) for k in range(1000, 2000)))]
+    cards = [c for c in cards if any(k == pii.CARD for _, k, _ in pii.base_spans(c[1]))][:9]
+    docs = spark.createDataFrame(CONTACTS + cards + hidden, "doc_id long, text string")
+    got = {r.doc_id: [tuple(s) for s in r.spans] for r in pii.find_pii(docs).collect()}
+    assert got[60] == [(17, pii.PHONE, 34)] and got[61] == [(16, pii.CARD, 33)]
+    assert {r.doc_id: r.text for r in pii.redact(docs).collect()}[60] == "So call my desk: [PHONE] today"
