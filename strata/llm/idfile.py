@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm.common import new_path, table, texts
-from strata.llm.tokens import encoder
+from strata.llm.tokens import Handle
 
 TOKENIZER = "word_bpe_49k.json"
 END = 2
@@ -132,6 +132,7 @@ def write_ids(
     Null texts count as empty, null ids come first, repeated rows follow one
     another.  Other columns are not looked at.
     """
+    shared = docs.sparkSession.sparkContext.broadcast(Handle(tokenizer))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -152,7 +153,7 @@ def write_ids(
             ]
             return pa.RecordBatch.from_arrays(columns, ["part", "start", "doc_ids", "doc_sizes", "data"])
 
-        code = encoder(tokenizer).encode
+        code = shared.value.encoder.encode
         for batch, strings in texts(batches):
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), strings, strict=True):
                 ids.append(doc_id)

@@ -28,12 +28,12 @@ from strata.llm.common import fold, table, texts
 
 ORDER = 4
 ROWS_PER_LANG = 800
-MAX_LANGS = 1000
 UNKNOWN = "und"
 #: Symbol before a text's first byte; not a byte.
 _START = 256
 _BITS = 9
-_WINDOW = 1 << 22
+#: Bytes coded at once; what a step holds besides the trees is a fixed multiple of this.
+_WINDOW = 1 << 18
 
 
 def _grams(data: list[bytes], order: int) -> np.ndarray:
@@ -46,14 +46,12 @@ def _grams(data: list[bytes], order: int) -> np.ndarray:
     return key[sym[order:] != _START]
 
 
-def sample(docs: DataFrame, label: str, id_col: str, rows: int, max_labels: int = MAX_LANGS) -> DataFrame:
+def sample(docs: DataFrame, label: str, id_col: str, rows: int) -> DataFrame:
     """About ``rows`` rows of each label (all, if there are fewer), picked by a hash of the id.
 
-    The labels' counts come to the driver, which is why there may be at most ``max_labels``.
+    The labels' counts come to the driver, as their models will.
     """
-    counts = docs.groupBy(label).count().limit(max_labels + 1).collect()
-    if len(counts) > max_labels:
-        raise ValueError(f"more than {max_labels} labels")
+    counts = docs.groupBy(label).count().collect()
     if not counts:
         return docs
     share = F.create_map(*[F.lit(x) for r in counts for x in (r[label], min(1.0, rows / r["count"]))])
@@ -62,23 +60,16 @@ def sample(docs: DataFrame, label: str, id_col: str, rows: int, max_labels: int
 
 
 class Model:
-    """The language names, sorted, and per language its keys of (context, byte), ascending, with their counts.
+    """The language names, sorted, and the trees of their learned contexts.
 
-    ``keys`` and ``counts`` hold an array for each language, or ``keys`` is one array and ``counts`` has a column for
-    each language.  Contexts seen less than ``min_context`` times in all languages together are left to their suffix,
-    and the number is doubled until at most ``max_contexts`` are left; by default all are kept.
+    ``keys`` and ``counts`` hold for each language its (context, byte) keys, ascending, and how often each was seen;
+    they are dropped once the trees are built from them, one language after the other.
     """
 
-    def __init__(self, langs: list[str], keys, counts, order: int, min_context: int = 1, max_contexts: int | None = None):
-        if isinstance(counts, np.ndarray):
-            keys, counts = zip(*[(keys[c > 0], c[c > 0]) for c in counts.T], strict=True)
-        self.langs, self.keys, self.counts, self.order = langs, keys, counts, order
-        self.min_context, self.max_contexts = min_context, max_contexts
+    def __init__(self, langs: list[str], keys: list[np.ndarray], counts: list[np.ndarray], order: int):
+        self.langs, self.keys, self.counts, self.order = langs, list(keys), list(counts), order
         self._tables: _Tables | None = None
 
-    def __getstate__(self) -> dict:
-        return self.__dict__ | {"_tables": None}
-
     @property
     def tables(self) -> _Tables:
         if self._tables is None:
@@ -90,6 +81,12 @@ def _last(key: np.ndarray, symbols: int) -> np.ndarray:
     return key & ((1 << (_BITS * symbols)) - 1)
 
 
+def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys, ascending, and of each key its place among them in 32 bits."""
+    grams, place = np.unique(keys, return_inverse=True)
+    return grams, place.astype(np.int32)
+
+
 def _find(sorted_keys: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Of each key: its place (any, if it is not there), and whether it is there."""
     at = np.minimum(np.searchsorted(sorted_keys, keys), len(sorted_keys) - 1)
@@ -104,12 +101,9 @@ class _Level:
     (``whole``) and the escape from that one (``out``).
     """
 
-    def __init__(self, keys: np.ndarray, counts: np.ndarray, k: int, kept: np.ndarray | None, shorter: _Level | None):
+    def __init__(self, keys: np.ndarray, counts: np.ndarray, k: int, shorter: _Level | None):
         grams, place = np.unique(_last(keys, k + 1), return_inverse=True)
         n = np.bincount(place, counts, len(grams))
-        if kept is not None:
-            hold = np.isin(grams >> _BITS, kept)
-            grams, n = grams[hold], n[hold]
         names, node = np.unique(grams >> _BITS, return_inverse=True)
         total, kinds = np.bincount(node, n, len(names)), np.bincount(node, minlength=len(names))
         self.grams, self.names, self.n, self.total, self.kinds = grams, names, n, total, kinds
@@ -133,8 +127,8 @@ class _Asked:
         self.levels: list[tuple] = []
         grams = keys
         for k in range(order, -1, -1):
-            names, node = np.unique(grams >> _BITS, return_inverse=True)
-            less, down = np.unique(_last(grams, k), return_inverse=True) if k else (grams, None)
+            names, node = _distinct(grams >> _BITS)
+            less, down = _distinct(_last(grams, k)) if k else (grams, None)
             self.levels.append((grams, names, node, down))
             grams = less
         self.levels.reverse()
@@ -145,24 +139,14 @@ class _Tables:
 
     def __init__(self, m: Model):
         self.order, self.trees = m.order, []
-        kept = self._kept(m) if m.min_context > 1 or m.max_contexts else [None] * (m.order + 1)
-        for keys, counts in zip(m.keys, m.counts, strict=True):
+        for lang in range(len(m.langs)):
             levels: list[_Level] = []
             for k in range(m.order + 1):
-                levels.append(_Level(keys, counts, k, kept[k], levels[-1] if k else None))
+                levels.append(_Level(m.keys[lang], m.counts[lang], k, levels[-1] if k else None))
             for level in levels:
                 del level.n, level.total
             self.trees.append(levels)
-
-    @staticmethod
-    def _kept(m: Model) -> list[np.ndarray]:
-        keys, counts = np.concatenate(m.keys), np.concatenate(m.counts)
-        found = [np.unique(_last(keys >> _BITS, k), return_inverse=True) for k in range(m.order + 1)]
-        times = [np.bincount(place, counts, len(names)) for names, place in found]
-        least = m.min_context
-        while m.max_contexts and sum((t >= least).sum() for t in times[1:]) >= m.max_contexts:
-            least *= 2
-        return [names[(t >= least) | (k == 0)] for k, ((names, _), t) in enumerate(zip(found, times, strict=True))]
+            m.keys[lang] = m.counts[lang] = None
 
     @staticmethod
     def _code(tree: list[_Level], asked: _Asked) -> np.ndarray:
@@ -217,7 +201,7 @@ class _Tables:
             for back in range(k, -1, -1):
                 key <<= _BITS
                 key |= sym[lo + k - back : hi + k - back]
-            grams, place = np.unique(key, return_inverse=True)
+            grams, place = _distinct(key)
             asked, start = _Asked(grams, k), _last(grams, 1) == _START
             first = np.searchsorted(begin, lo, "right") - 1
             last = np.searchsorted(begin, hi, "left")
@@ -266,6 +250,19 @@ def has_letter(text_col: str = "text") -> Column:
     return F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False))
 
 
+def _groups(ask: list[int], strings: list[str]) -> Iterator[list[int]]:
+    """Texts to be coded together: about a window's characters, or one longer text."""
+    group, size = [], 0
+    for i in ask:
+        if group and size + len(strings[i]) > _WINDOW:
+            yield group
+            group, size = [], 0
+        group.append(i)
+        size += len(strings[i])
+    if group:
+        yield group
+
+
 def predict(docs: DataFrame, model: Model, text_col: str = "text", lang_out: str = "lang_pred") -> DataFrame:
     """``docs`` with ``lang_pred`` and ``score`` (any columns of these names are replaced).
 
@@ -282,25 +279,21 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", lang_out: str
         m = shared.value
         for batch, strings in texts(batches, text_col):
             names, scores = [UNKNOWN] * len(strings), [0.0] * len(strings)
-            ask = [i for i, ok in enumerate(batch.column("_letter").to_pylist()) if ok and m.langs]
-            if ask:
-                bits = np.concatenate(
-                    [
-                        m.tables.lengths([strings[i].encode("utf-8", "surrogatepass") for i in ask[a : a + 1024]])
-                        for a in range(0, len(ask), 1024)
-                    ]
-                )
+            ask = [i for i, ok in enumerate(batch.column(len(keep)).to_pylist()) if ok and m.langs]
+            for group in _groups(ask, strings):
+                bits = m.tables.lengths([strings[i].encode("utf-8", "surrogatepass") for i in group])
                 best = bits.argmin(axis=1)
                 odds = np.exp2(np.maximum(bits.min(axis=1)[:, None] - bits, -1000)).sum(axis=1)
-                for i, b, o in zip(ask, best, odds, strict=True):
+                for i, b, o in zip(group, best, odds, strict=True):
                     names[i], scores[i] = m.langs[b], 1.0 / float(o)
-            columns = [batch.column(c) for c in keep]
+            columns = [batch.column(c) for c in range(len(keep))]
             yield pa.RecordBatch.from_arrays(
                 [*columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())], [*keep, lang_out, "score"]
             )
 
     schema = StructType([*types, StructField(lang_out, StringType()), StructField("score", DoubleType())])
-    return docs.select(*keep, has_letter(text_col).alias("_letter")).mapInArrow(run, schema)
+    letter = next(c for i in range(len(keep) + 1) if (c := f"_letter{i or ''}") not in keep)
+    return docs.select(*keep, has_letter(text_col).alias(letter)).mapInArrow(run, schema)
 
 
 def learned_from(docs: DataFrame) -> Column:
@@ -312,5 +305,5 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model = train(docs.filter(learned_from(docs)))
     return predict(docs.select("doc_id", "text"), model).select(
-        "doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score"
+        "doc_id", F.coalesce(fold("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score"
     )

@@ -423,4 +423,4 @@ def score_texts(
 
 def op7_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = score_texts(table(spark, sf_dir, "documents"), fold("doc_id", 7) != 2)
-    return scored.select("doc_id", (fold("doc_id", 7) == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+    return scored.select("doc_id", F.coalesce(fold("doc_id", 7) == 2, F.lit(False)).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm.common import table, texts
-from strata.llm.tokens import encoder
+from strata.llm.tokens import Handle
 
 TOKENIZER = "byte_bpe_50k.json"
 END = 0
@@ -180,11 +180,12 @@ def pack(
     schema = PIECES + (", ids binary" if with_ids else "")
     names = [c.split()[0] for c in schema.split(", ")]
     types = [pa.int64()] * 7 + [pa.binary()]
+    shared = docs.sparkSession.sparkContext.broadcast(Handle(tokenizer))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encode, packer = encoder(tokenizer).encode, Packer(limits, pool)
+        encode, packer = shared.value.encoder.encode, Packer(limits, pool)
         number, out = TaskContext.get().partitionId() << 33, []
 
         def flush() -> pa.RecordBatch:

@@ -132,17 +132,29 @@ class Encoder:
         return np.frombuffer(data, "<u4")
 
 
-_ENCODERS: dict[str, Encoder] = {}
+def _file(name: str) -> str:
+    """The path of a file of the public tokenizers, or the path given."""
+    if os.path.sep in name:
+        return name
+    import public_tokenizers
 
+    return public_tokenizers.path(name)
 
-def encoder(name: str) -> Encoder:
-    """This worker's encoder for a file of the public tokenizers, or for a path."""
-    if name not in _ENCODERS:
-        if os.path.sep in name:
-            path = name
-        else:
-            import public_tokenizers
 
-            path = public_tokenizers.path(name)
-        _ENCODERS[name] = Encoder(path)
-    return _ENCODERS[name]
+class Handle:
+    """A job's encoder, made in each worker that asks for it.
+
+    Broadcast by the job, so that a worker drops it, with its cache, when it goes on to another job's tasks.
+    """
+
+    def __init__(self, name: str):
+        self.name, self._encoder = name, None
+
+    def __getstate__(self) -> dict:
+        return {"name": self.name, "_encoder": None}
+
+    @property
+    def encoder(self) -> Encoder:
+        if self._encoder is None:
+            self._encoder = Encoder(_file(self.name))
+        return self._encoder
