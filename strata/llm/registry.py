@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from strata.llm import ann, decontam, idfile, langid, licenses, lm, packing, pii, simhash, toxicity
+from strata.llm import ann, decontam, idfile, langid, licenses, lm, merkle, packing, pii, rtree, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pipeline": corpus_pipeline.run,
@@ -21,6 +21,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_id_files": idfile.op9_id_files,
     "op5_simhash_dedup": simhash.op5_simhash_dedup,
     "op6_decontamination": decontam.op6_decontamination,
+    "op11_hard_negatives": rtree.op11_hard_negatives,
+    "op12_merkle_manifest": merkle.op12_merkle_manifest,
 }
 
 
@@ -29,4 +31,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_licenses": licenses.oracle()}
+    return {"op2_licenses": licenses.oracle(), "op11_hard_negatives": rtree.oracle(), "op12_merkle_manifest": merkle.oracle()}
