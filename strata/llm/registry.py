@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from strata.llm import ann, decontam, idfile, langid, licenses, lm, merkle, packing, pii, rtree, simhash, toxicity
+from strata.llm import ann, decontam, idfile, langid, licenses, lm, merkle, packing, pii, rtree, secrets, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pipeline": corpus_pipeline.run,
@@ -23,6 +23,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_decontamination": decontam.op6_decontamination,
     "op11_hard_negatives": rtree.op11_hard_negatives,
     "op12_merkle_manifest": merkle.op12_merkle_manifest,
+    "op13_secrets": secrets.op13_secrets,
 }
 
 
