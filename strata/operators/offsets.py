@@ -29,6 +29,16 @@ def merge_ledgers(old: DataFrame, new: DataFrame) -> DataFrame:
     )
 
 
+def after_ledger(records: DataFrame, ledger: DataFrame) -> DataFrame:
+    """The records (a stream's too) that a ledger has not seen: of partitions that it does not name, all.
+
+    A ledger has a row per topic partition, so it is the small side of the join.
+    """
+    seen = ledger.select(F.col("topic").alias("_t"), F.col("partition").alias("_p"), "next_offset")
+    at = (records["topic"] == seen["_t"]) & (records["partition"] == seen["_p"])
+    return records.join(seen, at, "left").where("next_offset is null or offset >= next_offset").select(*records.columns)
+
+
 def starting_offsets(ledger: DataFrame) -> str:
     """The ledger as a Kafka ``startingOffsets`` JSON string.
 

@@ -37,6 +37,12 @@ def _bucket(ts: Column, slide_s: int) -> Column:
     return F.floor(F.unix_micros(ts) / F.lit(slide_s * 1_000_000))
 
 
+def _within(a: Column, b: Column, seconds: int) -> Column:
+    """Times at most ``seconds`` apart; bounds by interval literals, from which a stream join learns when state expires."""
+    span = F.expr(f"interval {int(seconds)} seconds")
+    return (b >= a - span) & (b <= a + span)
+
+
 def window_join(info: DataFrame, detail: DataFrame, info_time: str = "arrive_ts", detail_time: str = "arrive_ts",
                 window_s: int = WINDOW_S, slide_s: int = SLIDE_S) -> DataFrame:
     """Inner join on order id of rows that share a sliding window of arrival time.
@@ -56,17 +62,19 @@ def window_join(info: DataFrame, detail: DataFrame, info_time: str = "arrive_ts"
     it, dt = F.col("i_" + info_time), F.col("d_" + detail_time)
     cond = (
         (F.col("i_id") == F.col("d_order_id"))
-        & (dt >= it - F.make_dt_interval(secs=F.lit(window_s)))
-        & (dt <= it + F.make_dt_interval(secs=F.lit(window_s)))
+        & _within(it, dt, window_s)
         & (F.abs(_bucket(it, slide_s) - _bucket(dt, slide_s)) <= reach)
     )
     return i.join(d, cond, "inner")
 
 
 def retained_join(info: DataFrame, detail: DataFrame, info_time: str = "arrive_ts", detail_time: str = "arrive_ts",
-                  retention_s: int = RETENTION_S, dedup_detail: bool = True) -> DataFrame:
+                  retention_s: int = RETENTION_S, dedup_detail: bool = True, how: str = "inner") -> DataFrame:
     """J5 + D3 + D4: pair a header and a line that arrive within ``retention_s`` of each other.
 
+    ``how="full_outer"`` also gives the headers and lines that met no partner,
+    once and with nulls on the other side; in a stream when their state expires.
+
     Either side may come first; each pair is emitted once.  Redelivered lines
     collapse to the earliest delivery (D3): the arrival is no part of a line.  In a stream
     the watermarks on both inputs evict rows older than the retention (D4).
@@ -79,10 +87,16 @@ def retained_join(info: DataFrame, detail: DataFrame, info_time: str = "arrive_t
     it, dt = F.col("i_" + info_time), F.col("d_" + detail_time)
     cond = (
         (F.col("i_id") == F.col("d_order_id"))
-        & (dt >= it - F.make_dt_interval(secs=F.lit(retention_s)))
-        & (dt <= it + F.make_dt_interval(secs=F.lit(retention_s)))
+        & _within(it, dt, retention_s)
     )
-    return i.join(d, cond, "inner")
+    return i.join(d, cond, how)
+
+
+def unmatched(pairs: DataFrame) -> DataFrame:
+    """Of a full outer join the rows without a partner: ``side`` (info or detail), order_id, order_detail_id."""
+    lone = pairs.where("i_id is null or d_id is null")
+    return lone.select(F.when(F.col("d_id").isNull(), "info").otherwise("detail").alias("side"),
+                       F.coalesce("i_id", "d_order_id").alias("order_id"), F.col("d_id").alias("order_detail_id"))
 
 
 def full_outer(info: DataFrame, detail: DataFrame) -> DataFrame:

@@ -28,7 +28,8 @@ from strata.operators.offsets import offset_ledger
 from strata.operators.route import EVENT_TOPIC, START_TOPIC, flatten_cdc_batch, route_app_log, route_cdc_rows, \
     start_log_rejects
 from strata.operators.search import range_text_search
-from strata.operators.wide import full_outer, inner_pairs, merge_wide, retained_join
+from strata.operators.wide import full_outer, inner_pairs, merge_wide, retained_join, unmatched
+from strata.plans.stored import stored_dau, stored_wide
 from strata.plans.warehouse import AS_OF_YEAR, Warehouse
 from strata.schemas import DIMENSIONS, ORDER_INFO_WIRE
 from strata.session import shared_path
@@ -235,27 +236,11 @@ def dau_dedup(spark, sf_dir):
 
 
 def dau_total(spark, sf_dir):
-    return dash.dau_total(_wh(spark, sf_dir).dau, DAU_DATE)
+    return dash.dau_total(stored_dau(spark, sf_dir, dash.compact(DAU_DATE)), DAU_DATE)
 
 
 def dau_hour(spark, sf_dir):
-    return dash.dau_hour(_wh(spark, sf_dir).dau, DAU_DATE)
-
-
-_STORED: dict[tuple[str, str], str] = {}
-
-
-def stored_wide(spark, sf_dir, *days):
-    """The wide fact as the dashboard's store keeps it: written once a session for a directory, by ``dt``.
-
-    With ``days``, only those days' folders.
-    """
-    at = (spark.sparkContext.applicationId, sf_dir)
-    if at not in _STORED:
-        path = shared_path(spark, "order_wide", unique=True)
-        write_order_wide(_wh(spark, sf_dir).order_wide(scale=2), path)
-        _STORED[at] = path
-    return read_order_wide(spark, _STORED[at], days or None)
+    return dash.dau_hour(stored_dau(spark, sf_dir, dash.compact(DAU_DATE)), DAU_DATE)
 
 
 def sink_order_wide(spark, sf_dir):
@@ -282,7 +267,8 @@ def order_amount_day_hour(spark, sf_dir):
 
 
 def hourly_compare_dau(spark, sf_dir):
-    return dash.hourly_compare("dau", _wh(spark, sf_dir).dau, DAU_DATE)
+    days = dash.compact(DAU_DATE), dash.compact(dash.yesterday(DAU_DATE))
+    return dash.hourly_compare("dau", stored_dau(spark, sf_dir, *days), DAU_DATE)
 
 
 def hourly_compare_amount(spark, sf_dir):
@@ -291,8 +277,8 @@ def hourly_compare_amount(spark, sf_dir):
 
 
 def kpi_list(spark, sf_dir):
-    wh = _wh(spark, sf_dir)
-    return dash.kpi_list(wh.dau, stored_wide(spark, sf_dir, ORDER_DATE), DAU_DATE, order_date=ORDER_DATE)
+    dau = stored_dau(spark, sf_dir, dash.compact(DAU_DATE))
+    return dash.kpi_list(dau, stored_wide(spark, sf_dir, ORDER_DATE), DAU_DATE, order_date=ORDER_DATE)
 
 
 def range_search(spark, sf_dir):
@@ -330,6 +316,16 @@ def sink_append(spark, sf_dir):
     return spark.read.parquet(path).select("event_id", "ch")
 
 
+def wide_retained_outer(spark, sf_dir):
+    """J5 with the headers and lines that met no partner, in batch."""
+    wh = _wh(spark, sf_dir)
+    pairs = retained_join(wh.with_arrival(wh.td.order_info), wh.with_arrival(wh.td.order_detail),
+                          retention_s=RETAINED_BOUND_S, how="full_outer")
+    matched = pairs.where("i_id is not null and d_id is not null").select(
+        F.lit("pair").alias("side"), F.col("i_id").alias("order_id"), F.col("d_id").alias("order_detail_id"))
+    return matched.unionByName(unmatched(pairs))
+
+
 def sink_topic(spark, sf_dir):
     rec = route_app_log(_wh(spark, sf_dir).td.app_log_records())
     root = shared_path(spark, "topics", unique=True)
@@ -362,6 +358,7 @@ def catalog() -> dict[str, Query]:
         "wide_window_join": wide_window_join,
         "wide_retained_join": wide_retained_join,
         "wide_full_outer": wide_full_outer,
+        "wide_retained_outer": wide_retained_outer,
         "order_wide": order_wide,
         "order_wide_dedup": order_wide_dedup,
         "apportion_exact": apportion_exact,

@@ -93,6 +93,17 @@ select i.id as order_id, d.id as order_detail_id,
        cast(round(i.original_total_amount * 100) as hugeint) as tc
 from order_info i join order_detail d
   on i.id = d.order_id and abs(floor(i.arrive_s / 5) - floor(d.arrive_s / 5)) <= 2""",
+    "order_span": "select max(arrive_s) as span from order_info",
+    "info_delivered": """
+select id, arrive_s, cast(least(4, greatest(0, arrive_s * 5 // span)) + case when id % 11 = 0 then 1 else 0 end as integer) as batch
+from order_info, order_span""",
+    "detail_delivered": """
+select id, order_id, arrive_s, cast(least(4, greatest(0, arrive_s * 5 // span)) + case when id % 11 = 0 then 1 else 0 end as integer) as batch
+from (select id, order_id, arrive_s + case when id % 13 = 0 then 1000 else 0 end as arrive_s from order_detail) d, order_span""",
+    **{f"{f}_batches": f"select batch, max(arrive_s) as high from {f}_delivered group by batch" for f in ("info", "detail")},
+    **{f"{f}_gated": f"""
+select f.*, coalesce(f.arrive_s <= (select max(b.high) from {f}_batches b where b.batch < f.batch) - 600, false) as late
+from {f}_delivered f""" for f in ("info", "detail")},
     # cent shares; the last line with an amount (running sum = total) takes final - shares before it
     "cents_wide": """
 select *, case when completes then fc - coalesce(before_c, 0) else share_c end as value_c
@@ -198,6 +209,10 @@ where not exists (select 1 from sku_info s where s.id = cast(d.sku_id as varchar
     "wide_retained_join": """
 select i.id as order_id, d.id as order_detail_id from order_info i join order_detail d
   on i.id = d.order_id and abs(i.arrive_s - d.arrive_s) <= 10""",
+    "wide_retained_outer": """
+select case when d.id is null then 'info' when i.id is null then 'detail' else 'pair' end as side,
+       coalesce(i.id, d.order_id) as order_id, d.id as order_detail_id
+from order_info i full join order_detail d on i.id = d.order_id and abs(i.arrive_s - d.arrive_s) <= 10""",
     "wide_full_outer": """
 select coalesce(i.id, d.order_id) as order_id, d.id as order_detail_id, i.final_total_amount
 from order_info i full join order_detail d on i.id = d.order_id""",
@@ -293,6 +308,23 @@ select substr(i.create_time, 1, 10) as dt, w.order_id, count(*) as n_lines, cast
 from cents_window w join order_info i on i.id = w.order_id group by 1, 2""",
     "detail_dims_inserted": _RAW["detail_dims"] + "\nwhere (d.order_id // 4) % 10 >= 2",
 }
+_TWINS["order_wide_chain"] = _RAW["order_wide"].replace(
+    """case when w.tc = 0 then null else cast((2 * w.fc * w.lc * 100 + w.tc) // (2 * w.tc) as double) / 10000
+       end as final_detail_amount""", "cast(sum(w.value_c) over (partition by i.id) as double) / 100 as order_share"
+).replace("join wide_base w", "join cents_window w")
+# Deliveries of a feed: rows in five batches by arrival, every eleventh one batch later; late is what lies 600 s or
+# more behind the greatest arrival of the batches before.
+_TWINS["late_rows"] = """
+select 'info' as side, id from info_gated where late union all select 'detail', id from detail_gated where late"""
+_TWINS["retained_outer"] = """
+select case when d.id is null then 'info' when i.id is null then 'detail' else 'pair' end as side,
+       coalesce(i.id, d.order_id) as order_id, d.id as order_detail_id
+from (select * from info_gated where not late) i full join (select * from detail_gated where not late) d
+  on i.id = d.order_id and abs(i.arrive_s - d.arrive_s) <= 600"""
+_TWINS["source_ledger"] = """
+select 'APP_LOG' as topic, cast(cast(uid as bigint) % 4 as bigint) as partition, max(event_id) + 1 as next_offset,
+       count(*) as n_records
+from app_log group by 1, 2"""
 for _d in _DIM_VIEWS:
     _RAW[f"dim_upsert_{_d}"] = f"select * from {_DIM_VIEWS[_d]}"
 

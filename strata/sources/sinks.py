@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import DataStreamWriter
 
 from strata.operators.dedup import last_per_key
 from strata.schemas import ORDER_WIDE
@@ -21,6 +22,17 @@ from strata.schemas import ORDER_WIDE
 PARTITION_COLUMNS = ("dt", "day", "batch", "topic")
 
 
+def fs_children(spark: SparkSession, path: str, committed: bool = False) -> list[str]:
+    """Names of the folders below ``path`` (none, if there is no such path), with ``committed`` those with a success marker."""
+    jvm = spark.sparkContext._jvm
+    top = jvm.org.apache.hadoop.fs.Path(path)
+    fs = top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(top):
+        return []
+    found = [st.getPath() for st in fs.listStatus(top) if st.isDirectory()]
+    return sorted(f.getName() for f in found if not committed or fs.exists(jvm.org.apache.hadoop.fs.Path(f, "_SUCCESS")))
+
+
 def read_partitioned(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """Read a folder tree of ``key=value`` partitions, keeping partition values as text.
 
@@ -47,6 +59,13 @@ def archive_text(df: DataFrame, path: str, value: str = "value", day: str = "dt"
         out.write.mode("overwrite").partitionBy("dt").text(f"{path}/_batches/batch={int(batch_id)}")
 
 
+def archive_stream(records: DataFrame, path: str, checkpoint: str, value: str = "value", day: str = "dt") -> DataStreamWriter:
+    """S5 as a stream: each record's line in its day's folder, by the exactly-once file sink."""
+    out = records.select(F.col(value).alias("value"), F.col(day).alias("dt"))
+    return (out.writeStream.format("text").partitionBy("dt").option("path", path)
+            .option("checkpointLocation", checkpoint).outputMode("append"))
+
+
 def read_archive(spark: SparkSession, path: str, batched: bool = True) -> DataFrame:
     return read_partitioned(spark, f"{path}/_batches" if batched else path, fmt="text")
 
@@ -67,41 +86,40 @@ class DayIndex:
         latest = last_per_key(docs, keys, order) if order else docs.dropDuplicates(keys)
         latest.write.mode("overwrite").partitionBy(self.day_col).parquet(f"{self.root}/batch={int(batch_id)}")
 
-    def read(self, day: str | None = None) -> DataFrame:
+    def read(self, *days: str) -> DataFrame:
+        """The newest row of each id and day; with ``days`` only those, by a partition filter."""
         df = read_partitioned(self.spark, self.root)
-        if day is not None:
-            df = df.where(F.col(self.day_col) == day)
+        if days:
+            df = df.where(F.col(self.day_col).isin(*days))
         cols = [c for c in df.columns if c != "batch"]
         ordered = df.withColumn("_b", F.col("batch").cast("bigint")).drop("batch")
         return last_per_key(ordered, [self.day_col, self.id_col], ["_b"]).select(*cols)
 
 
 def write_order_wide(wide: DataFrame, path: str, batch_id: int | None = None) -> None:
-    """The wide order fact, in ``dt=<day>`` folders; a batch id adds ``batch=<id>`` folders that a replay overwrites."""
-    # A day's rows go to one task, which streams them to one file, and the days to many tasks.
+    """The wide order fact, in ``dt=<day>`` folders; a batch id adds ``batch=<id>`` folders that a replay overwrites.
+
+    The rows are ranged by day and order over as many tasks as a shuffle has,
+    so small days share a task and a large one is written by several, to a file
+    each.  A micro-batch is bounded, and ranging would run it twice: there a
+    day's rows go to one task.
+    """
+    out = wide.select(*ORDER_WIDE.names)
     tasks = int(wide.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    out = wide.select(*[f.name for f in ORDER_WIDE.fields]).repartition(tasks, "dt")
     if batch_id is None:
-        out.write.mode("append").partitionBy("dt").parquet(path)
+        out.repartitionByRange(tasks, "dt", "order_id", "order_detail_id").write.mode("append").partitionBy("dt").parquet(path)
     else:
-        (out.withColumn("batch", F.lit(int(batch_id))).write.mode("overwrite")
+        (out.repartition(tasks, "dt").withColumn("batch", F.lit(int(batch_id))).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy("dt", "batch").parquet(path))
 
 
 def read_order_wide(spark: SparkSession, path: str, days: Sequence[str] | None = None) -> DataFrame:
-    """The stored wide fact; a filter on ``dt`` reads that day's folders only.
+    """The stored wide fact, with ``days`` only those: a partition filter, so other days' files are not opened.
 
-    ``days`` names the folders to look at, so that the others aren't even
-    listed; a day without a folder has no rows.
+    A day without a folder has no rows.
     """
-    reader = spark.read.schema(ORDER_WIDE).option("basePath", path)
-    if days is None:
-        return reader.parquet(path)
-    jvm = spark.sparkContext._jvm
-    folders = [jvm.org.apache.hadoop.fs.Path(f"{path}/dt={d}") for d in days]
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    there = [f.toString() for f in folders if f.getFileSystem(conf).exists(f)]
-    return reader.parquet(*there) if there else spark.createDataFrame([], ORDER_WIDE)
+    fact = spark.read.schema(ORDER_WIDE).option("basePath", path).parquet(path).select(*ORDER_WIDE.names)
+    return fact if days is None else fact.where(F.col("dt").isin(*days))
 
 
 def append_documents(df: DataFrame, path: str, id_col: str = "_id") -> None:

@@ -258,6 +258,20 @@ class TestData:
         comment = envelopes(oi.where(F.floor(F.col("id") / 4) % 10 == 5), "comment_info", F.floor(F.col("id") / 4), 2)
         return info.unionByName(detail).unionByName(comment)
 
+    def cdc_order_envelopes(self) -> DataFrame:
+        """Batch-style CDC as orders and their lines come in: one INSERT envelope a row, at its arrival second.
+
+        Every seventh header and every fifth line is delivered twice.  Columns: value, arrive_s.
+        """
+        def envelopes(df: DataFrame, table: str, twice: int) -> DataFrame:
+            again = df.unionByName(df.where(F.col("id") % twice == 0))
+            row = F.struct(*[F.col(c).cast("string").alias(c) for c in df.columns if c != "arrive_s"])
+            value = F.to_json(F.struct(F.lit("shop").alias("database"), F.lit(table).alias("table"),
+                                       F.lit("INSERT").alias("type"), F.array(row).alias("data")))
+            return again.select(value.alias("value"), "arrive_s")
+
+        return envelopes(self.order_info, "order_info", 7).unionByName(envelopes(self.order_detail, "order_detail", 5))
+
     def cdc_row_envelopes(self) -> DataFrame:
         """Row-style CDC: one dimension row per envelope, plus bootstrap markers.
 

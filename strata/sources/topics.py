@@ -11,34 +11,40 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.operators.offsets import after_ledger, starting_offsets
 from strata.schemas import TOPIC_RECORD
 
 RECORD_COLUMNS = [f.name for f in TOPIC_RECORD.fields]
 
 
 def read_topic(spark: SparkSession, topic: str, *, fmt: str = "files", root: str | None = None,
-               stream: bool = False, starting_offsets: str | None = None, options: dict | None = None,
-               max_files_per_trigger: int | None = None) -> DataFrame:
+               stream: bool = False, ledger: DataFrame | None = None, options: dict | None = None,
+               max_per_trigger: int | None = None) -> DataFrame:
     """Records of one topic: key, value, topic, partition, offset, timestamp.
 
-    ``fmt="kafka"``: ``options`` carries ``kafka.bootstrap.servers`` and the like;
-    ``starting_offsets`` comes from a ledger (S2).
-    ``fmt="files"``: the topic's folder under ``root``; files are read whole, a
-    stream's checkpoint remembers which, so there are no offsets to start from.
+    ``ledger`` (S2) names the next offset of each partition; records before it
+    are left out, partitions that it does not name are read from their start.
+    ``max_per_trigger`` bounds a stream's micro-batch (T-a): in offsets of a
+    Kafka topic, in files of a folder.
+
+    ``fmt="kafka"``: ``options`` carries ``kafka.bootstrap.servers`` and the like.
+    ``fmt="files"``: the topic's folder under ``root``; a stream's checkpoint
+    remembers the files it has read.
     """
-    opts = dict(options or {})
-    if fmt != "kafka" and starting_offsets is not None:
-        raise ValueError("files have no offsets to start from")
+    reader = spark.readStream if stream else spark.read
     if fmt == "kafka":
-        reader = spark.readStream if stream else spark.read
-        df = (reader.format("kafka").option("subscribe", topic).option("startingOffsets", starting_offsets)
-              .options(**opts).load())
-        return df.select(F.col("key").cast("string"), F.col("value").cast("string"), "topic", "partition",
-                         "offset", "timestamp")
-    reader = (spark.readStream if stream else spark.read).schema(TOPIC_RECORD)
-    if stream and max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.parquet(root.rstrip("/")).where(F.col("topic") == topic).select(*RECORD_COLUMNS)
+        reader = reader.format("kafka").option("subscribe", topic).options(**(options or {}))
+        if ledger is not None:
+            reader = reader.option("startingOffsets", starting_offsets(ledger))
+        if stream and max_per_trigger:
+            reader = reader.option("maxOffsetsPerTrigger", max_per_trigger)
+        return reader.load().select(F.col("key").cast("string"), F.col("value").cast("string"), "topic", "partition",
+                                    "offset", "timestamp")
+    reader = reader.schema(TOPIC_RECORD)
+    if stream and max_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_per_trigger)
+    records = reader.parquet(root.rstrip("/")).where(F.col("topic") == topic).select(*RECORD_COLUMNS)
+    return records if ledger is None else after_ledger(records, ledger)
 
 
 def as_records(df: DataFrame, topic_col: str = "topic", value_col: str = "value", key_col: str | None = None) -> DataFrame:

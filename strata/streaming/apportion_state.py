@@ -2,13 +2,16 @@
 
 The state of an order is the sum of the line amounts seen so far and the sum
 of the shares given to them.  A line with an amount that brings the running sum to the order's original
-total takes ``final - shares so far``; any other line takes its share.  Lines
-of one order inside a micro-batch are handled in detail-id order (rows reach
-the function in no particular order, SURVEY T10).  State expires with the
+total takes ``final - shares so far``; any other line takes its share.  A
+micro-batch's lines of an order come in Arrow frames; a frame is sorted by
+detail id and worked off as a whole, with cumulative sums that go on from the
+state, so an order of any size needs the memory of one frame (rows reach the
+function in no particular order, SURVEY T10).  State expires with the
 event-time watermark ``retention_s`` after the order's last line.
 
-Money is exact: Python ``Decimal`` on the cent values; ``scale=2`` rounds each
-share half-up to cents, ``scale=None`` keeps 28 significant digits.
+Money is exact: amounts are whole cents, ``scale=2`` gives each share in cents,
+rounded half-up, and ``scale=None`` keeps 28 significant digits.  Shares are
+worked out as Python integers, since a product of two amounts may not fit 64 bits.
 """
 
 from __future__ import annotations
@@ -27,52 +30,75 @@ _CENT = Decimal("0.01")
 STATE_SCHEMA = "lines string, shares string, last_ms long"
 
 
-def _money(x) -> Decimal:
-    """A double amount as exact cents, half-up from its shortest decimal form (as Spark casts)."""
-    return Decimal(repr(float(x))).quantize(_CENT, rounding=ROUND_HALF_UP)
+def _cents(x: float) -> int:
+    """A double amount in whole cents, half-up from its shortest decimal form (as Spark casts)."""
+    return int(Decimal(repr(float(x))).quantize(_CENT, rounding=ROUND_HALF_UP).scaleb(2))
+
+
+def _all_cents(x: np.ndarray) -> np.ndarray:
+    return np.frompyfunc(_cents, 1, 1)(x)
+
+
+def _whole(cents: int, scale: int | None):
+    """An amount in units of ``scale`` places (None: as Decimal)."""
+    if scale is None:
+        return Decimal(cents).scaleb(-2)
+    return cents * 10 ** (scale - 2) if scale >= 2 else int(Decimal(cents).scaleb(scale - 2).quantize(1, ROUND_HALF_UP))
+
+
+def _shares(final: np.ndarray, line: np.ndarray, total: np.ndarray, scale: int | None) -> np.ndarray:
+    """``final * line / total`` in units of ``scale`` places (None: as Decimal); None where the total is 0."""
+    out = np.full(len(line), None, object)
+    some = np.flatnonzero(total != 0)
+    if scale is None:
+        divide = np.frompyfunc(lambda f, x, t: _CTX.divide(_CTX.multiply(Decimal(f).scaleb(-2), Decimal(x)), Decimal(t)), 3, 1)
+        out[some] = divide(final[some], line[some], total[some])
+        return out
+    # cents * cents / cents, in units of the scale: rounded half away from zero
+    top, bottom = final[some] * line[some] * 10 ** max(0, scale - 2) * 2, total[some] * 10 ** max(0, 2 - scale)
+    half_up = np.frompyfunc(lambda a, b: (abs(a) + abs(b)) // (2 * abs(b)) * (1 if (a < 0) == (b < 0) else -1), 2, 1)
+    out[some] = half_up(top, bottom)
+    return out
 
 
 def make_state_fn(scale: int | None, retention_s: int, order_col: str = "order_detail_id",
                   time_col: str = "arrive_ts", out_col: str = "final_detail_amount"):
-    quant = None if scale is None else Decimal(1).scaleb(-scale)
+    unit = Decimal(1) if scale is None else Decimal(1).scaleb(-scale)
+
+    def frame(pdf: pd.DataFrame, lines: int, shares) -> tuple[list, int, object]:
+        """The values of a sorted frame's lines, and the sums after it."""
+        final, total = _all_cents(pdf["final_total_amount"].to_numpy()), _all_cents(pdf["original_total_amount"].to_numpy())
+        line = _all_cents(pdf["sku_price"].to_numpy()) * pdf["sku_num"].to_numpy().astype(object)
+        running = np.cumsum(line) + lines
+        value = _shares(final, line, total, scale)
+        # a line without an amount never completes an order, so it can't take a second remainder
+        known = np.array([v is not None for v in value], bool)
+        at = 0
+        for i in np.flatnonzero(known & (line != 0) & (running == total)):
+            shares += sum(v for v in value[at:i] if v is not None)
+            value[i] = _whole(final[i], scale) - shares
+            at = i
+        shares += sum(v for v in value[at:] if v is not None)
+        return [None if v is None else float(v * unit) for v in value], int(running[-1]), shares
 
     def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
             state.remove()
             return
+        lines, shares, last_ms = 0, Decimal(0) if scale is None else 0, 0
         if state.exists:
             lines_s, shares_s, last_ms = state.get
-            lines, shares = Decimal(lines_s), Decimal(shares_s)
-        else:
-            lines, shares, last_ms = Decimal(0), Decimal(0), 0
-        frames = list(pdfs)
-        pdf = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
-        order = np.argsort(pdf[order_col].to_numpy(), kind="stable")
-        pdf = pdf.iloc[order].reset_index(drop=True)
-        values = []
-        for final_f, total_f, price, qty in zip(pdf["final_total_amount"].to_numpy(),
-                                                pdf["original_total_amount"].to_numpy(),
-                                                pdf["sku_price"].to_numpy(), pdf["sku_num"].to_numpy()):
-            final, total = _money(final_f), _money(total_f)
-            line = _money(price) * int(qty)
-            if total == 0:
-                share = None
-            else:
-                share = _CTX.divide(_CTX.multiply(final, line), total)
-                if quant is not None:
-                    share = share.quantize(quant, rounding=ROUND_HALF_UP)
-            running = lines + line
-            # a line without an amount never completes an order, so it can't take a second remainder
-            value = final - shares if (share is not None and line != 0 and running == total) else share
-            lines = running
-            if value is not None:
-                shares += value
-            values.append(None if value is None else float(value))
-        pdf[out_col] = values
-        last_ms = max(last_ms, int(pd.Timestamp(pdf[time_col].max()).value // 1_000_000))
+            lines, shares = int(lines_s), Decimal(shares_s) if scale is None else int(shares_s)
+        for pdf in pdfs:
+            if not len(pdf):
+                continue
+            order = np.argsort(pdf[order_col].to_numpy(), kind="stable")
+            pdf = pdf.iloc[order].reset_index(drop=True)
+            pdf[out_col], lines, shares = frame(pdf, lines, shares)
+            last_ms = max(last_ms, int(pd.Timestamp(pdf[time_col].max()).value // 1_000_000))
+            yield pdf
         state.update((str(lines), str(shares), last_ms))
         state.setTimeoutTimestamp(last_ms + retention_s * 1000)
-        yield pdf
 
     return fn
 

@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
@@ -25,12 +25,16 @@ from strata.operators.dims import decode_dimension
 from strata.operators.enrich import join_detail_dims, join_province, join_user_profile, with_create_parts
 from strata.operators.route import START_TOPIC, cdc_rejects, flatten_cdc_batch, project_start_log, route_app_log, \
     route_cdc_rows
-from strata.operators.wide import merge_wide, retained_join, window_join
-from strata.schemas import ORDER_DETAIL_WIRE, ORDER_INFO_WIRE, TOPIC_RECORD
+from strata.operators.wide import merge_wide, retained_join, unmatched, window_join
+from strata.schemas import ORDER_DETAIL, ORDER_DETAIL_WIRE, ORDER_INFO, ORDER_INFO_WIRE, TOPIC_RECORD
 from strata.sources.dimstore import DimensionStore
 from strata.sources.sinks import DayIndex, write_order_wide
+from strata.sources.topics import read_topic, write_topic_batch
 from strata.streaming.apportion_state import apportion_stream
 
+# The topics of the enriched orders and order lines.
+DWD_ORDER_INFO, DWD_ORDER_DETAIL = "DWD_ORDER_INFO", "DWD_ORDER_DETAIL"
+
 # Takes a batch's rejected rows and its id; writes them keyed by the id, as the sinks do.
 RejectSink = Callable[[DataFrame, int], None]
 
@@ -128,6 +132,22 @@ def enrich_orders_job(ods_orders: DataFrame, read_provinces: Callable[[], DataFr
     return ods_orders.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
 
 
+def topic_sink(root: str, topic: str, key: str, fmt: str = "files", options: dict | None = None) -> RejectSink:
+    """S12 + S4: a batch's rows as JSON records of a topic, keyed by a column; ``timestamp`` stays the record's own.
+
+    A broker gives its own times.  In topic folders a replayed batch overwrites
+    its records; a broker has them twice, and D2 drops the second downstream.
+    """
+
+    def sink(rows: DataFrame, batch_id: int) -> None:
+        arrival = [F.col("timestamp")] if "timestamp" in rows.columns else []
+        value = encode_row(*[c for c in rows.columns if c != "timestamp"])
+        records = rows.select(F.lit(topic).alias("topic"), F.col(key).cast("string").alias("key"), value.alias("value"), *arrival)
+        write_topic_batch(records, fmt=fmt, root=root, batch_id=batch_id, options=options)
+
+    return sink
+
+
 def enrich_details_job(ods_details: DataFrame, read_dims: Callable[[], tuple[DataFrame, ...]],
                        sink: Callable[[DataFrame, int], None], checkpoint: str,
                        on_missing: str = "left", reject: RejectSink | None = None) -> DataStreamWriter:
@@ -156,6 +176,8 @@ def wide_pairs_stream(info: DataFrame, detail: DataFrame, mode: str = "window",
                       retention_s: int = 600, time_col: str = "arrive_ts") -> DataFrame:
     """J4 (``window``) or J5 (``retained``) as a stream-stream join, inputs de-duplicated first.
 
+    ``retained_outer`` is J5 that also gives the rows whose time ran out (D4).
+
     Repeated deliveries of a header or a line are dropped within the watermark
     on each input, so each (order, line) pair is emitted once.
     """
@@ -164,7 +186,19 @@ def wide_pairs_stream(info: DataFrame, detail: DataFrame, mode: str = "window",
     if mode == "window":
         return window_join(i, d, info_time=time_col, detail_time=time_col)
     return retained_join(i, d, info_time=time_col, detail_time=time_col, retention_s=retention_s,
-                         dedup_detail=False)
+                         dedup_detail=False, how="full_outer" if mode == "retained_outer" else "inner")
+
+
+def retained_pairs_job(info: DataFrame, detail: DataFrame, pairs: RejectSink, expired: RejectSink, checkpoint: str,
+                       delay: str = "10 minutes", retention_s: int = 600, time_col: str = "arrive_ts") -> DataStreamWriter:
+    """Pairs to one sink, and headers and lines that expired without a partner to another, each once."""
+    joined = wide_pairs_stream(info, detail, "retained_outer", delay, retention_s, time_col)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        pairs(batch.where("i_id is not null and d_id is not null"), batch_id)
+        expired(unmatched(batch), batch_id)
+
+    return joined.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
 
 
 def order_wide_stream(info: DataFrame, detail: DataFrame, scale: int | None = 2, delay: str = "1 minute",
@@ -187,3 +221,28 @@ def order_wide_job(info: DataFrame, detail: DataFrame, path: str, checkpoint: st
         write_order_wide(batch, path, batch_id)
 
     return wide.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+
+
+def dwd_feed(records: DataFrame, schema, time_col: str = "arrive_ts") -> DataFrame:
+    """The enriched rows of a DWD topic's records, with their arrival; what can't be decoded: ``dwd_rejects_job``."""
+    return decode_json(records, schema, keep=("timestamp",), zero_numbers=False).rows.withColumnRenamed("timestamp", time_col)
+
+
+def dwd_rejects_job(records: DataFrame, schema, out_path: str, checkpoint: str) -> DataStreamWriter:
+    """The records of a DWD topic that ``dwd_feed`` can't decode, as they came."""
+    bad = decode_json(records, schema, zero_numbers=False).quarantine
+    return bad.writeStream.format("parquet").option("checkpointLocation", checkpoint).option("path", out_path).outputMode("append")
+
+
+def dws_wide_job(spark: SparkSession, root: str, path: str, checkpoint: str, fmt: str = "files",
+                 source_options: dict | None = None, max_per_trigger: int | None = None, **options) -> DataStreamWriter:
+    """S1 -> J4 or J5 -> R7 -> D6: the stored wide fact from the topics of enriched orders and lines."""
+    read = lambda topic: read_topic(spark, topic, fmt=fmt, root=root, stream=True, options=source_options,
+                                    max_per_trigger=max_per_trigger)
+    info, detail = dwd_feed(read(DWD_ORDER_INFO), ORDER_INFO), dwd_feed(read(DWD_ORDER_DETAIL), ORDER_DETAIL)
+    return order_wide_job(info.drop("create_date", "create_hour"), detail, path, checkpoint, **options)
+
+
+def service(writer: DataStreamWriter, every: str = "5 seconds") -> DataStreamWriter:
+    """T-a: micro-batches at an interval; how much a batch takes is bounded at its source (``max_per_trigger``)."""
+    return writer.trigger(processingTime=every)

@@ -17,15 +17,19 @@ from pyspark.sql.streaming import DataStreamWriter
 from strata.functions.money import sum_money
 from strata.functions.text import ODS_PREFIX
 from strata.operators.wide import merge_wide
-from strata.plans.warehouse import Warehouse
+from strata.plans.warehouse import AS_OF_YEAR, Warehouse
 from strata.schemas import DIMENSIONS, TOPIC_RECORD
 from strata.session import shared_path
 from strata.sources.dimstore import DimensionStore
-from strata.sources.sinks import DayIndex, read_order_wide
+from strata.sources.ledger import OffsetLedger, with_ledger
+from strata.sources.sinks import DayIndex, archive_stream, read_archive, read_order_wide
 from strata.sources.testdata import TestData
+from strata.sources.topics import read_topic, write_topic_batch
 from strata.streaming.apportion_state import apportion_stream
-from strata.streaming.jobs import cdc_ods_job, cdc_rows_job, dau_job, dimension_job, enrich_details_job, \
-    order_wide_job, route_app_log_job, wide_pairs_stream
+from strata.streaming.jobs import DWD_ORDER_DETAIL, DWD_ORDER_INFO, cdc_ods_job, cdc_rows_job, dau_job, dimension_job, \
+    dws_wide_job, enrich_details_job, enrich_orders_job, order_wide_job, retained_pairs_job, route_app_log_job, topic_sink, \
+    wide_pairs_stream
+from strata.streaming.late import LateGate, folder_sink, late_gate_job
 
 DAY_S = 86_400
 FILES_PER_TRIGGER = 4
@@ -208,6 +212,144 @@ def stream_detail_dims(spark, sf_dir):
         "id", "order_id", "sku_id", "spu_id", "tm_id", "category3_id", "spu_name", "tm_name", "category3_name")
 
 
+def order_wide_chain(spark, sf_dir, base: str, envelopes: DataFrame) -> DataFrame:
+    """ODS -> DWD -> DWS over staged ``envelopes``: R2, then J1 / J2 and J3, then J4 -> R7 -> D6, chained by topics.
+
+    Each hop is a stream of its own, with its checkpoint under ``base``; called
+    again after more envelopes were staged, every hop goes on where it stopped.
+    """
+    td = TestData(spark, sf_dir)
+    ods, dwd, ckpt = f"{base}/ods", f"{base}/dwd", f"{base}/checkpoint"
+    run(cdc_ods_job(envelopes, ods, f"{ckpt}/ods"))
+    orders = read_topic(spark, ods_topic_name("order_info"), root=ods, stream=True)
+    lines = read_topic(spark, ods_topic_name("order_detail"), root=ods, stream=True)
+    run(enrich_orders_job(orders, td.province_info, td.user_info, topic_sink(dwd, DWD_ORDER_INFO, "id"),
+                          f"{ckpt}/orders", as_of_year=AS_OF_YEAR))
+    dims = lambda: (td.sku_info(), td.spu_info(), td.trademark_info(), td.category3_info())
+    run(enrich_details_job(lines, dims, topic_sink(dwd, DWD_ORDER_DETAIL, "order_id"), f"{ckpt}/lines"))
+    run(dws_wide_job(spark, dwd, f"{base}/wide", f"{ckpt}/wide", delay=DELAY))
+    return read_order_wide(spark, f"{base}/wide")
+
+
+def with_order_share(wide: DataFrame) -> DataFrame:
+    """The wide rows with the order's sum instead of the line's share: which line takes the remainder is open in a stream."""
+    sums = wide.groupBy("order_id").agg(sum_money("final_detail_amount").cast("double").alias("order_share"))
+    return wide.drop("final_detail_amount").join(sums, "order_id")
+
+
+def stream_order_wide_chain(spark, sf_dir):
+    """Three chained streams from CDC envelopes to the stored fact, all columns; a share as its order's sum."""
+    base = shared_path(spark, "twins", "chain", unique=True)
+    env = TestData(spark, sf_dir).cdc_order_envelopes()
+    env = env.withColumn("timestamp", F.timestamp_seconds(F.col("arrive_s") + CLOCK_SHIFT_S))
+    stage(env, f"{base}/in", "arrive_s")
+    wide = order_wide_chain(spark, sf_dir, base, read_staged(spark, f"{base}/in", env.schema).drop("arrive_s"))
+    return with_order_share(wide)
+
+
+# Deliveries: five batches by arrival; every eleventh row comes one batch late.
+DELIVERIES = 5
+LATE_MOD = 11
+# Every thirteenth line arrives long after its header, beyond the retention.
+STRAY_MOD = 13
+STRAY_S = 1000
+WATERMARK_S = 600
+
+
+def deliveries(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Headers and lines with ``batch``, the delivery that they come in."""
+    info, detail = Warehouse(spark, sf_dir).td.order_info, Warehouse(spark, sf_dir).td.order_detail
+    detail = detail.withColumn("arrive_s", F.col("arrive_s") + F.when(F.col("id") % STRAY_MOD == 0, STRAY_S).otherwise(0))
+    # As many seconds as the last order's arrival, in as many parts.
+    span = info.agg(F.max("arrive_s").alias("span"))
+    at = F.least(F.lit(DELIVERIES - 1), F.greatest(F.lit(0), F.expr(f"arrive_s * {DELIVERIES} div span")))
+    late = F.when(F.col("id") % LATE_MOD == 0, 1).otherwise(0)
+    return tuple(_shifted(df.crossJoin(F.broadcast(span)).withColumn("batch", (at + late).cast("int")).drop("span"))
+                 for df in (info, detail))
+
+
+def _gated(spark, base: str, name: str, feed: DataFrame) -> tuple[str, DataFrame]:
+    """Stages a feed delivery by delivery and sends it through a late gate: the folder of the rows in time, the late rows."""
+    src = f"{base}/{name}"
+    feed = feed.persist()
+    for batch in range(DELIVERIES + 1):
+        feed.where(F.col("batch") == batch).repartition(FILES_PER_TRIGGER, "id").write.mode("append").parquet(src)
+    feed.unpersist()
+    stream = spark.readStream.schema(feed.schema).option("maxFilesPerTrigger", FILES_PER_TRIGGER).parquet(src)
+    gate = LateGate(spark, f"{base}/{name}-gate", "arrive_ts", WATERMARK_S)
+    run(late_gate_job(stream, gate, folder_sink(f"{base}/{name}-ontime"), folder_sink(f"{base}/{name}-late"), f"{base}/checkpoint-{name}"))
+    return f"{base}/{name}-ontime", spark.read.schema(feed.schema).parquet(f"{base}/{name}-late")
+
+
+def stream_late_rows(spark, sf_dir):
+    """The headers and lines behind a 10-minute watermark, from the late table."""
+    base = shared_path(spark, "twins", "late", unique=True)
+    info, detail = deliveries(spark, sf_dir)
+    late_info, late_detail = _gated(spark, base, "info", info)[1], _gated(spark, base, "detail", detail)[1]
+    return late_info.select(F.lit("info").alias("side"), "id").unionByName(late_detail.select(F.lit("detail").alias("side"), "id"))
+
+
+def stream_retained_outer(spark, sf_dir):
+    """Late gate -> J5 with a 10-minute watermark and retention: the pairs, and what expired without a partner.
+
+    A last header and line, long after all others, let every state expire.
+    """
+    base = shared_path(spark, "twins", "outer", unique=True)
+    feeds = []
+    for name, df in zip(("info", "detail"), deliveries(spark, sf_dir), strict=True):
+        path, _ = _gated(spark, base, name, df)
+        end = df.limit(1).withColumns({"id": F.lit(-1).cast("bigint"), "arrive_ts": F.lit("2200-01-01").cast("timestamp")})
+        if name == "detail":
+            end = end.withColumn("order_id", F.lit(-1).cast("bigint"))
+        end.write.parquet(f"{path}/batch={DELIVERIES + 1}")
+        feeds.append(spark.readStream.schema(df.schema).option("maxFilesPerTrigger", FILES_PER_TRIGGER).parquet(path))
+    job = retained_pairs_job(*feeds, folder_sink(f"{base}/pairs"), folder_sink(f"{base}/expired"), f"{base}/checkpoint",
+                             delay=f"{WATERMARK_S} seconds", retention_s=WATERMARK_S)
+    run(job)
+    pairs = spark.read.parquet(f"{base}/pairs").where("i_id >= 0").select(
+        F.lit("pair").alias("side"), F.col("i_id").alias("order_id"), F.col("d_id").alias("order_detail_id"))
+    expired = spark.read.parquet(f"{base}/expired").where("order_id >= 0")
+    return pairs.unionByName(expired.select("side", "order_id", "order_detail_id"))
+
+
+def stream_offset_ledger(spark, sf_dir):
+    """A consumer stops half-way; another one, with a checkpoint of its own, goes on from the stored ledger.
+
+    The ledger at the end, and the records that the two have consumed.
+    """
+    base = shared_path(spark, "twins", "ledger", unique=True)
+    rec = TestData(spark, sf_dir).app_log_records()
+    middle = rec.agg(F.max("offset")).first()[0] // 2
+    consumed = folder_sink(f"{base}/out")
+
+    def consume(part: str) -> None:
+        ledger = OffsetLedger(spark, f"{base}/offsets", "start_app_group")
+        seen = ledger.read()
+        stream = read_topic(spark, "APP_LOG", root=f"{base}/in", stream=True, ledger=seen)
+        sink = with_ledger(lambda rows, batch_id: consumed(rows, batch_id + (0 if part == "first" else 1000)), ledger)
+        run(stream.writeStream.foreachBatch(sink).option("checkpointLocation", f"{base}/checkpoint-{part}"))
+
+    write_topic_batch(rec.where(F.col("offset") <= middle), root=f"{base}/in")
+    consume("first")
+    write_topic_batch(rec.where(F.col("offset") > middle), root=f"{base}/in")
+    consume("second")
+    ledger = OffsetLedger(spark, f"{base}/offsets", "start_app_group").read()
+    count = spark.read.parquet(f"{base}/out").groupBy("topic", "partition").agg(F.count("*").alias("n_records"))
+    return ledger.join(count, ["topic", "partition"], "full").select(
+        "topic", F.col("partition").cast("bigint").alias("partition"), "next_offset", "n_records")
+
+
+def stream_archive(spark, sf_dir):
+    """S5 as a stream: the collector's lines in day folders."""
+    src, out, ckpt = _dirs(spark, "archive")
+    logs = TestData(spark, sf_dir).app_log_json().withColumn("dt", F.date_format("ts", "yyyy-MM-dd"))
+    stage(logs, src, "event_id")
+    run(archive_stream(read_staged(spark, src, logs.schema), out, ckpt))
+    back = read_archive(spark, out, batched=False)
+    return back.select("dt", F.get_json_object("value", "$.common.mid").alias("mid"),
+                       F.get_json_object("value", "$.ts").cast("bigint").alias("ts"))
+
+
 def twins() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "stream_route_app_logs": stream_route_app_logs,
@@ -220,6 +362,11 @@ def twins() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_order_wide": stream_order_wide,
         "stream_cdc_dims": stream_cdc_dims,
         "stream_detail_dims": stream_detail_dims,
+        "stream_order_wide_chain": stream_order_wide_chain,
+        "stream_late_rows": stream_late_rows,
+        "stream_retained_outer": stream_retained_outer,
+        "stream_offset_ledger": stream_offset_ledger,
+        "stream_archive": stream_archive,
     }
 
 
@@ -234,6 +381,11 @@ _BATCH_OF = {
     "stream_order_wide": "order_wide_sums",
     "stream_cdc_dims": "dim_upsert_sku",
     "stream_detail_dims": "detail_dims_inserted",
+    "stream_order_wide_chain": "order_wide_chain",
+    "stream_late_rows": "late_rows",
+    "stream_retained_outer": "retained_outer",
+    "stream_offset_ledger": "source_ledger",
+    "stream_archive": "sink_archive",
 }
 
 
