@@ -36,6 +36,8 @@ QUERIES = 4096
 LEAF = 32
 MAX_CELLS = 256
 SEED = 8
+#: Cosines closer than this may have been parted by rounding.
+_ROUNDING = 1e-9
 
 
 def chi_square_quantile(p: float, m: int) -> float:
@@ -144,11 +146,11 @@ class _Cell:
             if len(rows):
                 found = np.stack([self.unit[rows] @ unit, rows], axis=1)
                 best = np.concatenate([best, found])
-                if len(best) > 4 * k:
-                    # Rounding may part equal cosines here, so some more than k are kept to the end.
-                    best = best[np.argsort(-best[:, 0], kind="stable")[: 4 * k]]
                 if len(best) >= k:
-                    bound = min(bound, 2 - 2 * np.sort(best[:, 0])[-k] + 1e-12)
+                    kth = np.partition(best[:, 0], -k)[-k]
+                    bound = min(bound, 2 - 2 * kth + 2 * _ROUNDING)
+                    # All that may tie with the k-th stay to the end, however many.
+                    best = best[best[:, 0] >= kth - _ROUNDING]
             at, step = at + step, 2 * step
         rows = best[:, 1].astype(int)
         cosine = (self.original[rows] * q).sum(axis=1) / (self.norm[rows] * np.sqrt((q * q).sum()))
@@ -187,18 +189,26 @@ def neighbours(
     Nearest by cosine of the original vectors in double precision, ties to the
     smaller id; a query's own row is no candidate.  Null ids and vectors,
     vectors of zeros, and those with null or non-finite components take no
-    part, nor do vectors of another length than the most frequent one (the
-    longer of equally frequent ones).  Repeated rows count once; an empty
-    table, or a single vector, gives no rows.
+    part.  Vectors are compared with those of their own length, each length
+    being an index of its own.  Repeated rows count once; an empty table, or a
+    single vector, gives no rows.
     """
-    spark = vectors.sparkSession
     points = written(_points(vectors, id_col, vector_col, k + 1), "ann-points")
-    sizes = points.groupBy(F.size("vector").alias("d")).count().orderBy(F.desc("count"), F.desc("d")).limit(1).collect()
-    schema = "query_id long, rank int, vec_id long, score double"
-    if not sizes:
-        return spark.createDataFrame([], schema)
-    dim, n = sizes[0]["d"], sizes[0]["count"]
-    points = points.filter(F.size("vector") == dim)
+    queries = _queries(vectors, id_col, vector_col, every)
+    # A row per length of vectors.
+    sizes = sorted(points.groupBy(F.size("vector").alias("d")).count().collect())
+    out = vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    for dim, n in sizes:
+        out_of = _of_length(points.filter(F.size("vector") == dim), queries, n, dim, k, m, confidence, sample, cell)
+        out = out_of if len(sizes) == 1 else out.unionByName(out_of)
+    return out
+
+
+def _of_length(
+    points: DataFrame, queries: DataFrame, n: int, dim: int, k: int, m: int, confidence: float, sample: int, cell: int
+) -> DataFrame:
+    """The neighbours among the ``n`` points, all of length ``dim``."""
+    spark = points.sparkSession
     place = F.pmod(F.xxhash64(F.lit("sample"), "point"), F.lit(1 << 20)) / float(1 << 20)
     # About ``sample`` vectors: a bounded share of the driver and of a broadcast.
     some = points.filter(place < min(1.0, sample / n)).select("point", "vector").orderBy("point").collect()
@@ -228,7 +238,6 @@ def neighbours(
     boxes = sorted(placed.groupBy("cell").agg(F.count("*").alias("n"), *low, *high).collect())
     parts = {r["cell"]: -(-r["n"] // cell) for r in boxes}
     box = np.array([list(r)[2:] for r in boxes]).reshape(len(boxes), 2, m)
-    queries = _queries(vectors, id_col, vector_col, every)
     asked = written(placed.join(queries.select("a", "b").distinct(), ["a", "b"], "left_semi"), "ann-asked")
     chunks = max(1, -(-asked.count() // QUERIES))
     sent_boxes = spark.sparkContext.broadcast((np.array([r["cell"] for r in boxes]), box, np.array([parts[r["cell"]] for r in boxes])))
@@ -257,13 +266,16 @@ def neighbours(
             yield pa.RecordBatch.from_arrays(columns, ["a", "b", "vector", "projected", "cell", "sub", "bound"])
 
     chunk = F.pmod(F.xxhash64("b", "a"), F.lit(chunks)).cast("int")
-    sent = asked.select("a", "b", "vector", "projected").mapInArrow(
-        send, "a long, b long, vector array<double>, projected array<double>, cell int, sub int, bound double"
-    ).withColumn("chunk", chunk)
-    part_of = F.create_map(*[F.lit(x) for pair in parts.items() for x in pair])
-    held = placed.withColumn("sub", F.pmod(F.xxhash64("a", "b"), F.element_at(part_of, F.col("cell"))).cast("int")).withColumn(
-        "chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1)))
+    sent = written(
+        asked.select("a", "b", "vector", "projected")
+        .mapInArrow(send, "a long, b long, vector array<double>, projected array<double>, cell int, sub int, bound double")
+        .withColumn("chunk", chunk),
+        "ann-sent",
     )
+    part_of = F.create_map(*[F.lit(x) for pair in parts.items() for x in pair])
+    # A cell's vectors go to those chunks of queries that were sent to it.
+    needed = sent.select(F.col("cell").alias("cell"), F.col("chunk").alias("chunk")).distinct()
+    held = placed.withColumn("sub", F.pmod(F.xxhash64("a", "b"), F.element_at(part_of, F.col("cell"))).cast("int")).join(needed, "cell")
 
     def look(left: pa.Table, right: pa.Table) -> pa.Table:
         out: list[tuple] = []

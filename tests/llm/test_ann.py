@@ -77,3 +77,24 @@ def test_few_vectors(spark):
 def test_chi_square_quantiles():
     for p, m, x in ((0.95, 8, 15.50731), (0.5, 2, 1.386294), (0.99, 10, 23.20925)):
         assert abs(ann.chi_square_quantile(p, m) - x) < 1e-4
+
+
+def test_all_ties_are_looked_at(spark):
+    """300 scaled copies of one vector: all as near as can be, so the smallest ids win."""
+    rows = [(i, [0.5 * 2.0 ** (i % 40), 1.0 * 2.0 ** (i % 40)]) for i in range(1, 301)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = lists(ann.neighbours(df))
+    assert {q: [i for i, _ in x] for q, x in got.items()} == {q: [i for i in range(1, 7) if i != q][:5] for q in range(50, 301, 50)}
+    odd = [(i, [0.3 * (1 + i % 37), 0.7 * (1 + i % 37)]) for i in range(300)]  # parted by rounding
+    scores = lists(ann.neighbours(spark.createDataFrame(odd, "vec_id long, embedding array<double>"), cell=64))
+    assert all(s >= 1 - 1e-12 for x in scores.values() for _, s in x) and all(len(x) == 5 for x in scores.values())
+
+
+def test_each_length_of_vectors_is_searched(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, rng.normal(size=2 + i % 3).tolist()) for i in range(300)] + [(350, [1.0]), (351, [-2.0]), (400, [0.5] * 9)]
+    got = lists(ann.neighbours(spark.createDataFrame(rows, "vec_id long, embedding array<double>")))
+    want = {}
+    for d in {len(v) for _, v in rows}:
+        want |= brute([(i, v) for i, v in rows if len(v) == d])
+    assert recall(got, want) >= 0.95 and [i for i, _ in got[350]] == [351] and 400 not in got
