@@ -2,12 +2,17 @@
 
 Strictly shaped identifiers (``base_spans``) are the seeds.  Each seed, and
 each other identifier-like token, is a mention with lexical patterns: the two
-words before it, the words on both sides, the word before it.  Spark scores the
+words before it, the words on both sides, the word before it, its own form
+(digit groups by their lengths) with the label before it, and, broadest, its
+form with the shapes of its neighbours.  Spark scores the
 graph of patterns and instances in rounds: a pattern's confidence for a kind is
 the summed score of its distinct instances of that kind over all its distinct
-instances plus one; an instance that is no seed takes the noisy-or of its
+instances plus one (of a broad pattern the lower bound of that share's interval);
+an instance that is no seed takes the noisy-or of its
 confident patterns.  A mention is a candidate for every kind that it loosely
-looks like.  Instances scored over the threshold are added wherever they are
+looks like.  Instances scored over the threshold are accepted: they count as
+evidence in the next round, which may bring in further patterns, until a round
+accepts nothing new and scores have settled.  They are added wherever they are
 mentioned, as the kind with the best score.
 
 Patterns and instances travel as 64-bit hashes, so no identifier is written
@@ -18,7 +23,7 @@ instance; nothing is gathered by either.
 from __future__ import annotations
 
 import re
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -32,10 +37,13 @@ from strata.llm.common import table, texts, written
 KINDS = ("email", "ip", "card", "phone")
 EMAIL, IP, CARD, PHONE = range(4)
 NUMBER = -1
-ROUNDS = 3
 CONFIDENCE = 0.8
-#: Distinct seeds that a pattern needs.
-MIN_SEEDS = 3
+#: Summed score of distinct instances of a kind that a pattern needs.
+MIN_SUPPORT = 3
+#: Scores have settled when a round raises their sum by no more than this share.
+SETTLED = 0.01
+#: Squared normal quantile of the interval (95 %) in which a broad pattern's share lies.
+_Z2 = 3.84
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
@@ -44,9 +52,12 @@ _CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
 _GROUPS = re.compile(r"[0-9]++(?:[ .:()/-]{1,3}[0-9]++)*+")
+_DIGITS = re.compile(r"[0-9]+")
 _FOUR = re.compile(r"[0-9]{1,3}([.:-])[0-9]{1,3}\1[0-9]{1,3}\1[0-9]{1,3}")
 
-MENTION = "struct<kind:int,start:int,end:int,instance:long,seed:boolean,patterns:array<long>>"
+_WORD = re.compile(r"[^\W\d_]+|\d+|[^\w\s]|_")
+
+MENTION = "struct<kind:int,start:int,end:int,instance:long,seed:boolean,patterns:array<long>,broad:long>"
 SPAN = "struct<start:int,kind:int,end:int>"
 
 
@@ -103,17 +114,16 @@ def _loose(text: str, base: list[tuple[int, int, int]]) -> Iterator[tuple[int, i
         i = bisect_right(starts, b - 1) - 1
         return i < 0 or ends[i] <= a
 
-    at = text.find("@")
-    while at >= 0:
-        # An address has at most 64 characters before the @ and 255 after it.
-        left, right = re.search(r"[^\s@]*\Z", text[max(0, at - 64) : at]), re.match(r"[^\s@]*", text[at + 1 : at + 256])
-        a, b = at - len(left.group()), at + 1 + len(right.group().rstrip(".,;:!?)\"'"))
-        if a < at and b > at + 1 and free(a, b):
-            yield a, EMAIL, b
-        at = text.find("@", at + 1)
+    for token in re.finditer(r"\S+", text) if "@" in text else ():
+        parts = list(re.finditer("[^@]+", token.group()))
+        for left, right in zip(parts, parts[1:], strict=False):
+            if right.start() == left.end() + 1:
+                a, b = token.start() + left.start(), token.start() + right.start() + len(right.group().rstrip(".,;:!?)\"'"))
+                if b > token.start() + right.start() and free(a, b):
+                    yield a, EMAIL, b
     for m in _GROUPS.finditer(text):
         if free(m.start(), m.end()):
-            n = sum(c.isdigit() for c in m.group()) if m.end() - m.start() < 64 else 64
+            n = sum(c.isdigit() for c in m.group())
             like = ((IP, _FOUR.fullmatch(m.group())), (CARD, 12 <= n <= 19), (PHONE, 7 <= n <= 15))
             for kind in [k for k, ok in like if ok] or [NUMBER]:
                 yield m.start(), kind, m.end()
@@ -124,11 +134,41 @@ def _hash(*parts: str) -> int:
     return h - (1 << 64) if h >> 63 else h
 
 
-def _patterns(text: str, start: int, end: int) -> list[int]:
-    """Hashes of the lexical patterns around a mention; a word's farther part, beyond 64 characters, is not looked at."""
-    before, after = text[max(0, start - 64) : start].lower().split()[-2:], text[end : end + 64].lower().split()[:1]
-    before = ["", "", *before][-2:]
-    return [_hash("2", *before), _hash("lr", before[1], *after), _hash("1", before[1])]
+def _form(kind: int, mention: str) -> str:
+    """Digit groups by their lengths and what stands between them; of an address only whether its host has a dot."""
+    if kind == EMAIL:
+        return "@." if "." in mention.partition("@")[2] else "@"
+    return _DIGITS.sub(lambda m: str(len(m.group())), mention)
+
+
+def _shape(word: str) -> str:
+    """A word's case, a digit group, or the mark itself."""
+    if word[:1].isalpha():
+        return "A" if word.isupper() else "Aa" if word[0].isupper() else "a"
+    return "d" if word[:1].isdigit() else word
+
+
+class _Words:
+    """A text's words, digit groups and marks, by their places."""
+
+    def __init__(self, text: str):
+        self.text, self.spans = text, [m.span() for m in _WORD.finditer(text)]
+        self.starts, self.ends = [a for a, _ in self.spans], [b for _, b in self.spans]
+
+    def around(self, start: int, end: int) -> tuple[str, str, str]:
+        """The two before a mention and the one after it; empty where there is none."""
+        i, j = bisect_right(self.ends, start), bisect_left(self.starts, end)
+        word = lambda k: self.text[slice(*self.spans[k])] if 0 <= k < len(self.spans) else ""
+        return word(i - 2), word(i - 1), word(j)
+
+
+def _patterns(kind: int, text: str, words: _Words, start: int, end: int) -> tuple[list[int], int]:
+    """Hashes of the patterns around a mention, and of its broadest one."""
+    second, first, after = words.around(start, end)
+    form, low = _form(kind, text[start:end]), [w.lower() for w in (second, first, after)]
+    label = low[0] if first in (":", "=", "#") else low[1]
+    exact = [_hash("2", *low[:2]), _hash("lr", *low[1:]), _hash("1", low[1]), _hash("label", form, label)]
+    return exact, _hash("shape", form, _shape(first), _shape(after))
 
 
 def mentions(text: str) -> tuple[list[tuple[int, int, int]], list[dict]]:
@@ -136,10 +176,11 @@ def mentions(text: str) -> tuple[list[tuple[int, int, int]], list[dict]]:
     if not base and not _DIGIT.search(text) and "@" not in text:
         return base, []
     spans = [(*s, True) for s in base] + [(*s, False) for s in _loose(text, base)]
-    return base, [
-        {"kind": k, "start": a, "end": b, "instance": _hash(text[a:b].lower()), "seed": seed, "patterns": _patterns(text, a, b)}
-        for a, k, b, seed in spans
-    ]
+    words, out = _Words(text), []
+    for a, k, b, seed in spans:
+        patterns, broad = _patterns(k, text, words, a, b)
+        out.append({"kind": k, "start": a, "end": b, "instance": _hash(text[a:b].lower()), "seed": seed, "patterns": patterns, "broad": broad})
+    return base, out
 
 
 def extract(docs: DataFrame, keep: list[str], text_col: str = "text") -> DataFrame:
@@ -151,7 +192,7 @@ def extract(docs: DataFrame, keep: list[str], text_col: str = "text") -> DataFra
     more = StructType.fromDDL(f"pii_row long, pii_base array<{SPAN}>, pii_mentions array<{MENTION}>")
     schema = StructType([*[StructField(f"c{i}", f.dataType) for i, f in enumerate(fields)], *more.fields])
     types = [pa.list_(pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("end", pa.int32())]))]
-    types.append(pa.list_(pa.struct([("kind", pa.int32()), ("start", pa.int32()), ("end", pa.int32()), ("instance", pa.int64()), ("seed", pa.bool_()), ("patterns", pa.list_(pa.int64()))])))
+    types.append(pa.list_(pa.struct([("kind", pa.int32()), ("start", pa.int32()), ("end", pa.int32()), ("instance", pa.int64()), ("seed", pa.bool_()), ("patterns", pa.list_(pa.int64())), ("broad", pa.int64())])))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, strings in texts(batches):
@@ -169,32 +210,43 @@ def extract(docs: DataFrame, keep: list[str], text_col: str = "text") -> DataFra
     return written(picked.mapInArrow(run, schema), "pii-found")
 
 
-def _confidence(edges: DataFrame, scores: DataFrame, min_seeds: int) -> DataFrame:
-    """(pattern, kind, conf): of patterns with enough seeds."""
-    size = edges.groupBy("pattern").agg(F.count_distinct("instance").alias("size"))
+def _confidence(edges: DataFrame, scores: DataFrame, min_support: float) -> DataFrame:
+    """(pattern, kind, conf): of patterns with enough support."""
+    size = edges.groupBy("pattern", "broad").agg(F.count_distinct("instance").alias("size"))
     held = (
         edges.filter(f"kind <> {NUMBER}")
         .join(scores, ["instance", "kind"])
         .groupBy("pattern", "kind")
-        .agg(F.sum("score").alias("held"), F.sum(F.col("seed").cast("int")).alias("seeds"))
-        .filter(F.col("seeds") >= min_seeds)
+        .agg(F.sum("score").alias("held"))
+        .filter(F.col("held") >= min_support)
     )
-    return held.join(size, "pattern").select("pattern", "kind", (F.col("held") / (F.col("size") + 1)).alias("conf"))
+    share, n = F.col("held") / F.col("size"), F.col("size")
+    spread = F.sqrt(F.lit(_Z2) * (F.greatest(share * (1 - share), F.lit(0.0)) / n + F.lit(_Z2) / (4 * n * n)))
+    low = (share + F.lit(_Z2) / (2 * n) - spread) / (1 + F.lit(_Z2) / n)
+    conf = F.when(F.col("broad"), low).otherwise(F.col("held") / (n + 1))
+    return held.join(size, "pattern").select("pattern", "kind", conf.alias("conf"))
 
 
-def bootstrap(found: DataFrame, rounds: int = ROUNDS, confidence: float = CONFIDENCE, min_seeds: int = MIN_SEEDS) -> DataFrame:
-    """``(instance, kind)`` of the identifiers that the patterns discover, seeds not included."""
+def bootstrap(found: DataFrame, rounds: int | None = None, confidence: float = CONFIDENCE, min_support: float = MIN_SUPPORT) -> DataFrame:
+    """``(instance, kind)`` of the identifiers that the patterns discover, seeds not included.
+
+    Rounds go on until one accepts nothing new and the scores have settled (or for ``rounds`` rounds).
+    """
+    pattern = F.concat(
+        F.transform("m.patterns", lambda p: F.struct(p.alias("pattern"), F.lit(False).alias("broad"))),
+        F.array(F.struct(F.col("m.broad").alias("pattern"), F.lit(True).alias("broad"))),
+    )
     edges = written(
         found.select(F.explode("pii_mentions").alias("m"))
-        .select("m.kind", "m.instance", "m.seed", F.explode("m.patterns").alias("pattern"))
-        .groupBy("pattern", "instance", "kind")
+        .select("m.kind", "m.instance", "m.seed", F.explode(pattern).alias("p"))
+        .groupBy("p.pattern", "p.broad", "instance", "kind")
         .agg(F.max("seed").alias("seed")),
         "pii-edges",
     )
     seeds = edges.filter("seed").select("instance", "kind", F.lit(1.0).alias("score")).distinct()
-    scores = seeds
-    for _ in range(rounds):
-        sure = _confidence(edges, scores, min_seeds).filter(F.col("conf") >= confidence)
+    accepted, n, total = seeds.limit(0), 0, 0.0
+    while rounds is None or rounds > 0:
+        sure = _confidence(edges, seeds.unionByName(accepted), min_support).filter(F.col("conf") >= confidence)
         new = (
             edges.filter("not seed")
             .join(sure, ["pattern", "kind"])
@@ -202,8 +254,13 @@ def bootstrap(found: DataFrame, rounds: int = ROUNDS, confidence: float = CONFID
             .agg((1 - F.exp(F.sum(F.log1p(-F.col("conf"))))).alias("score"))
             .join(seeds, ["instance", "kind"], "left_anti")
         )
-        scores = written(seeds.union(new), "pii-scores")
-    accepted = scores.join(seeds, ["instance", "kind"], "left_anti").filter(F.col("score") >= confidence)
+        # What was accepted once stays, with the best score that it has had.
+        accepted = written(accepted.unionByName(new).groupBy("instance", "kind").agg(F.max("score").alias("score")), "pii-accepted")
+        now = accepted.agg(F.count("*").alias("n"), F.coalesce(F.sum("score"), F.lit(0.0)).alias("total")).first()
+        if now["n"] == n and now["total"] <= total * (1 + SETTLED):
+            break
+        n, total = now["n"], now["total"]
+        rounds = None if rounds is None else rounds - 1
     best = F.max(F.struct("score", (-F.col("kind")).alias("order"), "kind"))
     return accepted.groupBy("instance").agg(best.alias("best")).select("instance", "best.kind")
 

@@ -101,3 +101,90 @@ def test_patterns_decide_the_kind_of_a_long_number(spark):
     got = {r.doc_id: [tuple(s) for s in r.spans] for r in pii.find_pii(docs).collect()}
     assert got[60] == [(17, pii.PHONE, 34)] and got[61] == [(16, pii.CARD, 33)]
     assert {r.doc_id: r.text for r in pii.redact(docs).collect()}[60] == "So call my desk: [PHONE] today"
+
+
+def test_whole_addresses_and_far_contexts(spark):
+    """Nothing is cut: an address of any length is one mention, and blanks of any length part words only."""
+    long = "a" * 300 + "!@" + "b" * 400 + "_c"
+    _, found = pii.mentions(f"to {long}, now")
+    assert [(m["start"], m["end"]) for m in found if m["kind"] == pii.EMAIL] == [(3, 3 + len(long))]
+    near, far = (pii.mentions(f"call my desk:{' ' * n}555 0199{' ' * n}today")[1][0] for n in (1, 500))
+    assert near["patterns"] == far["patterns"] and near["broad"] == far["broad"]
+    digits = "1 " * 40
+    assert {m["kind"] for m in pii.mentions(digits + "x")[1]} == {pii.NUMBER}
+
+
+def brute_bootstrap(texts, confidence=pii.CONFIDENCE, support=pii.MIN_SUPPORT):
+    """The rounds over dictionaries: {instance: kind} of what is discovered."""
+    edges = {}
+    for t in texts:
+        for m in pii.mentions(t or "")[1]:
+            for p in [(x, False) for x in m["patterns"]] + [(m["broad"], True)]:
+                key = p, m["instance"], m["kind"]
+                edges[key] = edges.get(key, False) or m["seed"]
+    seeds = {(i, k): 1.0 for (_, i, k), seed in edges.items() if seed}
+    size, accepted = {}, {}
+    for p, i, _ in edges:
+        size.setdefault(p, set()).add(i)
+    while True:
+        held = {}
+        for p, i, k in edges:
+            if k != pii.NUMBER and (i, k) in seeds | accepted:
+                held[p, k] = held.get((p, k), 0) + (seeds | accepted)[i, k]
+        sure = {}
+        for (p, k), h in held.items():
+            n = len(size[p])
+            s = h / n
+            low = (s + 3.84 / (2 * n) - (3.84 * (max(0, s * (1 - s)) / n + 3.84 / (4 * n * n))) ** 0.5) / (1 + 3.84 / n)
+            if h >= support and (conf := low if p[1] else h / (n + 1)) >= confidence:
+                sure[p, k] = conf
+        miss = {}
+        for (p, i, k), seed in edges.items():
+            if not seed and (p, k) in sure and (i, k) not in seeds:
+                miss[i, k] = miss.get((i, k), 1.0) * (1 - sure[p, k])
+        old = dict(accepted)
+        accepted |= {x: max(1 - m, accepted.get(x, 0)) for x, m in miss.items()}
+        if accepted.keys() == old.keys() and sum(accepted.values()) <= 1.01 * sum(old.values()):
+            break
+    out = {}
+    for (i, k), s in sorted(accepted.items(), key=lambda x: (x[1], -x[0][1])):
+        out[i] = k
+    return out
+
+
+def corpus(rng):
+    """Contacts in a labelled context, the same context with numbers that the shapes miss, and a second context that only those have."""
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 6)))
+    local = lambda: f"{rng.randint(200, 999)} {rng.randint(1000, 9999)}"
+    docs, truth = [], {}
+    hidden = [local() for _ in range(27)]
+    for i in range(150):
+        docs.append(f"{word()} {word()} phone: +1 ({rng.randint(100, 999)}) 555-{rng.randint(1000, 9999)} {word()}")
+    docs += [f"{word()} {word()} phone: {h} {word()}" for h in hidden[:24]]
+    # All are met in a second context, which the first 24 bring in, and so the last three.
+    docs += [f"{word()} dial {h} please, {word()}" for h in hidden]
+    truth = {f"{h}" for h in hidden}
+    for i in range(60):
+        docs.append(f"{word()} sold {local()} of {word()} and {rng.randint(1, 99)} more")
+    for i in range(40):
+        docs.append(f"mail: {word()}@{word()}.example.com {word()}")
+    docs += [f"mail: {word()}@localhost {word()}" for _ in range(5)]
+    return docs, truth
+
+
+def test_discovery_spreads_and_is_the_brute_force_version(spark):
+    rng = random.Random(6)
+    texts, truth = corpus(rng)
+    rows = list(enumerate(texts))
+    got = {r.doc_id: [tuple(s) for s in r.spans] for r in pii.find_pii(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()}
+    want = brute_bootstrap(texts)
+    added = {}
+    for i, t in rows:
+        base, found = pii.mentions(t)
+        mine = sorted({(m["start"], m["kind"], m["end"]) for m in found if not m["seed"] and want.get(m["instance"]) == m["kind"]})
+        assert got[i] == sorted([*base, *mine])
+        added |= {t[a:b]: k for a, k, b in mine}
+    phones = {x for x, k in added.items() if k == pii.PHONE}
+    # Numbers met only in the second context are found through those that the first one brought in; nothing sold is.
+    assert len(phones & truth) == len(truth) and not phones - truth
+    assert sum(k == pii.EMAIL and "localhost" in x for x, k in added.items()) == 5
