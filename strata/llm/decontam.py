@@ -13,8 +13,8 @@ the rarest one, in the same document.
 
 A segment holds all postings of its documents, so postings are not shuffled
 and a frequent word costs each segment its own share.  The benchmark is
-broadcast in blocks of at most ``block_chars`` characters of text (a longer
-single item makes a block of its own); the blocks' matches are put together by
+broadcast in blocks of at most ``block_windows`` windows, some 30 MB, one of
+which at a time is built on the driver; the blocks' matches are put together by
 a document's place in the index.
 """
 
@@ -32,7 +32,7 @@ from strata.llm.common import table, texts, written
 WINDOW = 13
 NEAR = 26
 SEGMENT_BYTES = 8 << 20
-BLOCK_CHARS = 16 << 20
+BLOCK_WINDOWS = 200_000
 #: ASCII letters in lower case and digits stay, other ASCII becomes a space, all other bytes stay.
 _WORDS = bytes(
     b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256)
@@ -108,18 +108,25 @@ def build_index(
 class Windows:
     """A block of benchmark windows: words as numbers, a row per distinct window, and the items each belongs to."""
 
-    def __init__(self, items: list[tuple[str, str]], size: int):
-        names, rows = _Numbers(), {}
-        for item, text in items:
-            found = [names[w] for w in words(text)]
-            for i in range(max(1, len(found) - size + 1) if found else 0):
-                rows.setdefault(tuple(found[i : i + size]), {})[item] = None
-        self.words = list(names)
-        self.items = [list(x) for x in rows.values()]
-        self.sizes = np.array([len(w) for w in rows], np.int64)
-        self.terms = np.full((len(rows), size), -1, np.int64)
-        for i, w in enumerate(rows):
-            self.terms[i, : len(w)] = w
+    def __init__(self, parts: list[tuple[str, list[bytes]]], size: int):
+        names, rows, owners = _Numbers(), [], []
+        for n, (_, found) in enumerate(parts):
+            number = np.fromiter(map(names.__getitem__, found), np.int32, len(found))
+            if len(number) < size:  # one short window, padded
+                number = np.concatenate([number, np.full(size - len(number), -1, np.int32)])
+            rows.append(np.lib.stride_tricks.sliding_window_view(number, size))
+            owners.append(np.full(len(rows[-1]), n, np.int32))
+        every = np.concatenate(rows) if rows else np.zeros((0, size), np.int32)
+        self.words, self.names = list(names), [item for item, _ in parts]
+        self.terms, window = np.unique(every, axis=0, return_inverse=True)
+        self.sizes = (self.terms >= 0).sum(axis=1).astype(np.int32)
+        # Of each window the parts it occurs in, one after the other.
+        pairs = np.unique(window.ravel().astype(np.int64) * max(1, len(parts)) + np.concatenate([*owners, np.zeros(0, np.int32)]))
+        self.owner = (pairs % max(1, len(parts))).astype(np.int32)
+        self.first = np.searchsorted(pairs // max(1, len(parts)), np.arange(len(self.terms) + 1)).astype(np.int32)
+
+    def items(self, window: int) -> set[str]:
+        return {self.names[p] for p in self.owner[self.first[window] : self.first[window + 1]]}
 
     def match(self, row: dict, near: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
         """Per window with a match in a segment: its number, exact starts, places of its proximity matches."""
@@ -127,8 +134,8 @@ class Windows:
         starts = np.frombuffer(row["word_starts"], "<i4")
         place = np.cumsum(np.frombuffer(row["gaps"], "<i4"), dtype=np.int64)
         doc_starts = np.frombuffer(row["starts"], "<i4")
-        here = np.array([number.get(w, -1) for w in self.words] + [-1])
-        count = np.where(here >= 0, starts[here + 1] - starts[here], 0)
+        here = np.array([number.get(w, -1) for w in self.words] + [-1], np.int32)
+        count = np.where(here >= 0, starts[here + 1] - starts[here], 0).astype(np.int32)
         count[-1] = np.iinfo(np.int32).max  # the padding of a short window
         often = count[self.terms]
         for i in np.flatnonzero((often > 0).all(axis=1)):
@@ -154,14 +161,18 @@ class Windows:
                 yield i, found, np.unique(close_doc - 1), np.searchsorted(doc_starts, found, "right") - 1
 
 
-def _blocks(items: DataFrame, block_chars: int) -> Iterator[list[tuple[str, str]]]:
-    block, size = [], 0
+def _blocks(items: DataFrame, size: int, most: int) -> Iterator[list[tuple[str, list[bytes]]]]:
+    """The items' words in blocks of at most ``most`` windows; a longer item is cut, its parts sharing size - 1 words."""
+    block, room = [], most
     for row in items.toLocalIterator():
-        block.append((row["item"], row["text"] or ""))
-        size += len(row["text"] or "")
-        if size >= block_chars:
-            yield block
-            block, size = [], 0
+        found, begin = words(row["text"] or ""), 0
+        while begin < (max(1, len(found) - size + 1) if found else 0):
+            take = min(room, max(1, len(found) - size + 1) - begin)
+            block.append((row["item"], found[begin : begin + take + size - 1]))
+            begin, room = begin + take, room - take
+            if not room:
+                yield block
+                block, room = [], most
     if block:
         yield block
 
@@ -176,7 +187,7 @@ def _spans(starts: np.ndarray, sizes: np.ndarray) -> list[int]:
     return np.stack([lo[first], hi[last]], axis=1).ravel().tolist()
 
 
-def _search_block(index: DataFrame, block: list[tuple[str, str]], window: int, near: int) -> DataFrame:
+def _search_block(index: DataFrame, block: list[tuple[str, list[bytes]]], window: int, near: int) -> DataFrame:
     asked = index.sparkSession.sparkContext.broadcast(Windows(block, window))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -191,9 +202,9 @@ def _search_block(index: DataFrame, block: list[tuple[str, str]], window: int, n
                 for i, found, near_docs, docs in w.match(row, near):
                     for at, d in zip(found.tolist(), docs.tolist(), strict=True):
                         hits.setdefault(d, []).append((at - int(starts[d]), int(w.sizes[i])))
-                        items.setdefault(d, set()).update(w.items[i])
+                        items.setdefault(d, set()).update(w.items(i))
                     for d in near_docs.tolist():
-                        close.setdefault(d, set()).update(w.items[i])
+                        close.setdefault(d, set()).update(w.items(i))
                 spans = [_spans(*np.array(hits[d]).T) if d in hits else [] for d in range(len(sizes))]
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -221,7 +232,7 @@ def search(
     benchmark: DataFrame,
     window: int = WINDOW,
     near: int = NEAR,
-    block_chars: int = BLOCK_CHARS,
+    block_windows: int = BLOCK_WINDOWS,
     item_col: str = "item_id",
     text_col: str = "text",
 ) -> DataFrame:
@@ -232,7 +243,7 @@ def search(
     index gives documents without matches, or no rows.
     """
     items = benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("")).alias("item"), F.col(text_col).alias("text"))
-    parts = [_search_block(index, b, window, near) for b in _blocks(items, block_chars)] or [_search_block(index, [], window, near)]
+    parts = [_search_block(index, b, window, near) for b in _blocks(items, window, block_windows)] or [_search_block(index, [], window, near)]
     if len(parts) == 1:
         return parts[0].drop("segment", "place")
     every = parts[0]

@@ -56,7 +56,7 @@ def test_odd_rows_in_one_block_and_in_many(spark, odd, none):
     bench = spark.createDataFrame([(i, t, 1) for i, t in BENCH], "item_id long, text string, item int")
     want = by_id(brute([r[:2] for r in ODD], BENCH))
     assert by_id(rows(decontam.contamination(odd, bench))) == want
-    assert by_id(rows(decontam.contamination(odd, bench, block_chars=8))) == want
+    assert by_id(rows(decontam.contamination(odd, bench, block_windows=2))) == want
     assert by_id(rows(decontam.contamination(odd, bench, window=3))) == by_id(brute([r[:2] for r in ODD], BENCH, 3))
     assert decontam.contamination(none, bench).count() == 0
     assert all(r[2:4] == (0, 0) for r in rows(decontam.contamination(odd, bench.limit(0))))
@@ -76,3 +76,14 @@ def test_proximity_needs_all_words_near_the_rarest(spark):
     bench = spark.createDataFrame([(1, "common rare")], "item_id long, text string")
     found = decontam.contamination(docs, bench, near=10).collect()
     assert {r.doc_id: (r.n_hit, r.n_near_items) for r in found} == {0: (0, 1), 1: (0, 0), 2: (0, 0), 3: (0, 0)}
+
+
+def test_blocks_are_bounded_by_windows(spark):
+    """A long item is cut over several blocks without losing a window."""
+    items = [(1, " ".join(f"w{i % 50}" for i in range(300))), (2, "w1 w2"), (3, "w7 " * 40)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    blocks = [decontam.Windows(b, 13) for b in decontam._blocks(bench.selectExpr("cast(item_id as string) item", "text"), 13, 25)]
+    assert len(blocks) > 10 and all(len(b.terms) <= 25 and b.terms.dtype == "int32" for b in blocks)
+    docs = [(i, " ".join(f"w{(k * (1 + i % 2) + i) % 50}" for k in range(60))) for i in range(20)] + [(50, "x w1 w2 y"), (51, "w7 " * 13)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    assert by_id(rows(decontam.contamination(df, bench, block_windows=25))) == by_id(brute(docs, items))
