@@ -2,12 +2,14 @@
 
 Counts of words and word pairs are gathered from all training texts: every
 task counts in blocks of documents, the blocks' counts meet by hash bucket,
-and each bucket's task sums them.  A count c of an n-gram is kept as its level
+and each bucket's task sums them.  Buckets follow the size of the texts, so
+that one fits a task.  A count c of an n-gram is kept as its level
 1 + floor(log_b(c / least)): the bucket's slice of the filter holds the n-gram
 with each level up to its own, and a reader finds the level by asking for
 level 1, 2, ... until one is not there.  A bucket also answers each block with
-its documents' share of the exact add-one word score, for which it alone
-holds the counts.
+the exact counts of the block's words in it, as many numbers as the block sent
+words, and a block's answers and its kept postings give its documents' exact
+add-one word scores.
 
 The slices are broadcast in pieces of at most ``piece_bytes``; a worker looks
 at one piece after the other and then forms the smoothed probabilities
@@ -33,6 +35,8 @@ from pyspark.sql import functions as F
 from strata.llm.common import fold, table, texts, written
 
 BLOCK_BYTES = 8 << 20
+#: Bytes of text to a bucket.
+BUCKET_BYTES = 32 << 20
 PIECE_BYTES = 64 << 20
 _END, _BEGIN = xxhash.xxh64_intdigest(b""), xxhash.xxh64_intdigest(b" ")
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -107,14 +111,14 @@ def _runs(bucket: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
     return order, np.searchsorted(bucket[order], np.arange(buckets + 1))
 
 
-#: kind "words": keys and counts of a block's words, and their postings (documents of each word, times);
-#: "pairs": keys and counts; "docs": the block's documents.
-COUNTED = "bucket int, kind string, block string, keys binary, counts binary, ends binary, docs binary, times binary, n_docs int, doc_keys array<long>, sizes array<long>"
-_COUNTED = ("bucket", "kind", "block", "keys", "counts", "ends", "docs", "times", "n_docs", "doc_keys", "sizes")
+#: kind "words" and "pairs": keys and counts of a block's words or pairs in a bucket; "blocks": its words' postings
+#: (documents and times, words in the order of their buckets, ``ends`` by word) and its documents.
+COUNTED = "bucket int, kind string, block string, keys binary, counts binary, ends binary, docs binary, times binary, doc_keys array<long>, sizes array<long>"
+_COUNTED = ("bucket", "kind", "block", "keys", "counts", "ends", "docs", "times", "doc_keys", "sizes")
 _TYPES = dict(
     zip(
         _COUNTED,
-        [pa.int32(), pa.string(), pa.string(), *[pa.binary()] * 5, pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64())],
+        [pa.int32(), pa.string(), pa.string(), *[pa.binary()] * 5, pa.list_(pa.int64()), pa.list_(pa.int64())],
         strict=True,
     )
 )
@@ -134,26 +138,28 @@ def _count_block(name: str, keys: list, strings: list[str], train: list[bool], b
     word_of, doc_of = posting // n_docs, posting % n_docs
     first = np.searchsorted(word_of, np.arange(len(s.hashes) + 1))
     order, cut = _runs((s.hashes % np.uint64(buckets)).astype(np.int64), buckets)
-    rows = [{"bucket": xxhash.xxh32_intdigest(name) % buckets, "kind": "docs", "block": name, "n_docs": n_docs, "doc_keys": keys, "sizes": s.sizes.tolist()}]
-    for b in range(buckets):
-        w = order[cut[b] : cut[b + 1]]
-        if len(w):
-            length = first[w + 1] - first[w]
-            at = np.repeat(first[w] - np.cumsum(length) + length, length) + np.arange(length.sum())
-            rows.append(
-                {
-                    "bucket": b,
-                    "kind": "words",
-                    "block": name,
-                    "keys": s.hashes[w].astype("<u8").tobytes(),
-                    "counts": counts[w].astype("<u4").tobytes(),
-                    "ends": np.cumsum(length).astype("<u4").tobytes(),
-                    "docs": doc_of[at].astype("<u4" if n_docs > 65536 else "<u2").tobytes(),
-                    "times": times[at].astype("<u4").tobytes(),
-                    "n_docs": n_docs,
-                }
-            )
-    yield _batch(rows)
+    length = first[order + 1] - first[order]
+    at = np.repeat(first[order] - np.cumsum(length) + length, length) + np.arange(length.sum())
+    yield _batch(
+        [
+            {
+                "kind": "blocks",
+                "block": name,
+                "ends": np.cumsum(length).astype("<u4").tobytes(),
+                "docs": doc_of[at].astype("<u4").tobytes(),
+                "times": times[at].astype("<u4").tobytes(),
+                "doc_keys": keys,
+                "sizes": s.sizes.tolist(),
+            }
+        ]
+    )
+    yield _batch(
+        [
+            {"bucket": b, "kind": "words", "block": name, "keys": s.hashes[w].astype("<u8").tobytes(), "counts": counts[w].astype("<u4").tobytes()}
+            for b in range(buckets)
+            if len(w := order[cut[b] : cut[b + 1]])
+        ]
+    )
     pairs, n = np.unique(_pairs(s.before()[learns], s.hashes[s.number[learns]]), return_counts=True)
     order, cut = _runs((pairs % np.uint64(buckets)).astype(np.int64), buckets)
     yield _batch(
@@ -227,64 +233,52 @@ def _slice(entries: list[tuple[np.ndarray, np.ndarray]], config: Config) -> np.n
     return words_in
 
 
-#: kind "filter": a slice; "sizes": tokens and distinct words in training; "docs": as counted; "scores": a block's
-#: documents' summed logs of counts plus one, and known tokens.
-REDUCED = "kind string, bucket int, block string, data binary, known binary, tokens long, types long, doc_keys array<long>, sizes array<long>"
-_REDUCED = {
-    "kind": pa.string(), "bucket": pa.int32(), "block": pa.string(), "data": pa.binary(), "known": pa.binary(),
-    "tokens": pa.int64(), "types": pa.int64(), "doc_keys": pa.list_(pa.int64()), "sizes": pa.list_(pa.int64()),
-}
+#: kind "filter": a slice; "sizes": tokens and distinct words in training; "answers": the counts of a block's words in a bucket.
+REDUCED = "kind string, bucket int, block string, data binary, tokens long, types long"
+_REDUCED = {"kind": pa.string(), "bucket": pa.int32(), "block": pa.string(), "data": pa.binary(), "tokens": pa.int64(), "types": pa.int64()}
 
 
 def _reduce(counted: DataFrame, config: Config) -> DataFrame:
     def run(group: pa.Table) -> pa.Table:
         rows: list[dict] = []
         kinds = group["kind"].to_pylist()
-        column = lambda c: group[c].to_pylist()
         bucket = group["bucket"][0].as_py()
-        blocks, keys, counts = column("block"), column("keys"), column("counts")
+        blocks, keys, counts = (group[c].to_pylist() for c in ("block", "keys", "counts"))
         words_at = [i for i, k in enumerate(kinds) if k == "words"]
         hashes = [np.frombuffer(keys[i], "<u8") for i in words_at]
         total, count, place = _summed(hashes, [np.frombuffer(counts[i], "<u4") for i in words_at])
         rows.append({"kind": "sizes", "bucket": bucket, "tokens": int(count.sum()), "types": int((count > 0).sum())})
-        logs, seen, begin = np.log10(count + 1.0), count > 0, 0
-        ends, docs, times, n_docs = column("ends"), column("docs"), column("times"), column("n_docs")
+        begin = 0
         for i, h in zip(words_at, hashes, strict=True):
             mine, begin = place[begin : begin + len(h)], begin + len(h)
-            of = np.repeat(mine, np.diff(np.frombuffer(ends[i], "<u4").astype(np.int64), prepend=0))
-            doc = np.frombuffer(docs[i], "<u4" if n_docs[i] > 65536 else "<u2")
-            n = np.frombuffer(times[i], "<u4").astype(float)
-            part = np.bincount(doc, n * logs[of], n_docs[i])
-            known = np.bincount(doc, n * seen[of], n_docs[i]).astype("<u4")
-            rows.append({"kind": "scores", "bucket": bucket, "block": blocks[i], "data": part.astype("<f8").tobytes(), "known": known.tobytes()})
+            rows.append({"kind": "answers", "bucket": bucket, "block": blocks[i], "data": count[mine].astype("<u8").tobytes()})
         pairs_at = [i for i, k in enumerate(kinds) if k == "pairs"]
         pairs, pair_count, _ = _summed([_from_six(keys[i]) for i in pairs_at], [np.frombuffer(counts[i], "<u4") for i in pairs_at])
         levels = _levels(pair_count, config.least_pair, config.base)
         entries = [(_word_keys(total), _levels(count, config.least_word, config.base)), (pairs[levels > 0], levels[levels > 0])]
         rows.append({"kind": "filter", "bucket": bucket, "data": _slice(entries, config).astype("<u8").tobytes()})
-        doc_keys, sizes = column("doc_keys"), column("sizes")
-        rows += [{"kind": "docs", "block": blocks[i], "doc_keys": doc_keys[i], "sizes": sizes[i]} for i, k in enumerate(kinds) if k == "docs"]
         return pa.Table.from_arrays([pa.array([r.get(c) for r in rows], t) for c, t in _REDUCED.items()], list(_REDUCED))
 
-    return counted.groupBy("bucket").applyInArrow(run, REDUCED)
+    sent = counted.filter("kind <> 'blocks'").select("bucket", "kind", "block", "keys", "counts")
+    return sent.groupBy("bucket").applyInArrow(run, REDUCED)
 
 
-def _base(reduced: DataFrame) -> DataFrame:
+def _base(counted: DataFrame, reduced: DataFrame) -> DataFrame:
     """(key, n_tokens, n_known, logs): a row per counted document."""
 
-    def run(group: pa.Table) -> pa.Table:
-        kinds, data, known = (group[c].to_pylist() for c in ("kind", "data", "known"))
-        at = kinds.index("docs")
-        keys, sizes = group["doc_keys"][at].as_py(), group["sizes"][at].as_py()
-        order = sorted((b, i) for i, (b, k) in enumerate(zip(group["bucket"].to_pylist(), kinds, strict=True)) if k == "scores")
-        logs, n = np.zeros(len(keys)), np.zeros(len(keys), np.int64)
-        for _, i in order:
-            logs += np.frombuffer(data[i], "<f8")
-            n += np.frombuffer(known[i], "<u4")
-        return pa.table({"key": pa.array(keys, pa.int64()), "n_tokens": pa.array(sizes, pa.int64()), "n_known": n, "logs": logs})
+    def run(block: pa.Table, answers: pa.Table) -> pa.Table:
+        got = sorted(zip(answers["bucket"].to_pylist(), answers["data"].to_pylist(), strict=True))
+        count = np.concatenate([np.frombuffer(data, "<u8") for _, data in got])
+        ends, doc, times = (np.frombuffer(block[c][0].as_py(), "<u4") for c in ("ends", "docs", "times"))
+        keys, sizes = block["doc_keys"][0].as_py(), block["sizes"][0].as_py()
+        length = np.diff(ends.astype(np.int64), prepend=0)
+        logs = np.bincount(doc, times * np.repeat(np.log10(count + 1.0), length), len(keys))
+        known = np.bincount(doc, times * np.repeat((count > 0).astype(float), length), len(keys)).astype(np.int64)
+        return pa.table({"key": pa.array(keys, pa.int64()), "n_tokens": pa.array(sizes, pa.int64()), "n_known": known, "logs": logs})
 
-    parts = reduced.filter("kind in ('docs', 'scores')")
-    return parts.groupBy("block").applyInArrow(run, "key long, n_tokens long, n_known long, logs double")
+    blocks = counted.filter("kind = 'blocks'").select("block", "ends", "docs", "times", "doc_keys", "sizes")
+    answers = reduced.filter("kind = 'answers'").select("block", "bucket", "data")
+    return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(run, "key long, n_tokens long, n_known long, logs double")
 
 
 class Piece:
@@ -325,8 +319,11 @@ class Model:
 def train(docs: DataFrame, config: Config, buckets: int | None = None, block_bytes: int = BLOCK_BYTES, piece_bytes: int = PIECE_BYTES) -> Model:
     """Counts ``docs`` (key, text, train) and builds the filter from the rows with ``train``."""
     spark = docs.sparkSession
-    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    reduced = written(_reduce(_count(docs, buckets, block_bytes), config), "lm-counts", partition_by="kind")
+    if not buckets:
+        size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES))
+    counted = written(_count(docs, buckets, block_bytes), "lm-counted", partition_by="kind")
+    reduced = written(_reduce(counted, config), "lm-counts", partition_by="kind")
     sizes = reduced.filter("kind = 'sizes'").agg(F.sum("tokens").alias("n"), F.sum("types").alias("v")).first()
     pieces, held, size = [], {}, 0
     for r in reduced.filter("kind = 'filter'").select("bucket", "data").toLocalIterator():
@@ -337,7 +334,7 @@ def train(docs: DataFrame, config: Config, buckets: int | None = None, block_byt
         size += len(r["data"])
     if held:
         pieces.append(spark.sparkContext.broadcast(Piece(held, buckets)))
-    return Model(config, buckets, sizes["n"] or 0, sizes["v"] or 0, pieces, _base(reduced))
+    return Model(config, buckets, sizes["n"] or 0, sizes["v"] or 0, pieces, _base(counted, reduced))
 
 
 def _counts(levels: np.ndarray, least: int, base: float) -> np.ndarray:

@@ -107,3 +107,53 @@ def test_pairs_seen_once_count(spark):
     got = {r.doc_id: r.score for r in lm.score_texts(spark.createDataFrame(rows, "doc_id long, text string"), F.col("doc_id") < 3).collect()}
     for i, t in rows[:3]:
         assert math.isclose(got[i], sum(math.log10(p(a, b)) for a, b in zip([None, *split(t)], split(t))), rel_tol=1e-9)
+
+
+def middle(count, base):
+    """The number that stands for a count: the middle of the whole numbers of its level."""
+    if not count:
+        return 0.0
+    level = math.floor(math.log(count, base) + 1e-9)
+    inside = [n for n in range(1, 10_000) if base**level - 1e-9 <= n < base ** (level + 1) - 1e-9]
+    return (inside[0] + inside[-1]) / 2
+
+
+def test_scores_are_the_brute_force_bigram_model(spark):
+    rng = np.random.default_rng(7)
+    vocabulary = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join(vocabulary[min(59, int(x))] for x in rng.zipf(1.5, rng.integers(0, 120)) - 1)) for i in range(80)]
+    rows += [(100, None), (101, "unseen words only"), (102, "")]
+    learn = [split(t) for i, t in rows if i % 3]
+    config = lm.Config(bits=64)  # hardly a false hit
+    word = collections.Counter(w for x in learn for w in x)
+    pair = collections.Counter(p for x in learn for p in zip([None, *x], x))
+    n, v = sum(word.values()), len(word)
+    assert max(word.values()) > 50 and max(pair.values()) > 10
+
+    def text(t):
+        total, before = 0.0, len(learn)
+        for a, b in zip([None, *split(t)], split(t)):
+            # A text begins as often as texts end; counts stand as their levels' middles.
+            c = middle(before if a is None else word[a], config.base)
+            weight = config.weight * c / (c + config.damping)
+            share = min(1.0, middle(pair[a, b], config.base) / c) if c else 0.0
+            total += math.log10(weight * share + (1 - weight) * (middle(word[b], config.base) + 1) / (n + v + 1))
+        return total
+
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for options in ({}, {"buckets": 7, "block_bytes": 300, "piece_bytes": 64}):
+        got = {r.doc_id: r.score for r in lm.score_texts(df, F.col("doc_id") % 3 != 0, config, **options).collect()}
+        assert all(math.isclose(got[i], text(t), rel_tol=1e-6) for i, t in rows)
+
+
+def test_what_is_sent_does_not_grow_with_the_buckets(spark, docs):
+    """Keys, counts and answers are as many bytes over 8 buckets as over 800."""
+    rows = docs.selectExpr("xxhash64(doc_id, text) as key", "text", "doc_id % 7 <> 2 as train")
+    sent = []
+    for buckets in (8, 800):
+        counted = lm._count(rows, buckets, 1 << 20).persist()
+        size = counted.selectExpr("sum(length(keys)) + sum(length(counts))", "sum(length(docs)) + sum(length(times)) + sum(length(ends))").first()
+        answers = lm._reduce(counted, lm.Config()).filter("kind = 'answers'").selectExpr("sum(length(data))").first()
+        sent.append((*size, *answers))
+        counted.unpersist()
+    assert sent[0] == sent[1]
