@@ -59,3 +59,43 @@ def test_odd_rows(spark, odd, none):
     nothing = toxicity.train(none, labels.limit(0))
     assert {r.score for r in toxicity.score(odd, nothing).collect()} == {0.5}
     assert toxicity.score(none, model).count() == 0
+
+
+def test_fit_is_the_update_rule_by_hand(spark):
+    """The learned weights against FTRL-proximal over dictionaries, one row an id, in the order of the ids' hashes."""
+    rng = np.random.default_rng(1)
+    rows, labels = [], []
+    for i in range(60):
+        y = int(rng.integers(0, 2))
+        rows.append((i, " ".join([*rng.choice([f"w{k}" for k in range(30)], 6), "bad" if y else "good"])))
+        labels.append((i, y))
+    rates = toxicity.Rates(alpha=0.5, beta=1.0, l1=0.2, l2=0.01, passes=3)
+    docs = spark.createDataFrame([*rows, *rows[:7], *rows[:7]], "doc_id long, text string").repartition(3)
+    marked = spark.createDataFrame([*labels, (0, 0), (900, 1), (1, None), (None, 1)], "doc_id long, toxic int")
+    model = toxicity.train(docs, marked, rates=rates)
+    order = [r.doc_id for r in spark.createDataFrame(rows, "doc_id long, text string").orderBy(F.xxhash64(F.lit("order"), "doc_id")).collect()]
+    z, n = {}, {}
+
+    def weight(k):
+        if k != "bias" and abs(z.get(k, 0)) <= rates.l1:
+            return 0.0
+        pull = rates.l1 * (1 if z.get(k, 0) > 0 else -1) if k != "bias" else 0.0
+        return -(z.get(k, 0) - pull) / ((rates.beta + n.get(k, 0) ** 0.5) / rates.alpha + rates.l2)
+
+    for _ in range(rates.passes):
+        for i in order:
+            keys = [*toxicity.features(dict(rows)[i]).tolist(), "bias"]
+            w = {k: weight(k) for k in keys}
+            g = 1 / (1 + np.exp(-sum(w.values()))) - dict(labels)[i]
+            for k in keys:
+                before = n.get(k, 0)
+                z[k] = z.get(k, 0) + g - ((before + g * g) ** 0.5 - before**0.5) / rates.alpha * w[k]
+                n[k] = before + g * g
+    want = {k: weight(k) for k in z if k != "bias" and weight(k)}
+    assert dict(zip(model.at.tolist(), model.weight.tolist(), strict=True)).keys() == want.keys() and len(want) > 10
+    assert np.allclose(model.weight, [want[k] for k in model.at.tolist()], rtol=1e-5, atol=1e-7)
+    assert abs(model.bias - weight("bias")) < 1e-9
+    scored = {r.doc_id: r.score for r in toxicity.score(docs, model).collect()}
+    for i, t in rows:
+        total = weight("bias") + sum(weight(k) for k in toxicity.features(t).tolist())
+        assert abs(scored[i] - 1 / (1 + np.exp(-total))) < 1e-5
