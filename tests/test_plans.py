@@ -1,9 +1,15 @@
 """Physical-plan properties the design relies on (pushdown, pruning, broadcast, no window in A6)."""
 
+from pyspark.sql import functions as F
+
 from conftest import SF_SMALL
+from strata.operators import dashboard as dash
 from strata.operators.apportion import apportion
-from strata.plans.catalog import detail_dims, order_amount_hour, order_province, order_wide, range_search
+from strata.plans.catalog import dau_hour, dau_total, detail_dims, hourly_compare_amount, hourly_compare_dau, kpi_list, \
+    order_amount_hour, order_amount_total, order_province, order_wide, range_search
+from strata.plans.stored import stored_dau, stored_wide
 from strata.plans.warehouse import Warehouse
+from strata.sources.sinks import read_order_wide, write_order_wide
 
 
 def _plan(df) -> str:
@@ -33,9 +39,61 @@ def test_no_job_while_a_query_is_built(spark):
     assert all("parquet" in n for n in names), names
 
 
+def _text(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_stored_fact_is_pruned_by_day(spark):
-    plan = order_amount_hour(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(dt" in plan and "lineitem" not in plan
+    """Also for a day that has no folder (sf0.001 has no order on the catalogue's day)."""
+    for build in (order_amount_hour, order_amount_total, hourly_compare_amount):
+        plan = _text(build(spark, SF_SMALL))
+        assert "PartitionFilters: [isnotnull(dt" in plan or "PartitionFilters: [dt#" in plan, plan
+        assert "lineitem" not in plan and "orders" not in plan
+
+
+def test_dashboards_read_the_day_index(spark):
+    for build in (dau_total, dau_hour, hourly_compare_dau, kpi_list):
+        plan = _text(build(spark, SF_SMALL))
+        assert "PartitionFilters: [isnotnull(day" in plan or "PartitionFilters: [day#" in plan, plan
+        assert "events" not in plan
+        scan = next(line for line in plan.splitlines() if "PartitionFilters" in line and "day#" in line)
+        assert "ReadSchema: struct<mid:string" in scan
+
+
+def test_order_amounts_of_a_day_that_has_orders(spark):
+    wide = stored_wide(spark, SF_SMALL)
+    day, n = wide.groupBy("dt").count().orderBy(F.desc("count"), "dt").first()
+    one = stored_wide(spark, SF_SMALL, day)
+    assert n == one.count() > 0
+    total = dash.order_amount_total(one, day).first()["amount"]
+    hours = dash.order_amount_hour(one, day).collect()
+    assert hours and sum(r["amount"] for r in hours) == total > 0
+    both = dash.hourly_compare("order_amount", stored_wide(spark, SF_SMALL, day, dash.yesterday(day)), day).where("day = 'today'")
+    assert sum(r["value"] for r in both.collect()) == total
+    assert dash.order_amount_total(stored_wide(spark, SF_SMALL, "1900-01-01"), "1900-01-01").first()["amount"] == 0
+
+
+def test_a_hot_day_is_written_by_many_tasks(spark, scratch):
+    wide = stored_wide(spark, SF_SMALL).where("dt like '1996-0%'")
+    hot = wide.withColumn("dt", F.when(F.col("order_id") % 2 == 0, F.lit("2024-01-01")).otherwise(F.substring("dt", 1, 7)))
+    write_order_wide(hot, scratch)
+    back = read_order_wide(spark, scratch)
+    files = back.select("dt", F.input_file_name().alias("file")).distinct().groupBy("dt").count().collect()
+    by_day = {r["dt"]: r["count"] for r in files}
+    assert by_day["2024-01-01"] >= 2
+    assert sum(by_day.values()) <= len(by_day) + int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert back.count() == wide.count()
+
+
+def test_stored_tables_follow_their_sources(spark, tmp_path):
+    for name in ("a", "b"):
+        events = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+        events.where("event_id % 2 = 0" if name == "a" else "true").write.mode("overwrite").parquet(f"{tmp_path}/events.parquet")
+        dau = stored_dau(spark, str(tmp_path))
+        assert sorted(map(tuple, dau.select("day", "mid").collect())) == sorted(
+            map(tuple, Warehouse(spark, str(tmp_path)).dau.select("day", "mid").collect()))
+    again = stored_dau(spark, str(tmp_path))
+    assert sorted(again.inputFiles()) == sorted(dau.inputFiles())
 
 
 def test_sku_snowflake_scans_part_seven_times_at_most(spark):
