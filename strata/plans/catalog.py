@@ -33,6 +33,7 @@ from strata.plans.stored import stored_dau, stored_wide
 from strata.plans.warehouse import AS_OF_YEAR, Warehouse
 from strata.schemas import DIMENSIONS, ORDER_INFO_WIRE
 from strata.session import shared_path
+from strata.sources.buckets import read_bucketed, write_bucketed
 from strata.sources.dimstore import DimensionStore
 from strata.sources.sinks import DayIndex, append_documents, archive_text, read_archive, read_order_wide, \
     write_order_wide
@@ -148,6 +149,14 @@ def order_user_profile(spark, sf_dir):
         "id", "user_id", "user_age_group", "user_gender")
 
 
+def order_user_profile_bucketed(spark, sf_dir):
+    """J2 against the user table in buckets of its id."""
+    td = _wh(spark, sf_dir).td
+    users = write_bucketed(td.user_info(), shared_path(spark, "users", unique=True), "id")
+    return join_user_profile(td.order_info, read_bucketed(spark, users), as_of_year=AS_OF_YEAR).select(
+        "id", "user_id", "user_age_group", "user_gender")
+
+
 def order_users_needed(spark, sf_dir):
     td = _wh(spark, sf_dir).td
     return users_needed(td.user_info(), td.order_info).select("id", "name")
@@ -352,6 +361,7 @@ def catalog() -> dict[str, Query]:
         "order_date_parts": order_date_parts,
         "order_province": order_province,
         "order_user_profile": order_user_profile,
+        "order_user_profile_bucketed": order_user_profile_bucketed,
         "order_users_needed": order_users_needed,
         "detail_dims": detail_dims,
         "detail_dims_rejects": detail_dims_rejects,

@@ -296,6 +296,7 @@ select d.id as order_detail_id,
               '|final_detail_amount:0.00') as text
 from order_info i join order_detail d on i.id = d.order_id""",
 }
+_RAW["order_user_profile_bucketed"] = _RAW["order_user_profile"]
 _RAW["sink_order_wide"] = _RAW["order_wide"].replace(
     """case when w.tc = 0 then null else cast((2 * w.fc * w.lc * 100 + w.tc) // (2 * w.tc) as double) / 10000
        end as final_detail_amount""", "cast(w.value_c as double) / 100 as final_detail_amount"

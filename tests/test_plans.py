@@ -5,10 +5,12 @@ from pyspark.sql import functions as F
 from conftest import SF_SMALL
 from strata.operators import dashboard as dash
 from strata.operators.apportion import apportion
+from strata.operators.enrich import join_user_profile, users_needed
 from strata.plans.catalog import dau_hour, dau_total, detail_dims, hourly_compare_amount, hourly_compare_dau, kpi_list, \
     order_amount_hour, order_amount_total, order_province, order_wide, range_search
 from strata.plans.stored import stored_dau, stored_wide
 from strata.plans.warehouse import Warehouse
+from strata.sources.buckets import read_bucketed, write_bucketed
 from strata.sources.sinks import read_order_wide, write_order_wide
 
 
@@ -96,6 +98,32 @@ def test_stored_tables_follow_their_sources(spark, tmp_path):
     assert sorted(again.inputFiles()) == sorted(dau.inputFiles())
 
 
+def test_bucketed_users_are_not_shuffled(spark, scratch):
+    """Only the batch moves: one Exchange, on the orders' side, and no sort of the users."""
+    td = Warehouse(spark, SF_SMALL).td
+    users = read_bucketed(spark, write_bucketed(td.user_info(), scratch, "id"))
+    batch = spark.createDataFrame([(1, 3), (2, 22), (3, None)], "id long, user_id long")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        profile, needed = join_user_profile(batch, users, as_of_year=2024), users_needed(users, batch)
+        for df in (profile, needed):
+            lines = _text(df).splitlines()
+            scan = next(i for i, line in enumerate(lines) if "FileScan" in line)
+            above, depth = [], len(lines[scan]) - len(lines[scan].lstrip(" :+-"))
+            for line in lines[scan - 1 :: -1]:
+                if (at := len(line) - len(line.lstrip(" :+-"))) < depth:
+                    above.append(line)
+                    depth = at
+            assert "Bucketed: true" in lines[scan] and "SelectedBucketsCount" in lines[scan]
+            assert not any("Exchange" in line for line in above), "\n".join(lines)
+        want = {r["id"]: r["name"] for r in td.user_info().collect()}
+        assert {r["id"] for r in needed.collect()} == {str(u) for u in (3, 22) if str(u) in want}
+        assert [r["user_gender"] is None for r in profile.orderBy("id").collect()][2]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
 def test_sku_snowflake_scans_part_seven_times_at_most(spark):
     plan = detail_dims(spark, SF_SMALL)._jdf.queryExecution().sparkPlan().toString()
     assert plan.count("FileScan parquet") <= 8  # seven of part, one of lineitem
