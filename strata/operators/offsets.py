@@ -36,7 +36,8 @@ def after_ledger(records: DataFrame, ledger: DataFrame) -> DataFrame:
     """
     seen = ledger.select(F.col("topic").alias("_t"), F.col("partition").alias("_p"), "next_offset")
     at = (records["topic"] == seen["_t"]) & (records["partition"] == seen["_p"])
-    return records.join(seen, at, "left").where("next_offset is null or offset >= next_offset").select(*records.columns)
+    unseen = "next_offset is null or offset is null or offset >= next_offset"
+    return records.join(seen, at, "left").where(unseen).select(*records.columns)
 
 
 def starting_offsets(ledger: DataFrame) -> str:

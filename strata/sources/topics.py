@@ -11,17 +11,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.operators.offsets import after_ledger, starting_offsets
+from strata.operators.offsets import after_ledger
+from strata.operators.offsets import starting_offsets as as_starting_offsets
 from strata.schemas import TOPIC_RECORD
 
 RECORD_COLUMNS = [f.name for f in TOPIC_RECORD.fields]
 
 
 def read_topic(spark: SparkSession, topic: str, *, fmt: str = "files", root: str | None = None,
-               stream: bool = False, ledger: DataFrame | None = None, options: dict | None = None,
-               max_per_trigger: int | None = None) -> DataFrame:
+               stream: bool = False, starting_offsets: str | None = None, ledger: DataFrame | None = None,
+               options: dict | None = None, max_per_trigger: int | None = None) -> DataFrame:
     """Records of one topic: key, value, topic, partition, offset, timestamp.
 
+    ``starting_offsets`` is Kafka's own; files are read whole and have none.
+
     ``ledger`` (S2) names the next offset of each partition; records before it
     are left out, partitions that it does not name are read from their start.
     ``max_per_trigger`` bounds a stream's micro-batch (T-a): in offsets of a
@@ -31,11 +34,15 @@ def read_topic(spark: SparkSession, topic: str, *, fmt: str = "files", root: str
     ``fmt="files"``: the topic's folder under ``root``; a stream's checkpoint
     remembers the files it has read.
     """
+    if fmt != "kafka" and starting_offsets is not None:
+        raise ValueError("files have no offsets to start from")
     reader = spark.readStream if stream else spark.read
     if fmt == "kafka":
         reader = reader.format("kafka").option("subscribe", topic).options(**(options or {}))
         if ledger is not None:
-            reader = reader.option("startingOffsets", starting_offsets(ledger))
+            starting_offsets = as_starting_offsets(ledger)
+        if starting_offsets is not None:
+            reader = reader.option("startingOffsets", starting_offsets)
         if stream and max_per_trigger:
             reader = reader.option("maxOffsetsPerTrigger", max_per_trigger)
         return reader.load().select(F.col("key").cast("string"), F.col("value").cast("string"), "topic", "partition",
