@@ -105,6 +105,16 @@ def _from_six(data: bytes) -> np.ndarray:
     return wide.view("<u8").ravel()
 
 
+def _narrow(numbers: np.ndarray) -> bytes:
+    """Whole numbers in as many bytes each as the largest needs: 1, 2 or 4."""
+    most = numbers.max(initial=0)
+    return numbers.astype("<u1" if most < 1 << 8 else "<u2" if most < 1 << 16 else "<u4").tobytes()
+
+
+def _wide(data: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(data, f"<u{len(data) // max(1, n)}" if n else "<u4")
+
+
 def _runs(bucket: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
     """An order by bucket, and where each bucket begins in it."""
     order = np.argsort(bucket, kind="stable")
@@ -146,8 +156,8 @@ def _count_block(name: str, keys: list, strings: list[str], train: list[bool], b
                 "kind": "blocks",
                 "block": name,
                 "ends": np.cumsum(length).astype("<u4").tobytes(),
-                "docs": doc_of[at].astype("<u4").tobytes(),
-                "times": times[at].astype("<u4").tobytes(),
+                "docs": _narrow(doc_of[at]),
+                "times": _narrow(times[at]),
                 "doc_keys": keys,
                 "sizes": s.sizes.tolist(),
             }
@@ -269,7 +279,8 @@ def _base(counted: DataFrame, reduced: DataFrame) -> DataFrame:
     def run(block: pa.Table, answers: pa.Table) -> pa.Table:
         got = sorted(zip(answers["bucket"].to_pylist(), answers["data"].to_pylist(), strict=True))
         count = np.concatenate([np.frombuffer(data, "<u8") for _, data in got])
-        ends, doc, times = (np.frombuffer(block[c][0].as_py(), "<u4") for c in ("ends", "docs", "times"))
+        ends = np.frombuffer(block["ends"][0].as_py(), "<u4")
+        doc, times = (_wide(block[c][0].as_py(), int(ends[-1])) for c in ("docs", "times"))
         keys, sizes = block["doc_keys"][0].as_py(), block["sizes"][0].as_py()
         length = np.diff(ends.astype(np.int64), prepend=0)
         logs = np.bincount(doc, times * np.repeat(np.log10(count + 1.0), length), len(keys))
