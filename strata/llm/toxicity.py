@@ -3,7 +3,8 @@
 A text's features are its distinct words, word pairs and pairs with one word
 skipped, hashed to 2^20 coordinates.  Training is online FTRL-proximal, with a
 rate per coordinate and an L1 term that leaves most weights at zero; it sees at
-most about ``rows`` labelled rows, picked by a hash of the id, in one task.
+most about ``rows`` labelled rows, picked by a hash of the id, and of these at
+most ``entries`` coordinates, in one task, which so holds a known number of bytes.
 The non-zero weights, at most one per coordinate, are broadcast; every row of
 the input is scored over its whole text.
 """
@@ -18,13 +19,14 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructField, StructType
+from pyspark.sql.types import BinaryType, DoubleType, StructField, StructType
 
 from strata.llm.common import fold, table, texts
 from strata.llm.decontam import words
 
 DIMENSION = 1 << 20
 ROWS = 20_000
+ENTRIES = 1 << 26
 THRESHOLD = 0.7
 _KINDS = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 _CHUNK = 1 << 18
@@ -115,6 +117,7 @@ def train(
     docs: DataFrame,
     labels: DataFrame,
     rows: int = ROWS,
+    entries: int = ENTRIES,
     rates: Rates | None = None,
     id_col: str = "doc_id",
     text_col: str = "text",
@@ -122,9 +125,10 @@ def train(
 ) -> Model:
     """Fits on about ``rows`` of the rows of ``docs`` that have a 0 or 1 in ``labels`` (all, if fewer).
 
-    An id labelled more than once takes its largest label, one with several
-    rows its row of the least text hash.  No labelled rows: all weights and the
-    bias are zero, and every score is a half.
+    They are taken in the order of a hash of their ids until their features
+    would pass ``entries`` (4 bytes each).  An id labelled more than once takes
+    its largest label, one with several rows its row of the least text hash.
+    No labelled rows: all weights and the bias are zero, and every score is a half.
     """
     rates = rates or Rates()
     marked = (
@@ -138,12 +142,23 @@ def train(
     picked = marked.filter(place < min(1.0, rows / max(1, total)))
     # About ``rows`` ids, so a broadcast of a known size, and the texts stay where they are.
     sample = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(picked), "id")
-    sample = sample.groupBy("id", "label").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    marked_texts = sample.select("id", "label", F.xxhash64("text").alias("h"), "text")
+    schema = StructType([*marked_texts.drop("text").schema.fields, StructField("at", BinaryType())])
+
+    def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, strings in texts(batches):
+            at = pa.array((features(t).tobytes() for t in strings), pa.binary())
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in ("id", "label", "h")], at], ["id", "label", "h", "at"])
+
+    found = marked_texts.mapInArrow(extract, schema).groupBy("id", "label").agg(F.min_by("at", "h").alias("at"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = [
-            (features(t), y) for batch, strings in texts(batches) for t, y in zip(strings, batch.column("label").to_pylist(), strict=True)
-        ]
+        seen, left = [], entries
+        for batch in batches:
+            for at, y in zip(batch.column("at"), batch.column("label").to_pylist(), strict=True):
+                left -= len(at.as_buffer()) // 4
+                if left >= 0:
+                    seen.append((np.frombuffer(at.as_py(), np.uint32), y))
         fit = Ftrl(rates)
         for _ in range(rates.passes):
             for at, label in seen:
@@ -154,8 +169,8 @@ def train(
         yield pa.RecordBatch.from_arrays([pa.array([-1], pa.int64()), pa.array([fit.bias()])], ["at", "weight"])
 
     # One task fits the bounded sample, in an order that a hash of the ids gives.
-    ordered = sample.repartition(1).sortWithinPartitions(F.xxhash64(F.lit("order"), "id"), "label", F.xxhash64("text"))
-    got = ordered.select("text", "label").mapInArrow(run, "at long, weight double").toArrow()
+    ordered = found.repartition(1).sortWithinPartitions(F.xxhash64(F.lit("order"), "id"), "label")
+    got = ordered.select("at", "label").mapInArrow(run, "at long, weight double").toArrow()
     at, weight = got.column("at").to_numpy(), got.column("weight").to_numpy()
     return Model(at[at >= 0], weight[at >= 0].astype(np.float32), float(weight[at < 0].sum()))
 

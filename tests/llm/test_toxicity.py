@@ -99,3 +99,18 @@ def test_fit_is_the_update_rule_by_hand(spark):
     for i, t in rows:
         total = weight("bias") + sum(weight(k) for k in toxicity.features(t).tolist())
         assert abs(scored[i] - 1 / (1 + np.exp(-total))) < 1e-5
+
+
+def test_the_fit_holds_a_bounded_number_of_features(spark):
+    """Rows in the order of their ids' hashes, until the next one would pass the bound."""
+    rows = [(i, " ".join(f"w{i}x{k}" for k in range(40)) + (" bad" if i % 2 else " good")) for i in range(50)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, toxic int")
+    rates = toxicity.Rates(alpha=0.5, l1=0.01, passes=2)
+    order = [r.doc_id for r in docs.orderBy(F.xxhash64(F.lit("order"), "doc_id")).collect()]
+    sizes = [len(toxicity.features(dict(rows)[i])) for i in order]
+    for n in (0, 7, 50):
+        first = docs.filter(F.col("doc_id").isin(order[:n]))
+        got, want = toxicity.train(docs, labels, entries=sum(sizes[:n]) + 5, rates=rates), toxicity.train(first, labels, rates=rates)
+        assert got.bias == want.bias and (got.at == want.at).all() and (got.weight == want.weight).all()
+        assert (len(got.at) > 0) == (n > 0)
