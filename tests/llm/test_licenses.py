@@ -104,3 +104,66 @@ def test_every_sentence_and_rule_wrapped(spark):
     got = {r.doc_id: r for r in licenses.recognise(spark.createDataFrame(rows, "doc_id string, text string")).collect()}
     assert [i for i in said if got[i].n_sentences != 1] == []
     assert [got[str(n)].licenses for n in range(len(licenses.RULES))] == [spdx for spdx, _ in licenses.RULES]
+
+
+FULL = {
+    "LGPL-2.1-or-later": """This library is free software; you can redistribute it and/or
+modify it under the terms of the GNU Lesser General Public
+License as published by the Free Software Foundation; either
+version 2.1 of the License, or (at your option) any later version.
+
+This library is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the GNU
+Lesser General Public License for more details.""",
+    "EPL-2.0": """This program and the accompanying materials are made
+available under the terms of the Eclipse Public License 2.0
+which is available at https://www.eclipse.org/legal/epl-2.0/""",
+    "Apache-2.0": NOTICES["Apache-2.0"] + """ or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License.""",
+    "Zlib": """This software is provided 'as-is', without any express or implied
+warranty. In no event will the authors be held liable for any damages
+arising from the use of this software.
+
+Permission is granted to anyone to use this software for any purpose,
+including commercial applications, and to alter it and redistribute it
+freely, subject to the following restrictions:""",
+    "CC-BY-SA-4.0": "This work is licensed under a Creative Commons\nAttribution-ShareAlike 4.0 International License.",
+}
+FULL["LGPL-3.0-or-later"] = FULL["LGPL-2.1-or-later"].replace("version 2.1", "version 3")
+FULL["AGPL-3.0-or-later"] = NOTICES["GPL-3.0-or-later"].replace("GNU General", "GNU Affero General")
+
+
+def test_operator_and_sql_agree_on_notices(spark):
+    """Wrapped at any width, commented, one word to a line, cut short, between other text."""
+    texts = [(k, t) for notices in (NOTICES, FULL) for k, t in notices.items()] + [("MIT", MIT), ("BSD-3-Clause", "\n".join(BSD))]
+    rows, want = [], []
+    for k, t in texts:
+        for form in (
+            t,
+            *("\n".join(mark + line for line in t.splitlines()) for mark in ("# ", " * ", "// ")),
+            "\n".join(t.split()),
+            *("\n".join(wrapped([part], w) for part in t.split("\n\n")) for w in (50, 78)),
+            "Some prose, the\n" + t.upper() + "\nall rights reserved. The",
+            t.replace(" ", " \t "),
+            t[: len(t) // 2],
+        ):
+            rows.append((len(rows), form))
+            want.append(k)
+    rows += [(900 + i, text) for i, (text, *_) in enumerate(CASES.values())]
+    rows += [(None, "the\nabove.\n\x01.a..b\x0b licensed under\x0bthe MIT license"), (950, "this\nthis work is\nlicensed\nunder the\nterms of the ISC license")]
+    got = sorted(map(tuple, licenses.recognise(spark.createDataFrame(rows, "doc_id long, text string")).collect()), key=str)
+    con = duckdb.connect()
+    con.execute("create table documents (doc_id bigint, text varchar)")
+    con.executemany("insert into documents values (?, ?)", rows)
+    assert got == compare(spark, con)
+    found = {r[0]: r[2:] for r in got}
+    for i, k in enumerate(want):
+        if i % 10 == 7:
+            assert found[i] == (",".join(sorted([k, "All-rights-reserved"])), ""), (rows[i], found[i])
+        elif i % 10 < 9:
+            assert found[i] == (k, ""), (rows[i], found[i])
+    assert found[950] == ("ISC", "")
