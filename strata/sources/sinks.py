@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
@@ -74,7 +74,8 @@ class DayIndex:
     """Documents by id in per-day partitions; the same id overwrites (last write wins).
 
     Layout ``<root>/batch=<id>/day=<day>/``.  Reading one day prunes to that day's
-    folders; the newest row per (day, id) wins by (batch, ``order``).
+    folders; the newest row per (day, id) wins by (batch, ``order``).  ``compact``
+    bounds the folders of a day.
     """
 
     def __init__(self, spark: SparkSession, root: str, id_col: str = "mid", day_col: str = "day"):
@@ -86,30 +87,66 @@ class DayIndex:
         latest = last_per_key(docs, keys, order) if order else docs.dropDuplicates(keys)
         latest.write.mode("overwrite").partitionBy(self.day_col).parquet(f"{self.root}/batch={int(batch_id)}")
 
+    def compact(self, through: int, at_least: int = 8) -> list[str]:
+        """Merge each day that has ``at_least`` folders of batches up to ``through`` into one folder of that batch; gives the days.
+
+        ``through`` is a batch that can't be replayed any more.  The merged rows
+        are added beside the old ones, which the newest-row rule makes no
+        difference to a read, and what they replace is deleted only after their
+        commit; so a crash at any point is mended by calling it again.  A read
+        that listed its files before may have to be repeated.
+        """
+        jvm = self.spark.sparkContext._jvm
+        found = jvm.org.apache.hadoop.fs.Path(f"{self.root}/batch=*/{self.day_col}=*")
+        fs = found.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        folders: dict[str, list] = {}
+        for status in fs.globStatus(found):
+            path = status.getPath()
+            if int(path.getParent().getName().split("=", 1)[1]) <= through:
+                folders.setdefault(path.getName().split("=", 1)[1], []).append(path)
+        folders = {day: paths for day, paths in folders.items() if len(paths) >= at_least}
+        if not folders:
+            return []
+        target = f"batch={int(through)}"
+        old = []
+        for path in (p for paths in folders.values() for p in paths):
+            inside = path.getParent().getName() == target
+            old += [f.getPath() for f in fs.listStatus(path)] if inside else [path]
+        tasks = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        merged = self._newest(F.col(self.day_col).isin(*folders) & (F.col("batch").cast("bigint") <= through))
+        (merged.repartitionByRange(tasks, self.day_col, self.id_col).write.mode("append").partitionBy(self.day_col)
+         .parquet(f"{self.root}/{target}"))
+        for path in old:
+            fs.delete(path, True)
+        return sorted(folders)
+
     def read(self, *days: str) -> DataFrame:
         """The newest row of each id and day; with ``days`` only those, by a partition filter."""
+        return self._newest(F.col(self.day_col).isin(*days) if days else None)
+
+    def _newest(self, which: Column | None) -> DataFrame:
         df = read_partitioned(self.spark, self.root)
-        if days:
-            df = df.where(F.col(self.day_col).isin(*days))
+        if which is not None:
+            df = df.where(which)
         cols = [c for c in df.columns if c != "batch"]
         ordered = df.withColumn("_b", F.col("batch").cast("bigint")).drop("batch")
         return last_per_key(ordered, [self.day_col, self.id_col], ["_b"]).select(*cols)
 
 
-def write_order_wide(wide: DataFrame, path: str, batch_id: int | None = None) -> None:
+def write_order_wide(wide: DataFrame, path: str, batch_id: int | None = None, spread: int = 4) -> None:
     """The wide order fact, in ``dt=<day>`` folders; a batch id adds ``batch=<id>`` folders that a replay overwrites.
 
     The rows are ranged by day and order over as many tasks as a shuffle has,
     so small days share a task and a large one is written by several, to a file
-    each.  A micro-batch is bounded, and ranging would run it twice: there a
-    day's rows go to one task.
+    each.  Ranging would run a micro-batch twice, so there a day's orders are
+    spread over ``spread`` tasks by a hash.
     """
     out = wide.select(*ORDER_WIDE.names)
     tasks = int(wide.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     if batch_id is None:
         out.repartitionByRange(tasks, "dt", "order_id", "order_detail_id").write.mode("append").partitionBy("dt").parquet(path)
     else:
-        (out.repartition(tasks, "dt").withColumn("batch", F.lit(int(batch_id))).write.mode("overwrite")
+        (out.repartition(tasks, "dt", F.pmod(F.xxhash64("order_id"), F.lit(spread))).withColumn("batch", F.lit(int(batch_id))).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy("dt", "batch").parquet(path))
 
 

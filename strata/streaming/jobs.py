@@ -85,14 +85,17 @@ def dimension_job(records: DataFrame, store: DimensionStore, schema, checkpoint:
     return records.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
 
 
-def dau_job(records: DataFrame, index: DayIndex, checkpoint: str, delay: str = "1 day") -> DataStreamWriter:
+def dau_job(records: DataFrame, index: DayIndex, checkpoint: str, delay: str = "1 day",
+            compact_every: int = 20) -> DataStreamWriter:
     """R5 + D1 + S8: earliest start per device and event day, upserted into the day index.
 
     A streaming ``min_by`` per (day window, mid) in update mode: each batch
     emits the keys it touched with their earliest start so far, and the index
     keeps the newest emission per (day, mid).  The result does not depend on
     how rows are split into batches; state for a day is dropped once the
-    watermark passes the end of that day.
+    watermark passes the end of that day.  Every ``compact_every`` batches (0:
+    never) the days with many folders are compacted through the batch before,
+    which can't be replayed any more.
     """
     starts = route_app_log(records).where(F.col("topic") == START_TOPIC)
     logs = with_index_day(project_start_log(starts, keep=("offset",))).withColumn("_event_ts", ts_from_millis("ts"))
@@ -106,6 +109,8 @@ def dau_job(records: DataFrame, index: DayIndex, checkpoint: str, delay: str = "
 
     def write(batch: DataFrame, batch_id: int) -> None:
         index.write_batch(batch, batch_id)
+        if compact_every and batch_id > 0 and batch_id % compact_every == 0:
+            index.compact(batch_id - 1)
 
     return firsts.writeStream.foreachBatch(write).outputMode("update").option("checkpointLocation", checkpoint)
 

@@ -1,6 +1,7 @@
 """Chained hops, late rows, expiry, ledgers, replays after a crash, admission."""
 
 from datetime import datetime, timedelta
+from pathlib import Path
 
 import pandas as pd
 import pytest
@@ -208,13 +209,73 @@ def test_dimension_and_activity_jobs_replay_after_a_crash(spark, scratch, monkey
     rec.repartition(3).write.parquet(f"{scratch}/logs")
     monkeypatch.setattr(DayIndex, "write_batch", Crash(2).after(DayIndex.write_batch))
     index = DayIndex(spark, f"{scratch}/dau")
-    crashed_and_restarted(lambda: jobs.dau_job(feed(spark, f"{scratch}/logs", rec.schema), index, f"{scratch}/ck2", delay=DELAY))
+    crashed_and_restarted(lambda: jobs.dau_job(feed(spark, f"{scratch}/logs", rec.schema), index, f"{scratch}/ck2", delay=DELAY, compact_every=1))
     from strata.plans.catalog import dau_dedup
 
     cols = ["mid", "uid", "ar", "ch", "vc", "dt", "hr", "mi", "ts"]
     assert _rows(index.read().select(*cols)) == _rows(dau_dedup(spark, SF_SMALL).select(*cols))
 
 
+def test_compaction_bounds_a_day_and_can_be_repeated(spark, scratch, monkeypatch):
+    """A crash in the deletion, a second run and a replayed newest batch change no row."""
+    index = DayIndex(spark, scratch)
+    want = {}
+
+    def write(batch):
+        rows = [("d1", f"m{k}", batch) for k in range(batch % 3, 12, 2)] + ([("d2", "x", batch)] if batch < 3 else [])
+        index.write_batch(spark.createDataFrame(rows, "day string, mid string, v long"), batch)
+        want.update({r[:2]: r[2] for r in rows})
+
+    def read(*days):
+        return {(r.day, r.mid): r.v for r in index.read(*days).collect()}
+
+    def folders(day):
+        return {p.parent.name.split("=")[1] for p in Path(scratch.split(":", 1)[-1]).glob(f"batch=*/day={day}")}
+
+    for batch in range(10):
+        write(batch)
+    assert len(folders("d1")) == 10 and len(folders("d2")) == 3
+    # The merged rows are written, what they replace is still there, in whole or in part.
+    handles = type(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(scratch))
+    real, calls = handles.__getattr__, []
+
+    class NoDelete:
+        def __init__(self, call):
+            self.call = call
+
+        def __call__(self, *args):
+            calls.append(args)
+            if len(calls) in (1, 4):
+                raise RuntimeError("killed in the deletion")
+            return self.call(*args)
+
+    monkeypatch.setattr(handles, "__getattr__", lambda self, name: NoDelete(real(self, name)) if name == "delete" else real(self, name))
+    for _ in range(2):
+        with pytest.raises(RuntimeError, match="killed"):
+            index.compact(8)
+        assert read() == want
+    monkeypatch.setattr(handles, "__getattr__", real)
+    assert index.compact(8, at_least=2) == ["d1", "d2"]
+    assert folders("d1") == {"8", "9"} and folders("d2") == {"8"} and read() == want
+    assert read("d1") == {k: v for k, v in want.items() if k[0] == "d1"}
+    write(9)
+    assert read() == want and index.compact(8, at_least=2) == []
+    for batch in range(10, 13):
+        write(batch)
+    assert index.compact(11, at_least=2) == ["d1"] and folders("d1") == {"11", "12"} and read() == want
+
+
+def test_a_hot_day_of_a_micro_batch_has_several_writers(spark, scratch):
+    from strata.plans.stored import stored_wide
+    from strata.sources.sinks import write_order_wide
+
+    wide = stored_wide(spark, SF_SMALL).limit(2000).withColumn("dt", F.lit("2024-01-01"))
+    for _ in range(2):
+        write_order_wide(wide, scratch, batch_id=3)
+    back = read_order_wide(spark, scratch)
+    assert back.count() == wide.count() and 2 <= len(back.inputFiles()) <= 4
+
+
 def test_enrich_and_wide_jobs_replay_after_a_crash(spark, scratch, monkeypatch):
     """A crash after each sink's write: the enriched topics and the stored fact are as without it."""
     env = few_envelopes(spark)
