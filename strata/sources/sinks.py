@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -133,30 +134,48 @@ class DayIndex:
         return last_per_key(ordered, [self.day_col, self.id_col], ["_b"]).select(*cols)
 
 
-def write_order_wide(wide: DataFrame, path: str, batch_id: int | None = None, spread: int = 4) -> None:
-    """The wide order fact, in ``dt=<day>`` folders; a batch id adds ``batch=<id>`` folders that a replay overwrites.
+def write_order_wide(wide: DataFrame, path: str, batch_id: int | None = None) -> None:
+    """The wide order fact, in ``dt=<day>`` folders; with a batch id in ``month=<month>/batch=<id>`` folders that a replay overwrites.
 
     The rows are ranged by day and order over as many tasks as a shuffle has,
     so small days share a task and a large one is written by several, to a file
-    each.  Ranging would run a micro-batch twice, so there a day's orders are
-    spread over ``spread`` tasks by a hash.
+    each.  A micro-batch may have a few rows of every day, so its files hold the
+    days of a month, in order; a read of a day opens its month's files and, by
+    their statistics, reads that day's part.  Ranging looks at the rows twice,
+    so a micro-batch is held meanwhile.
     """
     out = wide.select(*ORDER_WIDE.names)
     tasks = int(wide.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = lambda rows: rows.repartitionByRange(tasks, "dt", "order_id", "order_detail_id")
     if batch_id is None:
-        out.repartitionByRange(tasks, "dt", "order_id", "order_detail_id").write.mode("append").partitionBy("dt").parquet(path)
-    else:
-        (out.repartition(tasks, "dt", F.pmod(F.xxhash64("order_id"), F.lit(spread))).withColumn("batch", F.lit(int(batch_id))).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("dt", "batch").parquet(path))
+        ranged(out).write.mode("append").partitionBy("dt").parquet(path)
+        return
+    out = out.persist(StorageLevel.DISK_ONLY)
+    try:
+        parts = ranged(out).withColumns({"month": _month("dt"), "batch": F.lit(int(batch_id))})
+        (parts.sortWithinPartitions("month", "dt", "order_id", "order_detail_id").write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("month", "batch").parquet(path))
+    finally:
+        out.unpersist()
+
+
+def _month(day: str) -> Column:
+    return F.substring(day, 1, 7)
 
 
 def read_order_wide(spark: SparkSession, path: str, days: Sequence[str] | None = None) -> DataFrame:
-    """The stored wide fact, with ``days`` only those: a partition filter, so other days' files are not opened.
+    """The stored wide fact, with ``days`` only those: a partition filter, so other days' (of micro-batches: months') files are not opened.
 
     A day without a folder has no rows.
     """
-    fact = spark.read.schema(ORDER_WIDE).option("basePath", path).parquet(path).select(*ORDER_WIDE.names)
-    return fact if days is None else fact.where(F.col("dt").isin(*days))
+    months = any(c.startswith("month=") for c in fs_children(spark, path))
+    schema = T.StructType([*ORDER_WIDE.fields, T.StructField("month", T.StringType())]) if months else ORDER_WIDE
+    fact = spark.read.schema(schema).option("basePath", path).parquet(path)
+    if days is not None:
+        fact = fact.where(F.col("dt").isin(*days))
+        if months:
+            fact = fact.where(F.col("month").isin(*{d[:7] for d in days}))
+    return fact.select(*ORDER_WIDE.names)
 
 
 def append_documents(df: DataFrame, path: str, id_col: str = "_id") -> None:

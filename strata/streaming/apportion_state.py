@@ -1,14 +1,18 @@
-"""Streaming apportionment (D6): ``applyInPandasWithState`` keyed by order id.
+"""Streaming apportionment (D6): ``applyInPandasWithState`` keyed by buckets of the order id.
 
 The state of an order is the sum of the line amounts seen so far and the sum
 of the shares given to them.  A line with an amount that brings the running sum to the order's original
 total takes ``final - shares so far``; any other line takes its share.  A
-micro-batch's lines of an order come in Arrow frames; a frame is sorted by
+micro-batch's lines come in Arrow frames; a frame is sorted by order and
 detail id and worked off as a whole, with cumulative sums that go on from the
 state, so an order of any size needs the memory of one frame (rows reach the
 function in no particular order, SURVEY T10).  State expires with the
 event-time watermark ``retention_s`` after the order's last line.
 
+A call of the function costs about a millisecond, whatever its rows, so calls
+are made for buckets of orders, and a bucket's state holds its live orders.
+``buckets`` is part of a checkpoint: a restarted stream keeps it.
+
 Money is exact: amounts are whole cents, ``scale=2`` gives each share in cents,
 rounded half-up, and ``scale=None`` keeps 28 significant digits.  Shares are
 worked out as Python integers, since a product of two amounts may not fit 64 bits.
@@ -16,18 +20,23 @@ worked out as Python integers, since a product of two amounts may not fit 64 bit
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 from decimal import ROUND_HALF_UP, Context, Decimal
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 _CTX = Context(prec=34, rounding=ROUND_HALF_UP)
 _CENT = Decimal("0.01")
-STATE_SCHEMA = "lines string, shares string, last_ms long"
+#: JSON: of each live order the sums of its lines and shares as text, and the time of its last line.
+STATE_SCHEMA = "orders string"
+BUCKETS = 1024
+_BUCKET = "_bucket"
 
 
 def _cents(x: float) -> int:
@@ -61,50 +70,87 @@ def _shares(final: np.ndarray, line: np.ndarray, total: np.ndarray, scale: int |
     return out
 
 
-def make_state_fn(scale: int | None, retention_s: int, order_col: str = "order_detail_id",
-                  time_col: str = "arrive_ts", out_col: str = "final_detail_amount"):
-    unit = Decimal(1) if scale is None else Decimal(1).scaleb(-scale)
+class _Frames:
+    """Works off frames of lines: fills ``out_col`` and takes the orders' sums on."""
 
-    def frame(pdf: pd.DataFrame, lines: int, shares) -> tuple[list, int, object]:
-        """The values of a sorted frame's lines, and the sums after it."""
+    def __init__(self, scale: int | None, order_col: str, time_col: str, out_col: str):
+        self.scale, self.order_col, self.time_col, self.out_col = scale, order_col, time_col, out_col
+        self.unit, self.number = (Decimal(1), Decimal) if scale is None else (Decimal(1).scaleb(-scale), int)
+
+    def work_off(self, pdf: pd.DataFrame, codes: np.ndarray, keys: list[str], held: dict[str, list]) -> pd.DataFrame:
+        """``codes``: each line's order, as a place in ``keys``; ``held``: of each key the sums of lines and shares and the last time."""
+        order = np.lexsort((pdf[self.order_col].to_numpy(), codes))
+        pdf, codes = pdf.iloc[order].reset_index(drop=True), codes[order]
+        starts = np.flatnonzero(np.diff(codes, prepend=-1))
         final, total = _all_cents(pdf["final_total_amount"].to_numpy()), _all_cents(pdf["original_total_amount"].to_numpy())
         line = _all_cents(pdf["sku_price"].to_numpy()) * pdf["sku_num"].to_numpy().astype(object)
-        running = np.cumsum(line) + lines
-        value = _shares(final, line, total, scale)
+        value = _shares(final, line, total, self.scale)
         # a line without an amount never completes an order, so it can't take a second remainder
-        known = np.array([v is not None for v in value], bool)
-        at = 0
-        for i in np.flatnonzero(known & (line != 0) & (running == total)):
-            shares += sum(v for v in value[at:i] if v is not None)
-            value[i] = _whole(final[i], scale) - shares
-            at = i
-        shares += sum(v for v in value[at:] if v is not None)
-        return [None if v is None else float(v * unit) for v in value], int(running[-1]), shares
+        may = np.array([v is not None for v in value], bool) & (line != 0).astype(bool)
+        last = np.maximum.reduceat(pdf[self.time_col].to_numpy().astype("datetime64[ms]").astype(np.int64), starts)
+        for a, b, ms in zip(starts, [*starts[1:], len(pdf)], last, strict=True):
+            k = keys[codes[a]]
+            lines, shares, last_ms = held.get(k, ("0", "0", 0))
+            running, shares, at = np.cumsum(line[a:b]) + int(lines), self.number(shares), a
+            for i in a + np.flatnonzero(may[a:b] & (running == total[a:b]).astype(bool)):
+                shares += sum(v for v in value[at:i] if v is not None)
+                value[i] = _whole(final[i], self.scale) - shares
+                at = i
+            shares += sum(v for v in value[at:b] if v is not None)
+            held[k] = [str(running[-1]), str(shares), max(last_ms, int(ms))]
+        pdf[self.out_col] = [None if v is None else float(v * self.unit) for v in value]
+        return pdf
+
+
+def make_state_fn(scale: int | None, retention_s: int, order_col: str = "order_detail_id",
+                  time_col: str = "arrive_ts", out_col: str = "final_detail_amount"):
+    """The function of a stream that is grouped by the order; its state: lines and shares as text, last_ms."""
+    frames = _Frames(scale, order_col, time_col, out_col)
 
     def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
             state.remove()
             return
-        lines, shares, last_ms = 0, Decimal(0) if scale is None else 0, 0
-        if state.exists:
-            lines_s, shares_s, last_ms = state.get
-            lines, shares = int(lines_s), Decimal(shares_s) if scale is None else int(shares_s)
+        held = {"": list(state.get)} if state.exists else {}
+        for pdf in pdfs:
+            if len(pdf):
+                yield frames.work_off(pdf, np.zeros(len(pdf), np.int64), [""], held)
+        lines, shares, last_ms = held.get("", ("0", "0", 0))
+        state.update((lines, shares, last_ms))
+        state.setTimeoutTimestamp(last_ms + retention_s * 1000)
+
+    return fn
+
+
+def make_bucket_fn(scale: int | None, retention_s: int, key_col: str = "order_id", order_col: str = "order_detail_id",
+                   time_col: str = "arrive_ts", out_col: str = "final_detail_amount"):
+    """The function of a stream that is grouped by buckets of orders; its state is ``STATE_SCHEMA``."""
+    frames = _Frames(scale, order_col, time_col, out_col)
+
+    def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        held = json.loads(state.get[0]) if state.exists else {}
+        seen: set[str] = set()
         for pdf in pdfs:
             if not len(pdf):
                 continue
-            order = np.argsort(pdf[order_col].to_numpy(), kind="stable")
-            pdf = pdf.iloc[order].reset_index(drop=True)
-            pdf[out_col], lines, shares = frame(pdf, lines, shares)
-            last_ms = max(last_ms, int(pd.Timestamp(pdf[time_col].max()).value // 1_000_000))
-            yield pdf
-        state.update((str(lines), str(shares), last_ms))
-        state.setTimeoutTimestamp(last_ms + retention_s * 1000)
+            codes, orders = pd.factorize(pdf[key_col], use_na_sentinel=False)
+            keys = ["" if pd.isna(k) else str(k) for k in orders]
+            seen.update(keys)
+            yield frames.work_off(pdf.drop(columns=_BUCKET), codes, keys, held)
+        # as Spark does with keys of their own: an order that expired goes, unless this batch has lines of it
+        mark, stay_ms = state.getCurrentWatermarkMs(), retention_s * 1000
+        live = {k: v for k, v in held.items() if k in seen or v[2] + stay_ms >= mark}
+        if not live:
+            state.remove()
+            return
+        state.update((json.dumps(live),))
+        state.setTimeoutTimestamp(max(min(v[2] for v in live.values()) + stay_ms, mark + 1))
 
     return fn
 
 
 def apportion_stream(wide: DataFrame, scale: int | None = 2, retention_s: int = 600,
-                     time_col: str = "arrive_ts", delay: str | None = "10 minutes") -> DataFrame:
+                     time_col: str = "arrive_ts", delay: str | None = "10 minutes", buckets: int = BUCKETS) -> DataFrame:
     """D6 on a stream of OrderWide rows carrying an event-time column ``time_col``.
 
     ``delay=None`` when ``time_col`` already carries a watermark (e.g. after a join).
@@ -114,8 +160,9 @@ def apportion_stream(wide: DataFrame, scale: int | None = 2, retention_s: int =
     if delay is not None:
         src = src.withWatermark(time_col, delay)
     out_schema = T.StructType([*src.schema.fields, T.StructField("final_detail_amount", T.DoubleType())])
-    fn = make_state_fn(scale, retention_s, time_col=time_col)
-    return src.groupBy("order_id").applyInPandasWithState(
+    fn = make_bucket_fn(scale, retention_s, time_col=time_col)
+    # lines without an order have a bucket of their own: beside nulls, pandas would turn the others' ids into doubles
+    bucket = F.when(F.col("order_id").isNull(), F.lit(buckets)).otherwise(F.pmod(F.xxhash64("order_id"), F.lit(buckets)))
+    return src.withColumn(_BUCKET, bucket.cast("int")).groupBy(_BUCKET).applyInPandasWithState(
         fn, out_schema, STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout
     ).select(*wide.columns if "final_detail_amount" in wide.columns else [*wide.columns, "final_detail_amount"])
-

@@ -219,7 +219,7 @@ def order_wide_stream(info: DataFrame, detail: DataFrame, scale: int | None = 2,
 
 
 def order_wide_job(info: DataFrame, detail: DataFrame, path: str, checkpoint: str, **options) -> DataStreamWriter:
-    """The wide fact from both feeds, stored in day folders; each batch overwrites its own part of a day."""
+    """The wide fact from both feeds, stored in month folders; each batch overwrites its own part of a month."""
     wide = order_wide_stream(with_create_parts(info), detail, **options)
 
     def write(batch: DataFrame, batch_id: int) -> None:
