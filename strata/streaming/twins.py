@@ -8,8 +8,10 @@ the job's sink wrote.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
@@ -34,18 +36,40 @@ from strata.streaming.late import LateGate, folder_sink, late_gate_job
 DAY_S = 86_400
 FILES_PER_TRIGGER = 4
 ROWS_PER_FILE = 100_000
-# Files of one write come in any order, so no row may ever be late; what a
-# watermark drops is tested on its own.
+# A feed whose files come in any order: no row may ever be late.
 DELAY = "3650 days"
+# A feed that is staged on its event time comes in that order, so its state may expire behind the newest file;
+# what a watermark drops is tested on its own.
+ORDERED_DELAY = "10 minutes"
 
 
-def stage(df: DataFrame, path: str, order_col: str, sort_cols: tuple[str, ...] = ()) -> None:
-    """Append ``df`` to ``path`` in one write, ranged on ``order_col`` (equal values share a file).
+def stage(df: DataFrame, path: str, order_col: str, sort_cols: tuple[str, ...] = (), files: int = 0) -> int:
+    """Append ``df`` to ``path`` in one write, ranged on ``order_col`` (equal values share a file); gives the number of files.
 
-    The number of files, and so of triggers, follows the number of rows.
+    The number of files, and so of triggers, follows the number of rows, unless
+    it is given.  A stream takes files by their times, so they are given times
+    in the order of the range.  Counting, ranging and writing all look at the
+    rows, which are held meanwhile.
     """
-    files = max(FILES_PER_TRIGGER, -(-df.count() // ROWS_PER_FILE))
-    df.repartitionByRange(files, order_col).sortWithinPartitions(order_col, *sort_cols).write.mode("append").parquet(path)
+    spark = df.sparkSession
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(conf)
+    parts = lambda: {f.getPath().getName(): f.getPath() for f in (fs.listStatus(folder) if fs.exists(folder) else [])
+                     if f.getPath().getName().startswith("part-")}
+    before = parts()
+    held = df.persist(StorageLevel.DISK_ONLY)
+    try:
+        files = files or max(FILES_PER_TRIGGER, -(-held.count() // ROWS_PER_FILE))
+        ranged = held.repartitionByRange(files, order_col).sortWithinPartitions(order_col, *sort_cols)
+        ranged.write.mode("append").parquet(path)
+    finally:
+        held.unpersist()
+    new = sorted(((name, at) for name, at in parts().items() if name not in before), key=lambda f: f[0])
+    now = int(time.time() * 1000)
+    for i, (_, at) in enumerate(new):
+        fs.setTimes(at, now - len(new) + i, -1)
+    return files
 
 
 def read_staged(spark: SparkSession, path: str, schema) -> DataFrame:
@@ -126,8 +150,9 @@ def _arrivals(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
 
 
 def _staged_feeds(spark, base: str, info: DataFrame, detail: DataFrame) -> tuple[DataFrame, DataFrame]:
-    stage(info, f"{base}/info", "arrive_s")
-    stage(detail, f"{base}/detail", "arrive_s")
+    # Both feeds in as many files, so that neither runs ahead of the other.
+    files = stage(detail, f"{base}/detail", "arrive_s")
+    stage(info, f"{base}/info", "arrive_s", files=files)
     return read_staged(spark, f"{base}/info", info.schema), read_staged(spark, f"{base}/detail", detail.schema)
 
 
@@ -136,7 +161,7 @@ def _stream_pairs(mode: str, retention_s: int = 600):
         info, detail = _arrivals(spark, sf_dir)
         base = shared_path(spark, "twins", f"pairs_{mode}", unique=True)
         si, sd = _staged_feeds(spark, base, info, detail)
-        pairs = wide_pairs_stream(si, sd, mode, delay=DELAY, retention_s=retention_s)
+        pairs = wide_pairs_stream(si, sd, mode, delay=ORDERED_DELAY, retention_s=retention_s)
         out = pairs.select(F.col("i_id").alias("order_id"), F.col("d_id").alias("order_detail_id"))
         run(out.writeStream.format("parquet").option("path", f"{base}/out")
             .option("checkpointLocation", f"{base}/checkpoint").outputMode("append"))
@@ -154,7 +179,7 @@ def stream_apportion_cents(spark, sf_dir):
     src, out, ckpt = _dirs(spark, "apportion")
     stage(wide, src, "arrive_s", sort_cols=("order_detail_id",))
     stream = read_staged(spark, src, wide.schema)
-    res = apportion_stream(stream.drop("final_detail_amount"), scale=2, delay=DELAY)
+    res = apportion_stream(stream.drop("final_detail_amount"), scale=2, delay=ORDERED_DELAY)
     run(res.select("order_id", "order_detail_id", "final_detail_amount").writeStream.format("parquet")
         .option("path", out).option("checkpointLocation", ckpt).outputMode("append"))
     return spark.read.parquet(out)
@@ -170,7 +195,7 @@ def stream_order_wide(spark, sf_dir):
     info, detail = info.unionByName(info.where("id % 7 = 0")), detail.unionByName(detail.where("id % 5 = 0"))
     base = shared_path(spark, "twins", "order_wide", unique=True)
     si, sd = _staged_feeds(spark, base, info, detail)
-    run(order_wide_job(si, sd, f"{base}/out", f"{base}/checkpoint", delay=DELAY))
+    run(order_wide_job(si, sd, f"{base}/out", f"{base}/checkpoint", delay=ORDERED_DELAY))
     stored = read_order_wide(spark, f"{base}/out")
     return stored.groupBy("dt", "order_id").agg(
         F.count("*").alias("n_lines"), sum_money("final_detail_amount").cast("double").alias("amount"))
