@@ -1,4 +1,5 @@
 import collections
+import functools
 import hashlib
 import math
 import random
@@ -28,6 +29,11 @@ def base_of(text):
     return sorted(found)
 
 
+@functools.lru_cache
+def law_of(n):
+    return [math.exp(math.lgamma(n) - math.lgamma(i + 1) - math.lgamma(n - i) - (n - 1) * math.log(2)) for i in range(n)]
+
+
 def p_value(numbers, size):
     n, counts = len(numbers), collections.Counter(numbers)
     mean, var = size - 1, 2 * (size - 1) * (n - 1) / n
@@ -35,7 +41,7 @@ def p_value(numbers, size):
     z = (math.copysign(abs(x2 / mean) ** (1 / 3), x2) - (1 - 2 / (9 * free))) / math.sqrt(2 / (9 * free))
     p1 = math.erfc(z / math.sqrt(2)) / 2
     changes = sum((a >= size // 2) != (b >= size // 2) for a, b in zip(numbers, numbers[1:], strict=False))
-    law = [math.exp(math.lgamma(n) - math.lgamma(i + 1) - math.lgamma(n - i) - (n - 1) * math.log(2)) for i in range(n)]
+    law = law_of(n)
     p2 = min(1.0, 2 * min(sum(law[: changes + 1]), sum(law[changes:])))
     m = sum(numbers) / n
     spread = sum((x - m) ** 2 for x in numbers)
@@ -71,19 +77,15 @@ def brute(rows, q=secrets.Q):
                 mine.append((a, b, t))
         held.append((base, mine))
         data = re.sub("\0+", " ", "".join(plain)).encode()
-        for turn in range(0, -(-len(data) // secrets.STRETCH)):
-            code = (len(data) + turn) % len(names)
-            _, alphabet, space = secrets.ENCODINGS[code]
-            numbers = []  # of the stretch
-            for byte in data[turn * secrets.STRETCH : (turn + 1) * secrets.STRETCH]:
+        for code, (_, alphabet, space) in enumerate(secrets.ENCODINGS):
+            numbers = []  # of the whole text
+            for byte in data:
                 c = chr(byte)
                 c = space if c in "\t\n\v\f\r " else c if c in alphabet else c.swapcase() if byte < 128 and c.isalpha() and c.swapcase() in alphabet else ""
                 numbers += [alphabet.index(c)] if c else []
-            at, k = 0, 0
-            while at + secrets.LENGTHS[k] <= len(numbers):
-                piece = numbers[at : at + secrets.LENGTHS[k]]
-                ordinary[(code, k), bin_of(p_value(piece, len(alphabet)))] += 1
-                at, k = at + secrets.LENGTHS[k], (k + 1) % len(secrets.LENGTHS)
+            for k, n in enumerate(secrets.LENGTHS):
+                for at in range(0, len(numbers) - n + 1, n):
+                    ordinary[(code, k), bin_of(p_value(numbers[at : at + n], len(alphabet)))] += 1
     last = {}
     for stratum in {s for s, _ in tokens.values()}:
         bins = sorted(b for s, b in tokens.values() if s == stratum)
@@ -185,3 +187,19 @@ def test_odd_rows(spark, odd, none):
     assert secrets.find_secrets(none).count() == 0
     with_more = odd.withColumn("tokens", F.lit(1)).withColumn("ordinary", F.lit(2)).withColumn("base", F.lit(3))
     assert got(secrets.find_secrets(with_more)) == found
+
+
+def test_every_ordinary_symbol_is_tested_in_every_encoding_and_length():
+    """Thresholds come from all ordinary text: no stretch of it is left to one encoding, no piece to one length."""
+    data = ("the report of 1984 under market water " * 300).encode()
+    counter = secrets._Counter()
+    counter.add(data)
+    n = collections.Counter()
+    for cell in counter.take():
+        n[cell["cell"] // secrets.BINS] += cell["n"]
+    letters = sum(chr(c).isalpha() for c in data)
+    digits = sum(chr(c).isdigit() for c in data)
+    held = {"decimal": digits, "lower": letters, "UPPER": letters, "lower36": letters + digits, "base62": letters + digits, "base64": len(data)}
+    for i, (name, _, _) in enumerate(secrets.ENCODINGS):
+        if name in held:
+            assert [n[i * len(secrets.LENGTHS) + k] for k in range(len(secrets.LENGTHS))] == [held[name] // x for x in secrets.LENGTHS]
