@@ -36,6 +36,7 @@ from strata.streaming.late import LateGate, folder_sink, late_gate_job
 DAY_S = 86_400
 FILES_PER_TRIGGER = 4
 ROWS_PER_FILE = 100_000
+PARTITIONS_PER_FILE = 3
 # A feed whose files come in any order: no row may ever be late.
 DELAY = "3650 days"
 # A feed that is staged on its event time comes in that order, so its state may expire behind the newest file;
@@ -73,7 +74,13 @@ def stage(df: DataFrame, path: str, order_col: str, sort_cols: tuple[str, ...] =
 
 
 def read_staged(spark: SparkSession, path: str, schema) -> DataFrame:
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", FILES_PER_TRIGGER).parquet(path)
+    """A stream over staged files.
+
+    Each trigger opens and commits every partition's state, so with more
+    partitions it takes more files: a partition gets as many rows of a trigger.
+    """
+    files = max(FILES_PER_TRIGGER, int(spark.conf.get("spark.sql.shuffle.partitions")) // PARTITIONS_PER_FILE)
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(path)
 
 
 def run(writer: DataStreamWriter) -> None:
@@ -130,7 +137,7 @@ def stream_dau_dedup(spark, sf_dir):
     stage(rec, src, "_t")
     stream = read_staged(spark, src, rec.schema).drop("_t")
     index = DayIndex(spark, out)
-    run(dau_job(stream, index, ckpt, delay=DELAY))
+    run(dau_job(stream, index, ckpt, delay=ORDERED_DELAY))
     return index.read().select("mid", "uid", "ar", "ch", "vc", "dt", "hr", "mi", "ts")
 
 
@@ -293,16 +300,23 @@ def deliveries(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
                  for df in (info, detail))
 
 
-def _gated(spark, base: str, name: str, feed: DataFrame) -> tuple[str, DataFrame]:
-    """Stages a feed delivery by delivery and sends it through a late gate: the folder of the rows in time, the late rows."""
-    src = f"{base}/{name}"
-    feed = feed.persist()
+def _files(lines: DataFrame) -> int:
+    """Files of a delivery, which is one trigger: they follow the number of rows."""
+    return max(FILES_PER_TRIGGER, -(-lines.count() // (DELIVERIES * ROWS_PER_FILE)))
+
+
+def _gated(spark, base: str, name: str, feed: DataFrame, files: int) -> tuple[str, DataFrame]:
+    """Stages a feed delivery by delivery, in ``files`` files each, and sends it through a late gate: the folder of the rows in time, the late rows."""
+    src, on_time = f"{base}/{name}", folder_sink(f"{base}/{name}-ontime")
+    feed = feed.persist(StorageLevel.DISK_ONLY)
     for batch in range(DELIVERIES + 1):
-        feed.where(F.col("batch") == batch).repartition(FILES_PER_TRIGGER, "id").write.mode("append").parquet(src)
+        feed.where(F.col("batch") == batch).repartition(files, "id").write.mode("append").parquet(src)
     feed.unpersist()
-    stream = spark.readStream.schema(feed.schema).option("maxFilesPerTrigger", FILES_PER_TRIGGER).parquet(src)
+    stream = spark.readStream.schema(feed.schema).option("maxFilesPerTrigger", files).parquet(src)
     gate = LateGate(spark, f"{base}/{name}-gate", "arrive_ts", WATERMARK_S)
-    run(late_gate_job(stream, gate, folder_sink(f"{base}/{name}-ontime"), folder_sink(f"{base}/{name}-late"), f"{base}/checkpoint-{name}"))
+    # A delivery stays one trigger of the next stream: in more files than that, its later ones would be behind the watermark.
+    run(late_gate_job(stream, gate, lambda rows, batch_id: on_time(rows.repartition(files, "id"), batch_id),
+                      folder_sink(f"{base}/{name}-late"), f"{base}/checkpoint-{name}"))
     return f"{base}/{name}-ontime", spark.read.schema(feed.schema).parquet(f"{base}/{name}-late")
 
 
@@ -310,7 +324,8 @@ def stream_late_rows(spark, sf_dir):
     """The headers and lines behind a 10-minute watermark, from the late table."""
     base = shared_path(spark, "twins", "late", unique=True)
     info, detail = deliveries(spark, sf_dir)
-    late_info, late_detail = _gated(spark, base, "info", info)[1], _gated(spark, base, "detail", detail)[1]
+    files = _files(TestData(spark, sf_dir).table("lineitem"))
+    late_info, late_detail = _gated(spark, base, "info", info, files)[1], _gated(spark, base, "detail", detail, files)[1]
     return late_info.select(F.lit("info").alias("side"), "id").unionByName(late_detail.select(F.lit("detail").alias("side"), "id"))
 
 
@@ -320,14 +335,14 @@ def stream_retained_outer(spark, sf_dir):
     A last header and line, long after all others, let every state expire.
     """
     base = shared_path(spark, "twins", "outer", unique=True)
-    feeds = []
+    feeds, files = [], _files(TestData(spark, sf_dir).table("lineitem"))
     for name, df in zip(("info", "detail"), deliveries(spark, sf_dir), strict=True):
-        path, _ = _gated(spark, base, name, df)
+        path, _ = _gated(spark, base, name, df, files)
         end = df.limit(1).withColumns({"id": F.lit(-1).cast("bigint"), "arrive_ts": F.lit("2200-01-01").cast("timestamp")})
         if name == "detail":
             end = end.withColumn("order_id", F.lit(-1).cast("bigint"))
         end.write.parquet(f"{path}/batch={DELIVERIES + 1}")
-        feeds.append(spark.readStream.schema(df.schema).option("maxFilesPerTrigger", FILES_PER_TRIGGER).parquet(path))
+        feeds.append(spark.readStream.schema(df.schema).option("maxFilesPerTrigger", files).parquet(path))
     job = retained_pairs_job(*feeds, folder_sink(f"{base}/pairs"), folder_sink(f"{base}/expired"), f"{base}/checkpoint",
                              delay=f"{WATERMARK_S} seconds", retention_s=WATERMARK_S)
     run(job)
