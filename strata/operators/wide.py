@@ -31,6 +31,7 @@ _FROM_DETAIL = {
     "sku_num": "sku_num", "spu_id": "spu_id", "tm_id": "tm_id", "category3_id": "category3_id",
     "spu_name": "spu_name", "tm_name": "tm_name", "category3_name": "category3_name",
 }
+HEADER_COLUMNS = tuple(_FROM_INFO)
 
 
 def _bucket(ts: Column, slide_s: int) -> Column:

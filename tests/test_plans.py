@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 from conftest import SF_SMALL
 from strata.operators import dashboard as dash
 from strata.operators.apportion import apportion
-from strata.operators.enrich import join_user_profile, users_needed
+from strata.operators.enrich import join_detail_dims, join_user_profile, users_needed
+from strata.operators.wide import inner_pairs, merge_wide
 from strata.plans.catalog import dau_hour, dau_total, detail_dims, hourly_compare_amount, hourly_compare_dau, kpi_list, \
     order_amount_hour, order_amount_total, order_province, order_wide, range_search
 from strata.plans.stored import stored_dau, stored_wide
@@ -137,3 +138,61 @@ def test_apportion_uses_aggregates_not_a_window(spark):
     plan = _plan(apportion(wide, scale=2))
     assert "Window" not in plan
     assert "HashAggregate" in plan
+
+
+def _above(lines: list[str], at: int) -> list[str]:
+    """The operators above a line of a plan's text."""
+    above, depth = [], len(lines[at]) - len(lines[at].lstrip(" :+-"))
+    for line in lines[at - 1 :: -1]:
+        if (d := len(line) - len(line.lstrip(" :+-"))) < depth:
+            above.append(line)
+            depth = d
+    return above
+
+
+def test_the_wide_fact_moves_lines_twice(spark):
+    """By sku for the products and by order: no line passes a third Exchange, whatever is too large to broadcast."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        wide = Warehouse(spark, SF_SMALL).order_wide(scale=2)
+        lines = _text(wide).splitlines()
+        scans = [i for i, line in enumerate(lines) if "FileScan" in line and "l_linenumber" in line]
+        assert scans
+        for scan in scans:
+            assert sum("Exchange" in line for line in _above(lines, scan)) <= 2, "\n".join(lines)
+        assert wide.count() > 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def _wide_step_by_step(wh: Warehouse):
+    """The wide fact by one operator after the other."""
+    td = wh.td
+    header = td.order_info.select(F.col("id").alias("order_id"), "final_total_amount", "original_total_amount")
+    shares = apportion(td.order_detail.join(header, "order_id").withColumnRenamed("order_price", "sku_price"), scale=2, order_col="id")
+    details = join_detail_dims(shares.withColumnRenamed("sku_price", "order_price"), td.sku_info(), td.spu_info(),
+                               td.trademark_info(), td.category3_info()).rows
+    wide = merge_wide(inner_pairs(wh.orders_enriched, details), keep=("d_final_detail_amount",))
+    return wide.withColumn("final_detail_amount", F.col("d_final_detail_amount")).drop("d_final_detail_amount")
+
+
+def test_the_wide_fact_on_odd_rows(spark, tmp_path):
+    """Products and orders that come twice, lines without a product or an order, null keys, prices and names."""
+    for name in ("nation", "customer"):
+        spark.read.parquet(f"{SF_SMALL}/{name}.parquet").write.parquet(f"{tmp_path}/{name}.parquet")
+    spark.createDataFrame([(1, "nut", "Brand#11", "TIN", 9.5), (1, "bolt", "Brand#12", "TIN", 9.5), (2, None, "Brand#13", None, 1.0),
+                           (3, "nut", None, "ZINC", None), (None, "cap", "Brand#11", "TIN", 2.0)],
+                          "p_partkey long, p_name string, p_brand string, p_type string, p_retailprice double").write.parquet(f"{tmp_path}/part.parquet")
+    spark.createDataFrame([(7, 1, "O", 100.0, "1996-09-17"), (7, 2, "F", 60.0, "1996-09-18"), (8, 3, "O", None, "1996-09-17"),
+                           (9, 4, None, 10.0, None), (None, 5, "O", 1.0, "1996-09-17")],
+                          "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate string").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame([(7, 1, 1, 1, 10.0, 2.0), (7, 1, 1, 1, 10.0, 2.0), (7, 2, 2, 1, 5.0, 1.0), (7, 2, 3, 1, 4.0, 1.0), (7, 3, 4, 1, 3.0, 1.0),
+                           (8, 1, None, 1, 2.0, 1.0), (8, 2, 3, 2, None, 1.0), (8, 3, 3, 2, 6.0, 1.0), (9, 1, 3, None, 0.0, 1.0), (9, 2, 2, 1, 10.0, None),
+                           (None, 1, 1, 1, 1.0, 1.0), (6, 1, 1, 1, 1.0, 1.0)],
+                          "l_orderkey long, l_linenumber long, l_partkey long, l_suppkey long, l_extendedprice double, l_quantity double"
+                          ).write.parquet(f"{tmp_path}/lineitem.parquet")
+    wh = Warehouse(spark, str(tmp_path))
+    got, want = wh.order_wide(scale=2), _wide_step_by_step(wh)
+    assert got.columns == want.columns and got.count() == want.count() > 10
+    assert got.exceptAll(want).count() == want.exceptAll(got).count() == 0
