@@ -95,8 +95,8 @@ class Packer:
 
     def _drain(self, leave: int) -> Iterator[list[Piece]]:
         while len(self.waiting) > leave:
-            # The demands of a drain are held as an array; a taken example's row becomes infinite.
-            demand = np.array([self._need(e) for e in self.waiting], float)
+            # The demands of a drain are held as an array, a row per limit; a taken example's column becomes infinite.
+            demand = np.array([self._need(e) for e in self.waiting], float).T.copy()
             gone = 0
             while len(self.waiting) - gone > leave and gone <= len(self.waiting) // 2:
                 sequence, taken = self._fill(demand)
@@ -107,16 +107,19 @@ class Packer:
                     break
             else:
                 back = []
-            self.waiting = [e for e, d in zip(self.waiting, demand[:, 0], strict=True) if d < np.inf] + back
+            self.waiting = [e for e, d in zip(self.waiting, demand[0], strict=True) if d < np.inf] + back
 
     def _fill(self, demand: np.ndarray) -> tuple[list[Piece], int]:
         room, sequence, taken = self.scale.copy(), [], 0
-        while room.min() >= 1 and (demand[:, 0] < np.inf).any():
-            waits = demand[:, 0] < np.inf
-            gain = np.where(waits[:, None], demand, 0) @ (room / self.scale**2)
-            fits = (demand <= room).all(axis=1)
-            whole = bool(fits.any())
-            best = int(np.argmax(np.where(fits if whole else waits, gain, -1.0)))
+        while room.min() >= 1:
+            fits = (demand[0] <= room[0]) & (demand[1] <= room[1]) & (demand[2] <= room[2])
+            among = np.flatnonzero(fits)
+            whole = len(among) > 0
+            if not whole:
+                among = np.flatnonzero(demand[0] < np.inf)
+                if not len(among):
+                    break
+            best = int(among[np.argmax((room / self.scale**2) @ demand[:, among])])
             e = self.waiting[best]
             n = e.left if whole else e.fitting(int(room[0]), int(room[2]))
             if n == 0:
@@ -125,9 +128,9 @@ class Packer:
             sequence.append((e, e.start, n))
             e.start += n
             if e.left:
-                demand[best] = self._need(e)
+                demand[:, best] = self._need(e)
             else:
-                demand[best] = np.inf
+                demand[:, best] = np.inf
                 taken += 1
         return sequence, taken
 
