@@ -21,7 +21,7 @@ from strata.functions.text import ODS_PREFIX
 from strata.operators.wide import merge_wide
 from strata.plans.warehouse import AS_OF_YEAR, Warehouse
 from strata.schemas import DIMENSIONS, TOPIC_RECORD
-from strata.session import shared_path
+from strata.session import shared_path, start_stateful, state_partitions, tidy
 from strata.sources.dimstore import DimensionStore
 from strata.sources.ledger import OffsetLedger, with_ledger
 from strata.sources.sinks import DayIndex, archive_stream, read_archive, read_order_wide
@@ -37,6 +37,9 @@ DAY_S = 86_400
 FILES_PER_TRIGGER = 4
 ROWS_PER_FILE = 100_000
 PARTITIONS_PER_FILE = 3
+STAGED_CODEC = "zstd"
+# A part of a feed goes through all hops of a chain before the next one; each hop starts anew for it, which takes seconds.
+FILES_OF_A_PART = 16
 # A feed whose files come in any order: no row may ever be late.
 DELAY = "3650 days"
 # A feed that is staged on its event time comes in that order, so its state may expire behind the newest file;
@@ -44,48 +47,72 @@ DELAY = "3650 days"
 ORDERED_DELAY = "10 minutes"
 
 
-def stage(df: DataFrame, path: str, order_col: str, sort_cols: tuple[str, ...] = (), files: int = 0) -> int:
-    """Append ``df`` to ``path`` in one write, ranged on ``order_col`` (equal values share a file); gives the number of files.
-
-    The number of files, and so of triggers, follows the number of rows, unless
-    it is given.  A stream takes files by their times, so they are given times
-    in the order of the range.  Counting, ranging and writing all look at the
-    rows, which are held meanwhile.
-    """
-    spark = df.sparkSession
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+def _files_of(spark: SparkSession, path: str) -> dict[str, object]:
+    """The data files right below ``path``, by name."""
+    jvm = spark.sparkContext._jvm
     folder = jvm.org.apache.hadoop.fs.Path(path)
-    fs = folder.getFileSystem(conf)
-    parts = lambda: {f.getPath().getName(): f.getPath() for f in (fs.listStatus(folder) if fs.exists(folder) else [])
-                     if f.getPath().getName().startswith("part-")}
-    before = parts()
-    held = df.persist(StorageLevel.DISK_ONLY)
-    try:
-        files = files or max(FILES_PER_TRIGGER, -(-held.count() // ROWS_PER_FILE))
-        ranged = held.repartitionByRange(files, order_col).sortWithinPartitions(order_col, *sort_cols)
-        ranged.write.mode("append").parquet(path)
-    finally:
-        held.unpersist()
-    new = sorted(((name, at) for name, at in parts().items() if name not in before), key=lambda f: f[0])
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = [f.getPath() for f in (fs.listStatus(folder) if fs.exists(folder) else [])]
+    return {f.getName(): f for f in found if f.getName().startswith("part-")}
+
+
+def _fs(spark: SparkSession, path: str):
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
+
+
+def write_in_order(rows: DataFrame, path: str, order_col: str, files: int, sort_cols: tuple[str, ...] = (), mode: str = "append") -> None:
+    """``rows`` as ``files`` files, ranged on ``order_col`` (equal values share a file); a stream takes files by their times, so they are given times in that order."""
+    spark = rows.sparkSession
+    fs, _ = _fs(spark, path)
+    before = _files_of(spark, path) if mode == "append" else {}
+    ranged = rows.repartitionByRange(files, order_col).sortWithinPartitions(order_col, *sort_cols)
+    ranged.write.mode(mode).option("compression", STAGED_CODEC).parquet(path)
+    new = sorted((name, at) for name, at in _files_of(spark, path).items() if name not in before)
     now = int(time.time() * 1000)
     for i, (_, at) in enumerate(new):
         fs.setTimes(at, now - len(new) + i, -1)
-    return files
 
 
-def read_staged(spark: SparkSession, path: str, schema) -> DataFrame:
-    """A stream over staged files.
+def stage(df: DataFrame, path: str, order_col: str, sort_cols: tuple[str, ...] = (), files: int = 0) -> int:
+    """Append ``df`` to ``path`` by ``write_in_order``; gives the number of files.
 
-    Each trigger opens and commits every partition's state, so with more
-    partitions it takes more files: a partition gets as many rows of a trigger.
+    The number of files, and so of triggers, follows the number of rows, unless
+    it is given.  Counting, ranging and writing all look at the rows, so they
+    are written once as they come, compressed, and that copy is deleted after.
     """
-    files = max(FILES_PER_TRIGGER, int(spark.conf.get("spark.sql.shuffle.partitions")) // PARTITIONS_PER_FILE)
+    spark, held = df.sparkSession, f"{path}-unordered"
+    fs, at = _fs(spark, held)
+    with tidy(spark):
+        try:
+            df.write.mode("overwrite").option("compression", STAGED_CODEC).parquet(held)
+            rows = spark.read.schema(df.schema).parquet(held)
+            files = files or max(FILES_PER_TRIGGER, -(-rows.count() // ROWS_PER_FILE))
+            write_in_order(rows, path, order_col, files, sort_cols)
+        finally:
+            fs.delete(at, True)
+    return files
+
+
+def state_files(spark: SparkSession) -> int:
+    """Files of a trigger of a stream with state: as many as its partitions, so that each gets a file's rows."""
+    return max(FILES_PER_TRIGGER, state_partitions(spark))
+
+
+def read_staged(spark: SparkSession, path: str, schema, files: int = 0) -> DataFrame:
+    """A stream over staged files, ``files`` a trigger; unless they are given, they follow the session's partitions."""
+    files = files or max(FILES_PER_TRIGGER, int(spark.conf.get("spark.sql.shuffle.partitions")) // PARTITIONS_PER_FILE)
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(path)
 
 
-def run(writer: DataStreamWriter) -> None:
+def run(writer: DataStreamWriter, stateful: bool = False) -> None:
     """Run a stream over everything staged, then stop."""
-    q = writer.trigger(availableNow=True).start()
+    writer = writer.trigger(availableNow=True)
+    if stateful:
+        q = start_stateful(writer)
+    else:
+        with tidy(writer._spark):
+            q = writer.start()
     try:
         q.awaitTermination()
     finally:
@@ -185,10 +212,12 @@ def stream_apportion_cents(spark, sf_dir):
     wide = _shifted(merge_wide(pairs, keep=(F.col("i_arrive_s").alias("arrive_s"),)))
     src, out, ckpt = _dirs(spark, "apportion")
     stage(wide, src, "arrive_s", sort_cols=("order_detail_id",))
-    stream = read_staged(spark, src, wide.schema)
-    res = apportion_stream(stream.drop("final_detail_amount"), scale=2, delay=ORDERED_DELAY)
+    # No more than the amounts of each line is asked for: what a Python function does not need is not read or shuffled.
+    stream = read_staged(spark, src, wide.schema, state_files(spark)).select(
+        "order_id", "order_detail_id", "original_total_amount", "final_total_amount", "sku_price", "sku_num", "arrive_ts")
+    res = apportion_stream(stream, scale=2, delay=ORDERED_DELAY)
     run(res.select("order_id", "order_detail_id", "final_detail_amount").writeStream.format("parquet")
-        .option("path", out).option("checkpointLocation", ckpt).outputMode("append"))
+        .option("path", out).option("checkpointLocation", ckpt).outputMode("append"), stateful=True)
     return spark.read.parquet(out)
 
 
