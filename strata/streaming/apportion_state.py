@@ -14,8 +14,8 @@ are made for buckets of orders, and a bucket's state holds its live orders.
 ``buckets`` is part of a checkpoint: a restarted stream keeps it.
 
 Money is exact: amounts are whole cents, ``scale=2`` gives each share in cents,
-rounded half-up, and ``scale=None`` keeps 28 significant digits.  Shares are
-worked out as Python integers, since a product of two amounts may not fit 64 bits.
+rounded half-up, and ``scale=None`` keeps 28 significant digits.  A frame is
+worked off by whole columns where all of it fits 64 bits, else in Python integers.
 """
 
 from __future__ import annotations
@@ -37,6 +37,8 @@ _CENT = Decimal("0.01")
 STATE_SCHEMA = "orders string"
 BUCKETS = 1024
 _BUCKET = "_bucket"
+# Below these, doubles are sure as cents, products fit 64 bits, and whole numbers are exact doubles.
+_SURE, _FITS, _EXACT = 2.0 ** 44, 2.0 ** 60, 2.0 ** 53
 
 
 def _cents(x: float) -> int:
@@ -45,7 +47,24 @@ def _cents(x: float) -> int:
 
 
 def _all_cents(x: np.ndarray) -> np.ndarray:
-    return np.frompyfunc(_cents, 1, 1)(x)
+    """``_cents`` of each value: by whole columns where the nearest cent is beyond doubt, else one by one."""
+    x = x.astype(np.float64)
+    scaled = x * 100
+    whole = np.rint(scaled)
+    # up to there a product is off by far less than what keeps it away from half a cent
+    sure = (np.abs(scaled) < _SURE) & (np.abs(scaled - whole) < 0.49)
+    if sure.all():
+        return whole.astype(np.int64)
+    out = np.where(sure, whole, 0).astype(np.int64).astype(object)
+    out[~sure] = [_cents(v) for v in x[~sure]]
+    return out
+
+
+def _product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Whole products; as Python integers where 64 bits may not hold them."""
+    if a.dtype != object and b.dtype != object and float(np.abs(a).max(initial=0)) * float(np.abs(b).max(initial=0)) < _FITS:
+        return a * b
+    return a.astype(object) * b.astype(object)
 
 
 def _whole(cents: int, scale: int | None):
@@ -56,17 +75,20 @@ def _whole(cents: int, scale: int | None):
 
 
 def _shares(final: np.ndarray, line: np.ndarray, total: np.ndarray, scale: int | None) -> np.ndarray:
-    """``final * line / total`` in units of ``scale`` places (None: as Decimal); None where the total is 0."""
-    out = np.full(len(line), None, object)
+    """``final * line / total`` in units of ``scale`` places (None: as Decimal); 0 (None: None) where the total is 0."""
     some = np.flatnonzero(total != 0)
     if scale is None:
+        out = np.full(len(line), None, object)
         divide = np.frompyfunc(lambda f, x, t: _CTX.divide(_CTX.multiply(Decimal(f).scaleb(-2), Decimal(x)), Decimal(t)), 3, 1)
-        out[some] = divide(final[some], line[some], total[some])
+        out[some] = divide(*(x[some].astype(object) for x in (final, line, total)))
         return out
     # cents * cents / cents, in units of the scale: rounded half away from zero
-    top, bottom = final[some] * line[some] * 10 ** max(0, scale - 2) * 2, total[some] * 10 ** max(0, 2 - scale)
-    half_up = np.frompyfunc(lambda a, b: (abs(a) + abs(b)) // (2 * abs(b)) * (1 if (a < 0) == (b < 0) else -1), 2, 1)
-    out[some] = half_up(top, bottom)
+    top = _product(_product(final[some], line[some]), np.asarray([10 ** max(0, scale - 2)]))
+    bottom = _product(total[some], np.asarray([10 ** max(0, 2 - scale)]))
+    size = np.abs(bottom)
+    quotient = (2 * np.abs(top) + size) // (2 * size)
+    out = np.zeros(len(line), quotient.dtype)
+    out[some] = np.where((top < 0) == (bottom < 0), quotient, -quotient)
     return out
 
 
@@ -80,26 +102,68 @@ class _Frames:
     def work_off(self, pdf: pd.DataFrame, codes: np.ndarray, keys: list[str], held: dict[str, list]) -> pd.DataFrame:
         """``codes``: each line's order, as a place in ``keys``; ``held``: of each key the sums of lines and shares and the last time."""
         order = np.lexsort((pdf[self.order_col].to_numpy(), codes))
-        pdf, codes = pdf.iloc[order].reset_index(drop=True), codes[order]
+        codes = codes[order]
+        column = lambda name: pdf[name].to_numpy()[order]
         starts = np.flatnonzero(np.diff(codes, prepend=-1))
-        final, total = _all_cents(pdf["final_total_amount"].to_numpy()), _all_cents(pdf["original_total_amount"].to_numpy())
-        line = _all_cents(pdf["sku_price"].to_numpy()) * pdf["sku_num"].to_numpy().astype(object)
-        value = _shares(final, line, total, self.scale)
+        final, total = _all_cents(column("final_total_amount")), _all_cents(column("original_total_amount"))
+        number = column("sku_num")
+        line = _product(_all_cents(column("sku_price")), number if number.dtype.kind == "i" else number.astype(object))
+        share = _shares(final, line, total, self.scale)
+        here = [keys[c] for c in codes[starts]]
+        before = [held.get(k, ("0", "0", 0)) for k in here]
+        last = np.maximum.reduceat(column(self.time_col).astype("datetime64[ms]").astype(np.int64), starts)
+        work = self._by_columns if self._fits(final, line, total, share, before) else self._by_orders
+        value, lines, shares = work(final, line, total, share, starts, before)
+        for k, (_, _, seen), x, y, ms in zip(here, before, lines, shares, last.tolist(), strict=True):
+            held[k] = [str(x), str(y), max(seen, ms)]
+        given = np.empty(len(pdf), np.float64)
+        given[order] = value
+        pdf = pdf.copy(deep=False)
+        pdf[self.out_col] = given
+        return pdf
+
+    def _fits(self, final, line, total, share, before) -> bool:
+        """Whether the sums below hold in 64 bits, and their quotients by the scale are exact."""
+        if self.scale is None or not 2 <= self.scale <= 8 or any(x.dtype == object for x in (final, line, total, share)):
+            return False
+        most = max((abs(int(v)) for b in before for v in b[:2]), default=0)
+        sums = [float(np.abs(line).sum(dtype=np.float64)), float(np.abs(share).sum(dtype=np.float64)),
+                float(np.abs(final).max(initial=0)) * 10 ** (self.scale - 2)]
+        return most + 2 * sum(sums) < _EXACT
+
+    def _by_columns(self, final, line, total, share, starts, before):
+        """Each line's value, and each order's sums of lines and shares, by cumulative sums over all orders."""
+        size = np.diff(starts, append=len(line))
+        lines, shares = (np.array([int(b[i]) for b in before], np.int64) for i in (0, 1))
+        so_far = lambda x, first: (c := np.cumsum(x)) + np.repeat(first - c[starts] + x[starts], size)
+        running, given = so_far(line, lines), so_far(share, shares)
         # a line without an amount never completes an order, so it can't take a second remainder
+        hits = np.flatnonzero((total != 0) & (line != 0) & (running == total))
+        value = share.copy()
+        value[hits] = final[hits] * 10 ** (self.scale - 2) - (given[hits] - share[hits])
+        order = np.repeat(np.arange(len(starts)), size)[hits]
+        again = np.flatnonzero(np.diff(order, prepend=-1) == 0)
+        for j in again:  # lines below nothing let an order be completed once more: the earlier remainder counts
+            i = hits[j]
+            value[i] -= (value[starts[order[j]]:i] - share[starts[order[j]]:i]).sum()
+        lines, shares = lines + np.add.reduceat(line, starts), shares + np.add.reduceat(value, starts)
+        return np.where(total != 0, value / 10 ** self.scale, np.nan), lines.tolist(), shares.tolist()
+
+    def _by_orders(self, final, line, total, share, starts, before):
+        """As ``_by_columns``, order by order, with numbers of any size."""
+        line, value = line.astype(object), np.where(total != 0, share.astype(object), None)
         may = np.array([v is not None for v in value], bool) & (line != 0).astype(bool)
-        last = np.maximum.reduceat(pdf[self.time_col].to_numpy().astype("datetime64[ms]").astype(np.int64), starts)
-        for a, b, ms in zip(starts, [*starts[1:], len(pdf)], last, strict=True):
-            k = keys[codes[a]]
-            lines, shares, last_ms = held.get(k, ("0", "0", 0))
+        lines_after, shares_after = [], []
+        for a, b, (lines, shares, _) in zip(starts, [*starts[1:], len(line)], before, strict=True):
             running, shares, at = np.cumsum(line[a:b]) + int(lines), self.number(shares), a
             for i in a + np.flatnonzero(may[a:b] & (running == total[a:b]).astype(bool)):
                 shares += sum(v for v in value[at:i] if v is not None)
-                value[i] = _whole(final[i], self.scale) - shares
+                value[i] = _whole(int(final[i]), self.scale) - shares
                 at = i
             shares += sum(v for v in value[at:b] if v is not None)
-            held[k] = [str(running[-1]), str(shares), max(last_ms, int(ms))]
-        pdf[self.out_col] = [None if v is None else float(v * self.unit) for v in value]
-        return pdf
+            lines_after.append(running[-1])
+            shares_after.append(shares)
+        return [np.nan if v is None else float(v * self.unit) for v in value], lines_after, shares_after
 
 
 def make_state_fn(scale: int | None, retention_s: int, order_col: str = "order_detail_id",

@@ -187,7 +187,8 @@ def _staged_feeds(spark, base: str, info: DataFrame, detail: DataFrame) -> tuple
     # Both feeds in as many files, so that neither runs ahead of the other.
     files = stage(detail, f"{base}/detail", "arrive_s")
     stage(info, f"{base}/info", "arrive_s", files=files)
-    return read_staged(spark, f"{base}/info", info.schema), read_staged(spark, f"{base}/detail", detail.schema)
+    take = state_files(spark)
+    return read_staged(spark, f"{base}/info", info.schema, take), read_staged(spark, f"{base}/detail", detail.schema, take)
 
 
 def _stream_pairs(mode: str, retention_s: int = 600):
@@ -198,7 +199,7 @@ def _stream_pairs(mode: str, retention_s: int = 600):
         pairs = wide_pairs_stream(si, sd, mode, delay=ORDERED_DELAY, retention_s=retention_s)
         out = pairs.select(F.col("i_id").alias("order_id"), F.col("d_id").alias("order_detail_id"))
         run(out.writeStream.format("parquet").option("path", f"{base}/out")
-            .option("checkpointLocation", f"{base}/checkpoint").outputMode("append"))
+            .option("checkpointLocation", f"{base}/checkpoint").outputMode("append"), stateful=True)
         return spark.read.parquet(f"{base}/out")
 
     q.__name__ = f"stream_wide_{mode}_join"
@@ -231,7 +232,7 @@ def stream_order_wide(spark, sf_dir):
     info, detail = info.unionByName(info.where("id % 7 = 0")), detail.unionByName(detail.where("id % 5 = 0"))
     base = shared_path(spark, "twins", "order_wide", unique=True)
     si, sd = _staged_feeds(spark, base, info, detail)
-    run(order_wide_job(si, sd, f"{base}/out", f"{base}/checkpoint", delay=ORDERED_DELAY))
+    run(order_wide_job(si, sd, f"{base}/out", f"{base}/checkpoint", delay=ORDERED_DELAY), stateful=True)
     stored = read_order_wide(spark, f"{base}/out")
     return stored.groupBy("dt", "order_id").agg(
         F.count("*").alias("n_lines"), sum_money("final_detail_amount").cast("double").alias("amount"))

@@ -1,9 +1,15 @@
 """What keeps a stream's disk, and the fixed cost of its triggers, in proportion to its input."""
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
+from strata.session import start_stateful
+from strata.streaming import apportion_state
+from strata.streaming.apportion_state import make_bucket_fn
 from strata.streaming.late import folder_sink
 from strata.streaming.twins import read_staged, run, stage
+from test_stream_scale import State, lines
 
 
 def shuffle_files(spark):
@@ -11,6 +17,46 @@ def shuffle_files(spark):
     return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
 
 
+def test_cent_amounts_are_worked_off_by_columns(monkeypatch):
+    """No call a line; the result is that of the way order by order, also where lines below nothing complete an order twice."""
+    pdf = lines(range(50), 6)
+    pdf.loc[pdf.order_id % 5 == 0, "sku_price"] = -1.25
+    pdf.loc[pdf.order_id % 7 == 0, "original_total_amount"] = 0.0
+    twice = pd.DataFrame({"order_id": 99, "order_detail_id": range(4), "sku_price": [2.0, 3.0, -3.0, 3.0], "sku_num": 1, "_bucket": 1,
+                          "original_total_amount": 5.0, "final_total_amount": 4.99, "arrive_ts": pd.Timestamp("2024-01-01")})
+    pdf = pd.concat([pdf, twice])
+    states = State(), State()
+    with monkeypatch.context() as m:
+        m.setattr(apportion_state._Frames, "_fits", lambda *_: False)
+        want = pd.concat(make_bucket_fn(2, 600)((1,), iter([pdf[:70], pdf[70:]]), states[0]))
+    monkeypatch.setattr(apportion_state, "_cents", lambda x: 1 / 0)
+    got = pd.concat(make_bucket_fn(2, 600)((1,), iter([pdf[:70], pdf[70:]]), states[1]))
+    np.testing.assert_array_equal(got["final_detail_amount"], want["final_detail_amount"])
+    assert states[0].kept == states[1].kept and got["order_detail_id"].tolist() == pdf["order_detail_id"].tolist()
+
+
+def test_amounts_that_are_no_cents_round_as_before():
+    x = np.array([0.005, 1.005, 2.675, -0.005, -1.005, 1e15 / 7, 123456789.125, 0.1 + 0.2, 19.99])
+    assert list(apportion_state._all_cents(x)) == [apportion_state._cents(v) for v in x]
+
+
+def test_state_has_partitions_for_the_cores_not_for_whole_tables(spark, scratch):
+    rows = spark.range(50).select("id", F.timestamp_seconds(F.col("id") + 86_400).alias("at"))
+    stage(rows, f"{scratch}/in", "id")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "200")
+    try:
+        seen = read_staged(spark, f"{scratch}/in", rows.schema).withWatermark("at", "1 day").dropDuplicatesWithinWatermark(["id"])
+        q = start_stateful(seen.writeStream.format("parquet").option("path", f"{scratch}/out")
+                           .option("checkpointLocation", f"{scratch}/ck").trigger(availableNow=True))
+        q.awaitTermination()
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "200"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert spark.read.parquet(f"{scratch}/out").count() == 50
+    assert {s["numShufflePartitions"] for p in q.recentProgress for s in p["stateOperators"]} == {16}
+
+
 def test_staging_and_streams_leave_no_shuffles_behind(spark, scratch):
     before = shuffle_files(spark)
     rows = spark.range(5000).groupBy((F.col("id") % 1000).alias("k")).agg(F.count("*").alias("n"))
