@@ -15,6 +15,8 @@ from strata.operators.offsets import after_ledger
 from strata.operators.offsets import starting_offsets as as_starting_offsets
 from strata.schemas import TOPIC_RECORD
 
+# Records are JSON text, which shrinks to less than half of what the default codec leaves.
+TOPIC_CODEC = "zstd"
 RECORD_COLUMNS = [f.name for f in TOPIC_RECORD.fields]
 
 
@@ -75,7 +77,7 @@ def write_topic_batch(df: DataFrame, *, fmt: str = "files", root: str | None = N
     own = [F.col(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name)
            for f in TOPIC_RECORD.fields]
     if batch_id is None:
-        df.select(*own).write.mode("append").partitionBy("topic").parquet(root)
+        df.select(*own).write.mode("append").option("compression", TOPIC_CODEC).partitionBy("topic").parquet(root)
         return
-    (df.select(*own, F.lit(int(batch_id)).alias("batch")).write.mode("overwrite")
+    (df.select(*own, F.lit(int(batch_id)).alias("batch")).write.mode("overwrite").option("compression", TOPIC_CODEC)
      .option("partitionOverwriteMode", "dynamic").partitionBy("topic", "batch").parquet(root))

@@ -29,7 +29,7 @@ from strata.operators.wide import merge_wide, retained_join, unmatched, window_j
 from strata.schemas import ORDER_DETAIL, ORDER_DETAIL_WIRE, ORDER_INFO, ORDER_INFO_WIRE, TOPIC_RECORD
 from strata.sources.dimstore import DimensionStore
 from strata.sources.sinks import DayIndex, write_order_wide
-from strata.sources.topics import read_topic, write_topic_batch
+from strata.sources.topics import TOPIC_CODEC, read_topic, write_topic_batch
 from strata.streaming.apportion_state import apportion_stream
 
 # The topics of the enriched orders and order lines.
@@ -50,7 +50,7 @@ def _to_topics(rows: DataFrame, out_path: str, checkpoint: str) -> DataStreamWri
     """S3: rows with ``value`` and ``topic`` as topic records; they keep the arrival columns they have."""
     cols = [F.col(f.name) if f.name in rows.columns else F.lit(None).cast(f.dataType).alias(f.name)
             for f in TOPIC_RECORD.fields]
-    return (rows.select(*cols).writeStream.format("parquet").partitionBy("topic")
+    return (rows.select(*cols).writeStream.format("parquet").partitionBy("topic").option("compression", TOPIC_CODEC)
             .option("checkpointLocation", checkpoint).option("path", out_path).outputMode("append"))
 
 

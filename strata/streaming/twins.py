@@ -266,7 +266,7 @@ def stream_detail_dims(spark, sf_dir):
              .where(F.col("topic") == ods_topic_name("order_detail")))
 
     def sink(rows: DataFrame, batch_id: int) -> None:
-        rows.write.mode("overwrite").parquet(f"{out}/dwd/batch={batch_id}")
+        rows.write.mode("overwrite").option("compression", STAGED_CODEC).parquet(f"{out}/dwd/batch={batch_id}")
 
     dims = lambda: (td.sku_info(), td.spu_info(), td.trademark_info(), td.category3_info())
     run(enrich_details_job(lines, dims, sink, f"{ckpt}/dwd"))
