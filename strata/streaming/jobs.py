@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
@@ -200,8 +201,13 @@ def retained_pairs_job(info: DataFrame, detail: DataFrame, pairs: RejectSink, ex
     joined = wide_pairs_stream(info, detail, "retained_outer", delay, retention_s, time_col)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        pairs(batch.where("i_id is not null and d_id is not null"), batch_id)
-        expired(unmatched(batch), batch_id)
+        # Two sinks look at the rows: without holding them the join and its state would be worked off twice.
+        batch = batch.persist(StorageLevel.DISK_ONLY)
+        try:
+            pairs(batch.where("i_id is not null and d_id is not null"), batch_id)
+            expired(unmatched(batch), batch_id)
+        finally:
+            batch.unpersist()
 
     return joined.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
 

@@ -331,23 +331,30 @@ def deliveries(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
 
 
 def _files(lines: DataFrame) -> int:
-    """Files of a delivery, which is one trigger: they follow the number of rows."""
+    """Files of a delivery's rows in time: they follow the number of rows."""
     return max(FILES_PER_TRIGGER, -(-lines.count() // (DELIVERIES * ROWS_PER_FILE)))
 
 
 def _gated(spark, base: str, name: str, feed: DataFrame, files: int) -> tuple[str, DataFrame]:
-    """Stages a feed delivery by delivery, in ``files`` files each, and sends it through a late gate: the folder of the rows in time, the late rows."""
-    src, on_time = f"{base}/{name}", folder_sink(f"{base}/{name}-ontime")
-    feed = feed.persist(StorageLevel.DISK_ONLY)
-    for batch in range(DELIVERIES + 1):
-        feed.where(F.col("batch") == batch).repartition(files, "id").write.mode("append").parquet(src)
-    feed.unpersist()
-    stream = spark.readStream.schema(feed.schema).option("maxFilesPerTrigger", files).parquet(src)
+    """Sends a feed through a late gate, delivery by delivery: the folder of the rows in time, the late rows.
+
+    The rows in time are stored in the order of their arrival, in ``files`` files a
+    delivery, so the next stream may take a few files at a time: none of them
+    is behind the watermark of those before.
+    """
+    src, on_time = f"{base}/{name}", f"{base}/{name}-ontime"
+    with tidy(spark):
+        feed.write.partitionBy("batch").option("compression", STAGED_CODEC).parquet(f"{src}-deliveries")
     gate = LateGate(spark, f"{base}/{name}-gate", "arrive_ts", WATERMARK_S)
-    # A delivery stays one trigger of the next stream: in more files than that, its later ones would be behind the watermark.
-    run(late_gate_job(stream, gate, lambda rows, batch_id: on_time(rows.repartition(files, "id"), batch_id),
-                      folder_sink(f"{base}/{name}-late"), f"{base}/checkpoint-{name}"))
-    return f"{base}/{name}-ontime", spark.read.schema(feed.schema).parquet(f"{base}/{name}-late")
+
+    def in_order(rows: DataFrame, batch_id: int) -> None:
+        write_in_order(rows, f"{on_time}/batch={int(batch_id)}", "arrive_ts", files, mode="overwrite")
+
+    for batch in range(DELIVERIES + 1):
+        if _move(spark, f"{src}-deliveries/batch={batch}", f"{src}/batch={batch}"):
+            run(late_gate_job(spark.readStream.schema(feed.schema).parquet(src), gate, in_order, folder_sink(f"{base}/{name}-late"),
+                              f"{base}/checkpoint-{name}"))
+    return on_time, spark.read.schema(feed.schema).parquet(f"{base}/{name}-late")
 
 
 def stream_late_rows(spark, sf_dir):
@@ -366,16 +373,28 @@ def stream_retained_outer(spark, sf_dir):
     """
     base = shared_path(spark, "twins", "outer", unique=True)
     feeds, files = [], _files(TestData(spark, sf_dir).table("lineitem"))
+def _move(spark: SparkSession, source: str, target: str) -> bool:
+    """A written folder or file becomes part of a feed; False where there is none."""
+    fs, at = _fs(spark, source)
+    if not fs.exists(at):
+        return False
+    to = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)
+    fs.mkdirs(to.getParent())
+    if not fs.rename(at, to):
+        raise OSError(f"{source} can't be moved to {target}")
+    return True
+
+
     for name, df in zip(("info", "detail"), deliveries(spark, sf_dir), strict=True):
         path, _ = _gated(spark, base, name, df, files)
-        end = df.limit(1).withColumns({"id": F.lit(-1).cast("bigint"), "arrive_ts": F.lit("2200-01-01").cast("timestamp")})
+        end = spark.read.schema(df.schema).parquet(f"{base}/{name}").limit(1).withColumns({"id": F.lit(-1).cast("bigint"), "arrive_ts": F.lit("2200-01-01").cast("timestamp")})
         if name == "detail":
             end = end.withColumn("order_id", F.lit(-1).cast("bigint"))
         end.write.parquet(f"{path}/batch={DELIVERIES + 1}")
-        feeds.append(spark.readStream.schema(df.schema).option("maxFilesPerTrigger", files).parquet(path))
+        feeds.append(read_staged(spark, path, df.schema, state_files(spark)))
     job = retained_pairs_job(*feeds, folder_sink(f"{base}/pairs"), folder_sink(f"{base}/expired"), f"{base}/checkpoint",
                              delay=f"{WATERMARK_S} seconds", retention_s=WATERMARK_S)
-    run(job)
+    run(job, stateful=True)
     pairs = spark.read.parquet(f"{base}/pairs").where("i_id >= 0").select(
         F.lit("pair").alias("side"), F.col("i_id").alias("order_id"), F.col("d_id").alias("order_detail_id"))
     expired = spark.read.parquet(f"{base}/expired").where("order_id >= 0")

@@ -5,10 +5,10 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from strata.session import start_stateful
-from strata.streaming import apportion_state
+from strata.streaming import apportion_state, jobs
 from strata.streaming.apportion_state import make_bucket_fn
 from strata.streaming.late import folder_sink
-from strata.streaming.twins import read_staged, run, stage
+from strata.streaming.twins import read_staged, run, stage, write_in_order
 from test_stream_scale import State, lines
 
 
@@ -68,3 +68,24 @@ def test_staging_and_streams_leave_no_shuffles_behind(spark, scratch):
     assert spark.read.parquet(f"{scratch}/in").count() == 1000 and spark.read.parquet(f"{scratch}/out").count() == 1000
     held = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{scratch}/in-unordered")
     assert not held.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(held)
+
+
+def test_two_sinks_work_off_a_retained_join_once(spark, scratch):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(frames):
+        for f in frames:
+            seen.add(len(f))
+            yield f
+
+    at = F.timestamp_seconds(F.col("id") * 60 + 86_400)
+    info = spark.range(40).select("id", at.alias("arrive_ts"))
+    detail = info.select((F.col("id") * 10).alias("id"), F.col("id").alias("order_id"), "arrive_ts").where("order_id % 4 > 0")
+    for name, df in (("info", info), ("detail", detail)):
+        write_in_order(df, f"{scratch}/{name}", "arrive_ts", 2)
+    feeds = {name: read_staged(spark, f"{scratch}/{name}", df.schema) for name, df in (("info", info), ("detail", detail))}
+    feeds["info"] = feeds["info"].mapInPandas(count, info.schema)
+    job = jobs.retained_pairs_job(feeds["info"], feeds["detail"], folder_sink(f"{scratch}/pairs"), folder_sink(f"{scratch}/expired"), f"{scratch}/ck")
+    run(job, stateful=True)
+    assert spark.read.parquet(f"{scratch}/pairs").count() == 30
+    assert seen.value == 40
