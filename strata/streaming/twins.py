@@ -274,12 +274,8 @@ def stream_detail_dims(spark, sf_dir):
         "id", "order_id", "sku_id", "spu_id", "tm_id", "category3_id", "spu_name", "tm_name", "category3_name")
 
 
-def order_wide_chain(spark, sf_dir, base: str, envelopes: DataFrame) -> DataFrame:
-    """ODS -> DWD -> DWS over staged ``envelopes``: R2, then J1 / J2 and J3, then J4 -> R7 -> D6, chained by topics.
-
-    Each hop is a stream of its own, with its checkpoint under ``base``; called
-    again after more envelopes were staged, every hop goes on where it stopped.
-    """
+def _enriched_topics(spark, sf_dir, base: str, envelopes: DataFrame) -> str:
+    """ODS -> DWD: R2, then J1 / J2 and J3, each hop a stream of its own, chained by topics; gives the root of the enriched ones."""
     td = TestData(spark, sf_dir)
     ods, dwd, ckpt = f"{base}/ods", f"{base}/dwd", f"{base}/checkpoint"
     run(cdc_ods_job(envelopes, ods, f"{ckpt}/ods"))
@@ -289,7 +285,42 @@ def order_wide_chain(spark, sf_dir, base: str, envelopes: DataFrame) -> DataFram
                           f"{ckpt}/orders", as_of_year=AS_OF_YEAR))
     dims = lambda: (td.sku_info(), td.spu_info(), td.trademark_info(), td.category3_info())
     run(enrich_details_job(lines, dims, topic_sink(dwd, DWD_ORDER_DETAIL, "order_id"), f"{ckpt}/lines"))
-    run(dws_wide_job(spark, dwd, f"{base}/wide", f"{ckpt}/wide", delay=DELAY))
+    return dwd
+
+
+def order_wide_chain(spark, sf_dir, base: str, envelopes: DataFrame) -> DataFrame:
+    """ODS -> DWD -> DWS over staged ``envelopes``: R2, then J1 / J2 and J3, then J4 -> R7 -> D6, chained by topics.
+
+    Each hop is a stream of its own, with its checkpoint under ``base``; called
+    again after more envelopes were staged, every hop goes on where it stopped.
+    """
+    dwd = _enriched_topics(spark, sf_dir, base, envelopes)
+    run(dws_wide_job(spark, dwd, f"{base}/wide", f"{base}/checkpoint/wide", delay=DELAY), stateful=True)
+    return read_order_wide(spark, f"{base}/wide")
+
+
+def order_wide_service(spark, sf_dir, base: str, staged: str, schema, files: int) -> DataFrame:
+    """The hops of ``order_wide_chain`` over a feed staged in order, which comes in ``files`` files at a time.
+
+    The wide job goes on running and takes each part when it is enriched, so a
+    trigger, its state and its shuffles are a part's, not the whole feed's.  The
+    parts come in the order of their event time, so state expires behind them.
+    """
+    feed, wide = f"{base}/in", None
+    fs, at = _fs(spark, feed)
+    fs.mkdirs(at)
+    parts = sorted(_files_of(spark, staged))
+    try:
+        for i in range(0, len(parts), files):
+            for name in parts[i:i + files]:
+                _move(spark, f"{staged}/{name}", f"{feed}/{name}")
+            dwd = _enriched_topics(spark, sf_dir, base, spark.readStream.schema(schema).parquet(feed).drop("arrive_s"))
+            if wide is None:
+                wide = start_stateful(dws_wide_job(spark, dwd, f"{base}/wide", f"{base}/checkpoint/wide", delay=ORDERED_DELAY))
+            wide.processAllAvailable()
+    finally:
+        if wide is not None:
+            wide.stop()
     return read_order_wide(spark, f"{base}/wide")
 
 
@@ -304,9 +335,9 @@ def stream_order_wide_chain(spark, sf_dir):
     base = shared_path(spark, "twins", "chain", unique=True)
     env = TestData(spark, sf_dir).cdc_order_envelopes()
     env = env.withColumn("timestamp", F.timestamp_seconds(F.col("arrive_s") + CLOCK_SHIFT_S))
-    stage(env, f"{base}/in", "arrive_s")
-    wide = order_wide_chain(spark, sf_dir, base, read_staged(spark, f"{base}/in", env.schema).drop("arrive_s"))
-    return with_order_share(wide)
+    stage(env, f"{base}/staged", "arrive_s")
+    files = max(FILES_OF_A_PART, state_files(spark))
+    return with_order_share(order_wide_service(spark, sf_dir, base, f"{base}/staged", env.schema, files))
 
 
 # Deliveries: five batches by arrival; every eleventh row comes one batch late.
@@ -335,6 +366,18 @@ def _files(lines: DataFrame) -> int:
     return max(FILES_PER_TRIGGER, -(-lines.count() // (DELIVERIES * ROWS_PER_FILE)))
 
 
+def _move(spark: SparkSession, source: str, target: str) -> bool:
+    """A written folder or file becomes part of a feed; False where there is none."""
+    fs, at = _fs(spark, source)
+    if not fs.exists(at):
+        return False
+    to = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)
+    fs.mkdirs(to.getParent())
+    if not fs.rename(at, to):
+        raise OSError(f"{source} can't be moved to {target}")
+    return True
+
+
 def _gated(spark, base: str, name: str, feed: DataFrame, files: int) -> tuple[str, DataFrame]:
     """Sends a feed through a late gate, delivery by delivery: the folder of the rows in time, the late rows.
 
@@ -373,18 +416,6 @@ def stream_retained_outer(spark, sf_dir):
     """
     base = shared_path(spark, "twins", "outer", unique=True)
     feeds, files = [], _files(TestData(spark, sf_dir).table("lineitem"))
-def _move(spark: SparkSession, source: str, target: str) -> bool:
-    """A written folder or file becomes part of a feed; False where there is none."""
-    fs, at = _fs(spark, source)
-    if not fs.exists(at):
-        return False
-    to = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)
-    fs.mkdirs(to.getParent())
-    if not fs.rename(at, to):
-        raise OSError(f"{source} can't be moved to {target}")
-    return True
-
-
     for name, df in zip(("info", "detail"), deliveries(spark, sf_dir), strict=True):
         path, _ = _gated(spark, base, name, df, files)
         end = spark.read.schema(df.schema).parquet(f"{base}/{name}").limit(1).withColumns({"id": F.lit(-1).cast("bigint"), "arrive_ts": F.lit("2200-01-01").cast("timestamp")})

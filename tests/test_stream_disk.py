@@ -4,14 +4,20 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
+from conftest import SF_SMALL
 from strata.session import start_stateful
+from strata.sources.testdata import TestData
 from strata.streaming import apportion_state, jobs
 from strata.streaming.apportion_state import make_bucket_fn
 from strata.streaming.late import folder_sink
-from strata.streaming.twins import read_staged, run, stage, write_in_order
+from strata.streaming.twins import CLOCK_SHIFT_S, ORDERED_DELAY, order_wide_chain, order_wide_service, read_staged, run, stage, with_order_share, write_in_order
 from test_stream_scale import State, lines
 
 
+def _rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
 def shuffle_files(spark):
     files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
     return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
@@ -89,3 +95,16 @@ def test_two_sinks_work_off_a_retained_join_once(spark, scratch):
     run(job, stateful=True)
     assert spark.read.parquet(f"{scratch}/pairs").count() == 30
     assert seen.value == 40
+
+
+def test_a_chain_takes_its_feed_in_parts(spark, scratch):
+    """The same rows as from the whole feed at once, in triggers of a part each."""
+    env = TestData(spark, SF_SMALL).cdc_order_envelopes().where("arrive_s < 6000")
+    env = env.withColumn("timestamp", F.timestamp_seconds(F.col("arrive_s") + CLOCK_SHIFT_S)).persist()
+    stage(env, f"{scratch}/a/in", "arrive_s")
+    whole = order_wide_chain(spark, SF_SMALL, f"{scratch}/a", read_staged(spark, f"{scratch}/a/in", env.schema).drop("arrive_s"))
+    stage(env, f"{scratch}/b/staged", "arrive_s")
+    parts = order_wide_service(spark, SF_SMALL, f"{scratch}/b", f"{scratch}/b/staged", env.schema, 2)
+    assert _rows(with_order_share(parts)) == _rows(with_order_share(whole)) and whole.count() > 0
+    batches = {f.split("batch=")[1].split("/")[0] for f in parts.inputFiles()}
+    assert len(batches) >= 2 and ORDERED_DELAY == "10 minutes"
