@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from conftest import SF_SMALL
 from strata.session import start_stateful
 from strata.sources.testdata import TestData
+from strata.sources.topics import write_topic_batch
 from strata.streaming import apportion_state, jobs
 from strata.streaming.apportion_state import make_bucket_fn
 from strata.streaming.late import folder_sink
@@ -108,3 +109,16 @@ def test_a_chain_takes_its_feed_in_parts(spark, scratch):
     assert _rows(with_order_share(parts)) == _rows(with_order_share(whole)) and whole.count() > 0
     batches = {f.split("batch=")[1].split("/")[0] for f in parts.inputFiles()}
     assert len(batches) >= 2 and ORDERED_DELAY == "10 minutes"
+
+
+def test_topics_are_compressed_for_text(spark, scratch):
+    rows = spark.range(20).select(F.col("id").cast("string").alias("key"), F.lit("{}").alias("value"), F.lit("T").alias("topic"))
+    write_topic_batch(rows, root=f"{scratch}/appended")
+    write_topic_batch(rows, root=f"{scratch}/batches", batch_id=3)
+    rows.write.parquet(f"{scratch}/in")
+    env = spark.readStream.schema(rows.schema).parquet(f"{scratch}/in").withColumn(
+        "value", F.lit('{"type":"INSERT","table":"order_info","data":[{"id":"1"}]}'))
+    run(jobs.cdc_ods_job(env.select("value"), f"{scratch}/ods", f"{scratch}/ck"))
+    for name in ("appended", "batches", "ods"):
+        written = spark.read.parquet(f"{scratch}/{name}")
+        assert written.count() == 20 and all(".zstd." in f for f in written.inputFiles())
